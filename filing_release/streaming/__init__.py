@@ -1,0 +1,9 @@
+"""No streaming operators.
+
+The release is a yearly batch build: extracts are landed once a year and
+published once a year, so there is no unbounded input, watermark or state
+to manage.  A continuously landing extract folder can still be processed
+with Structured Streaming's ``foreachBatch`` calling
+``plans.release.build_release`` per micro-batch, but no operator here
+depends on it.
+"""
