@@ -20,15 +20,16 @@ PRIOR_NUMERIC = ["TOTREVP", "EXPSP", "ASS_BOY"]
 
 
 def prior_year_join(df: DataFrame, prior: DataFrame, fields: Sequence[str] = PRIOR_FIELDS,
-                    fisyr: str = "FISYR") -> DataFrame:
+                    fisyr: str = "FISYR", key: str | Sequence[str] = "EIN") -> DataFrame:
     """Attach release Y-1 fields, renamed by B7.
 
     When FISYR <> FISYRP + 1, or either is null, every joined column is
     nulled and INPRIOR is '0'; otherwise INPRIOR is '1'.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     ren = {k: v for k, v in prior_renames(fields).items() if k in prior.columns}
-    p = prior.select("EIN", *[F.col(k).alias(v) for k, v in ren.items()])
-    j = df.join(p, "EIN", "left")
+    p = prior.select(*keys, *[F.col(k).alias(v) for k, v in ren.items()])
+    j = df.join(p, keys, "left")
     ok = F.col(fisyr).cast("double") == (F.col("FISYRP").cast("double") + 1)
     okc = F.coalesce(ok, F.lit(False))
     out = {}

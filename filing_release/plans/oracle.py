@@ -25,7 +25,7 @@ filings AS (
   round(coalesce(gross, 0) - coalesce(disc, 0), 4) AS NETINCFNDRSNG, round(o_totalprice * 0.9, 3) AS EXPS,
   c_acctbal * 1000 AS ASS_EOY, c_acctbal * 400 AS LIAB_EOY,
   c_acctbal * 600 + (o_orderkey % 7) * 500 AS FUNDBAL,
-  o_orderstatus AS ORDSTAT, o_orderpriority AS ORDPRI
+  o_orderstatus AS ORDSTAT, o_orderpriority AS ORDPRI, c_name AS NAME
  FROM orders JOIN customer ON o_custkey = c_custkey LEFT JOIN li ON l_orderkey = o_orderkey)"""
 
 KIND = ("CASE WHEN upper(split_part(SOURCE, '.', 1)) LIKE '%EZ' THEN 'EZ' "
@@ -63,3 +63,83 @@ def with_ctes(*ctes: str) -> str:
 
 REVIEWED_STATE = ("CASE ORDPRI WHEN '1-URGENT' THEN 1 WHEN '3-MEDIUM' THEN 2 "
                   "WHEN '4-NOT SPECIFIED' THEN 3 ELSE 0 END")
+
+
+# --- the release pipeline (twin of plans.release) ----------------------------------------
+BASE_NAMES = ["FILING_ID", "EIN", "TAXPER", "FISYR", "SOURCE", "SUBSECCD", "FNDNCD", "NTEEFINAL",
+              "TOTREV2", "CONT", "DIREXP", "NETINCFNDRSNG", "EXPS", "ASS_EOY", "LIAB_EOY",
+              "FUNDBAL", "ORDSTAT", "ORDPRI", "NAME", "NETINC", "TOTREV", "STYEAR",
+              "SOURCE_KIND", "RELEASE", "VALIDATION_STATE", "MANUALLY_FIXED"]
+
+
+def _prior_cols():
+    from ..operators.schema import PRIOR_FIELDS, prior_name
+    return [(c, prior_name(c)) for c in PRIOR_FIELDS if c in BASE_NAMES]
+
+
+def cur_reviewed(year: int = Y) -> str:
+    return (f"cur_r AS (SELECT * REPLACE ({REVIEWED_STATE} AS VALIDATION_STATE) FROM "
+            f"(SELECT {BASE_COLS} FROM filings WHERE FISYR >= {year}))")
+
+
+def prior_joined(year: int = Y) -> str:
+    ok = "coalesce(c.FISYR = p.FISYR + 1, false)"
+    cols = ", ".join(f"CASE WHEN {ok} THEN p.{a} END AS {b}" for a, b in _prior_cols())
+    return (f"py AS (SELECT c.*, {cols}, CASE WHEN {ok} THEN '1' ELSE '0' END AS INPRIOR "
+            f"FROM cur_r c LEFT JOIN prior_{year - 1} p ON c.RELEASE = p.RELEASE AND c.EIN = p.EIN)")
+
+
+def backfilled(year: int = Y, depth: int = 2) -> str:
+    parts = " UNION ALL ".join(
+        f"SELECT * REPLACE ('core{year - k}' || lower(RELEASE) AS SOURCE), {year - k} AS _yr "
+        f"FROM prior_{year - k}" for k in range(1, depth + 1))
+    return f"""cand AS ({parts}),
+cand2 AS (SELECT * FROM cand c WHERE NOT EXISTS (
+  SELECT 1 FROM py x WHERE x.RELEASE = c.RELEASE AND x.EIN = c.EIN)),
+back AS (SELECT * EXCLUDE (_yr) FROM cand2 c WHERE _yr = (
+  SELECT max(_yr) FROM cand2 d WHERE d.RELEASE = c.RELEASE AND d.EIN = c.EIN)),
+bf AS (SELECT * FROM py UNION ALL BY NAME SELECT * FROM back)"""
+
+
+def deduped(year: int = Y) -> str:
+    return f"""g AS (SELECT *,
+  max(CASE WHEN FISYR = {year} AND FISYRP = {year - 1} THEN 1 ELSE 0 END) OVER w AS _a,
+  max(CASE WHEN FISYR = {year + 1} AND FISYRP IS NULL THEN 1 ELSE 0 END) OVER w AS _b,
+  max(FISYR) OVER w AS _maxy
+  FROM bf WHERE FISYR >= {year - 2} WINDOW w AS (PARTITION BY RELEASE, EIN)),
+dd AS (SELECT * EXCLUDE (_a, _b, _maxy, _rn) FROM (SELECT *, row_number() OVER (
+  PARTITION BY RELEASE, EIN ORDER BY
+    CASE WHEN _a = 1 AND _b = 1 AND _maxy = {year + 1} AND FISYR = {year} THEN 1 ELSE 0 END DESC,
+    FISYR DESC, {SCORE} DESC, STYEAR DESC, FILING_ID DESC) AS _rn FROM g) WHERE _rn = 1)"""
+
+
+def residual_sql(forms=("EZ", "FULL"), present=BASE_NAMES, kind: bool = True) -> list[tuple[str, str]]:
+    from ..operators.rules import rules_for
+
+    def amt(n):
+        return n if n in present else "cast(0 AS double)"
+    out = []
+    for form in forms:
+        for r in rules_for(form):
+            body = amt(r.parts[0][1])
+            for s, f in r.parts[1:]:
+                body += (" + " if s > 0 else " - ") + amt(f)
+            e = f"{amt(r.total)} - ({body})"
+            out.append((r.column, f"CASE WHEN SOURCE_KIND = '{r.form}' THEN {e} END" if kind else e))
+    return out
+
+
+def validated() -> str:
+    cols = ", ".join(f"{e} AS {n}" for n, e in residual_sql())
+    return f"res AS (SELECT *, {cols} FROM dd)"
+
+
+def pipeline(upto: str = "res", year: int = Y) -> list[str]:
+    steps = [FILINGS, prior(year - 1), prior(year - 2), cur_reviewed(year), prior_joined(year),
+             backfilled(year), deduped(year), validated()]
+    stop = {"cur_r": 4, "py": 5, "bf": 6, "dd": 7, "res": 8}[upto]
+    return steps[:stop]
+
+
+def any_over_sql(cols, tol) -> str:
+    return "(" + " OR ".join(f"coalesce(abs({c}) > {tol}, false)" for c in cols) + ")"

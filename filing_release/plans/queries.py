@@ -275,3 +275,180 @@ FROM (SELECT *, {_sql_inputs(_PF_IN, 'ASS_EOY')} FROM filings)""")
 def money_pf(spark: SparkSession, d: str) -> DataFrame:
     f = _spark_inputs(dt.filings(spark, d), _PF_IN, "ASS_EOY")
     return pf_money(f).select("FILING_ID", "P6TXRFD", "P1NGASTS", "TFLD")
+
+
+# =============================================================================
+# Batch 2: lookups, corrections, union/split, history, de-dup variants
+# =============================================================================
+from ..operators import corrections as corr  # noqa: E402
+from ..operators import enrich  # noqa: E402
+from ..operators.history import backfill, prior_year_join  # noqa: E402
+from . import release as rel  # noqa: E402
+
+_REGISTRY_SQL = """reg_raw AS (
+ SELECT lpad(cast(c_custkey AS varchar), 9, '0') AS EIN, cast(c_nationkey % 5 AS varchar) AS ORGANIZATION,
+  lpad(cast(c_nationkey * 1000 + c_custkey % 1000 AS varchar), 5, '0') AS ZIP,
+  lpad(cast(c_custkey * 7919 % 1000000000 AS varchar), 9, '0') AS ACTIVITY,
+  cast(c_custkey % 9 AS varchar) AS AFFILIATION, cast(c_custkey % 2 AS varchar) AS DEDUCTIBILITY,
+  concat(repeat('%', cast(c_custkey % 3 AS int)), repeat(' ', cast(c_custkey % 2 AS int)), c_name) AS ICO,
+  c_mktsegment AS SORT_NAME, cast(c_custkey % 4 AS varchar) AS FILING_REQ_CD,
+  cast(c_nationkey % 3 AS varchar) AS PF_FILING_REQ_CD,
+  cast(cast(floor(c_acctbal / 1000) AS int) AS varchar) AS ASSET_CD,
+  cast(c_nationkey % 10 AS varchar) AS INCOME_CD,
+  CASE WHEN c_acctbal < 0 THEN '2' ELSE '1' END AS STATUS
+ FROM customer
+ UNION ALL BY NAME
+ SELECT lpad(cast(s_suppkey + 500000000 AS varchar), 9, '0') AS EIN, cast(s_nationkey % 5 AS varchar) AS ORGANIZATION,
+  lpad(cast(s_nationkey * 1000 AS varchar), 5, '0') AS ZIP,
+  lpad(cast(s_suppkey * 104729 % 1000000000 AS varchar), 9, '0') AS ACTIVITY,
+  '3' AS AFFILIATION, '1' AS DEDUCTIBILITY, concat('% ', s_name) AS ICO, 'SUPPLIER' AS SORT_NAME,
+  '1' AS FILING_REQ_CD, '0' AS PF_FILING_REQ_CD, '1' AS STATUS
+ FROM supplier),
+reg AS (SELECT EIN, ORGANIZATION AS ORGCD, ZIP, AFFILIATION AS AFCD, DEDUCTIBILITY AS DEDUCTCD,
+  ltrim(regexp_replace(ICO, '^%+', '')) AS CONTACT, SORT_NAME AS SEC_NAME,
+  FILING_REQ_CD || PF_FILING_REQ_CD AS FRCD, substr(ACTIVITY, 1, 3) AS ACTIV1,
+  substr(ACTIVITY, 4, 3) AS ACTIV2, substr(ACTIVITY, 7, 3) AS ACTIV3, STATUS AS EOSTATUS,
+  ASSET_CD AS ASS_CODE, INCOME_CD AS INC_CODE FROM reg_raw)"""
+
+
+@register("registry_shape", o.with_ctes(_REGISTRY_SQL) + "SELECT * FROM reg")
+def registry_shape(spark: SparkSession, d: str) -> DataFrame:
+    return enrich.registry_shape(dt.registry_raw(spark, d))
+
+
+_CLASS_SQL = """cls AS (SELECT replace(concat(substr(lpad(cast(c_custkey AS varchar), 9, '0'), 1, 2), '-',
+   substr(lpad(cast(c_custkey AS varchar), 9, '0'), 3)), '-', '') AS EIN,
+  CASE WHEN c_custkey % 17 <> 0 THEN concat(chr(cast(65 + c_custkey % 26 AS int)),
+    lpad(cast(c_custkey % 100 AS varchar), 2, '0')) END AS NTEEFINAL,
+  lpad(cast(c_nationkey AS varchar), 5, '0') AS FIPS,
+  nullif(cast(c_custkey % 18 AS varchar), '5') AS FNDNCD, c_name AS NAME, c_mktsegment AS CLASSCD
+ FROM customer)"""
+
+
+def _d1(spark: SparkSession, d: str) -> DataFrame:
+    f = dt.filings(spark, d).select("FILING_ID", "EIN", "TOTREV2")
+    return enrich.enrich_classification(f, dt.classification_master(spark, d))
+
+
+@register("enrich_left_join", o.with_ctes(o.FILINGS, _CLASS_SQL) + """
+SELECT f.FILING_ID, f.EIN, f.TOTREV2, c.NTEEFINAL, c.FIPS, c.FNDNCD, c.NAME, c.CLASSCD
+FROM filings f LEFT JOIN cls c ON f.EIN = c.EIN""")
+def enrich_left_join(spark: SparkSession, d: str) -> DataFrame:
+    return _d1(spark, d)
+
+
+@register("enrich_broadcast", o.with_ctes(o.FILINGS, _CLASS_SQL) + """,
+place AS (SELECT lpad(cast(n_nationkey AS varchar), 5, '0') AS FIPS, n_name AS PMSA, r_name AS MSA_NECH
+          FROM nation JOIN region ON n_regionkey = r_regionkey)
+SELECT f.FILING_ID, f.EIN, c.FIPS, p.PMSA, p.MSA_NECH
+FROM filings f LEFT JOIN cls c ON f.EIN = c.EIN LEFT JOIN place p ON c.FIPS = p.FIPS""")
+def enrich_broadcast(spark: SparkSession, d: str) -> DataFrame:
+    return enrich.enrich_place(_d1(spark, d), dt.place_lookup(spark, d)) \
+        .select("FILING_ID", "EIN", "FIPS", "PMSA", "MSA_NECH")
+
+
+_POSTCARD_SQL = """pc AS (SELECT lpad(cast(user_id AS varchar), 9, '0') AS EIN,
+  cast(year(min(ts)) - 24 AS varchar) AS EPOSTCARD FROM events GROUP BY user_id)"""
+
+
+@register("efile_flag", o.with_ctes(o.FILINGS, _POSTCARD_SQL) + """
+SELECT f.FILING_ID, f.EIN, f.FISYR,
+  CASE WHEN try_cast(p.EPOSTCARD AS int) = f.FISYR THEN '1' ELSE '0' END AS EPOSTCARD
+FROM filings f LEFT JOIN pc p ON f.EIN = p.EIN""")
+def efile_flag(spark: SparkSession, d: str) -> DataFrame:
+    f = dt.filings(spark, d).select("FILING_ID", "EIN", "FISYR")
+    j = enrich.enrich_postcard(f, dt.postcard(spark, d))
+    return j.withColumn("EPOSTCARD", enrich.postcard_flag())
+
+
+@register("enrich_registry", o.with_ctes(o.FILINGS, _REGISTRY_SQL) + """
+SELECT f.FILING_ID, f.EIN, r.ORGCD, r.ZIP, r.AFCD, r.DEDUCTCD, r.CONTACT, r.SEC_NAME, r.FRCD,
+  r.ACTIV1, r.ACTIV2, r.ACTIV3, r.EOSTATUS
+FROM filings f LEFT JOIN reg r ON f.EIN = r.EIN""")
+def enrich_registry(spark: SparkSession, d: str) -> DataFrame:
+    f = dt.filings(spark, d).select("FILING_ID", "EIN")
+    return enrich.enrich_registry(f, enrich.registry_shape(dt.registry_raw(spark, d)), "FULL")
+
+
+_CORR_SQL = """corr AS (
+ SELECT lpad(cast(c_custkey AS varchar), 9, '0') AS EIN, 'drop' AS action,
+   '16extractez.dat' AS match_source, NULL::varchar AS match_name, NULL::varchar AS new_ein
+ FROM customer WHERE c_acctbal < 0
+ UNION ALL
+ SELECT lpad(cast(c_custkey AS varchar), 9, '0'), 'rekey', NULL, c_name,
+   concat('9', substr(lpad(cast(c_custkey AS varchar), 9, '0'), 2))
+ FROM customer WHERE c_acctbal > 9900)"""
+
+
+@register("corrections", o.with_ctes(o.FILINGS, _CORR_SQL) + """,
+kept AS (SELECT * FROM filings f WHERE NOT EXISTS (SELECT 1 FROM corr c WHERE c.action = 'drop'
+  AND c.EIN = f.EIN AND (c.match_source IS NULL OR f.SOURCE = c.match_source)
+  AND (c.match_name IS NULL OR f.NAME = c.match_name)))
+SELECT k.FILING_ID, coalesce(r.new_ein, k.EIN) AS EIN, k.SOURCE, k.NAME
+FROM kept k LEFT JOIN corr r ON r.action = 'rekey' AND r.EIN = k.EIN
+  AND (r.match_source IS NULL OR k.SOURCE = r.match_source)
+  AND (r.match_name IS NULL OR k.NAME = r.match_name)""")
+def corrections(spark: SparkSession, d: str) -> DataFrame:
+    f = dt.filings(spark, d).select("FILING_ID", "EIN", "SOURCE", "NAME")
+    return corr.apply_corrections(f, dt.corrections(spark, d))
+
+
+@register("form_union_split", o.with_ctes(o.FILINGS, o.base()) + """
+SELECT coalesce(FILING_ID, 0) AS FILING_ID, coalesce(EIN, '') AS EIN, coalesce(SUBSECCD, '') AS SUBSECCD,
+  coalesce(TOTREV2, 0) AS TOTREV2, coalesce(EXPS, 0) AS EXPS,
+  coalesce(NETINCFNDRSNG, 0) AS NETINCFNDRSNG, coalesce(REASON, '') AS REASON,
+  coalesce(DIREXP, 0) AS DIREXP, coalesce(Q78A, '') AS Q78A, coalesce(RELEASE, '') AS RELEASE FROM (
+  SELECT FILING_ID, EIN, SUBSECCD, TOTREV2, EXPS, NETINCFNDRSNG, ORDPRI AS REASON, RELEASE
+  FROM base WHERE SOURCE_KIND = 'EZ'
+  UNION ALL BY NAME
+  SELECT FILING_ID, EIN, SUBSECCD, TOTREV2, EXPS, DIREXP, ORDSTAT AS Q78A, RELEASE
+  FROM base WHERE SOURCE_KIND = 'FULL')""")
+def form_union_split(spark: SparkSession, d: str) -> DataFrame:
+    from ..functions.amounts import fill_by_type
+    b = dt.base(spark, d)
+    ez = b.filter(F.col("SOURCE_KIND") == "EZ").select(
+        "FILING_ID", "EIN", "SUBSECCD", "TOTREV2", "EXPS", "NETINCFNDRSNG",
+        F.col("ORDPRI").alias("REASON"))
+    full = b.filter(F.col("SOURCE_KIND") == "FULL").select(
+        "FILING_ID", "EIN", "SUBSECCD", "TOTREV2", "EXPS", "DIREXP", F.col("ORDSTAT").alias("Q78A"))
+    tables = []
+    for name, pick in (("PC", 0), ("CO", 1)):
+        parts = [filters.split_release(x)[pick] for x in (ez, full)]
+        tables.append(fill_by_type(schema.union_by_name(parts)).withColumn("RELEASE", F.lit(name)))
+    return schema.union_by_name(tables)
+
+
+@register("prior_year", o.with_ctes(*o.pipeline("py")) + """
+SELECT * EXCLUDE (ORDSTAT, ORDPRI, NAME) FROM py""")
+def prior_year(spark: SparkSession, d: str) -> DataFrame:
+    return rel.prior_joined(spark, d).drop("ORDSTAT", "ORDPRI", "NAME")
+
+
+@register("backfill_cascade", o.with_ctes(*o.pipeline("bf")) + """
+SELECT RELEASE, EIN, FILING_ID, FISYR, SOURCE, VALIDATION_STATE, MANUALLY_FIXED, INPRIOR FROM bf""")
+def backfill_cascade(spark: SparkSession, d: str) -> DataFrame:
+    return rel.backfilled(spark, d).select("RELEASE", "EIN", "FILING_ID", "FISYR", "SOURCE",
+                                           "VALIDATION_STATE", "MANUALLY_FIXED", "INPRIOR")
+
+
+@register("dedup_year_shift", o.with_ctes(*o.pipeline("dd")) + """
+SELECT RELEASE, EIN, FILING_ID, FISYR, FISYRP, SOURCE FROM dd""")
+def dedup_year_shift(spark: SparkSession, d: str) -> DataFrame:
+    return rel.deduped(spark, d).select("RELEASE", "EIN", "FILING_ID", "FISYR", "FISYRP", "SOURCE")
+
+
+_PF_VIEW = "TOTREV2 AS P1TOTREV, EXPS AS P1TOTEXP, FUNDBAL AS P2TASFMV, ASS_EOY AS P2TOTAST"
+
+
+@register("dedup_pf_score", o.with_ctes(o.FILINGS, o.base()) + f"""
+SELECT EIN, FILING_ID, FISYR, P1TOTREV, P1TOTEXP, P2TASFMV, P2TOTAST FROM (
+  SELECT *, row_number() OVER (PARTITION BY EIN ORDER BY FISYR DESC,
+    abs(P1TOTREV) + abs(P1TOTEXP) + greatest(abs(P2TASFMV), abs(P2TOTAST)) DESC,
+    STYEAR DESC, FILING_ID DESC) AS rn
+  FROM (SELECT EIN, FILING_ID, FISYR, STYEAR, {_PF_VIEW} FROM base WHERE FISYR >= {Y - 2}))
+WHERE rn = 1""")
+def dedup_pf_score(spark: SparkSession, d: str) -> DataFrame:
+    pf = dt.base(spark, d).selectExpr("EIN", "FILING_ID", "FISYR", "STYEAR", *_PF_VIEW.split(", "))
+    best = deduplicate(pf, Y, score=pf_size_score(), tiebreak=F.col("FILING_ID"),
+                       year_shift=False)
+    return best.drop("STYEAR")

@@ -34,7 +34,7 @@ def filings(spark: SparkSession, sf_dir: str, min_year: int | None = None,
                      & (F.col("o_orderdate") < F.expr(f"timestamp_ntz'{year + 1}-01-01 00:00:00'")))
     elif min_year is not None:
         o = o.filter(F.col("o_orderdate") >= F.expr(f"timestamp_ntz'{min_year}-01-01 00:00:00'"))
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
     li = (table(spark, sf_dir, "lineitem")
           .groupBy("l_orderkey")
           .agg(F.sum("l_extendedprice").alias("gross"),
@@ -64,6 +64,7 @@ def filings(spark: SparkSession, sf_dir: str, min_year: int | None = None,
         F.expr("c_acctbal * 600 + (o_orderkey % 7) * 500").alias("FUNDBAL"),
         F.col("o_orderstatus").alias("ORDSTAT"),
         F.col("o_orderpriority").alias("ORDPRI"),
+        F.col("c_name").alias("NAME"),
     )
 
 
