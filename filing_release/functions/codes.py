@@ -238,7 +238,7 @@ def document_link(base: str, form: Column, ein="EIN", filename="FILENAME",
     folder = F.when(form == "PF", "990pf_pdf_archive").otherwise("990_pdf_archive")
     if prior_taxper is not None:
         p = F.regexp_replace(prior_taxper.cast("string"), r"\.0$", "")
-        fn = F.concat_ws("_", F.split_part(fn, F.lit("_"), F.lit(1)), p,
-                         F.split_part(fn, F.lit("_"), F.lit(3)))
+        fn = F.concat(F.split_part(fn, F.lit("_"), F.lit(1)), F.lit("_"), p, F.lit("_"),
+                      F.split_part(fn, F.lit("_"), F.lit(3)))
     return F.concat(F.lit(base), folder, F.lit("/"), F.substring(fn, 1, 3), F.lit("/"),
                     F.split_part(fn, F.lit("_"), F.lit(1)), F.lit("/"), fn, F.lit(".pdf"))

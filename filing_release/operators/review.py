@@ -142,9 +142,10 @@ def apply_adjustments(rows: DataFrame, adjustments: DataFrame, fields: Sequence[
     per_ein = net.groupBy("EIN").agg(
         *[F.max(F.when(F.col("field") == f, F.struct("level", "delta"))).alias(f"_a_{f}")
           for f in fields],
-        F.max(F.struct("last_ts", "user", "explanation")).alias("_who"),
         F.array_sort(F.collect_set("field")).alias("_changed"))
-    j = rows.join(per_ein, "EIN", "left")
+    who = adjustments.filter(F.col("field").isin(list(fields))).groupBy("EIN").agg(
+        F.max(F.struct("ts", "seq", "user", "explanation")).alias("_who"))
+    j = rows.join(per_ein.join(who, "EIN"), "EIN", "left")
     new_vals, adj = {}, {}
     for f in fields:
         a = F.col(f"_a_{f}")
@@ -156,7 +157,8 @@ def apply_adjustments(rows: DataFrame, adjustments: DataFrame, fields: Sequence[
     fixed = F.array_join(F.array_distinct(F.concat(prev, F.coalesce(F.col("_changed"),
                                                                     F.array().cast("array<string>")))), " ")
     out = j.withColumns({**adj, "validated_by": F.coalesce(F.col("_who.user"), F.lit("")),
-                         "EXPLANATION": F.coalesce(F.col("_who.explanation"), F.lit("")),
+                         "EXPLANATION": F.coalesce(explanation_text(F.col("_who.explanation")),
+                                                   F.lit("")),
                          FIXED_COL: fixed, "ADJUSTED": F.col("_changed").isNotNull()})
     out = out.withColumns(new_vals).drop(*[f"_a_{f}" for f in fields], "_who", "_changed")
     out = out.drop(*residual_columns(out))

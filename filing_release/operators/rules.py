@@ -137,24 +137,27 @@ def failure_summary(df: DataFrame, tolerance: float = 1000.0,
                     state: str = "VALIDATION_STATE", table: str | None = None) -> DataFrame:
     """E2 + E3 + E10 in one aggregate pass.
 
-    Per rule: failures (|residual| > tolerance, ignored rows excluded, null
-    residual not counted), n = all non-ignored rows of the table, and the
-    failure percentage rounded half-up to one place with integer arithmetic
-    (exact, no float rounding).  Output is long: one row per rule.
+    Per table (``table`` names the column holding the release table, e.g.
+    RELEASE) and rule: failures (|residual| > tolerance, ignored rows
+    excluded, null residual not counted), n = all non-ignored rows of the
+    table, and the failure percentage rounded half-up to one place with
+    integer arithmetic (exact, no float rounding).  Long output: one row per
+    (table, rule).
     """
     rcols = residual_columns(df)
     live = F.col(state).cast("int") != IGNORED
     aggs = [F.count_if(live).alias("_n")]
     aggs += [F.count_if(live & (F.abs(F.col(c)) > tolerance)).alias(c) for c in rcols]
-    wide = df.agg(*aggs)
+    wide = df.groupBy(table).agg(*aggs) if table else df.agg(*aggs)
     stack = ", ".join(f"'{c[len('validate_'):].upper()}', `{c}`" for c in rcols)
-    long = wide.select(F.col("_n").alias("n_rows"),
+    keep = [F.col(table).alias("table_name")] if table else []
+    long = wide.select(*keep, F.col("_n").alias("n_rows"),
                        F.expr(f"stack({len(rcols)}, {stack}) as (rule, n_failed)"))
     pct = F.when(F.col("n_rows") > 0,
-                 F.expr("((2000 * n_failed + n_rows) div (2 * n_rows)) / 10.0"))
-    out = long.select("rule", F.col("n_failed").cast("bigint").alias("n_failed"),
-                      F.col("n_rows").cast("bigint").alias("n_rows"), pct.alias("fail_pct"))
-    return out.withColumn("table_name", F.lit(table)) if table else out
+                 F.expr("cast((2000 * n_failed + n_rows) div (2 * n_rows) as double) / 10"))
+    return long.select(*([F.col("table_name")] if table else []), "rule",
+                       F.col("n_failed").cast("bigint").alias("n_failed"),
+                       F.col("n_rows").cast("bigint").alias("n_rows"), pct.alias("fail_pct"))
 
 
 def any_failed(summary: DataFrame) -> Column:
@@ -180,11 +183,16 @@ def cross_reference(catalogue: DataFrame) -> DataFrame:
     return per_field.filter(F.size("rules") > 1)
 
 
-def related_rules(failures: DataFrame, catalogue: DataFrame) -> DataFrame:
-    """For every failing (EIN, rule), the other rules of its form that
-    share a field with it.  ``failures`` has EIN, form, rule."""
-    a = catalogue.select("form", F.col("rule").alias("rule"), "field").distinct()
+def related_rules(failures: DataFrame, catalogue: DataFrame,
+                  id_cols: Sequence[str] = ("EIN",)) -> DataFrame:
+    """For every failing (id, rule), the other rules of its form that
+    share a field with it and are not failing themselves.  ``failures``
+    has id columns, form, rule.  The rule-pair table is built from the
+    fixed catalogue, so its size is bounded and it is broadcast."""
+    a = catalogue.select("form", "rule", "field").distinct()
     b = catalogue.select("form", F.col("rule").alias("related_rule"), "field").distinct()
     pairs = a.join(b, ["form", "field"]).filter(F.col("rule") != F.col("related_rule")) \
         .select("form", "rule", "related_rule").distinct()
-    return failures.join(F.broadcast(pairs), ["form", "rule"])
+    rel = failures.join(F.broadcast(pairs), ["form", "rule"])
+    failing = failures.select(*id_cols, F.col("rule").alias("related_rule"))
+    return rel.join(failing, [*id_cols, "related_rule"], "left_anti")

@@ -452,3 +452,188 @@ def dedup_pf_score(spark: SparkSession, d: str) -> DataFrame:
     best = deduplicate(pf, Y, score=pf_size_score(), tiebreak=F.col("FILING_ID"),
                        year_shift=False)
     return best.drop("STYEAR")
+
+
+# =============================================================================
+# Batch 3: rules, flags, fixes, review jobs, links, audit
+# =============================================================================
+from ..operators import flags as fl  # noqa: E402
+from ..operators import review as rv  # noqa: E402
+from ..operators import rules  # noqa: E402
+
+TOL = 1000
+CHANGE_CUTOFF = 300_000   # revenue cutoff for this data scale (orders top out near 500k)
+_RES = [n for n, _ in o.residual_sql()]
+_RES_SQL = ", ".join(_RES)
+
+
+@register("residuals_wide", o.with_ctes(*o.pipeline("res")) + f"""
+SELECT RELEASE, EIN, FILING_ID, SOURCE_KIND, {_RES_SQL} FROM res""")
+def residuals_wide(spark: SparkSession, d: str) -> DataFrame:
+    return rel.validated(spark, d).select("RELEASE", "EIN", "FILING_ID", "SOURCE_KIND", *_RES)
+
+
+@register("rule_failure_summary", o.with_ctes(*o.pipeline("res")) + f""",
+agg AS (SELECT RELEASE, count_if(VALIDATION_STATE <> 2) AS n_rows,
+  {", ".join(f"count_if(VALIDATION_STATE <> 2 AND abs({c}) > {TOL}) AS {c}" for c in _RES)}
+  FROM res GROUP BY RELEASE)
+SELECT RELEASE AS table_name, upper(substr(name, 10)) AS rule, cast(n_failed AS bigint) AS n_failed,
+  cast(n_rows AS bigint) AS n_rows,
+  CASE WHEN n_rows > 0 THEN cast((2000 * n_failed + n_rows) // (2 * n_rows) AS double) / 10 END AS fail_pct
+FROM agg UNPIVOT (n_failed FOR name IN ({_RES_SQL}))""")
+def rule_failure_summary(spark: SparkSession, d: str) -> DataFrame:
+    return rules.failure_summary(rel.validated(spark, d), TOL, table="RELEASE")
+
+
+@register("failing_rows", o.with_ctes(*o.pipeline("res")) + f"""
+SELECT RELEASE, EIN, FILING_ID, VALIDATION_STATE FROM res
+WHERE {o.any_over_sql(_RES, TOL)} AND VALIDATION_STATE <> 2""")
+def failing_rows(spark: SparkSession, d: str) -> DataFrame:
+    v = rel.validated(spark, d)
+    return v.filter(fl.failing_flag(v, TOL)).select("RELEASE", "EIN", "FILING_ID", "VALIDATION_STATE")
+
+
+@register("largest_rows", o.with_ctes(*o.pipeline("dd")) + """,
+cuts AS (SELECT RELEASE, quantile_cont(TOTREV2, 0.999) AS c1, quantile_cont(EXPS, 0.999) AS c2,
+  quantile_cont(ASS_EOY, 0.999) AS c3 FROM dd GROUP BY RELEASE)
+SELECT d.RELEASE, d.EIN, d.FILING_ID, d.TOTREV2, d.EXPS, d.ASS_EOY FROM dd d JOIN cuts c ON d.RELEASE = c.RELEASE
+WHERE (d.TOTREV2 >= c.c1 OR d.EXPS >= c.c2 OR d.ASS_EOY >= c.c3) AND d.VALIDATION_STATE NOT IN (2, 3)""")
+def largest_rows(spark: SparkSession, d: str) -> DataFrame:
+    from .materialize import stage
+    dd = stage(rel.deduped(spark, d).select("RELEASE", "EIN", "FILING_ID", "TOTREV2", "EXPS",
+                                            "ASS_EOY", "VALIDATION_STATE"), "deduped")
+    cuts = rel.release_cuts(dd)
+    cond = F.lit(False)
+    for t, c in cuts.items():
+        cond = cond | ((F.col("RELEASE") == t) & fl.largest_flag(c))
+    return dd.filter(cond).drop("VALIDATION_STATE")
+
+
+def _changed_sql(c, p):
+    return (f"coalesce(({p} > 0 AND abs({c} - {p}) >= {p} * 0.5) OR ({p} = 0 AND {c} <> 0), false)")
+
+
+_CHANGED_SQL = (f"({_changed_sql('TOTREV2', 'TOTREVP')} OR {_changed_sql('EXPS', 'EXPSP')} "
+                f"OR {_changed_sql('ASS_EOY', 'ASS_BOY')}) AND (coalesce(TOTREV2 >= {CHANGE_CUTOFF}, false) "
+                f"OR coalesce(TOTREVP >= {CHANGE_CUTOFF}, false)) AND VALIDATION_STATE NOT IN (2, 3)")
+
+
+@register("changed_rows", o.with_ctes(*o.pipeline("dd")) + f"""
+SELECT RELEASE, EIN, FILING_ID, TOTREV2, TOTREVP, EXPS, EXPSP, ASS_EOY, ASS_BOY FROM dd
+WHERE {_CHANGED_SQL}""")
+def changed_rows(spark: SparkSession, d: str) -> DataFrame:
+    dd = rel.deduped(spark, d)
+    return dd.filter(fl.changed_flag(cutoff=CHANGE_CUTOFF)).select(
+        "RELEASE", "EIN", "FILING_ID", "TOTREV2", "TOTREVP", "EXPS", "EXPSP", "ASS_EOY", "ASS_BOY")
+
+
+_FAILING_SQL = f"({o.any_over_sql(_RES, TOL)} AND VALIDATION_STATE <> 2)"
+_FLAGS_CTE = f""",
+cuts AS (SELECT RELEASE, quantile_cont(TOTREV2, 0.999) AS c1, quantile_cont(EXPS, 0.999) AS c2,
+  quantile_cont(ASS_EOY, 0.999) AS c3 FROM res GROUP BY RELEASE),
+failed AS (SELECT DISTINCT RELEASE FROM res WHERE {_FAILING_SQL}),
+fl AS (SELECT r.*, concat(
+   CASE WHEN {_CHANGED_SQL} THEN 'C' ELSE '' END,
+   CASE WHEN {_FAILING_SQL} AND r.RELEASE IN (SELECT RELEASE FROM failed) THEN 'F' ELSE '' END,
+   CASE WHEN (TOTREV2 >= c1 OR EXPS >= c2 OR ASS_EOY >= c3) AND VALIDATION_STATE NOT IN (2, 3)
+        THEN 'L' ELSE '' END) AS VALIDATION_REASON
+  FROM res r JOIN cuts c ON r.RELEASE = c.RELEASE),
+flagged AS (SELECT * FROM fl WHERE VALIDATION_REASON <> '')"""
+
+
+def _flagged(spark: SparkSession, d: str) -> DataFrame:
+    return rel.flagged(rel.validated(spark, d), cutoff=CHANGE_CUTOFF)
+
+
+@register("review_reasons", o.with_ctes(*o.pipeline("res")) + _FLAGS_CTE + """
+SELECT RELEASE, EIN, FILING_ID, VALIDATION_REASON FROM flagged""")
+def review_reasons(spark: SparkSession, d: str) -> DataFrame:
+    return _flagged(spark, d).select("RELEASE", "EIN", "FILING_ID", "VALIDATION_REASON")
+
+
+def _fixes(spark: SparkSession, d: str, dd: DataFrame) -> DataFrame:
+    """Reviewers' fixes: rows of fulfilled orders come back with FUNDBAL
+    recomputed (as text, like a saved review file), state 1 and the field
+    noted; the class code column is missing from the file.  Supplier keys
+    stand for fixes of organisations not in the release."""
+    fx = dd.filter(F.col("ORDSTAT") == "F").drop("NTEEFINAL").withColumns({
+        "FUNDBAL": (F.col("ASS_EOY") - F.col("LIAB_EOY")).cast("string"),
+        "VALIDATION_STATE": F.lit("1"), "MANUALLY_FIXED": F.lit("FUNDBAL")})
+    unknown = dt.table(spark, d, "supplier").select(
+        F.expr("lpad(cast(s_suppkey + 500000000 as string), 9, '0')").alias("EIN"),
+        F.lit("1").alias("FUNDBAL"), F.lit("1").alias("VALIDATION_STATE"))
+    return schema.union_by_name([fx, unknown])
+
+
+@register("apply_fixes", o.with_ctes(*o.pipeline("dd")) + """,
+fx AS (SELECT EIN, ASS_EOY - LIAB_EOY AS FUNDBAL FROM dd WHERE ORDSTAT = 'F')
+SELECT d.RELEASE, d.EIN, d.FILING_ID, d.TOTREV2,
+  CASE WHEN fx.EIN IS NOT NULL THEN fx.FUNDBAL ELSE d.FUNDBAL END AS FUNDBAL,
+  CASE WHEN fx.EIN IS NOT NULL THEN NULL ELSE d.NTEEFINAL END AS NTEEFINAL,
+  CASE WHEN fx.EIN IS NOT NULL THEN 1 ELSE d.VALIDATION_STATE END AS VALIDATION_STATE,
+  CASE WHEN fx.EIN IS NOT NULL THEN 'FUNDBAL' ELSE d.MANUALLY_FIXED END AS MANUALLY_FIXED
+FROM dd d LEFT JOIN fx ON d.EIN = fx.EIN""")
+def apply_fixes(spark: SparkSession, d: str) -> DataFrame:
+    dd = rel.deduped(spark, d)
+    out = corr.integrate_fixes(dd, _fixes(spark, d, dd), numeric_columns=["FUNDBAL"])
+    return out.select("RELEASE", "EIN", "FILING_ID", "TOTREV2", "FUNDBAL", "NTEEFINAL",
+                      "VALIDATION_STATE", "MANUALLY_FIXED")
+
+
+_FINAL_LIST = ["EIN", "FILING_ID", "TAXPER", "FISYR", "TOTREV2", "EXPS", "ASS_EOY", "RELEASE",
+               "SOURCE", "NOT_IN_TABLE", "FISYR"]
+
+
+@register("full_only_release", o.with_ctes(*o.pipeline("dd")) + """
+SELECT EIN, FILING_ID, TAXPER, FISYR, TOTREV2, EXPS, ASS_EOY, RELEASE, SOURCE, VALIDATION_STATE,
+  MANUALLY_FIXED FROM dd WHERE SOURCE_KIND = 'FULL'""")
+def full_only_release(spark: SparkSession, d: str) -> DataFrame:
+    dd = rel.deduped(spark, d)
+    return schema.final_projection(dd.filter(F.col("SOURCE_KIND") == "FULL"), _FINAL_LIST)[0]
+
+
+_QUEUE_FIELDS = ["FUNDBAL", "EXPS", "CONT"]
+_RANK_SQL = "CASE VALIDATION_REASON " + " ".join(
+    f"WHEN '{k}' THEN {v}" for k, v in rv.REASON_RANK.items()) + f" ELSE {len(rv.REASON_RANK) + 1} END"
+
+
+@register("review_queue", o.with_ctes(*o.pipeline("res")) + _FLAGS_CTE + f"""
+SELECT RELEASE, EIN, VALIDATION_REASON, {_RANK_SQL} AS REASON_RANK, TOTREV2, VALIDATION_STATE,
+  0.0::double AS FUNDBAL_adjusted_by, '' AS validated_by, '' AS EXPLANATION
+FROM flagged WHERE VALIDATION_STATE <> 2 AND (
+  {" OR ".join(f"abs(coalesce({c}, 0)) > {TOL}" for c in _RES)} OR VALIDATION_STATE NOT IN (1, 3))""")
+def review_queue(spark: SparkSession, d: str) -> DataFrame:
+    q = rv.work_queue(_flagged(spark, d), "CO", TOL, fields=["FUNDBAL"])
+    return rv.queue_order(q, "CO").select(
+        "RELEASE", "EIN", "VALIDATION_REASON", "REASON_RANK", "TOTREV2", "VALIDATION_STATE",
+        "FUNDBAL_adjusted_by", "validated_by", "EXPLANATION")
+
+
+def _pairs_sql() -> str:
+    rows = []
+    for form in ("EZ", "FULL"):
+        rs = rules.rules_for(form)
+        for a in rs:
+            for b in rs:
+                if a.name != b.name and set(a.fields) & set(b.fields):
+                    rows.append(f"('{form}', '{a.name.upper()}', '{b.name.upper()}')")
+    return "pairs(form, rule, related_rule) AS (VALUES " + ", ".join(rows) + ")"
+
+
+_FAILS_SQL = f""",
+fails AS (SELECT RELEASE, EIN, upper(substr(name, 10)) AS rule, residual,
+  CASE WHEN name LIKE 'validate_ez%' THEN 'EZ' WHEN name LIKE 'validate_fu%' THEN 'FULL' ELSE 'PF' END AS form
+  FROM (SELECT RELEASE, EIN, {_RES_SQL} FROM res) UNPIVOT (residual FOR name IN ({_RES_SQL}))
+  WHERE abs(residual) > {TOL})"""
+
+
+@register("related_rules", o.with_ctes(*o.pipeline("res")) + _FAILS_SQL + ",\n" + _pairs_sql() + """
+SELECT f.RELEASE, f.EIN, f.form, f.rule, p.related_rule FROM fails f
+JOIN pairs p ON f.form = p.form AND f.rule = p.rule
+WHERE NOT EXISTS (SELECT 1 FROM fails g WHERE g.RELEASE = f.RELEASE AND g.EIN = f.EIN
+                  AND g.rule = p.related_rule)""")
+def related_rules(spark: SparkSession, d: str) -> DataFrame:
+    fails = rv.failures_long(rel.validated(spark, d), TOL, id_cols=["RELEASE", "EIN"])
+    out = rules.related_rules(fails.select("RELEASE", "EIN", "form", "rule"),
+                              rules.catalogue_frame(spark), id_cols=["RELEASE", "EIN"])
+    return out.select("RELEASE", "EIN", "form", "rule", "related_rule")

@@ -26,6 +26,7 @@ from ..operators import enrich, filters, flags, rules, schema
 from ..operators.dedup import deduplicate, pf_size_score, size_score
 from ..operators.history import backfill, prior_year_join
 from ..sources import driver_tables as dt
+from .materialize import stage
 
 KEY = ["RELEASE", "EIN"]
 
@@ -72,9 +73,13 @@ def release_cuts(df: DataFrame, columns: Sequence[str] = flags.CO_PC_CURRENT,
 
 
 def flagged(df: DataFrame, cutoff: float = flags.REVENUE_CUTOFF, partial: bool = False,
-            fixes_applied: Mapping[str, int] | None = None) -> DataFrame:
+            fixes_applied: Mapping[str, int] | None = None, materialize: bool = True) -> DataFrame:
     """K1-K4 on a validated table: rows with reason letters (one row per
-    key already, so no grouping)."""
+    key already, so no grouping).  The table is materialised first: the
+    table-level facts (failed tables, quantile cuts) and the flag pass
+    then read it instead of re-running the pipeline."""
+    if materialize:
+        df = stage(df, "validated")
     failed = table_failed(df)
     fixes_applied = fixes_applied or {}
     emit_f = [t for t, f in failed.items() if f and (not partial or fixes_applied.get(t, 0) == 0)]

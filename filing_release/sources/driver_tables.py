@@ -87,17 +87,32 @@ def base(spark: SparkSession, sf_dir: str, min_year: int | None = None,
     return with_base_columns(filings(spark, sf_dir, min_year=min_year, year=year))
 
 
-def prior_release(spark: SparkSession, sf_dir: str, year: int) -> DataFrame:
+def base_years(spark: SparkSession, sf_dir: str, release_year: int = RELEASE_YEAR,
+               depth: int = 2) -> DataFrame:
+    """Filings of years Y-depth .. Y+1 built once (one lineitem pass) and
+    staged; the current rows and the prior releases are filters of it."""
+    from ..plans.materialize import stage_once
+    return stage_once(lambda: base(spark, sf_dir, min_year=release_year - depth), spark,
+                      (sf_dir, release_year, depth), "base")
+
+
+def prior_release(spark: SparkSession, sf_dir: str, year: int,
+                  release_year: int = RELEASE_YEAR, depth: int = 2) -> DataFrame:
     """Published release of ``year``: the best filing per EIN among that
-    year's filings (same criteria as the current de-dup)."""
-    b = base(spark, sf_dir, year=year)
-    return deduplicate(b, year, score=size_score(), tiebreak=F.col("FILING_ID"),
-                       depth=0, year_shift=False, key=["RELEASE", "EIN"])
+    year's filings (same criteria as the current de-dup), staged like a
+    published table."""
+    from ..plans.materialize import stage_once
+
+    def build():
+        b = base_years(spark, sf_dir, release_year, depth).filter(F.col("FISYR") == year)
+        return deduplicate(b, year, score=size_score(), tiebreak=F.col("FILING_ID"),
+                           depth=0, year_shift=False, key=["RELEASE", "EIN"])
+    return stage_once(build, spark, (sf_dir, year, release_year, depth), "prior")
 
 
 def current(spark: SparkSession, sf_dir: str, release_year: int = RELEASE_YEAR) -> DataFrame:
     """Current extract rows: filings with FISYR >= Y."""
-    return base(spark, sf_dir, min_year=release_year)
+    return base_years(spark, sf_dir, release_year).filter(F.col("FISYR") >= release_year)
 
 
 def reviewed_states(df: DataFrame) -> DataFrame:
