@@ -109,7 +109,7 @@ def queue_progress(queue: DataFrame) -> DataFrame:
 
 
 # --- L1 + L2 ------------------------------------------------------------------------
-def net_adjustments(adjustments: DataFrame) -> DataFrame:
+def net_adjustments(adjustments: DataFrame, money_places: int = 6) -> DataFrame:
     """Per (EIN, field): the last ``level`` set (by ts, seq) and the sum of
     ``delta`` edits after it (all deltas when no level was set).
 
@@ -121,7 +121,9 @@ def net_adjustments(adjustments: DataFrame) -> DataFrame:
         F.max(F.struct("ts", "seq", "amount")).alias("_lv"))
     d = adjustments.filter(F.col("action") == "delta").join(lv, k, "left")
     after = F.col("_lv").isNull() | (F.struct("ts", "seq") > F.struct("_lv.ts", "_lv.seq"))
-    deltas = d.filter(after).groupBy(*k).agg(F.sum("amount").alias("_delta"))
+    # summed deltas are rounded past the last real money digit so the
+    # result does not depend on the order partial sums were combined in
+    deltas = d.filter(after).groupBy(*k).agg(F.round(F.sum("amount"), money_places).alias("_delta"))
     users = adjustments.groupBy(*k).agg(F.max(F.struct("ts", "seq", "user", "explanation"))
                                         .alias("_last"))
     return (users.join(lv, k, "left").join(deltas, k, "left")

@@ -637,3 +637,175 @@ def related_rules(spark: SparkSession, d: str) -> DataFrame:
     out = rules.related_rules(fails.select("RELEASE", "EIN", "form", "rule"),
                               rules.catalogue_frame(spark), id_cols=["RELEASE", "EIN"])
     return out.select("RELEASE", "EIN", "form", "rule", "related_rule")
+
+
+# --- L1, L2, L3, L8, A12, C11, D10 ------------------------------------------------------
+_ADJ_FIELDS = ["FUNDBAL", "EXPS", "CONT"]
+_EXPL_SQL = "CASE expl " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in rv.EXPLANATIONS.items()) \
+    + " ELSE expl END"
+
+
+def _adj_sql() -> str:
+    rep, extra = [], []
+    for f in _ADJ_FIELDS:
+        a = f"n_{f}"
+        new = f"CASE WHEN {a}.EIN IS NULL THEN r.{f} ELSE coalesce({a}.level, r.{f}) + {a}.delta END"
+        rep.append(f"{new} AS {f}")
+        extra.append(f"coalesce(({new}) - r.{f}, 0.0) AS {f}_adjusted_by")
+    joins = " ".join(f"LEFT JOIN net n_{f} ON n_{f}.EIN = r.EIN AND n_{f}.field = '{f}'"
+                     for f in _ADJ_FIELDS)
+    res2 = ", ".join(f"{e} AS {n}" for n, e in o.residual_sql())
+    return f""",
+adj AS (SELECT d.EIN, CASE WHEN l_returnflag = 'R' THEN 'FUNDBAL' ELSE 'EXPS' END AS field,
+  CASE WHEN l_linenumber = 1 AND l_linestatus = 'F' THEN 'level' ELSE 'delta' END AS action,
+  CASE WHEN l_linenumber = 1 AND l_linestatus = 'F' THEN l_extendedprice
+       ELSE l_extendedprice * l_discount - l_tax * 100 END AS amount,
+  'reviewer' || cast(l_suppkey % 10 AS varchar) AS usr, cast(l_linenumber % 6 AS varchar) AS expl,
+  l_shipdate AS ts, l_orderkey * 10 + l_linenumber AS seq
+  FROM lineitem JOIN res d ON l_orderkey = d.FILING_ID WHERE l_returnflag IN ('R', 'A')),
+lv AS (SELECT EIN, field, amount AS level, ts AS lts, seq AS lseq FROM (SELECT *, row_number() OVER (
+  PARTITION BY EIN, field ORDER BY ts DESC, seq DESC) AS rn FROM adj WHERE action = 'level') WHERE rn = 1),
+dl AS (SELECT a.EIN, a.field, round(sum(a.amount), 6) AS delta FROM adj a
+  LEFT JOIN lv ON a.EIN = lv.EIN AND a.field = lv.field
+  WHERE a.action = 'delta' AND (lv.lts IS NULL OR a.ts > lv.lts OR (a.ts = lv.lts AND a.seq > lv.lseq))
+  GROUP BY a.EIN, a.field),
+net AS (SELECT k.EIN, k.field, lv.level, coalesce(dl.delta, 0.0) AS delta
+  FROM (SELECT DISTINCT EIN, field FROM adj) k LEFT JOIN lv ON k.EIN = lv.EIN AND k.field = lv.field
+  LEFT JOIN dl ON k.EIN = dl.EIN AND k.field = dl.field),
+who AS (SELECT EIN, usr, expl FROM (SELECT *, row_number() OVER (PARTITION BY EIN ORDER BY ts DESC, seq DESC)
+  AS rn FROM adj) WHERE rn = 1),
+chg AS (SELECT EIN, array_to_string(list_sort(list_distinct(list(field))), ' ') AS fixed FROM net GROUP BY EIN),
+adjd AS (SELECT r.* EXCLUDE ({_RES_SQL}) REPLACE ({", ".join(rep)},
+    coalesce(chg.fixed, '') AS MANUALLY_FIXED), {", ".join(extra)},
+  coalesce(who.usr, '') AS validated_by, coalesce({_EXPL_SQL.replace('expl', 'who.expl')}, '') AS EXPLANATION,
+  chg.EIN IS NOT NULL AS ADJUSTED
+  FROM res r {joins} LEFT JOIN who ON who.EIN = r.EIN LEFT JOIN chg ON chg.EIN = r.EIN),
+res2 AS (SELECT *, {res2} FROM adjd)"""
+
+
+_ADJ_OUT = ["RELEASE", "EIN", *_ADJ_FIELDS, *[f"{f}_adjusted_by" for f in _ADJ_FIELDS],
+            "MANUALLY_FIXED", "validated_by", "EXPLANATION", "ADJUSTED",
+            "validate_ez_ass_eoy", "validate_ez_netinc", "validate_fu_fundbal", "validate_fu_totrev2"]
+
+
+def _adjusted(spark: SparkSession, d: str) -> DataFrame:
+    from .materialize import stage
+    v = stage(rel.validated(spark, d), "validated")
+    return rv.apply_adjustments(v, dt.adjustments(spark, d, v), _ADJ_FIELDS)
+
+
+@register("apply_adjustments", o.with_ctes(*o.pipeline("res")) + _adj_sql() + f"""
+SELECT {", ".join(_ADJ_OUT)} FROM res2""")
+def apply_adjustments(spark: SparkSession, d: str) -> DataFrame:
+    return _adjusted(spark, d).select(*_ADJ_OUT)
+
+
+_ACTION_SQL = "CASE ORDPRI " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in
+                                          dt.ACTION_BY_PRIORITY.items()) + " END"
+_WORST_SQL = "greatest(" + ", ".join(f"abs(coalesce({c}, 0))" for c in _RES) + ")"
+_STATE_CTE = f""",
+st0 AS (SELECT *, {_ACTION_SQL} AS action, {_WORST_SQL} <= {TOL} AS clean, coalesce(ADJUSTED, false) AS ch
+  FROM res2),
+st1 AS (SELECT *, CASE WHEN action = 'ignore' THEN 2 WHEN action IN ('skip', 'reset') THEN 0
+    WHEN action = 'fix_ignore' THEN CASE WHEN ch AND NOT clean THEN 2 WHEN ch THEN 1 END
+    WHEN action = 'fix' THEN CASE WHEN ch THEN 1 END
+    WHEN action = 'check' THEN CASE WHEN NOT ch AND clean THEN 3 END END AS new FROM st0),
+st AS (SELECT *, coalesce(new, VALIDATION_STATE) AS NEW_STATE, new IS NOT NULL AS ACCEPTED,
+  CASE WHEN new IS NOT NULL THEN '' WHEN action IN ('fix', 'fix_ignore') AND NOT ch THEN 'no change made'
+       WHEN action = 'check' AND ch THEN 'changes made' WHEN action = 'check' THEN 'residual over threshold'
+       ELSE 'unknown action' END AS REJECT_REASON FROM st1)"""
+
+
+def _states(spark: SparkSession, d: str) -> DataFrame:
+    a = _adjusted(spark, d).withColumn("action", dt.reviewer_action())
+    return rv.review_state(a, threshold=TOL)
+
+
+@register("review_state", o.with_ctes(*o.pipeline("res")) + _adj_sql() + _STATE_CTE + """
+SELECT RELEASE, EIN, action, NEW_STATE, ACCEPTED, REJECT_REASON FROM st""")
+def review_state(spark: SparkSession, d: str) -> DataFrame:
+    return _states(spark, d).select("RELEASE", "EIN", "action", "NEW_STATE", "ACCEPTED",
+                                    "REJECT_REASON")
+
+
+@register("ledger_export", o.with_ctes(*o.pipeline("res")) + _adj_sql() + _STATE_CTE + f"""
+SELECT EIN, {", ".join(f"{f}_adjusted_by" for f in _ADJ_FIELDS)}, validated_by, EXPLANATION FROM st
+WHERE NEW_STATE > 0 OR coalesce(EXPLANATION <> '', false)""")
+def ledger_export(spark: SparkSession, d: str) -> DataFrame:
+    s = _states(spark, d).withColumn("VALIDATION_STATE", F.col("NEW_STATE"))
+    _fixes_part, ledger = rv.export_review(s, changes_only=True)
+    return ledger
+
+
+@register("saved_work_reconcile", o.with_ctes(*o.pipeline("res")) + _adj_sql() + _STATE_CTE + """,
+a AS (SELECT DISTINCT EIN FROM st WHERE NEW_STATE IN (1, 3)),
+b AS (SELECT DISTINCT EIN FROM st WHERE EXPLANATION <> '')
+SELECT coalesce(a.EIN, b.EIN) AS EIN, a.EIN IS NOT NULL AS in_fixes, b.EIN IS NOT NULL AS in_ledger
+FROM a FULL OUTER JOIN b ON a.EIN = b.EIN""")
+def saved_work_reconcile(spark: SparkSession, d: str) -> DataFrame:
+    s = _states(spark, d).withColumn("VALIDATION_STATE", F.col("NEW_STATE"))
+    fixes, _ = rv.export_review(s.filter(F.col("NEW_STATE").isin(1, 3)))
+    _, ledger = rv.export_review(s.filter(F.col("EXPLANATION") != ""))
+    return rv.reconcile_saved(fixes, ledger)
+
+
+# --- L9, L6 -----------------------------------------------------------------------------------
+def _rule_fields_sql() -> str:
+    rows = []
+    for r in rules.rules_for("FULL"):
+        for f in r.fields:
+            rows.append(f"('FULL', '{r.name.upper()}', '{f}', '{r.formula}')")
+    return "rf(form, rule, field, formula) AS (VALUES " + ", ".join(rows) + ")"
+
+
+def _lines_sql() -> str:
+    rows = ", ".join(f"('{k}', '{v}')" for k, v in rv.FULL_FORM_LINES.items())
+    return f"lines(field, form_line) AS (VALUES {rows})"
+
+
+_FULL_FIELDS = sorted({f for r in rules.rules_for("FULL") for f in r.fields} & set(o.BASE_NAMES))
+
+
+@register("field_line_lookup", o.with_ctes(*o.pipeline("res")) + _FAILS_SQL + ",\n"
+          + _rule_fields_sql() + ",\n" + _lines_sql() + f""",
+vals AS (SELECT RELEASE, EIN, field, value FROM (SELECT RELEASE, EIN, {", ".join(_FULL_FIELDS)} FROM res)
+  UNPIVOT (value FOR field IN ({", ".join(_FULL_FIELDS)})))
+SELECT f.RELEASE, f.EIN, f.rule, rf.field, v.value, l.form_line,
+  rf.formula || ' = ' || cast(cast(round(f.residual) AS bigint) AS varchar) AS explanation
+FROM fails f JOIN rf ON f.form = rf.form AND f.rule = rf.rule
+LEFT JOIN vals v ON v.RELEASE = f.RELEASE AND v.EIN = f.EIN AND v.field = rf.field
+LEFT JOIN lines l ON l.field = rf.field""")
+def field_line_lookup(spark: SparkSession, d: str) -> DataFrame:
+    v = rel.validated(spark, d)
+    fails = rv.failures_long(v, TOL, id_cols=["RELEASE", "EIN"]).filter(F.col("form") == "FULL")
+    rf = F.broadcast(rv.rule_fields_frame(spark).filter(F.col("form") == "FULL")
+                     .select("form", "rule", "field", "formula"))
+    vals = rv.field_values_long(v, _FULL_FIELDS, id_cols=["RELEASE", "EIN"])
+    lines = F.broadcast(rv.form_lines_frame(spark))
+    j = fails.join(rf, ["form", "rule"]).join(vals, ["RELEASE", "EIN", "field"], "left") \
+        .join(lines, "field", "left")
+    text = F.concat(F.col("formula"), F.lit(" = "),
+                    F.round(F.col("residual")).cast("bigint").cast("string"))
+    return j.select("RELEASE", "EIN", "rule", "field", "value", "form_line", text.alias("explanation"))
+
+
+# --- I29 ----------------------------------------------------------------------------------------
+LINK_BASE = "https://example.org/filings/"
+
+
+@register("document_links", o.with_ctes(*o.pipeline("dd")) + f"""
+SELECT RELEASE, EIN, FILENAME,
+  '{LINK_BASE}' || CASE WHEN RELEASE = 'PF' THEN '990pf_pdf_archive' ELSE '990_pdf_archive' END || '/'
+    || substr(FILENAME, 1, 3) || '/' || split_part(FILENAME, '_', 1) || '/' || FILENAME || '.pdf' AS LINK,
+  '{LINK_BASE}' || CASE WHEN RELEASE = 'PF' THEN '990pf_pdf_archive' ELSE '990_pdf_archive' END || '/'
+    || substr(PFN, 1, 3) || '/' || split_part(PFN, '_', 1) || '/' || PFN || '.pdf' AS PRIOR_LINK
+FROM (SELECT *, split_part(FILENAME, '_', 1) || '_' || regexp_replace(TAXPERP, '\\.0$', '') || '_'
+        || split_part(FILENAME, '_', 3) AS PFN
+  FROM (SELECT *, EIN || '_' || TAXPER || '_' || CASE SOURCE_KIND WHEN 'EZ' THEN '990EZ'
+          WHEN 'FULL' THEN '990O' WHEN 'PF' THEN '990PF' END AS FILENAME FROM dd))""")
+def document_links(spark: SparkSession, d: str) -> DataFrame:
+    dd = rel.deduped(spark, d).withColumn("FILENAME", codes.file_name(F.col("SOURCE_KIND")))
+    return dd.select("RELEASE", "EIN", "FILENAME",
+                     codes.document_link(LINK_BASE, F.col("RELEASE")).alias("LINK"),
+                     codes.document_link(LINK_BASE, F.col("RELEASE"),
+                                         prior_taxper=F.col("TAXPERP")).alias("PRIOR_LINK"))

@@ -203,3 +203,36 @@ def corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_name").alias("match_name"),
         F.expr("concat('9', substr(lpad(cast(c_custkey as string), 9, '0'), 2))").alias("new_ein"))
     return drops.unionByName(rekeys)
+
+
+def adjustments(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
+    """Reviewers' edits: every returned (R) or accepted (A) line item of a
+    release row's order is one edit - FUNDBAL for R, EXPS for A; the first
+    line of a finished order sets a level, the others add a delta."""
+    li = table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag").isin("R", "A"))
+    r = rows.select("FILING_ID", "EIN")
+    j = li.join(r, li["l_orderkey"] == r["FILING_ID"])
+    level = (F.col("l_linenumber") == 1) & (F.col("l_linestatus") == "F")
+    return j.select(
+        "EIN",
+        F.when(F.col("l_returnflag") == "R", "FUNDBAL").otherwise("EXPS").alias("field"),
+        F.when(level, "level").otherwise("delta").alias("action"),
+        F.when(level, F.col("l_extendedprice"))
+         .otherwise(F.col("l_extendedprice") * F.col("l_discount") - F.col("l_tax") * 100)
+         .alias("amount"),
+        F.concat(F.lit("reviewer"), (F.col("l_suppkey") % 10).cast("string")).alias("user"),
+        (F.col("l_linenumber") % 6).cast("string").alias("explanation"),
+        F.col("l_shipdate").alias("ts"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"))
+
+
+# Reviewer action per row for the state-transition job (by order priority).
+ACTION_BY_PRIORITY = {"1-URGENT": "fix", "2-HIGH": "check", "3-MEDIUM": "ignore",
+                      "4-NOT SPECIFIED": "fix_ignore", "5-LOW": "skip"}
+
+
+def reviewer_action():
+    e = None
+    for k, v in ACTION_BY_PRIORITY.items():
+        e = F.when(F.col("ORDPRI") == k, v) if e is None else e.when(F.col("ORDPRI") == k, v)
+    return e
