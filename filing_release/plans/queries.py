@@ -809,3 +809,57 @@ def document_links(spark: SparkSession, d: str) -> DataFrame:
                      codes.document_link(LINK_BASE, F.col("RELEASE")).alias("LINK"),
                      codes.document_link(LINK_BASE, F.col("RELEASE"),
                                          prior_taxper=F.col("TAXPERP")).alias("PRIOR_LINK"))
+
+
+# --- E8, D9, K5, K6, E9 ----------------------------------------------------------------------
+@register("audit_counts", o.with_ctes(*o.pipeline("res")) + _FLAGS_CTE + """,
+fx AS (SELECT EIN FROM dd WHERE ORDSTAT = 'F'
+       UNION ALL SELECT lpad(cast(s_suppkey + 500000000 AS varchar), 9, '0') FROM supplier),
+m AS (
+  SELECT 'rows_current' AS metric, count(*) AS value FROM cur_r
+  UNION ALL SELECT 'prior_matched', count_if(INPRIOR = '1') FROM py
+  UNION ALL SELECT 'rows_backfilled', count_if(SOURCE LIKE 'core%') FROM bf
+  UNION ALL SELECT 'rows_after_dedup', count(*) FROM dd
+  UNION ALL SELECT 'duplicate_keys_after_dedup', count(*) FROM (
+    SELECT RELEASE, EIN FROM dd GROUP BY ALL HAVING count(*) > 1)
+  UNION ALL SELECT 'rows_flagged', count(*) FROM flagged
+  UNION ALL SELECT 'fixes_with_state', count(*) FROM fx),
+f AS (SELECT max(CASE WHEN metric = 'rows_flagged' THEN value END) AS nf,
+             max(CASE WHEN metric = 'fixes_with_state' THEN value END) AS nx FROM m)
+SELECT metric, cast(value AS bigint) AS value FROM m
+UNION ALL SELECT 'hard_stop', CAST(CASE WHEN nf > 0 THEN 1 ELSE 0 END AS bigint) FROM f
+UNION ALL SELECT 'publish', CAST(CASE WHEN nf = 0 OR nx > 0 THEN 1 ELSE 0 END AS bigint) FROM f""")
+def audit_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Row counts per step (E8), the uniqueness check (D9), the fix count
+    (E9) and the hard-stop / publication decisions (K5, K6) as one small
+    table; every count is an aggregate, nothing is collected row-wise."""
+    from functools import reduce
+    cur = rel.current_reviewed(spark, d)
+    py = rel.prior_joined(spark, d)
+    bf = rel.backfilled(spark, d)
+    dd = rel.deduped(spark, d)
+    flagged = _flagged(spark, d)
+    fixes = _fixes(spark, d, dd)
+
+    def one(name, df):
+        return df.select(F.lit(name).alias("metric"), F.col("v").cast("bigint").alias("value"))
+    parts = [
+        one("rows_current", cur.agg(F.count(F.lit(1)).alias("v"))),
+        one("prior_matched", py.agg(F.count_if(F.col("INPRIOR") == "1").alias("v"))),
+        one("rows_backfilled", bf.agg(F.count_if(F.col("SOURCE").startswith("core")).alias("v"))),
+        one("rows_after_dedup", dd.agg(F.count(F.lit(1)).alias("v"))),
+        one("duplicate_keys_after_dedup",
+            dd.groupBy("RELEASE", "EIN").count().filter("count > 1").agg(F.count(F.lit(1)).alias("v"))),
+        one("rows_flagged", flagged.agg(F.count(F.lit(1)).alias("v"))),
+        one("fixes_with_state", corr.fix_count(fixes).select(F.col("n_fixes").alias("v"))),
+    ]
+    m = reduce(lambda a, b: a.unionByName(b), parts)
+    f = m.agg(F.max(F.when(F.col("metric") == "rows_flagged", F.col("value"))).alias("nf"),
+              F.max(F.when(F.col("metric") == "fixes_with_state", F.col("value"))).alias("nx"))
+    gates = f.select(F.explode(F.array(
+        F.struct(F.lit("hard_stop").alias("metric"),
+                 F.when(F.col("nf") > 0, 1).otherwise(0).cast("bigint").alias("value")),
+        F.struct(F.lit("publish").alias("metric"),
+                 F.when((F.col("nf") == 0) | (F.col("nx") > 0), 1).otherwise(0)
+                  .cast("bigint").alias("value")))).alias("g")).select("g.*")
+    return m.unionByName(gates)
