@@ -44,74 +44,120 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], q: float,
                     accuracy: int = 10_000, max_read: int = 100_000,
                     buckets: int = 2048, max_rounds: int = 40) -> dict[str, float | None]:
     """Exact linear-interpolated quantile (nulls skipped) per column."""
-    base = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    return grouped_exact_quantiles(df, columns, q, None, accuracy, max_read, buckets,
+                                   max_rounds)[None]
+
+
+def grouped_exact_quantiles(df: DataFrame, columns: Sequence[str], q: float,
+                            group: str | None = None, accuracy: int = 10_000,
+                            max_read: int = 100_000, buckets: int = 2048,
+                            max_rounds: int = 40) -> dict:
+    """Exact quantiles per (group value, column).
+
+    Pass 1 (one aggregate, grouped): count, min, max and an approximate
+    bracket [q - m, q + m] per target.  Then every round is one aggregate
+    over all still-open targets at once: rows below the bracket, rows in
+    it, and the bracket's min/max.  A target closes when its bracket holds
+    the needed ranks and few enough values to read in order; otherwise its
+    bracket is narrowed by an equal-width histogram of the bracket (bucket
+    counts only reach the driver).
+    """
+    g = F.col(group) if group else F.lit(None).cast("string")
+    base = df.select(g.alias("_g"), *[F.col(c).cast("double").alias(c) for c in columns])
     margin = 3.0 / accuracy
-    first = base.agg(*[x for c in columns for x in (
+    first = base.groupBy("_g").agg(*[x for c in columns for x in (
         F.count(c).alias(f"{c}__n"), F.min(c).alias(f"{c}__min"), F.max(c).alias(f"{c}__max"),
         F.percentile_approx(c, [max(q - margin, 0.0), min(q + margin, 1.0)], accuracy)
-         .alias(f"{c}__ap"))]).collect()[0]
-    out: dict[str, float | None] = {}
-    for c in columns:
-        n = first[f"{c}__n"]
-        if not n:
-            out[c] = None
-            continue
-        pos = (n - 1) * q
-        k_lo, k_hi = math.floor(pos), math.ceil(pos)
-        gmin, gmax = first[f"{c}__min"], first[f"{c}__max"]
-        lo, hi = first[f"{c}__ap"]
-        vals = _select_ranks(base, c, k_lo, k_hi, lo, hi, gmin, gmax,
-                             max_read, buckets, max_rounds)
-        out[c] = _interp(vals[0], vals[1], pos - k_lo)
+         .alias(f"{c}__ap"))]).collect()
+    out: dict = {}
+    open_t = {}
+    for r in first:
+        out[r["_g"]] = {}
+        for c in columns:
+            n = r[f"{c}__n"]
+            if not n:
+                out[r["_g"]][c] = None
+                continue
+            pos = (n - 1) * q
+            lo, hi = r[f"{c}__ap"]
+            open_t[(r["_g"], c)] = dict(pos=pos, k_lo=math.floor(pos), k_hi=math.ceil(pos),
+                                        lo=lo, hi=hi, gmin=r[f"{c}__min"], gmax=r[f"{c}__max"])
+    for _ in range(max_rounds):
+        if not open_t:
+            break
+        aggs, keys = [], list(open_t)
+        for i, (gv, c) in enumerate(keys):
+            t = open_t[(gv, c)]
+            x = F.col(c)
+            in_g = F.col("_g").eqNullSafe(F.lit(gv))
+            inside = in_g & (x >= t["lo"]) & (x <= t["hi"])
+            aggs += [F.count_if(in_g & (x < t["lo"])).alias(f"b{i}"), F.count_if(inside).alias(f"i{i}"),
+                     F.min(F.when(inside, x)).alias(f"mn{i}"), F.max(F.when(inside, x)).alias(f"mx{i}")]
+        r = base.agg(*aggs).collect()[0]
+        to_read = []
+        for i, key in enumerate(keys):
+            t = open_t[key]
+            below, cnt, mn, mx = r[f"b{i}"], r[f"i{i}"], r[f"mn{i}"], r[f"mx{i}"]
+            gv, c = key
+            if below > t["k_lo"]:
+                t["lo"] = t["gmin"]
+            elif below + cnt <= t["k_hi"]:
+                t["hi"] = t["gmax"]
+            elif mn == mx:
+                out[gv][c] = mn
+                del open_t[key]
+            elif cnt <= max_read:
+                t["below"] = below
+                to_read.append(key)
+            else:
+                _narrow(base, gv, c, t, below, mn, mx, buckets)
+        if to_read:
+            # one job reads the (small) brackets of every closing target
+            picks = []
+            for j, (gv, c) in enumerate(to_read):
+                t = open_t[(gv, c)]
+                x = F.col(c)
+                cond = F.col("_g").eqNullSafe(F.lit(gv)) & (x >= t["lo"]) & (x <= t["hi"])
+                picks.append(F.when(cond, F.struct(F.lit(j).alias("t"), x.alias("v"))))
+            rows = base.select(F.explode(F.array(*picks)).alias("p")).filter(F.col("p").isNotNull()) \
+                .select("p.t", "p.v").collect()
+            got: dict[int, list] = {}
+            for row in rows:
+                got.setdefault(row[0], []).append(row[1])
+            for j, key in enumerate(to_read):
+                t = open_t.pop(key)
+                v = sorted(got.get(j, []))
+                lo_v, hi_v = v[t["k_lo"] - t["below"]], v[t["k_hi"] - t["below"]]
+                out[key[0]][key[1]] = _interp(lo_v, hi_v, t["pos"] - t["k_lo"])
+    for (gv, c), t in open_t.items():     # bounded fallback: distributed sort of the bracket
+        x = F.col(c)
+        in_g = F.col("_g").eqNullSafe(F.lit(gv))
+        below = base.filter(in_g & (x < t["lo"])).count()
+        ranked = base.filter(in_g & (x >= t["lo"]) & (x <= t["hi"])).select(x).orderBy(x)
+        v = [row[0] for row in ranked.offset(t["k_lo"] - below).limit(t["k_hi"] - t["k_lo"] + 1).collect()]
+        out[gv][c] = _interp(v[0], v[-1], t["pos"] - t["k_lo"])
     return out
 
 
-def _select_ranks(base: DataFrame, c: str, k_lo: int, k_hi: int, lo: float, hi: float,
-                  gmin: float, gmax: float, max_read: int, buckets: int,
-                  max_rounds: int) -> tuple[float, float]:
+def _narrow(base: DataFrame, gv, c: str, t: dict, below: int, mn: float, mx: float,
+            buckets: int) -> None:
     x = F.col(c)
-    for _ in range(max_rounds):
-        inside = (x >= lo) & (x <= hi)
-        r = base.agg(F.count_if(x < lo).alias("below"), F.count_if(inside).alias("inside"),
-                     F.min(F.when(inside, x)).alias("mn"),
-                     F.max(F.when(inside, x)).alias("mx")).collect()[0]
-        below, cnt = r["below"], r["inside"]
-        if below > k_lo:                      # bracket starts too high
-            lo = gmin
-            continue
-        if below + cnt <= k_hi:               # bracket ends too low
-            hi = gmax
-            continue
-        if r["mn"] == r["mx"]:                # every value in the bracket equal
-            return r["mn"], r["mx"]
-        if cnt <= max_read:                   # few enough values: read them sorted
-            vals = [row[0] for row in base.filter(inside).select(x).orderBy(x).collect()]
-            return vals[k_lo - below], vals[k_hi - below]
-        lo, hi = r["mn"], r["mx"]
-        width = (hi - lo) / buckets
-        b = F.least(F.floor((x - F.lit(lo)) / F.lit(width)).cast("int"), F.lit(buckets - 1))
-        hist = sorted((row[0], row[1]) for row in
-                      base.filter(inside).groupBy(b.alias("b")).count().collect())
-        seen, b_lo, b_hi = below, None, None
-        for bi, n in hist:
-            if b_lo is None and seen + n > k_lo:
-                b_lo = bi
-            if seen + n > k_hi:
-                b_hi = bi
-                break
-            seen += n
-        b_hi = hist[-1][0] if b_hi is None else b_hi
-        # one-ulp margins keep edge values inside; the next pass re-counts
-        base_lo = lo
-        lo = math.nextafter(base_lo + width * b_lo, -math.inf)
-        if b_hi + 1 < buckets:
-            hi = math.nextafter(base_lo + width * (b_hi + 1), math.inf)
-    # bounded fallback: the bracket is still large - sort it distributedly
-    inside = (x >= lo) & (x <= hi)
-    below = base.filter(x < lo).count()
-    ranked = base.filter(inside).select(x).orderBy(x)
-    vals = [row[0] for row in ranked.offset(k_lo - below).limit(k_hi - k_lo + 1).collect()]
-    return vals[0], vals[-1]
+    width = (mx - mn) / buckets
+    b = F.least(F.floor((x - F.lit(mn)) / F.lit(width)).cast("int"), F.lit(buckets - 1))
+    sel = base.filter(F.col("_g").eqNullSafe(F.lit(gv)) & (x >= mn) & (x <= mx))
+    hist = sorted((row[0], row[1]) for row in sel.groupBy(b.alias("b")).count().collect())
+    seen, b_lo, b_hi = below, None, None
+    for bi, n in hist:
+        if b_lo is None and seen + n > t["k_lo"]:
+            b_lo = bi
+        if seen + n > t["k_hi"]:
+            b_hi = bi
+            break
+        seen += n
+    b_hi = hist[-1][0] if b_hi is None else b_hi
+    # one-ulp margins keep edge values inside; the next round re-counts
+    t["lo"] = math.nextafter(mn + width * b_lo, -math.inf)
+    t["hi"] = math.nextafter(mn + width * (b_hi + 1), math.inf) if b_hi + 1 < buckets else mx
 
 
 # --- K1 / K2 / K3 ---------------------------------------------------------------

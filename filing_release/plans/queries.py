@@ -37,11 +37,12 @@ SELECT RELEASE, EIN, FILING_ID, FISYR, TAXPER, STYEAR, TOTREV, ASS_EOY, EXPS FRO
          STYEAR DESC, FILING_ID DESC) AS rn
   FROM base WHERE FISYR >= {Y - 2}) WHERE rn = 1""")
 def dedup_best(spark: SparkSession, d: str) -> DataFrame:
-    b = dt.base(spark, d)
-    best = deduplicate(b, Y, score=size_score(), tiebreak=F.col("FILING_ID"),
+    # C6 as a date range on the scan (pushed to parquet); project before the
+    # top-1 so only needed columns travel through the shuffle
+    b = dt.base(spark, d, min_year=Y - 2).select(
+        "RELEASE", "EIN", "FILING_ID", "FISYR", "TAXPER", "STYEAR", "TOTREV", "ASS_EOY", "EXPS")
+    return deduplicate(b, Y, score=size_score(), tiebreak=F.col("FILING_ID"),
                        key=["RELEASE", "EIN"], year_shift=False)
-    return best.select("RELEASE", "EIN", "FILING_ID", "FISYR", "TAXPER", "STYEAR",
-                       "TOTREV", "ASS_EOY", "EXPS")
 
 
 # --- B2, B3 --------------------------------------------------------------------------
@@ -448,7 +449,8 @@ SELECT EIN, FILING_ID, FISYR, P1TOTREV, P1TOTEXP, P2TASFMV, P2TOTAST FROM (
   FROM (SELECT EIN, FILING_ID, FISYR, STYEAR, {_PF_VIEW} FROM base WHERE FISYR >= {Y - 2}))
 WHERE rn = 1""")
 def dedup_pf_score(spark: SparkSession, d: str) -> DataFrame:
-    pf = dt.base(spark, d).selectExpr("EIN", "FILING_ID", "FISYR", "STYEAR", *_PF_VIEW.split(", "))
+    pf = dt.base(spark, d, min_year=Y - 2).selectExpr("EIN", "FILING_ID", "FISYR", "STYEAR",
+                                                        *_PF_VIEW.split(", "))
     best = deduplicate(pf, Y, score=pf_size_score(), tiebreak=F.col("FILING_ID"),
                        year_shift=False)
     return best.drop("STYEAR")
@@ -499,9 +501,8 @@ cuts AS (SELECT RELEASE, quantile_cont(TOTREV2, 0.999) AS c1, quantile_cont(EXPS
 SELECT d.RELEASE, d.EIN, d.FILING_ID, d.TOTREV2, d.EXPS, d.ASS_EOY FROM dd d JOIN cuts c ON d.RELEASE = c.RELEASE
 WHERE (d.TOTREV2 >= c.c1 OR d.EXPS >= c.c2 OR d.ASS_EOY >= c.c3) AND d.VALIDATION_STATE NOT IN (2, 3)""")
 def largest_rows(spark: SparkSession, d: str) -> DataFrame:
-    from .materialize import stage
-    dd = stage(rel.deduped(spark, d).select("RELEASE", "EIN", "FILING_ID", "TOTREV2", "EXPS",
-                                            "ASS_EOY", "VALIDATION_STATE"), "deduped")
+    dd = rel.validated_staged(spark, d).select("RELEASE", "EIN", "FILING_ID", "TOTREV2", "EXPS",
+                                               "ASS_EOY", "VALIDATION_STATE")
     cuts = rel.release_cuts(dd)
     cond = F.lit(False)
     for t, c in cuts.items():
@@ -542,7 +543,7 @@ flagged AS (SELECT * FROM fl WHERE VALIDATION_REASON <> '')"""
 
 
 def _flagged(spark: SparkSession, d: str) -> DataFrame:
-    return rel.flagged(rel.validated(spark, d), cutoff=CHANGE_CUTOFF)
+    return rel.flagged(rel.validated_staged(spark, d), cutoff=CHANGE_CUTOFF, materialize=False)
 
 
 @register("review_reasons", o.with_ctes(*o.pipeline("res")) + _FLAGS_CTE + """
@@ -689,8 +690,7 @@ _ADJ_OUT = ["RELEASE", "EIN", *_ADJ_FIELDS, *[f"{f}_adjusted_by" for f in _ADJ_F
 
 
 def _adjusted(spark: SparkSession, d: str) -> DataFrame:
-    from .materialize import stage
-    v = stage(rel.validated(spark, d), "validated")
+    v = rel.validated_staged(spark, d)
     return rv.apply_adjustments(v, dt.adjustments(spark, d, v), _ADJ_FIELDS)
 
 
@@ -776,7 +776,7 @@ FROM fails f JOIN rf ON f.form = rf.form AND f.rule = rf.rule
 LEFT JOIN vals v ON v.RELEASE = f.RELEASE AND v.EIN = f.EIN AND v.field = rf.field
 LEFT JOIN lines l ON l.field = rf.field""")
 def field_line_lookup(spark: SparkSession, d: str) -> DataFrame:
-    v = rel.validated(spark, d)
+    v = rel.validated_staged(spark, d)
     fails = rv.failures_long(v, TOL, id_cols=["RELEASE", "EIN"]).filter(F.col("form") == "FULL")
     rf = F.broadcast(rv.rule_fields_frame(spark).filter(F.col("form") == "FULL")
                      .select("form", "rule", "field", "formula"))

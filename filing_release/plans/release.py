@@ -26,7 +26,7 @@ from ..operators import enrich, filters, flags, rules, schema
 from ..operators.dedup import deduplicate, pf_size_score, size_score
 from ..operators.history import backfill, prior_year_join
 from ..sources import driver_tables as dt
-from .materialize import stage
+from .materialize import stage, stage_once
 
 KEY = ["RELEASE", "EIN"]
 
@@ -58,6 +58,12 @@ def validated(spark: SparkSession, d: str, y: int = dt.RELEASE_YEAR) -> DataFram
     return rules.add_residuals(deduped(spark, d, y), ("EZ", "FULL"))
 
 
+def validated_staged(spark: SparkSession, d: str, y: int = dt.RELEASE_YEAR) -> DataFrame:
+    """The validated release written once per session: the review outputs
+    (flags, queue, adjustments, audit) all read this table."""
+    return stage_once(lambda: validated(spark, d, y), spark, (d, y), "validated")
+
+
 def table_failed(df: DataFrame, tolerance: float = flags.TOLERANCE) -> dict[str, bool]:
     """E10 per release table (one small aggregate, one row per table)."""
     live = F.col("VALIDATION_STATE").cast("int") != filters.IGNORED
@@ -67,9 +73,9 @@ def table_failed(df: DataFrame, tolerance: float = flags.TOLERANCE) -> dict[str,
 
 
 def release_cuts(df: DataFrame, columns: Sequence[str] = flags.CO_PC_CURRENT,
-                 q: float = flags.QUANTILE, tables: Sequence[str] = ("CO", "PC")) -> dict[str, dict]:
-    """E1 per release table."""
-    return {t: flags.exact_quantiles(df.filter(F.col("RELEASE") == t), columns, q) for t in tables}
+                 q: float = flags.QUANTILE, table: str = "RELEASE") -> dict[str, dict]:
+    """E1 per release table, all tables and columns in the same passes."""
+    return flags.grouped_exact_quantiles(df, columns, q, group=table)
 
 
 def flagged(df: DataFrame, cutoff: float = flags.REVENUE_CUTOFF, partial: bool = False,
