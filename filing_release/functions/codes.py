@@ -65,16 +65,28 @@ def accounting_period(taxper="TAXPER") -> Column:
     return F.substring(_c(taxper), 5, 2)
 
 
-def start_year(taxper="TAXPER") -> Column:
+def start_year(taxper="TAXPER", literal: bool = False) -> Column:
     """I16: fiscal start year - the year for periods ending in Dec or Jan,
-    otherwise the year before (intended rule, see README deviations)."""
+    otherwise the year before (intended rule, see README deviations).
+
+    ``literal=True`` reproduces the published tool's slicing of a 6-char
+    period: the first five characters as a number, minus one unless the
+    sixth character is '1' (e.g. ``201506`` -> 20149)."""
+    if literal:
+        head = F.substring(_c(taxper), 1, 5).try_cast("int")
+        return F.when(F.substring(_c(taxper), 6, 1) == "1", head).otherwise(head - 1)
     y = fiscal_year(taxper)
     m = accounting_period(taxper)
     return F.when(m.isin("12", "01"), y).otherwise(y - 1)
 
 
-def soi_year(taxper="TAXPER") -> Column:
-    """Same as ``start_year`` as text."""
+def soi_year(taxper="TAXPER", literal: bool = False) -> Column:
+    """Same as ``start_year`` as text (literal mode: the float text
+    of the five-digit value, e.g. ``20149.0``)."""
+    if literal:
+        head = F.substring(_c(taxper), 1, 5)
+        return F.when(F.substring(_c(taxper), 6, 1) == "1", head).otherwise(
+            (head.try_cast("double") - 1).cast("string"))
     return start_year(taxper).cast("string")
 
 

@@ -88,8 +88,13 @@ def enrich_postcard(df: DataFrame, postcard: DataFrame) -> DataFrame:
     return left_enrich(df, postcard.select("EIN", "EPOSTCARD"), "EIN")
 
 
-def postcard_flag(fisyr: str = "FISYR", epostcard: str = "EPOSTCARD"):
-    """I15: '1' when the short-form year equals FISYR (compared as ints)."""
+def postcard_flag(fisyr: str = "FISYR", epostcard: str = "EPOSTCARD", literal: bool = False):
+    """I15: '1' when the short-form year equals FISYR (compared as ints).
+
+    ``literal=True`` keeps the published tool's text-vs-int comparison,
+    which never matches, so the flag is always '0'."""
+    if literal:
+        return F.lit("0")
     same = F.col(epostcard).cast("string").try_cast("int").eqNullSafe(F.col(fisyr).cast("int")) \
         & F.col(epostcard).isNotNull()
     return F.when(same, "1").otherwise("0")

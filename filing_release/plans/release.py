@@ -23,7 +23,7 @@ from ..functions.amounts import fill_by_type, make_numeric
 from ..functions.money import MONEY_BY_FORM
 from ..operators import corrections as corr
 from ..operators import enrich, filters, flags, rules, schema
-from ..operators.dedup import deduplicate, pf_size_score, size_score
+from ..operators.dedup import deduplicate, pf_size_score, size_score, unit_random
 from ..operators.history import backfill, prior_year_join
 from ..sources import driver_tables as dt
 from .materialize import stage, stage_once
@@ -164,12 +164,28 @@ def prepare_form(df: DataFrame, form: str, inp: ReleaseInputs) -> DataFrame:
     return df
 
 
-def build_release(spark: SparkSession, inp: ReleaseInputs, opt: ReleaseOptions) -> dict[str, DataFrame]:
-    """Entry 1 + 2: release tables keyed CO, PC, PF (+ CO_full, PC_full).
-
-    Raises when validation flags rows and the build is not partial (hard
-    stop); callers write the returned tables (publication gate open)."""
+@dataclass
+class ReleaseResult:
+    tables: dict[str, DataFrame]
+    flagged: dict[str, DataFrame]
+    summary: DataFrame | None
+    failed: bool            # any flagged row (F, L or C)
+    publish: bool           # K6: nothing flagged, or fixes were integrated
+
+
+def build_release(spark: SparkSession, inp: ReleaseInputs, opt: ReleaseOptions,
+                  validate: Mapping[str, bool] | None = None) -> ReleaseResult:
+    """Entry 1 + 2 over real extracts: release tables CO, PC, PF (+ _full),
+    their residuals, the flagged rows per table and the publication gate.
+
+    ``validate`` is the per-table switch (J32); L/C extraction runs even
+    for tables whose rule checks are switched off.  With flagged rows and
+    ``partial_validation`` off this raises (K5 hard stop) after the caller
+    has had the chance to write the review extract - call with
+    ``raise_on_flags=False`` semantics by catching ``ReleaseHalted``.
+    """
     y = opt.year
+    validate = dict(validate or {})
     forms = {f: prepare_form(df, f, inp) for f, df in inp.extracts.items()}
     out: dict[str, DataFrame] = {}
     if "EZ" in forms and "FULL" not in forms:
@@ -184,21 +200,56 @@ def build_release(spark: SparkSession, inp: ReleaseInputs, opt: ReleaseOptions)
         for t in ("CO", "PC"):
             if y - 1 in inp.priors.get(t, {}):
                 out[t] = prior_year_join(out[t], inp.priors[t][y - 1])
+    fixes_applied: dict[str, int] = {}
     for t in list(out):
-        pri = {yy: df for yy, df in inp.priors.get(t, {}).items() if y - yy <= opt.backfill_depth}
+        pri = {yy: df for yy, df in inp.priors.get(t, {}).items() if 0 < y - yy <= opt.backfill_depth}
         out[t] = backfill(out[t], pri, t)
         score = pf_size_score() if t == "PF" else size_score()
         out[t] = deduplicate(out[t], y, score=score, year_shift=(t != "PF"))
+        out[t] = out[t].withColumn("RANDNUM", unit_random(
+            [c for c in ("EIN", "TAXPER", "SOURCE") if c in out[t].columns]))
         if t in inp.fixes:
+            fixes_applied[t] = corr.fix_count(inp.fixes[t]).first()[0]
             out[t] = corr.integrate_fixes(out[t], inp.fixes[t], inp.numeric_columns)
         out[t] = filters.with_source_kind(out[t])
-        out[t] = rules.add_residuals(out[t], ("PF",), None) if t == "PF" \
-            else rules.add_residuals(out[t], ("EZ", "FULL"))
+        if validate.get(t, True):
+            out[t] = rules.add_residuals(out[t], ("PF",), None) if t == "PF" \
+                else rules.add_residuals(out[t], ("EZ", "FULL"))
+        out[t] = stage(out[t], f"release_{t.lower()}")
+    flagged_tables: dict[str, DataFrame] = {}
+    summaries = []
+    for t, df in out.items():
+        rcols = rules.residual_columns(df)
+        if rcols:
+            summaries.append(rules.failure_summary(df, opt.tolerance).withColumn("table_name", F.lit(t)))
+        failed = bool(rcols) and df.agg(F.max(
+            (flags.failing_flag(df, opt.tolerance)).cast("int"))).first()[0] == 1
+        emit_f = failed and (not opt.partial_validation or fixes_applied.get(t, 0) == 0)
+        cur = flags.PF_CURRENT if t == "PF" else flags.CO_PC_CURRENT
+        cuts = flags.exact_quantiles(df, [c for c in cur if c in df.columns], opt.quantile)
+        fl = {"L": flags.largest_flag(cuts),
+              "F": flags.failing_flag(df, opt.tolerance) if emit_f else F.lit(False)}
+        if t != "PF" and all(c in df.columns for c in flags.CO_PC_PRIOR):
+            fl["C"] = flags.changed_flag(change=opt.change, cutoff=opt.cutoff)
+        flagged_tables[t] = flags.flag_rows(df, fl)
+    any_flag = any(f.limit(1).count() > 0 for f in flagged_tables.values())
+    tables = dict(out)
     if opt.output_full:
         for t in ("CO", "PC"):
             if t in out:
-                out[f"{t}_full"] = out[t].filter(F.col("SOURCE_KIND") == "FULL")
+                tables[f"{t}_full"] = out[t].filter(F.col("SOURCE_KIND") == "FULL")
     for t, cols in inp.final_lists.items():
-        if t in out:
-            out[t] = schema.final_projection(out[t], cols)[0]
-    return out
+        if t in tables:
+            tables[t] = schema.final_projection(tables[t], cols)[0]
+    summary = schema.union_by_name(summaries) if summaries else None
+    publish = (not any_flag) or bool(inp.fixes)
+    return ReleaseResult(tables, flagged_tables, summary, any_flag, publish)
+
+
+class ReleaseHalted(RuntimeError):
+    """K5: flagged rows remain and the build is not partial."""
+
+
+def check_hard_stop(result: ReleaseResult, opt: ReleaseOptions) -> None:
+    if result.failed and not opt.partial_validation and not result.publish:
+        raise ReleaseHalted("validation flagged rows; review extract written, release not published")
