@@ -16,22 +16,27 @@ from pyspark.sql import DataFrame
 from ..session import ensure_checkpoint_dir
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/stages/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+    out = spark.read.parquet(path)
+    return out.select(*df.columns) if partition_by else out
 
 
 _MEMO: dict[tuple, DataFrame] = {}
 
 
-def stage_once(df_builder, spark, key: tuple, name: str) -> DataFrame:
+def stage_once(df_builder, spark, key: tuple, name: str,
+               partition_by: list[str] | None = None) -> DataFrame:
     """``stage`` memoised per Spark application and key (the source tool's
     table cache: a prior release read once, used by the prior-year join
     and the backfill)."""
     k = (spark.sparkContext.applicationId, name, *key)
     if k not in _MEMO:
-        _MEMO[k] = stage(df_builder(), name)
+        _MEMO[k] = stage(df_builder(), name, partition_by)
     return _MEMO[k]

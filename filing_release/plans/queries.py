@@ -523,7 +523,7 @@ _CHANGED_SQL = (f"({_changed_sql('TOTREV2', 'TOTREVP')} OR {_changed_sql('EXPS',
 SELECT RELEASE, EIN, FILING_ID, TOTREV2, TOTREVP, EXPS, EXPSP, ASS_EOY, ASS_BOY FROM dd
 WHERE {_CHANGED_SQL}""")
 def changed_rows(spark: SparkSession, d: str) -> DataFrame:
-    dd = rel.deduped(spark, d)
+    dd = rel.validated_staged(spark, d)
     return dd.filter(fl.changed_flag(cutoff=CHANGE_CUTOFF)).select(
         "RELEASE", "EIN", "FILING_ID", "TOTREV2", "TOTREVP", "EXPS", "EXPSP", "ASS_EOY", "ASS_BOY")
 
@@ -552,6 +552,13 @@ def review_reasons(spark: SparkSession, d: str) -> DataFrame:
     return _flagged(spark, d).select("RELEASE", "EIN", "FILING_ID", "VALIDATION_REASON")
 
 
+def _released(spark: SparkSession, d: str) -> DataFrame:
+    """The de-duplicated release as staged once per session (residual
+    columns dropped): operators downstream of de-dup read this table."""
+    v = rel.validated_staged(spark, d)
+    return v.drop(*rules.residual_columns(v))
+
+
 def _fixes(spark: SparkSession, d: str, dd: DataFrame) -> DataFrame:
     """Reviewers' fixes: rows of fulfilled orders come back with FUNDBAL
     recomputed (as text, like a saved review file), state 1 and the field
@@ -575,7 +582,7 @@ SELECT d.RELEASE, d.EIN, d.FILING_ID, d.TOTREV2,
   CASE WHEN fx.EIN IS NOT NULL THEN 'FUNDBAL' ELSE d.MANUALLY_FIXED END AS MANUALLY_FIXED
 FROM dd d LEFT JOIN fx ON d.EIN = fx.EIN""")
 def apply_fixes(spark: SparkSession, d: str) -> DataFrame:
-    dd = rel.deduped(spark, d)
+    dd = _released(spark, d)
     out = corr.integrate_fixes(dd, _fixes(spark, d, dd), numeric_columns=["FUNDBAL"])
     return out.select("RELEASE", "EIN", "FILING_ID", "TOTREV2", "FUNDBAL", "NTEEFINAL",
                       "VALIDATION_STATE", "MANUALLY_FIXED")
@@ -589,7 +596,7 @@ _FINAL_LIST = ["EIN", "FILING_ID", "TAXPER", "FISYR", "TOTREV2", "EXPS", "ASS_EO
 SELECT EIN, FILING_ID, TAXPER, FISYR, TOTREV2, EXPS, ASS_EOY, RELEASE, SOURCE, VALIDATION_STATE,
   MANUALLY_FIXED FROM dd WHERE SOURCE_KIND = 'FULL'""")
 def full_only_release(spark: SparkSession, d: str) -> DataFrame:
-    dd = rel.deduped(spark, d)
+    dd = _released(spark, d)
     return schema.final_projection(dd.filter(F.col("SOURCE_KIND") == "FULL"), _FINAL_LIST)[0]
 
 
@@ -804,7 +811,7 @@ FROM (SELECT *, split_part(FILENAME, '_', 1) || '_' || regexp_replace(TAXPERP, '
   FROM (SELECT *, EIN || '_' || TAXPER || '_' || CASE SOURCE_KIND WHEN 'EZ' THEN '990EZ'
           WHEN 'FULL' THEN '990O' WHEN 'PF' THEN '990PF' END AS FILENAME FROM dd))""")
 def document_links(spark: SparkSession, d: str) -> DataFrame:
-    dd = rel.deduped(spark, d).withColumn("FILENAME", codes.file_name(F.col("SOURCE_KIND")))
+    dd = _released(spark, d).withColumn("FILENAME", codes.file_name(F.col("SOURCE_KIND")))
     return dd.select("RELEASE", "EIN", "FILENAME",
                      codes.document_link(LINK_BASE, F.col("RELEASE")).alias("LINK"),
                      codes.document_link(LINK_BASE, F.col("RELEASE"),
@@ -837,7 +844,7 @@ def audit_counts(spark: SparkSession, d: str) -> DataFrame:
     cur = rel.current_reviewed(spark, d)
     py = rel.prior_joined(spark, d)
     bf = rel.backfilled(spark, d)
-    dd = rel.deduped(spark, d)
+    dd = _released(spark, d)
     flagged = _flagged(spark, d)
     fixes = _fixes(spark, d, dd)
 

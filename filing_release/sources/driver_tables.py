@@ -93,7 +93,7 @@ def base_years(spark: SparkSession, sf_dir: str, release_year: int = RELEASE_YEA
     staged; the current rows and the prior releases are filters of it."""
     from ..plans.materialize import stage_once
     return stage_once(lambda: base(spark, sf_dir, min_year=release_year - depth), spark,
-                      (sf_dir, release_year, depth), "base")
+                      (sf_dir, release_year, depth), "base", partition_by=["FISYR"])
 
 
 def prior_release(spark: SparkSession, sf_dir: str, year: int,
