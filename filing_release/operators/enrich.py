@@ -71,10 +71,28 @@ def classification_lookup(master: DataFrame, columns: Sequence[str] = CLASSIFICA
     return m.withColumn("EIN", clean_key("EIN"))
 
 
-def enrich_classification(df: DataFrame, master: DataFrame, on_collision: str = "error") -> DataFrame:
-    """Left join on EIN.  Duplicate master keys fan out, as in the source
-    tool; use ``unique_per_key`` first for one row per EIN."""
-    return left_enrich(df, classification_lookup(master), "EIN", on_collision)
+def one_row_per_key(lookup: DataFrame, key: str = "EIN") -> DataFrame:
+    """A lookup reduced to one deterministic row per key (the greatest row),
+    as one aggregation with map-side combine."""
+    cols = [c for c in lookup.columns if c != key]
+    if not cols:
+        return lookup.distinct()
+    return lookup.groupBy(key).agg(F.max(F.struct(*cols)).alias("_r")).select(key, "_r.*")
+
+
+def enrich_classification(df: DataFrame, master: DataFrame, on_collision: str = "error",
+                          unique: bool = False) -> DataFrame:
+    """Left join on EIN.
+
+    The master is not guaranteed unique.  With ``unique=False`` duplicate
+    keys fan out as in the source tool (its later de-dup then keeps one of
+    the copies).  ``unique=True`` keeps one master row per EIN before the
+    join - the same one-row-per-EIN outcome without multiplying a hot key's
+    rows by the number of master duplicates."""
+    lk = classification_lookup(master)
+    if unique:
+        lk = one_row_per_key(lk, "EIN")
+    return left_enrich(df, lk, "EIN", on_collision)
 
 
 def enrich_place(df: DataFrame, place: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:

@@ -115,6 +115,7 @@ class ReleaseInputs:
         default_factory=lambda: dict(config.CROSSWALKS))
     numeric_columns: Sequence[str] = ()
     final_lists: Mapping[str, Sequence[str]] = field(default_factory=dict)
+    unique_classification: bool = True
 
 
 @dataclass
@@ -139,7 +140,8 @@ def prepare_form(df: DataFrame, form: str, inp: ReleaseInputs) -> DataFrame:
         df = filters.drop_value(df, "SUBSECCD", "92")
     df = schema.add_review_columns(df)
     if inp.classification is not None:
-        df = enrich.enrich_classification(df, inp.classification, on_collision="left")
+        df = enrich.enrich_classification(df, inp.classification, on_collision="left",
+                                          unique=inp.unique_classification)
     if inp.place is not None and "FIPS" in df.columns:
         df = enrich.enrich_place(df, inp.place)
     if inp.postcard is not None and form in ("EZ", "FULL"):

@@ -251,3 +251,22 @@ def test_no_python_udfs_in_plans(spark):
             .executedPlan().toString()
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
         assert "CartesianProduct" not in plan, name
+
+
+def test_classification_unique_option(spark):
+    from filing_release.operators import enrich
+    f = spark.createDataFrame([("1", 10.0), ("2", 20.0)], "EIN string, TOTREV2 double")
+    m = spark.createDataFrame([("0-1", "A11"), ("01", "B20"), ("2", "C30")], "EIN string, NteeFinal string")
+    m = m.withColumn("EIN", F.regexp_replace("EIN", "^0-?", ""))
+    fan = enrich.enrich_classification(f, m)
+    one = enrich.enrich_classification(f, m, unique=True)
+    assert fan.count() == 3 and one.count() == 2
+    assert dict(rows(one, "EIN", "NTEEFINAL")) == {"1": "B20", "2": "C30"}
+
+
+def test_pushdown_and_pruning(spark):
+    from filing_release.plans.queries import QUERIES
+    df = QUERIES["dedup_best"][0](spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(o_orderdate" in plan
+    assert "o_orderpriority" not in plan and "c_name" not in plan
