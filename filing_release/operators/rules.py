@@ -155,9 +155,13 @@ def failure_summary(df: DataFrame, tolerance: float = 1000.0,
                        F.expr(f"stack({len(rcols)}, {stack}) as (rule, n_failed)"))
     pct = F.when(F.col("n_rows") > 0,
                  F.expr("cast((2000 * n_failed + n_rows) div (2 * n_rows) as double) / 10"))
-    return long.select(*([F.col("table_name")] if table else []), "rule",
-                       F.col("n_failed").cast("bigint").alias("n_failed"),
-                       F.col("n_rows").cast("bigint").alias("n_rows"), pct.alias("fail_pct"))
+    out = long.select(*([F.col("table_name")] if table else []), "rule",
+                      F.col("n_failed").cast("bigint").alias("n_failed"),
+                      F.col("n_rows").cast("bigint").alias("n_rows"), pct.alias("fail_pct"))
+    # Any rule failing in the table (over the few summary rows only)
+    from pyspark.sql import Window
+    w = Window.partitionBy("table_name") if table else Window.partitionBy()
+    return out.withColumn("table_failed", F.max(F.col("n_failed") > 0).over(w))
 
 
 def any_failed(summary: DataFrame) -> Column:

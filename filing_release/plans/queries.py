@@ -481,7 +481,8 @@ agg AS (SELECT RELEASE, count_if(VALIDATION_STATE <> 2) AS n_rows,
   FROM res GROUP BY RELEASE)
 SELECT RELEASE AS table_name, upper(substr(name, 10)) AS rule, cast(n_failed AS bigint) AS n_failed,
   cast(n_rows AS bigint) AS n_rows,
-  CASE WHEN n_rows > 0 THEN cast((2000 * n_failed + n_rows) // (2 * n_rows) AS double) / 10 END AS fail_pct
+  CASE WHEN n_rows > 0 THEN cast((2000 * n_failed + n_rows) // (2 * n_rows) AS double) / 10 END AS fail_pct,
+  max(n_failed > 0) OVER (PARTITION BY RELEASE) AS table_failed
 FROM agg UNPIVOT (n_failed FOR name IN ({_RES_SQL}))""")
 def rule_failure_summary(spark: SparkSession, d: str) -> DataFrame:
     return rules.failure_summary(rel.validated(spark, d), TOL, table="RELEASE")
@@ -870,3 +871,20 @@ def audit_counts(spark: SparkSession, d: str) -> DataFrame:
                  F.when((F.col("nf") == 0) | (F.col("nx") > 0), 1).otherwise(0)
                   .cast("bigint").alias("value")))).alias("g")).select("g.*")
     return m.unionByName(gates)
+
+
+# --- J14-J25 (PF rules, applied to every PF row) ----------------------------------------------
+_PF_RULE_FIELDS = sorted({f for r in rules.rules_for("PF") for f in r.fields})
+_PF_RULE_IN = _gen(_PF_RULE_FIELDS, "TOTREV2")
+_PF_RES = [r.column for r in rules.rules_for("PF")]
+
+
+@register("residuals_pf", o.with_ctes(o.FILINGS) + f"""
+SELECT FILING_ID, EIN, {", ".join(f"{e} AS {n}" for n, e in o.residual_sql(("PF",), _PF_RULE_FIELDS, kind=False))}
+FROM (SELECT FILING_ID, EIN, {_sql_inputs(_PF_RULE_IN, 'TOTREV2')} FROM filings)""")
+def residuals_pf(spark: SparkSession, d: str) -> DataFrame:
+    """PF table: every rule applies to every row (no source-kind gate);
+    the PF amounts are fixed fractions of the filing's revenue."""
+    pf = _spark_inputs(dt.filings(spark, d).select("FILING_ID", "EIN", "TOTREV2"), _PF_RULE_IN,
+                       "TOTREV2").drop("TOTREV2")
+    return rules.add_residuals(pf, ("PF",), kind_col=None).select("FILING_ID", "EIN", *_PF_RES)
