@@ -130,14 +130,28 @@ class ReleaseOptions:
     cutoff: float = flags.REVENUE_CUTOFF
 
 
-def prepare_form(df: DataFrame, form: str, inp: ReleaseInputs) -> DataFrame:
+def _observe(df: DataFrame, audit: dict | None, name: str, *extra) -> DataFrame:
+    """Row counts per step, gathered while the stage writes run (no
+    extra pass)."""
+    if audit is None:
+        return df
+    from pyspark.sql import Observation
+    obs = Observation(name)
+    audit[name] = obs
+    return df.observe(obs, F.count(F.lit(1)).alias("rows"), *extra)
+
+
+def prepare_form(df: DataFrame, form: str, inp: ReleaseInputs,
+                 audit: dict | None = None) -> DataFrame:
     """Steps 2-7 of the build for one source form."""
     cw = inp.crosswalks.get(form, [])
     df, _missing = schema.apply_crosswalk(df, cw)
     drop = filters.drop_list_names(inp.drop_lists.get(form, []), schema.crosswalk_map(cw))
+    df = _observe(df, audit, f"{form}_read")
     df = filters.drop_empty_filers(df, drop)
     if form == "PF":
         df = filters.drop_value(df, "SUBSECCD", "92")
+    df = _observe(df, audit, f"{form}_after_drops")
     df = schema.add_review_columns(df)
     if inp.classification is not None:
         df = enrich.enrich_classification(df, inp.classification, on_collision="left",
@@ -173,6 +187,10 @@ class ReleaseResult:
     summary: DataFrame | None
     failed: bool            # any flagged row (F, L or C)
     publish: bool           # K6: nothing flagged, or fixes were integrated
+    audit: dict = field(default_factory=dict)   # E8: step -> observed counts
+
+    def audit_counts(self) -> dict[str, dict]:
+        return {k: o.get for k, o in self.audit.items()}
 
 
 def build_release(spark: SparkSession, inp: ReleaseInputs, opt: ReleaseOptions,
@@ -188,7 +206,8 @@ def build_release(spark: SparkSession, inp: ReleaseInputs, opt: ReleaseOptions,
     """
     y = opt.year
     validate = dict(validate or {})
-    forms = {f: prepare_form(df, f, inp) for f, df in inp.extracts.items()}
+    audit: dict = {}
+    forms = {f: prepare_form(df, f, inp, audit) for f, df in inp.extracts.items()}
     out: dict[str, DataFrame] = {}
     if "EZ" in forms and "FULL" not in forms:
         raise ValueError("EZ without Full cannot form the CO or PC tables")
@@ -202,12 +221,17 @@ def build_release(spark: SparkSession, inp: ReleaseInputs, opt: ReleaseOptions,
         for t in ("CO", "PC"):
             if y - 1 in inp.priors.get(t, {}):
                 out[t] = prior_year_join(out[t], inp.priors[t][y - 1])
+                out[t] = _observe(out[t], audit, f"{t}_prior_joined",
+                                  F.count_if(F.col("INPRIOR") == "1").alias("matched"))
     fixes_applied: dict[str, int] = {}
     for t in list(out):
         pri = {yy: df for yy, df in inp.priors.get(t, {}).items() if 0 < y - yy <= opt.backfill_depth}
         out[t] = backfill(out[t], pri, t)
+        out[t] = _observe(out[t], audit, f"{t}_backfilled",
+                          F.count_if(F.col("SOURCE").startswith("core")).alias("backfilled"))
         score = pf_size_score() if t == "PF" else size_score()
         out[t] = deduplicate(out[t], y, score=score, year_shift=(t != "PF"))
+        out[t] = _observe(out[t], audit, f"{t}_deduplicated")
         out[t] = out[t].withColumn("RANDNUM", unit_random(
             [c for c in ("EIN", "TAXPER", "SOURCE") if c in out[t].columns]))
         if t in inp.fixes:
@@ -245,7 +269,7 @@ def build_release(spark: SparkSession, inp: ReleaseInputs, opt: ReleaseOptions,
             tables[t] = schema.final_projection(tables[t], cols)[0]
     summary = schema.union_by_name(summaries) if summaries else None
     publish = (not any_flag) or bool(inp.fixes)
-    return ReleaseResult(tables, flagged_tables, summary, any_flag, publish)
+    return ReleaseResult(tables, flagged_tables, summary, any_flag, publish, audit)
 
 
 class ReleaseHalted(RuntimeError):

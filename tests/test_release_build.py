@@ -66,6 +66,10 @@ def test_build_release(spark, raw_paths):
     assert "validate_fu_fundbal" in pc.columns and pc.select("LEVEL3", "PMSA").count() > 0
     # no row older than the recency window survives
     assert pc.filter(F.col("FISYR") < 1998).count() == 0
+    counts = res.audit_counts()
+    assert counts["CO_deduplicated"]["rows"] == res.tables["CO"].count()
+    assert counts["PC_backfilled"]["backfilled"] > 0 and counts["PC_prior_joined"]["matched"] > 0
+    assert counts["FULL_read"]["rows"] >= counts["FULL_after_drops"]["rows"]
     assert res.failed and not res.publish
     with pytest.raises(rel.ReleaseHalted):
         rel.check_hard_stop(res, opt)
