@@ -204,6 +204,8 @@ def build_release(spark: SparkSession, inp: ReleaseInputs, opt: ReleaseOptions,
     has had the chance to write the review extract - call with
     ``raise_on_flags=False`` semantics by catching ``ReleaseHalted``.
     """
+    from ..session import apply_defaults
+    apply_defaults(spark)
     y = opt.year
     validate = dict(validate or {})
     audit: dict = {}
