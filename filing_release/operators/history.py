@@ -54,12 +54,13 @@ def backfill(current: DataFrame, priors: Mapping[int, DataFrame], form: str | Co
     if not priors:
         return current
     cur_cols = current.columns
+    cur_types = dict(current.dtypes)
     parts = []
     for y, df in priors.items():
         stamp = F.lit(f"core{y}{form.lower()}") if isinstance(form, str) else \
             F.concat(F.lit(f"core{y}"), F.lower(form))
         d = df.withColumn("SOURCE", stamp)
-        d = align_to(d, cur_cols).withColumn("_yr", F.lit(int(y)))
+        d = _conform(align_to(d, cur_cols), cur_types).withColumn("_yr", F.lit(int(y)))
         num = {c: F.coalesce(parse_amount(F.col(c), fill_zero=False)
                              if dict(d.dtypes)[c] == "string" else F.col(c).cast("double"),
                              F.lit(0.0))
@@ -81,5 +82,20 @@ def backfill(current: DataFrame, priors: Mapping[int, DataFrame], form: str | Co
     return out.withColumns(fills) if fills else out
 
 
+def _conform(df: DataFrame, types: dict) -> DataFrame:
+    """A7 for prior releases: each column takes the current table's type
+    (text amounts are parsed; unparsable -> 0, as the source tool's loader)."""
+    out = []
+    for c, t in df.dtypes:
+        want = types.get(c, t)
+        if want == t:
+            out.append(F.col(c))
+        elif t == "string" and want in ("double", "float", "int", "bigint"):
+            out.append(parse_amount(F.col(c)).cast(want).alias(c))
+        else:
+            out.append(F.col(c).cast(want).alias(c))
+    return df.select(*out)
+
+
 def backfill_years(release_year: int, depth: int) -> list[int]:
     return [release_year - k for k in range(1, depth + 1)]

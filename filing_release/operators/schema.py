@@ -68,14 +68,28 @@ def apply_crosswalk(df: DataFrame, pairs: Sequence[tuple[str, str]],
 
 
 def final_projection(df: DataFrame, wanted: Sequence[str],
-                     extra: Sequence[str] = (STATE_COL, FIXED_COL)) -> tuple[DataFrame, list[str], list[str]]:
+                     extra: Sequence[str] = (STATE_COL, FIXED_COL),
+                     source_names: Mapping[str, str] | None = None) -> tuple[DataFrame, list[str], list[str]]:
     """Keep listed columns (list de-duplicated, order kept) plus review
-    columns; report dropped and missing names."""
+    columns; report dropped and missing names.
+
+    ``source_names`` (a crosswalk map source -> release name) resolves list
+    entries spelled with their source name (M13, the ``_full`` lists): the
+    release column is emitted under the listed name."""
     want = list(dict.fromkeys([*wanted, *extra]))
-    keep = [c for c in want if c in df.columns]
-    dropped = [c for c in df.columns if c not in set(want)]
-    missing = [c for c in want if c not in df.columns]
-    return df.select(*keep), dropped, missing
+    src = {k.upper(): v for k, v in (source_names or {}).items()}
+    cols, used = [], set()
+    for c in want:
+        if c in df.columns:
+            cols.append(F.col(f"`{c}`"))
+            used.add(c)
+        elif c.upper() in src and src[c.upper()] in df.columns:
+            cols.append(F.col(f"`{src[c.upper()]}`").alias(c))
+            used.add(src[c.upper()])
+    dropped = [c for c in df.columns if c not in used]
+    missing = [c for c in want if c not in df.columns
+               and not (c.upper() in src and src[c.upper()] in df.columns)]
+    return df.select(*cols), dropped, missing
 
 
 def add_review_columns(df: DataFrame) -> DataFrame:

@@ -25,6 +25,7 @@ from ..operators import corrections as corr
 from ..operators import enrich, filters, flags, rules, schema
 from ..operators.dedup import deduplicate, pf_size_score, size_score, unit_random
 from ..operators.history import backfill, prior_year_join
+from ..operators.schema import REASON_COL
 from ..sources import driver_tables as dt
 from .materialize import stage, stage_once
 
@@ -259,16 +260,20 @@ def build_release(spark: SparkSession, inp: ReleaseInputs, opt: ReleaseOptions,
               "F": flags.failing_flag(df, opt.tolerance) if emit_f else F.lit(False)}
         if t != "PF" and all(c in df.columns for c in flags.CO_PC_PRIOR):
             fl["C"] = flags.changed_flag(change=opt.change, cutoff=opt.cutoff)
-        flagged_tables[t] = flags.flag_rows(df, fl)
+        # The reason letters stay on the release rows ('' when none)
+        out[t] = df.withColumn(REASON_COL, flags.reason_letters(fl))
+        flagged_tables[t] = out[t].filter(F.col(REASON_COL) != "")
     any_flag = any(f.limit(1).count() > 0 for f in flagged_tables.values())
     tables = dict(out)
     if opt.output_full:
         for t in ("CO", "PC"):
             if t in out:
                 tables[f"{t}_full"] = out[t].filter(F.col("SOURCE_KIND") == "FULL")
+    full_names = schema.crosswalk_map(inp.crosswalks.get("FULL", []))
     for t, cols in inp.final_lists.items():
         if t in tables:
-            tables[t] = schema.final_projection(tables[t], cols)[0]
+            tables[t] = schema.final_projection(
+                tables[t], cols, source_names=full_names if t.endswith("_full") else None)[0]
     summary = schema.union_by_name(summaries) if summaries else None
     publish = (not any_flag) or bool(inp.fixes)
     return ReleaseResult(tables, flagged_tables, summary, any_flag, publish, audit)

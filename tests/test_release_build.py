@@ -51,7 +51,8 @@ def test_build_release(spark, raw_paths):
     inp = rel.ReleaseInputs(extracts=extracts, classification=dt.classification_master(spark, SF),
                             place=dt.place_lookup(spark, SF), postcard=dt.postcard(spark, SF),
                             priors=priors, numeric_columns=AMOUNTS,
-                            final_lists={"CO": ["EIN", "TAXPER", "TOTREV2", "NTEEFINAL", "LEVEL1"]})
+                            final_lists={"CO": ["EIN", "TAXPER", "TOTREV2", "NTEEFINAL", "LEVEL1"],
+                                         "CO_full": ["EIN", "TOTCNTRBGFTS", "VALIDATION_REASON"]})
     opt = rel.ReleaseOptions(year=2000, cutoff=300_000)
     res = rel.build_release(spark, inp, opt)
     assert set(res.tables) == {"CO", "PC", "CO_full", "PC_full"}
@@ -60,6 +61,11 @@ def test_build_release(spark, raw_paths):
         assert res.tables[t].count() > 0
     assert res.tables["CO"].columns == ["EIN", "TAXPER", "TOTREV2", "NTEEFINAL", "LEVEL1",
                                         "VALIDATION_STATE", "MANUALLY_FIXED"]
+    # The _full list names a source column; M11: reasons are on the release
+    assert res.tables["CO_full"].columns == ["EIN", "TOTCNTRBGFTS", "VALIDATION_REASON",
+                                             "VALIDATION_STATE", "MANUALLY_FIXED"]
+    assert res.tables["PC"].filter(F.col("VALIDATION_REASON") != "").count() == \
+        res.flagged["PC"].count() > 0
     pc = res.tables["PC"]
     assert pc.filter(F.col("SOURCE").startswith("core")).count() > 0          # backfilled
     assert pc.filter(F.col("INPRIOR") == "1").count() > 0                     # prior matched
