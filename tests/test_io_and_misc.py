@@ -125,3 +125,24 @@ def test_cross_reference_and_header(spark):
     assert (h["revenue_now"], h["revenue_prior"], h["assets_prior"]) == (1.0, 0.5, 1.5)
     q = spark.createDataFrame([(0,), (0,), (1,)], "VALIDATION_STATE int")
     assert sorted(tuple(r) for r in review.queue_progress(q).collect()) == [(0, 2), (1, 1)]
+
+
+def test_duplicated_rows_and_review_extract(spark):
+    from filing_release.operators.dedup import duplicated_rows
+    from filing_release.sources.sinks import write_review_extract
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "EIN string, id int")
+    assert sorted(r["id"] for r in duplicated_rows(df).collect()) == [1, 2]
+    root = tempfile.mkdtemp(prefix="review-", dir="/tmp")
+    write_review_extract({"CO": df.withColumn("VALIDATION_REASON", F.lit("L"))}, root, 2015)
+    back = spark.read.parquet(root)
+    assert back.filter("table = 'CO' and release_year = 2015").count() == 3
+
+
+def test_inactive_rules_compile(spark):
+    off = [r for f in ("FULL",) for r in rules.rules_for(f, include_inactive=True) if not r.active]
+    assert {r.name for r in off} == {"fu_exps", "fu_othinc", "fu_progrev", "fu_ass_eoy",
+                                     "fu_liab_eoy", "fu_totnetliabastend"}
+    assert len(off[0].parts) == 35
+    df = spark.createDataFrame([(10.0, 4.0, 6.0)], "TOTNETLIABASTEND double, LIAB_EOY double, FUNDBAL double")
+    r = [x for x in off if x.name == "fu_totnetliabastend"][0]
+    assert df.select(rules.residual_expr(r, df.columns)).first()[0] == 0.0
