@@ -70,14 +70,17 @@ def integrate_fixes(release: DataFrame, fixes: DataFrame,
     f = fixes.drop(*residual_columns(fixes))
     num = {c for c in numeric_columns}
     types = dict(release.dtypes)
+    ftypes = dict(f.dtypes)
     cast = []
     for c in f.columns:
         if c == "EIN":
             cast.append(F.col("EIN"))
-        elif c in num and dict(f.dtypes)[c] == "string":
+        elif c in num and ftypes[c] == "string":
             cast.append(parse_amount(c, fill_zero=False).alias(c))
         elif c in types:
-            cast.append(F.col(c).cast(types[c]).alias(c))
+            # fixes files are text: a value that does not parse becomes null
+            e = F.col(c).try_cast(types[c]) if ftypes[c] == "string" else F.col(c).cast(types[c])
+            cast.append(e.alias(c))
     f = f.select(*cast)
     # one fix row per EIN (max over the row keeps this deterministic)
     f = f.groupBy("EIN").agg(F.max(F.struct(*[c for c in f.columns if c != "EIN"])).alias("_f")) \
@@ -91,7 +94,7 @@ def integrate_fixes(release: DataFrame, fixes: DataFrame,
             out.append(F.col("EIN"))
             continue
         new = F.col(f"_f.{c}") if c in fixed_cols else F.lit(None).cast(types[c])
-        out.append(F.when(hit, new).otherwise(release[c] if c in release.columns else F.col(c)).alias(c))
+        out.append(F.when(hit, new).otherwise(release[c]).alias(c))
     return j.select(*out)
 
 
