@@ -124,13 +124,11 @@ def net_adjustments(adjustments: DataFrame, money_places: int = 6) -> DataFrame:
     # summed deltas are rounded past the last real money digit so the
     # result does not depend on the order partial sums were combined in
     deltas = d.filter(after).groupBy(*k).agg(F.round(F.sum("amount"), money_places).alias("_delta"))
-    users = adjustments.groupBy(*k).agg(F.max(F.struct("ts", "seq", "user", "explanation"))
-                                        .alias("_last"))
-    return (users.join(lv, k, "left").join(deltas, k, "left")
-            .select(*k, F.col("_lv.amount").alias("level"),
-                    F.coalesce(F.col("_delta"), F.lit(0.0)).alias("delta"),
-                    F.col("_last.ts").alias("last_ts"), F.col("_last.user").alias("user"),
-                    F.col("_last.explanation").alias("explanation")))
+    # both sides are unique per (EIN, field): the full outer join yields
+    # every edited pair once
+    return (lv.select(*k, F.col("_lv.amount").alias("level"))
+            .join(deltas, k, "full_outer")
+            .select(*k, "level", F.coalesce(F.col("_delta"), F.lit(0.0)).alias("delta")))
 
 
 def apply_adjustments(rows: DataFrame, adjustments: DataFrame, fields: Sequence[str],
