@@ -36,7 +36,7 @@ def stage_once(df_builder, spark, key: tuple, name: str,
     """``stage`` memoised per Spark application and key (the source tool's
     table cache: a prior release read once, used by the prior-year join
     and the backfill)."""
-    k = (spark.sparkContext.applicationId, name, *key)
+    k = (spark.sparkContext.applicationId, spark._jsparkSession.hashCode(), name, *key)
     if k not in _MEMO:
         _MEMO[k] = stage(df_builder(), name, partition_by)
     return _MEMO[k]
