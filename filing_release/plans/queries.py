@@ -485,14 +485,14 @@ SELECT RELEASE AS table_name, upper(substr(name, 10)) AS rule, cast(n_failed AS
   max(n_failed > 0) OVER (PARTITION BY RELEASE) AS table_failed
 FROM agg UNPIVOT (n_failed FOR name IN ({_RES_SQL}))""")
 def rule_failure_summary(spark: SparkSession, d: str) -> DataFrame:
-    return rules.failure_summary(rel.validated(spark, d), TOL, table="RELEASE")
+    return rules.failure_summary(rel.validated_staged(spark, d), TOL, table="RELEASE")
 
 
 @register("failing_rows", o.with_ctes(*o.pipeline("res")) + f"""
 SELECT RELEASE, EIN, FILING_ID, VALIDATION_STATE FROM res
 WHERE {o.any_over_sql(_RES, TOL)} AND VALIDATION_STATE <> 2""")
 def failing_rows(spark: SparkSession, d: str) -> DataFrame:
-    v = rel.validated(spark, d)
+    v = rel.validated_staged(spark, d)
     return v.filter(fl.failing_flag(v, TOL)).select("RELEASE", "EIN", "FILING_ID", "VALIDATION_STATE")
 
 
@@ -642,7 +642,7 @@ JOIN pairs p ON f.form = p.form AND f.rule = p.rule
 WHERE NOT EXISTS (SELECT 1 FROM fails g WHERE g.RELEASE = f.RELEASE AND g.EIN = f.EIN
                   AND g.rule = p.related_rule)""")
 def related_rules(spark: SparkSession, d: str) -> DataFrame:
-    fails = rv.failures_long(rel.validated(spark, d), TOL, id_cols=["RELEASE", "EIN"])
+    fails = rv.failures_long(rel.validated_staged(spark, d), TOL, id_cols=["RELEASE", "EIN"])
     out = rules.related_rules(fails.select("RELEASE", "EIN", "form", "rule"),
                               rules.catalogue_frame(spark), id_cols=["RELEASE", "EIN"])
     return out.select("RELEASE", "EIN", "form", "rule", "related_rule")
@@ -697,15 +697,22 @@ _ADJ_OUT = ["RELEASE", "EIN", *_ADJ_FIELDS, *[f"{f}_adjusted_by" for f in _ADJ_F
             "validate_ez_ass_eoy", "validate_ez_netinc", "validate_fu_fundbal", "validate_fu_totrev2"]
 
 
-def _adjusted(spark: SparkSession, d: str) -> DataFrame:
+def _adjusted_plan(spark: SparkSession, d: str) -> DataFrame:
     v = rel.validated_staged(spark, d)
     return rv.apply_adjustments(v, dt.adjustments(spark, d, v), _ADJ_FIELDS)
 
 
+def _adjusted(spark: SparkSession, d: str) -> DataFrame:
+    """The reviewed table, written once per session: state transitions,
+    ledger export and reconciliation all read it."""
+    from .materialize import stage_once
+    return stage_once(lambda: _adjusted_plan(spark, d), spark, (d,), "adjusted")
+
+
 @register("apply_adjustments", o.with_ctes(*o.pipeline("res")) + _adj_sql() + f"""
 SELECT {", ".join(_ADJ_OUT)} FROM res2""")
 def apply_adjustments(spark: SparkSession, d: str) -> DataFrame:
-    return _adjusted(spark, d).select(*_ADJ_OUT)
+    return _adjusted_plan(spark, d).select(*_ADJ_OUT)
 
 
 _ACTION_SQL = "CASE ORDPRI " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in
@@ -842,8 +849,6 @@ def audit_counts(spark: SparkSession, d: str) -> DataFrame:
     (E9) and the hard-stop / publication decisions (K5, K6) as one small
     table; every count is an aggregate, nothing is collected row-wise."""
     from functools import reduce
-    cur = rel.current_reviewed(spark, d)
-    py = rel.prior_joined(spark, d)
     bf = rel.backfilled(spark, d)
     dd = _released(spark, d)
     flagged = _flagged(spark, d)
@@ -851,10 +856,16 @@ def audit_counts(spark: SparkSession, d: str) -> DataFrame:
 
     def one(name, df):
         return df.select(F.lit(name).alias("metric"), F.col("v").cast("bigint").alias("value"))
+    # current, matched and backfilled rows in one pass over the backfilled
+    # table (backfilled rows carry a core<y> source and no INPRIOR)
+    steps = bf.agg(F.count_if(~F.col("SOURCE").startswith("core")).alias("rows_current"),
+                   F.count_if(F.col("INPRIOR") == "1").alias("prior_matched"),
+                   F.count_if(F.col("SOURCE").startswith("core")).alias("rows_backfilled"))
+    steps = steps.select(F.explode(F.array(*[
+        F.struct(F.lit(n).alias("metric"), F.col(n).cast("bigint").alias("value"))
+        for n in ("rows_current", "prior_matched", "rows_backfilled")])).alias("s")).select("s.*")
     parts = [
-        one("rows_current", cur.agg(F.count(F.lit(1)).alias("v"))),
-        one("prior_matched", py.agg(F.count_if(F.col("INPRIOR") == "1").alias("v"))),
-        one("rows_backfilled", bf.agg(F.count_if(F.col("SOURCE").startswith("core")).alias("v"))),
+        steps,
         one("rows_after_dedup", dd.agg(F.count(F.lit(1)).alias("v"))),
         one("duplicate_keys_after_dedup",
             dd.groupBy("RELEASE", "EIN").count().filter("count > 1").agg(F.count(F.lit(1)).alias("v"))),
