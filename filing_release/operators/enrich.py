@@ -101,9 +101,12 @@ def enrich_place(df: DataFrame, place: DataFrame, max_rows: int = BROADCAST_MAX_
     return left_enrich(df, lk, "FIPS", broadcast_max_rows=max_rows)
 
 
-def enrich_postcard(df: DataFrame, postcard: DataFrame) -> DataFrame:
-    """D3: left join of the short-form filing year (Full and EZ only)."""
-    return left_enrich(df, postcard.select("EIN", "EPOSTCARD"), "EIN")
+def enrich_postcard(df: DataFrame, postcard: DataFrame, unique: bool = True) -> DataFrame:
+    """D3: left join of the short-form filing year (Full and EZ only).  The
+    postcard list is unique per EIN (D9); ``unique`` enforces it with one
+    deterministic row per key instead of failing the build."""
+    pc = postcard.select("EIN", "EPOSTCARD")
+    return left_enrich(df, one_row_per_key(pc) if unique else pc, "EIN")
 
 
 def postcard_flag(fisyr: str = "FISYR", epostcard: str = "EPOSTCARD", literal: bool = False):
@@ -130,10 +133,12 @@ def registry_shape(registry: DataFrame) -> DataFrame:
     return r.select("EIN", *REGISTRY_SHARED, *REGISTRY_COPC_ONLY, *REGISTRY_PF_ONLY)
 
 
-def enrich_registry(df: DataFrame, shaped: DataFrame, form: str) -> DataFrame:
-    """Full/EZ take shared + EOSTATUS; PF takes shared + asset/income codes."""
+def enrich_registry(df: DataFrame, shaped: DataFrame, form: str, unique: bool = True) -> DataFrame:
+    """Full/EZ take shared + EOSTATUS; PF takes shared + asset/income
+    codes.  The registry is unique per EIN (D9); ``unique`` enforces it."""
     extra = REGISTRY_PF_ONLY if form.upper() == "PF" else REGISTRY_COPC_ONLY
-    return left_enrich(df, shaped.select("EIN", *REGISTRY_SHARED, *extra), "EIN")
+    reg = shaped.select("EIN", *REGISTRY_SHARED, *extra)
+    return left_enrich(df, one_row_per_key(reg) if unique else reg, "EIN")
 
 
 def duplicate_keys(df: DataFrame, key: str = "EIN") -> DataFrame:

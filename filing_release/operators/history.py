@@ -20,15 +20,24 @@ PRIOR_NUMERIC = ["TOTREVP", "EXPSP", "ASS_BOY"]
 
 
 def prior_year_join(df: DataFrame, prior: DataFrame, fields: Sequence[str] = PRIOR_FIELDS,
-                    fisyr: str = "FISYR", key: str | Sequence[str] = "EIN") -> DataFrame:
+                    fisyr: str = "FISYR", key: str | Sequence[str] = "EIN",
+                    unique_prior: bool = True) -> DataFrame:
     """Attach release Y-1 fields, renamed by B7.
 
     When FISYR <> FISYRP + 1, or either is null, every joined column is
     nulled and INPRIOR is '0'; otherwise INPRIOR is '1'.
+
+    A published release is unique per key; ``unique_prior`` guards that
+    with one deterministic row per key (a no-op on valid input, and the
+    aggregate's key partitioning is reused by the join), so a damaged prior
+    release can never multiply current rows.
     """
     keys = [key] if isinstance(key, str) else list(key)
     ren = {k: v for k, v in prior_renames(fields).items() if k in prior.columns}
     p = prior.select(*keys, *[F.col(k).alias(v) for k, v in ren.items()])
+    if unique_prior:
+        rest = [c for c in p.columns if c not in keys]
+        p = p.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_p")).select(*keys, "_p.*")
     j = df.join(p, keys, "left")
     ok = F.col(fisyr).cast("double") == (F.col("FISYRP").cast("double") + 1)
     okc = F.coalesce(ok, F.lit(False))

@@ -35,9 +35,12 @@ def shape(plan: str) -> dict:
 
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    only = set(sys.argv[2:])
     spark = local_session(8)
     rows = []
     for name, (fn, _sql) in QUERIES.items():
+        if only and name not in only:
+            continue
         df = fn(spark, sf)        # stats passes run here, with the session's normal settings
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         spark.conf.set("spark.sql.adaptive.enabled", "false")
@@ -61,6 +64,9 @@ def main() -> None:
            "| query | " + " | ".join(cols) + " |", "| --- |" + " --- |" * len(cols)]
     for name, s in rows:
         out.append(f"| `{name}` | " + " | ".join(str(s[c]) for c in cols) + " |")
+    if only:
+        print("\n".join(out))
+        return
     with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md"), "w") as f:
         f.write("\n".join(out) + "\n")
     print("\n".join(out))
