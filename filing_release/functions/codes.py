@@ -90,8 +90,9 @@ def soi_year(taxper="TAXPER", literal: bool = False) -> Column:
     return start_year(taxper).cast("string")
 
 
-def nccs_keys(ein="EIN", taxper="TAXPER", fisyr="FISYR") -> tuple[Column, Column]:
-    """I4: EIN||TAXPER and EIN||FISYR (null-propagating)."""
+def filing_keys(ein="EIN", taxper="TAXPER", fisyr="FISYR") -> tuple[Column, Column]:
+    """I4: EIN||TAXPER and EIN||FISYR (null-propagating); the release
+    names them NCCSKEY and NCCSKEY2 (fixed column names)."""
     return (F.concat(_c(ein), _c(taxper)),
             F.concat(_c(ein), _c(fisyr).cast("string")))
 

@@ -134,7 +134,7 @@ def validated() -> str:
     return f"res AS (SELECT *, {cols} FROM dd)"
 
 
-def pipeline(upto: str = "res", year: int = Y) -> list[str]:
+def stages_until(upto: str = "res", year: int = Y) -> list[str]:
     steps = [FILINGS, prior(year - 1), prior(year - 2), cur_reviewed(year), prior_joined(year),
              backfilled(year), deduped(year), validated()]
     stop = {"cur_r": 4, "py": 5, "bf": 6, "dd": 7, "res": 8}[upto]

@@ -123,7 +123,7 @@ FROM base""")
 def derive_keys(spark: SparkSession, d: str) -> DataFrame:
     b = dt.base(spark, d).select("FILING_ID", "EIN", "TAXPER", "NTEEFINAL", "SOURCE_KIND")
     b = b.withColumn("FISYR", codes.fiscal_year())
-    k1, k2 = codes.nccs_keys()
+    k1, k2 = codes.filing_keys()
     b = b.withColumns({"ACCPER": codes.accounting_period(), "NCCSKEY": k1, "NCCSKEY2": k2,
                        **codes.class_prefixes(),
                        "FILENAME": codes.file_name(F.col("SOURCE_KIND"))})
@@ -419,20 +419,20 @@ def form_union_split(spark: SparkSession, d: str) -> DataFrame:
     return schema.union_by_name(tables)
 
 
-@register("prior_year", o.with_ctes(*o.pipeline("py")) + """
+@register("prior_year", o.with_ctes(*o.stages_until("py")) + """
 SELECT * EXCLUDE (ORDSTAT, ORDPRI, NAME) FROM py""")
 def prior_year(spark: SparkSession, d: str) -> DataFrame:
     return rel.prior_joined(spark, d).drop("ORDSTAT", "ORDPRI", "NAME")
 
 
-@register("backfill_cascade", o.with_ctes(*o.pipeline("bf")) + """
+@register("backfill_cascade", o.with_ctes(*o.stages_until("bf")) + """
 SELECT RELEASE, EIN, FILING_ID, FISYR, SOURCE, VALIDATION_STATE, MANUALLY_FIXED, INPRIOR FROM bf""")
 def backfill_cascade(spark: SparkSession, d: str) -> DataFrame:
     return rel.backfilled(spark, d).select("RELEASE", "EIN", "FILING_ID", "FISYR", "SOURCE",
                                            "VALIDATION_STATE", "MANUALLY_FIXED", "INPRIOR")
 
 
-@register("dedup_year_shift", o.with_ctes(*o.pipeline("dd")) + """
+@register("dedup_year_shift", o.with_ctes(*o.stages_until("dd")) + """
 SELECT RELEASE, EIN, FILING_ID, FISYR, FISYRP, SOURCE FROM dd""")
 def dedup_year_shift(spark: SparkSession, d: str) -> DataFrame:
     return rel.deduped(spark, d).select("RELEASE", "EIN", "FILING_ID", "FISYR", "FISYRP", "SOURCE")
@@ -469,13 +469,13 @@ _RES = [n for n, _ in o.residual_sql()]
 _RES_SQL = ", ".join(_RES)
 
 
-@register("residuals_wide", o.with_ctes(*o.pipeline("res")) + f"""
+@register("residuals_wide", o.with_ctes(*o.stages_until("res")) + f"""
 SELECT RELEASE, EIN, FILING_ID, SOURCE_KIND, {_RES_SQL} FROM res""")
 def residuals_wide(spark: SparkSession, d: str) -> DataFrame:
     return rel.validated(spark, d).select("RELEASE", "EIN", "FILING_ID", "SOURCE_KIND", *_RES)
 
 
-@register("rule_failure_summary", o.with_ctes(*o.pipeline("res")) + f""",
+@register("rule_failure_summary", o.with_ctes(*o.stages_until("res")) + f""",
 agg AS (SELECT RELEASE, count_if(VALIDATION_STATE <> 2) AS n_rows,
   {", ".join(f"count_if(VALIDATION_STATE <> 2 AND abs({c}) > {TOL}) AS {c}" for c in _RES)}
   FROM res GROUP BY RELEASE)
@@ -488,7 +488,7 @@ def rule_failure_summary(spark: SparkSession, d: str) -> DataFrame:
     return rules.failure_summary(rel.validated_staged(spark, d), TOL, table="RELEASE")
 
 
-@register("failing_rows", o.with_ctes(*o.pipeline("res")) + f"""
+@register("failing_rows", o.with_ctes(*o.stages_until("res")) + f"""
 SELECT RELEASE, EIN, FILING_ID, VALIDATION_STATE FROM res
 WHERE {o.any_over_sql(_RES, TOL)} AND VALIDATION_STATE <> 2""")
 def failing_rows(spark: SparkSession, d: str) -> DataFrame:
@@ -496,7 +496,7 @@ def failing_rows(spark: SparkSession, d: str) -> DataFrame:
     return v.filter(fl.failing_flag(v, TOL)).select("RELEASE", "EIN", "FILING_ID", "VALIDATION_STATE")
 
 
-@register("largest_rows", o.with_ctes(*o.pipeline("dd")) + """,
+@register("largest_rows", o.with_ctes(*o.stages_until("dd")) + """,
 cuts AS (SELECT RELEASE, quantile_cont(TOTREV2, 0.999) AS c1, quantile_cont(EXPS, 0.999) AS c2,
   quantile_cont(ASS_EOY, 0.999) AS c3 FROM dd GROUP BY RELEASE)
 SELECT d.RELEASE, d.EIN, d.FILING_ID, d.TOTREV2, d.EXPS, d.ASS_EOY FROM dd d JOIN cuts c ON d.RELEASE = c.RELEASE
@@ -520,7 +520,7 @@ _CHANGED_SQL = (f"({_changed_sql('TOTREV2', 'TOTREVP')} OR {_changed_sql('EXPS',
                 f"OR coalesce(TOTREVP >= {CHANGE_CUTOFF}, false)) AND VALIDATION_STATE NOT IN (2, 3)")
 
 
-@register("changed_rows", o.with_ctes(*o.pipeline("dd")) + f"""
+@register("changed_rows", o.with_ctes(*o.stages_until("dd")) + f"""
 SELECT RELEASE, EIN, FILING_ID, TOTREV2, TOTREVP, EXPS, EXPSP, ASS_EOY, ASS_BOY FROM dd
 WHERE {_CHANGED_SQL}""")
 def changed_rows(spark: SparkSession, d: str) -> DataFrame:
@@ -547,7 +547,7 @@ def _flagged(spark: SparkSession, d: str) -> DataFrame:
     return rel.flagged(rel.validated_staged(spark, d), cutoff=CHANGE_CUTOFF, materialize=False)
 
 
-@register("review_reasons", o.with_ctes(*o.pipeline("res")) + _FLAGS_CTE + """
+@register("review_reasons", o.with_ctes(*o.stages_until("res")) + _FLAGS_CTE + """
 SELECT RELEASE, EIN, FILING_ID, VALIDATION_REASON FROM flagged""")
 def review_reasons(spark: SparkSession, d: str) -> DataFrame:
     return _flagged(spark, d).select("RELEASE", "EIN", "FILING_ID", "VALIDATION_REASON")
@@ -574,7 +574,7 @@ def _fixes(spark: SparkSession, d: str, dd: DataFrame) -> DataFrame:
     return schema.union_by_name([fx, unknown])
 
 
-@register("apply_fixes", o.with_ctes(*o.pipeline("dd")) + """,
+@register("apply_fixes", o.with_ctes(*o.stages_until("dd")) + """,
 fx AS (SELECT EIN, ASS_EOY - LIAB_EOY AS FUNDBAL FROM dd WHERE ORDSTAT = 'F')
 SELECT d.RELEASE, d.EIN, d.FILING_ID, d.TOTREV2,
   CASE WHEN fx.EIN IS NOT NULL THEN fx.FUNDBAL ELSE d.FUNDBAL END AS FUNDBAL,
@@ -593,7 +593,7 @@ _FINAL_LIST = ["EIN", "FILING_ID", "TAXPER", "FISYR", "TOTREV2", "EXPS", "ASS_EO
                "SOURCE", "NOT_IN_TABLE", "FISYR"]
 
 
-@register("full_only_release", o.with_ctes(*o.pipeline("dd")) + """
+@register("full_only_release", o.with_ctes(*o.stages_until("dd")) + """
 SELECT EIN, FILING_ID, TAXPER, FISYR, TOTREV2, EXPS, ASS_EOY, RELEASE, SOURCE, VALIDATION_STATE,
   MANUALLY_FIXED FROM dd WHERE SOURCE_KIND = 'FULL'""")
 def full_only_release(spark: SparkSession, d: str) -> DataFrame:
@@ -606,7 +606,7 @@ _RANK_SQL = "CASE VALIDATION_REASON " + " ".join(
     f"WHEN '{k}' THEN {v}" for k, v in rv.REASON_RANK.items()) + f" ELSE {len(rv.REASON_RANK) + 1} END"
 
 
-@register("review_queue", o.with_ctes(*o.pipeline("res")) + _FLAGS_CTE + f"""
+@register("review_queue", o.with_ctes(*o.stages_until("res")) + _FLAGS_CTE + f"""
 SELECT RELEASE, EIN, VALIDATION_REASON, {_RANK_SQL} AS REASON_RANK, TOTREV2, VALIDATION_STATE,
   0.0::double AS FUNDBAL_adjusted_by, '' AS validated_by, '' AS EXPLANATION
 FROM flagged WHERE VALIDATION_STATE <> 2 AND (
@@ -636,7 +636,7 @@ fails AS (SELECT RELEASE, EIN, upper(substr(name, 10)) AS rule, residual,
   WHERE abs(residual) > {TOL})"""
 
 
-@register("related_rules", o.with_ctes(*o.pipeline("res")) + _FAILS_SQL + ",\n" + _pairs_sql() + """
+@register("related_rules", o.with_ctes(*o.stages_until("res")) + _FAILS_SQL + ",\n" + _pairs_sql() + """
 SELECT f.RELEASE, f.EIN, f.form, f.rule, p.related_rule FROM fails f
 JOIN pairs p ON f.form = p.form AND f.rule = p.rule
 WHERE NOT EXISTS (SELECT 1 FROM fails g WHERE g.RELEASE = f.RELEASE AND g.EIN = f.EIN
@@ -709,7 +709,7 @@ def _adjusted(spark: SparkSession, d: str) -> DataFrame:
     return stage_once(lambda: _adjusted_plan(spark, d), spark, (d,), "adjusted")
 
 
-@register("apply_adjustments", o.with_ctes(*o.pipeline("res")) + _adj_sql() + f"""
+@register("apply_adjustments", o.with_ctes(*o.stages_until("res")) + _adj_sql() + f"""
 SELECT {", ".join(_ADJ_OUT)} FROM res2""")
 def apply_adjustments(spark: SparkSession, d: str) -> DataFrame:
     return _adjusted_plan(spark, d).select(*_ADJ_OUT)
@@ -736,14 +736,14 @@ def _states(spark: SparkSession, d: str) -> DataFrame:
     return rv.review_state(a, threshold=TOL)
 
 
-@register("review_state", o.with_ctes(*o.pipeline("res")) + _adj_sql() + _STATE_CTE + """
+@register("review_state", o.with_ctes(*o.stages_until("res")) + _adj_sql() + _STATE_CTE + """
 SELECT RELEASE, EIN, action, NEW_STATE, ACCEPTED, REJECT_REASON FROM st""")
 def review_state(spark: SparkSession, d: str) -> DataFrame:
     return _states(spark, d).select("RELEASE", "EIN", "action", "NEW_STATE", "ACCEPTED",
                                     "REJECT_REASON")
 
 
-@register("ledger_export", o.with_ctes(*o.pipeline("res")) + _adj_sql() + _STATE_CTE + f"""
+@register("ledger_export", o.with_ctes(*o.stages_until("res")) + _adj_sql() + _STATE_CTE + f"""
 SELECT EIN, {", ".join(f"{f}_adjusted_by" for f in _ADJ_FIELDS)}, validated_by, EXPLANATION FROM st
 WHERE NEW_STATE > 0 OR coalesce(EXPLANATION <> '', false)""")
 def ledger_export(spark: SparkSession, d: str) -> DataFrame:
@@ -752,7 +752,7 @@ def ledger_export(spark: SparkSession, d: str) -> DataFrame:
     return ledger
 
 
-@register("saved_work_reconcile", o.with_ctes(*o.pipeline("res")) + _adj_sql() + _STATE_CTE + """,
+@register("saved_work_reconcile", o.with_ctes(*o.stages_until("res")) + _adj_sql() + _STATE_CTE + """,
 a AS (SELECT DISTINCT EIN FROM st WHERE NEW_STATE IN (1, 3)),
 b AS (SELECT DISTINCT EIN FROM st WHERE EXPLANATION <> '')
 SELECT coalesce(a.EIN, b.EIN) AS EIN, a.EIN IS NOT NULL AS in_fixes, b.EIN IS NOT NULL AS in_ledger
@@ -781,7 +781,7 @@ def _lines_sql() -> str:
 _FULL_FIELDS = sorted({f for r in rules.rules_for("FULL") for f in r.fields} & set(o.BASE_NAMES))
 
 
-@register("field_line_lookup", o.with_ctes(*o.pipeline("res")) + _FAILS_SQL + ",\n"
+@register("field_line_lookup", o.with_ctes(*o.stages_until("res")) + _FAILS_SQL + ",\n"
           + _rule_fields_sql() + ",\n" + _lines_sql() + f""",
 vals AS (SELECT RELEASE, EIN, field, value FROM (SELECT RELEASE, EIN, {", ".join(_FULL_FIELDS)} FROM res)
   UNPIVOT (value FOR field IN ({", ".join(_FULL_FIELDS)})))
@@ -808,7 +808,7 @@ def field_line_lookup(spark: SparkSession, d: str) -> DataFrame:
 LINK_BASE = "https://example.org/filings/"
 
 
-@register("document_links", o.with_ctes(*o.pipeline("dd")) + f"""
+@register("document_links", o.with_ctes(*o.stages_until("dd")) + f"""
 SELECT RELEASE, EIN, FILENAME,
   '{LINK_BASE}' || CASE WHEN RELEASE = 'PF' THEN '990pf_pdf_archive' ELSE '990_pdf_archive' END || '/'
     || substr(FILENAME, 1, 3) || '/' || split_part(FILENAME, '_', 1) || '/' || FILENAME || '.pdf' AS LINK,
@@ -827,7 +827,7 @@ def document_links(spark: SparkSession, d: str) -> DataFrame:
 
 
 # --- E8, D9, K5, K6, E9 ----------------------------------------------------------------------
-@register("audit_counts", o.with_ctes(*o.pipeline("res")) + _FLAGS_CTE + """,
+@register("audit_counts", o.with_ctes(*o.stages_until("res")) + _FLAGS_CTE + """,
 fx AS (SELECT EIN FROM dd WHERE ORDSTAT = 'F'
        UNION ALL SELECT lpad(cast(s_suppkey + 500000000 AS varchar), 9, '0') FROM supplier),
 m AS (

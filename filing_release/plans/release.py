@@ -164,7 +164,7 @@ def prepare_form(df: DataFrame, form: str, inp: ReleaseInputs,
     if inp.registry is not None:
         df = enrich.enrich_registry(df, enrich.registry_shape(inp.registry), form)
     df = make_numeric(df, inp.numeric_columns)
-    k1, k2 = codes.nccs_keys()
+    k1, k2 = codes.filing_keys()
     df = df.withColumn("FISYR", codes.fiscal_year())
     df = df.withColumns({"ACCPER": codes.accounting_period(), "NCCSKEY": k1, "NCCSKEY2": k2,
                          **(codes.classification_columns() if "NTEEFINAL" in df.columns else {})})
