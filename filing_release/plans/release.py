@@ -1,12 +1,13 @@
 """Release build plans.
 
-``stages`` runs the release pipeline over the benchmark tables (used by
-the registered queries and the benchmark); ``build_release`` is the same
-pipeline over real extracts, lookups and prior releases.  Order facts kept
-from the source tool: prior-year join before backfill (backfilled rows keep
-their own prior fields), backfill before de-dup (older rows compete, then
-the recency filter trims), de-dup before the rules (one row per EIN), and
-the type fill right after the union of forms.
+``prior_joined`` -> ``backfilled`` -> ``deduped`` -> ``validated`` build the
+release over the benchmark tables (used by the registered queries and the
+benchmark); ``build_release`` is the same chain over real extracts, lookups
+and prior releases.  Order facts kept from the source tool: prior-year join
+before backfill (backfilled rows keep their own prior fields), backfill
+before de-dup (older rows compete, then the recency filter trims), de-dup
+before the rules (one row per EIN), and the type fill right after the union
+of forms.
 """
 
 from __future__ import annotations
