@@ -148,6 +148,9 @@ def prepare_form(df: DataFrame, form: str, inp: ReleaseInputs,
     """Steps 2-7 of the build for one source form."""
     cw = inp.crosswalks.get(form, [])
     df, _missing = schema.apply_crosswalk(df, cw)
+    if "TAXPER" not in df.columns:
+        # B1: exactly one tax-period spelling must exist; it becomes TAXPER
+        df = df.withColumnRenamed(schema.check_one_tax_period(df.columns), "TAXPER")
     drop = filters.drop_list_names(inp.drop_lists.get(form, []), schema.crosswalk_map(cw))
     df = _observe(df, audit, f"{form}_read")
     df = filters.drop_empty_filers(df, drop)

@@ -35,9 +35,16 @@ def raw_paths(spark):
         F.col("ASS_EOY").cast("string").alias("totassetsend"),
         F.col("LIAB_EOY").cast("string").alias("totliabend"),
         F.col("FUNDBAL").cast("string").alias("totnetassetsend"))
-    paths = {"FULL": f"{root}/16extract990.dat", "EZ": f"{root}/16extractez.dat"}
+    pf = b.select(F.col("EIN"), F.col("TAXPER").alias("tax_prd"), "SUBSECCD",
+                  F.col("TOTREV2").cast("string").alias("P1TOTREV"),
+                  F.col("EXPS").cast("string").alias("P1TOTEXP"),
+                  F.col("FUNDBAL").cast("string").alias("P2TASFMV"),
+                  F.col("ASS_EOY").cast("string").alias("P2TOTAST"))
+    paths = {"FULL": f"{root}/16extract990.dat", "EZ": f"{root}/16extractez.dat",
+             "PF": f"{root}/16extractpf.dat"}
     full.write.option("header", True).option("sep", " ").csv(paths["FULL"])
     ez.write.option("header", True).option("sep", " ").csv(paths["EZ"])
+    pf.write.option("header", True).option("sep", " ").csv(paths["PF"])
     return paths
 
 
@@ -50,13 +57,19 @@ def test_build_release(spark, raw_paths):
                      .drop("RELEASE", "SOURCE_KIND") for y in (1999, 1998)}
     inp = rel.ReleaseInputs(extracts=extracts, classification=dt.classification_master(spark, SF),
                             place=dt.place_lookup(spark, SF), postcard=dt.postcard(spark, SF),
-                            priors=priors, numeric_columns=AMOUNTS,
+                            priors=priors,
+                            numeric_columns=AMOUNTS + ["P1TOTREV", "P1TOTEXP", "P2TASFMV", "P2TOTAST"],
                             final_lists={"CO": ["EIN", "TAXPER", "TOTREV2", "NTEEFINAL", "LEVEL1"],
                                          "CO_full": ["EIN", "TOTCNTRBGFTS", "VALIDATION_REASON"]})
     opt = rel.ReleaseOptions(year=2000, cutoff=300_000)
     res = rel.build_release(spark, inp, opt)
-    assert set(res.tables) == {"CO", "PC", "CO_full", "PC_full"}
-    for t in ("CO", "PC"):
+    assert set(res.tables) == {"CO", "PC", "PF", "CO_full", "PC_full"}
+    pf = res.tables["PF"]
+    assert pf.filter(F.col("SUBSECCD") == "92").count() == 0              # C2
+    assert {"validate_pf_p1totrev", "P6TXRFD", "TFLD", "FILENAME"} <= set(pf.columns)
+    assert pf.filter(F.col("FILENAME").endswith("_990PF")).count() == pf.count()
+    assert "C" not in "".join(r[0] for r in res.flagged["PF"].select("VALIDATION_REASON").collect())
+    for t in ("CO", "PC", "PF"):
         assert_unique(res.tables[t], "EIN", t)
         assert res.tables[t].count() > 0
     assert res.tables["CO"].columns == ["EIN", "TAXPER", "TOTREV2", "NTEEFINAL", "LEVEL1",
