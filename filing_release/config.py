@@ -1,10 +1,9 @@
 """Fixed configuration values of the release build.
 
 These lists must equal the published release conventions, so they are
-stated here verbatim, in their natural order.  Longer lists (the PF
-crosswalk and drop list, the final column lists of 161-319 names) are job
-parameters: pass them with ``read_pairs`` / ``read_names`` from the
-release's settings folder.
+stated here verbatim, in their natural order.  The final column lists
+(161-319 names per table) are job parameters: pass them with
+``read_names`` from the release's settings folder.
 """
 
 from __future__ import annotations
@@ -63,8 +62,74 @@ DROP_IF_EMPTY_FULL = [
 ]
 # ---------------------------------------------------------------------------
 
-CROSSWALKS = {"EZ": CROSSWALK_EZ, "FULL": CROSSWALK_FULL}
-DROP_LISTS = {"EZ": DROP_IF_EMPTY_EZ, "FULL": DROP_IF_EMPTY_FULL}
+# ---------------------------------------------------------------------------
+# PF crosswalk (release name, source name) and PF "drop if
+# missing all of" list.
+# ---------------------------------------------------------------------------
+CROSSWALK_PF = [
+    ("TAXPER", "tax_prd"), ("TAXPER", "tax_pd"), ("EOSTATUS", "eostatus"), ("STYEAR", "tax_yr"),
+    ("RECCODE", "operatingcd"), ("P1TCONT", "grscontrgifts"), ("P1INTREV", "intrstrvnue"),
+    ("P1DIVID", "dividndsamt"), ("P1GINVPF", "grsprofitbus"), ("P1OTHINC", "otherincamt"),
+    ("P1OFCOMP", "compofficers"), ("P1CONTPD", "contrpdpbks"), ("P1TOTREV", "totrcptperbks"),
+    ("P1TOTEXP", "totexpnspbks"), ("P1EXCREV", "excessrcpts"), ("P1TEXMEX", "totexpnsexempt"),
+    ("P1NETINV", "netinvstinc"), ("P1NADINC", "adjnetinc"), ("P2TOTAST", "totassetsend"),
+    ("P2GVTINV", "invstgovtoblig"), ("P2CRPSTK", "invstcorpstk"), ("P2CRPBND", "invstcorpbnd"),
+    ("P2TINVSC", "totinvstsec"), ("P2TLIABL", "totliabend"), ("P2TASFMV", "fairmrktvaleoy"),
+    ("P13UNDST", "undistribincyr"), ("P10MIR", "cmpmininvstret"), ("P6EXMPF", "sec4940notxcd"),
+    ("P6DOMORG", "sec4940redtxcd"), ("P7POLIT", "infleg"), ("P7LIQUID", "contractncd"),
+    ("P7POFCLM", "claimstatcd"), ("P7DISSAL", "propexchcd"), ("P7DISBOR", "brwlndmnycd"),
+    ("P7DISSER", "furngoodscd"), ("P7DISPAY", "paidcmpncd"), ("P7DISTRA", "trnsothasstscd"),
+    ("P7PAYGVT", "agremkpaycd"), ("P7UNDINC", "undistrinccd"), ("P7BUSINT", "dirindirintcd"),
+    ("P7JEOINV", "invstjexmptcd"), ("P7PROPAG", "propgndacd"), ("P7ELECT", "excesshldcd"),
+    ("P7INDGRT", "grntindivcd"), ("P7ORGGRT", "nchrtygrntcd"), ("P7OTHPUR", "nreligiouscd"),
+    ("P1GRENTS", "grsrents"), ("P1GOODS", "costsold"), ("P1INVRV", "totrcptnetinc"),
+    ("P1NADJRV", "trcptadjnetinc"), ("P1ADMEXP", "topradmnexpnsa"), ("P1INVEXP",
+    "topradmnexpnsb"), ("P1CHAEXP", "topradmnexpnsd"), ("P1TINVEX", "totexpnsnetinc"),
+    ("P1TADJEX", "totexpnsadjnet"), ("P2CASHBV", "othrcashamt"), ("P2MORTG", "mrtgloans"),
+    ("P2EYOTIN", "othrinvstend"), ("P2EYASST", "fairmrktvalamt"), ("P2MTGNTS", "mrtgnotespay"),
+    ("P3EYTFND", "tfundnworth"), ("P6TEXCTX", "totaxpyr"), ("P6TX511", "sect511tx"),
+    ("P6TXSUBA", "subtitleatx"), ("P6ESTTX", "esttaxcr"), ("P6TXWTH", "txwithldsrc"),
+    ("P6TXINV", "txpaidf2758"), ("P6TXWERR", "erronbkupwthld"), ("P6TXPNLT", "estpnlty"),
+    ("P6TXCRDT", "crelamt"), ("P6TX4940", "invstexcisetx"), ("P10TASST", "tfairmrktunuse"),
+    ("P11DISTR", "distribamt"), ("P14NADJA", "adjnetinccola"), ("P14NADJB", "adjnetinccolb"),
+    ("P14NADJC", "adjnetinccolc"), ("P14NADJD", "adjnetinccold"), ("P14TNADJ", "adjnetinctot"),
+    ("P14QDISA", "qlfydistriba"), ("P14QDISB", "qlfydistribb"), ("P14QDISC", "qlfydistribc"),
+    ("P14QDISD", "qlfydistribd"), ("P14TQDIS", "qlfydistribtot"), ("P14ASVLA", "valassetscola"),
+    ("P14ASVLB", "valassetscolb"), ("P14ASVLC", "valassetscolc"), ("P14ASVLD", "valassetscold"),
+    ("P14TASVL", "valassetstot"), ("P14A4942", "qlfyasseta"), ("P14B4942", "qlfyassetb"),
+    ("P14C4942", "qlfyassetc"), ("P14D4942", "qlfyassetd"), ("P14T4942", "qlfyassettot"),
+    ("P14ENDWA", "endwmntscola"), ("P14ENDWB", "endwmntscolb"), ("P14ENDWC", "endwmntscolc"),
+    ("P14ENDWD", "endwmntscold"), ("P14TENDW", "endwmntstot"), ("P14TSUPA", "totsuprtcola"),
+    ("P14TSUPB", "totsuprtcolb"), ("P14TSUPC", "totsuprtcolc"), ("P14TSUPD", "totsuprtcold"),
+    ("P14TTSUP", "totsuprttot"), ("P14PSUPA", "pubsuprtcola"), ("P14PSUPB", "pubsuprtcolb"),
+    ("P14PSUPC", "pubsuprtcolc"), ("P14PSUPD", "pubsuprtcold"), ("P14TPSUP", "pubsuprttot"),
+    ("P14GINVA", "grsinvstinca"), ("P14GINVB", "grsinvstincb"), ("P14GINVC", "grsinvstincc"),
+    ("P14GINVD", "grsinvstincd"), ("P14TGINV", "grsinvstinctot"), ("SUBSECCD", "subcd"),
+]
+DROP_IF_EMPTY_PF = [
+    "netinvstinc", "totaxpyr", "adjnetinc", "totassetsend", "invstgovtoblig", "invstcorpstk",
+    "invstcorpbnd", "totinvstsec", "totliabend", "fairmrktvalamt", "undistribincyr",
+    "cmpmininvstret", "sec4940notxcd", "sec4940redtxcd", "infleg", "contractncd", "claimstatcd",
+    "propexchcd", "brwlndmnycd", "furngoodscd", "paidcmpncd", "trnsothasstscd", "agremkpaycd",
+    "undistrinccd", "dirindirintcd", "invstjexmptcd", "propgndacd", "excesshldcd",
+    "grntindivcd", "nchrtygrntcd", "nreligiouscd", "grsrents", "costsold", "totrcptnetinc",
+    "trcptadjnetinc", "topradmnexpnsa", "topradmnexpnsb", "topradmnexpnsd", "totexpnsnetinc",
+    "totexpnsadjnet", "othrcashamt", "mrtgloans", "othrinvstend", "fairmrktvaleoy",
+    "mrtgnotespay", "tfundnworth", "invstexcisetx", "sect511tx", "subtitleatx", "esttaxcr",
+    "txwithldsrc", "txpaidf2758", "erronbkupwthld", "estpnlty", "crelamt", "tfairmrktunuse",
+    "distribamt", "adjnetinccola", "adjnetinccolb", "adjnetinccolc", "adjnetinccold",
+    "adjnetinctot", "qlfydistriba", "qlfydistribb", "qlfydistribc", "qlfydistribd",
+    "qlfydistribtot", "valassetscola", "valassetscolb", "valassetscolc", "valassetscold",
+    "valassetstot", "qlfyasseta", "qlfyassetb", "qlfyassetc", "qlfyassetd", "qlfyassettot",
+    "endwmntscola", "endwmntscolb", "endwmntscolc", "endwmntscold", "endwmntstot",
+    "totsuprtcola", "totsuprtcolb", "totsuprtcolc", "totsuprtcold", "totsuprttot",
+    "pubsuprtcola", "pubsuprtcolb", "pubsuprtcolc", "pubsuprtcold", "pubsuprttot",
+    "grsinvstinca", "grsinvstincb", "grsinvstincc", "grsinvstincd", "grsinvstinctot",
+]
+# ---------------------------------------------------------------------------
+
+CROSSWALKS = {"EZ": CROSSWALK_EZ, "FULL": CROSSWALK_FULL, "PF": CROSSWALK_PF}
+DROP_LISTS = {"EZ": DROP_IF_EMPTY_EZ, "FULL": DROP_IF_EMPTY_FULL, "PF": DROP_IF_EMPTY_PF}
 
 
 def read_pairs(path: str, skip_header: bool = True) -> list[tuple[str, str]]:
