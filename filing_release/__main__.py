@@ -56,7 +56,8 @@ def build(args, spark) -> int:
         priors=_prior_tables(spark, args.prior_root, args.year, args.backfill_depth),
         fixes={t: extracts.read_optional(spark, f"{args.fixes_root}/{t.lower()}_{args.year}_validate")
                for t in ("CO", "PC", "PF")} if args.fixes_root else {},
-        numeric_columns=config.read_names(args.numeric_columns) if args.numeric_columns else (),
+        numeric_columns=config.read_names(args.numeric_columns) if args.numeric_columns
+        else list(config.AMOUNT_COLUMNS),
         final_lists=opt_lists)
     inp.fixes = {k: v for k, v in inp.fixes.items() if v is not None}
     if args.pf_crosswalk:

@@ -128,6 +128,45 @@ DROP_IF_EMPTY_PF = [
 ]
 # ---------------------------------------------------------------------------
 
+# ---------------------------------------------------------------------------
+# Amount columns made numeric after the read (B8), as listed
+# (a few names repeat; repeats are harmless).
+# ---------------------------------------------------------------------------
+AMOUNT_COLUMNS = [
+    "ACCNTINGFEES", "ACCNTSPAYABLEEND", "ACCNTSRCVBLEND", "ADVRTPROMO", "ASS_EOY",
+    "BENIFITSMEMBRS", "BOND_EOY", "COMPENS", "COMPNSATNANDOTHR", "CONT", "CONVERCONVENTMTNG",
+    "CURRFRMRCVBLEND", "DEFEREDREVNUEND", "DEPRCATNDEPLETN", "DIREXP", "DUESASSESMNTS",
+    "ESCRWACCNTLIABEND", "EXPS", "FEESFORSRVCLOBBY", "FEESFORSRVCMGMT", "FEESFORSRVCINVSTMGMT",
+    "FEESFORSRVCOTHR", "FISYR", "FUNDBAL", "FUNDFEES", "GOODS", "GRNSTTOINDIV",
+    "GRNTSPAYABLEEND", "GRNTSTOFRGNGOVT", "GRNTSTOGOVT", "GRPROF", "GRSINCFNDRSNG",
+    "GRSINCGAMING", "GRSRNTSPRSNL", "GRSRNTSREAL", "INFOTECH", "INSURANCE",
+    "INTANGIBLEASSETSEND", "INTERESTAMT", "INVENTG", "INVINC", "INVNTRIESALESEND",
+    "INVSTMNTSEND", "INVSTMNTSOTHREND", "INVSTMNTSPRGMEND", "LEGALFEES", "LESSDIRFNDRSNG",
+    "LESSDIRGAMING", "LIAB_EOY", "LNDBLDGSEQUIPEND", "MISCREVTOTA", "MISCREVTOT11B",
+    "MISCREVTOT11C", "MISCREVTOT11D", "MRTG_EOY", "NETGNLS", "NETINC", "NETINCFNDRSNG",
+    "NETINCGAMING", "NETRENT", "NONINTCASHEND", "NOTESLOANSRCVBLEND", "OCCUPANCY", "OFFICEXPNS",
+    "OTHINC", "OTHRASSETSEND", "OTHREMPLYEEBENEF", "OTHREXPNSA", "OTHREXPNSB", "OTHREXPNSC",
+    "OTHREXPNSD", "OTHREXPNSE", "OTHREXPNSF", "OTHRLIABEND", "OTHSAL", "OVERPAY", "P1TOTEXP",
+    "P1TOTREV", "P2TASFMV", "P2TOTAST", "P6ESTTX", "P6TEXCTX", "P6TXINV", "P6TXPNLT",
+    "P6TXWERR", "P6TXWTH", "PAYBLETOFFCRSEND", "PAYTAX", "PENSIONPLANCONTRB",
+    "PLDGEGRNTRCVBLEND", "PREPAIDEXPNSEND", "PRGMSERVREV", "PROGREV", "PYMTOAFFILIATES",
+    "RCVBLDISQUALEND", "RNTLEXPNSPRSNL", "RNTLEXPNSREAL", "RNTLINCREAL", "RNTLINCPRSNL",
+    "ROYALTSEXPNS", "ROYALTSINC", "SALEOTHE", "SALEOTHG", "SALEOTHN", "SALESECN", "SALESEXP",
+    "STYEAR", "SVNGSTEMPINVEND", "TAXDUE", "TOTEXCAPGN", "TOTEXCAPLS", "TOTNETLIABASTEND",
+    "TOTREV", "TOTREV2", "TOTREV2ACOLA", "TOTREV2BCOLA", "TOTREV2CCOLA", "TOTREV2DCOLA",
+    "TOTREV2ECOLA", "TOTREV2FCOLA", "TRAVEL", "TRAVELOFPUBLICOFFCL", "TXEXMPTBNDSPROCEEDS",
+    "UNSECUREDNOTESEND", "P1TOTREV", "P1TCONT", "P1INTREV", "P1DIVID", "P1GRENTS", "P1NGASTS",
+    "P1GINVPF", "P1OTHINC", "P1TOTEXP", "P1ADMEXP", "P1CONTPD", "P1EXCREV", "P1TOTREV",
+    "P1TOTEXP", "P14TNADJ", "P14NADJA", "P14NADJB", "P14NADJC", "P14NADJD", "P14TQDIS",
+    "P14QDISA", "P14QDISB", "P14QDISC", "P14QDISD", "P14TASVL", "P14ASVLA", "P14ASVLB",
+    "P14ASVLC", "P14ASVLD", "P14T4942", "P14A4942", "P14B4942", "P14C4942", "P14D4942",
+    "P14TENDW", "P14ENDWA", "P14ENDWB", "P14ENDWC", "P14ENDWD", "P14TTSUP", "P14TSUPA",
+    "P14TSUPB", "P14TSUPC", "P14TSUPD", "P14TPSUP", "P14PSUPA", "P14PSUPB", "P14PSUPC",
+    "P14PSUPD", "P14TGINV", "P14GINVA", "P14GINVB", "P14GINVC", "P14GINVD", "P2TINVSC",
+    "P2GVTINV", "P2CRPSTK", "P2CRPBND", "TOTREVP", "EXPSP", "ASS_BOY",
+]
+# ---------------------------------------------------------------------------
+
 CROSSWALKS = {"EZ": CROSSWALK_EZ, "FULL": CROSSWALK_FULL, "PF": CROSSWALK_PF}
 DROP_LISTS = {"EZ": DROP_IF_EMPTY_EZ, "FULL": DROP_IF_EMPTY_FULL, "PF": DROP_IF_EMPTY_PF}
 

@@ -115,7 +115,7 @@ class ReleaseInputs:
     drop_lists: Mapping[str, Sequence[str]] = field(default_factory=lambda: dict(config.DROP_LISTS))
     crosswalks: Mapping[str, Sequence[tuple[str, str]]] = field(
         default_factory=lambda: dict(config.CROSSWALKS))
-    numeric_columns: Sequence[str] = ()
+    numeric_columns: Sequence[str] = field(default_factory=lambda: list(config.AMOUNT_COLUMNS))
     final_lists: Mapping[str, Sequence[str]] = field(default_factory=dict)
     unique_classification: bool = True
 
