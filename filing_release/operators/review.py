@@ -92,7 +92,7 @@ def work_queue(flagged: DataFrame, form: str, threshold: float = 1000.0,
     for c in rcols:
         over = over | (F.abs(F.col(c)) > threshold)
     df = df.filter((st != IGNORED) & (over | ~st.isin(FIXED, CHECKED)))
-    init = {f"{f}_adjusted_by": F.lit(0.0) for f in fields}
+    init = {f"{f.lower()}_adjusted_by": F.lit(0.0) for f in fields}
     init.update({"validated_by": F.lit(""), "EXPLANATION": F.lit("")})
     return df.withColumns(init).withColumn("REASON_RANK", reason_rank())
 
@@ -135,7 +135,7 @@ def apply_adjustments(rows: DataFrame, adjustments: DataFrame, fields: Sequence[
                       rule_forms: Sequence[str] = ("EZ", "FULL"),
                       kind_col: str | None = "SOURCE_KIND") -> DataFrame:
     """L1 + L2: new value = (last level, else current) + later deltas; the
-    change is accumulated in ``<field>_adjusted_by``; each changed field is
+    change is accumulated in ``<field lower-cased>_adjusted_by``; each changed field is
     appended once to MANUALLY_FIXED; residuals are recomputed."""
     net = net_adjustments(adjustments.filter(F.col("field").isin(list(fields))))
     # fixed field list -> conditional aggregation (pivot without a values pass)
@@ -151,7 +151,7 @@ def apply_adjustments(rows: DataFrame, adjustments: DataFrame, fields: Sequence[
         a = F.col(f"_a_{f}")
         new = F.when(a.isNull(), F.col(f)).otherwise(
             F.coalesce(a["level"], F.col(f)) + a["delta"])
-        adj[f"{f}_adjusted_by"] = F.coalesce(new - F.col(f), F.lit(0.0))
+        adj[f"{f.lower()}_adjusted_by"] = F.coalesce(new - F.col(f), F.lit(0.0))
         new_vals[f] = new
     prev = F.filter(F.split(F.coalesce(F.col(FIXED_COL), F.lit("")), " "), lambda x: x != "")
     fixed = F.array_join(F.array_distinct(F.concat(prev, F.coalesce(F.col("_changed"),

@@ -608,14 +608,14 @@ _RANK_SQL = "CASE VALIDATION_REASON " + " ".join(
 
 @register("review_queue", o.with_ctes(*o.stages_until("res")) + _FLAGS_CTE + f"""
 SELECT RELEASE, EIN, VALIDATION_REASON, {_RANK_SQL} AS REASON_RANK, TOTREV2, VALIDATION_STATE,
-  0.0::double AS FUNDBAL_adjusted_by, '' AS validated_by, '' AS EXPLANATION
+  0.0::double AS fundbal_adjusted_by, '' AS validated_by, '' AS EXPLANATION
 FROM flagged WHERE VALIDATION_STATE <> 2 AND (
   {" OR ".join(f"abs(coalesce({c}, 0)) > {TOL}" for c in _RES)} OR VALIDATION_STATE NOT IN (1, 3))""")
 def review_queue(spark: SparkSession, d: str) -> DataFrame:
     q = rv.work_queue(_flagged(spark, d), "CO", TOL, fields=["FUNDBAL"])
     return rv.queue_order(q, "CO").select(
         "RELEASE", "EIN", "VALIDATION_REASON", "REASON_RANK", "TOTREV2", "VALIDATION_STATE",
-        "FUNDBAL_adjusted_by", "validated_by", "EXPLANATION")
+        "fundbal_adjusted_by", "validated_by", "EXPLANATION")
 
 
 def _pairs_sql() -> str:
@@ -660,7 +660,7 @@ def _adj_sql() -> str:
         a = f"n_{f}"
         new = f"CASE WHEN {a}.EIN IS NULL THEN r.{f} ELSE coalesce({a}.level, r.{f}) + {a}.delta END"
         rep.append(f"{new} AS {f}")
-        extra.append(f"coalesce(({new}) - r.{f}, 0.0) AS {f}_adjusted_by")
+        extra.append(f"coalesce(({new}) - r.{f}, 0.0) AS {f.lower()}_adjusted_by")
     joins = " ".join(f"LEFT JOIN net n_{f} ON n_{f}.EIN = r.EIN AND n_{f}.field = '{f}'"
                      for f in _ADJ_FIELDS)
     res2 = ", ".join(f"{e} AS {n}" for n, e in o.residual_sql())
@@ -692,7 +692,7 @@ adjd AS (SELECT r.* EXCLUDE ({_RES_SQL}) REPLACE ({", ".join(rep)},
 res2 AS (SELECT *, {res2} FROM adjd)"""
 
 
-_ADJ_OUT = ["RELEASE", "EIN", *_ADJ_FIELDS, *[f"{f}_adjusted_by" for f in _ADJ_FIELDS],
+_ADJ_OUT = ["RELEASE", "EIN", *_ADJ_FIELDS, *[f"{f.lower()}_adjusted_by" for f in _ADJ_FIELDS],
             "MANUALLY_FIXED", "validated_by", "EXPLANATION", "ADJUSTED",
             "validate_ez_ass_eoy", "validate_ez_netinc", "validate_fu_fundbal", "validate_fu_totrev2"]
 
@@ -744,7 +744,7 @@ def review_state(spark: SparkSession, d: str) -> DataFrame:
 
 
 @register("ledger_export", o.with_ctes(*o.stages_until("res")) + _adj_sql() + _STATE_CTE + f"""
-SELECT EIN, {", ".join(f"{f}_adjusted_by" for f in _ADJ_FIELDS)}, validated_by, EXPLANATION FROM st
+SELECT EIN, {", ".join(f"{f.lower()}_adjusted_by" for f in _ADJ_FIELDS)}, validated_by, EXPLANATION FROM st
 WHERE NEW_STATE > 0 OR coalesce(EXPLANATION <> '', false)""")
 def ledger_export(spark: SparkSession, d: str) -> DataFrame:
     s = _states(spark, d).withColumn("VALIDATION_STATE", F.col("NEW_STATE"))

@@ -64,5 +64,5 @@ def test_build_then_review(spark):
     ledger = spark.read.parquet(f"{root}/ledger")
     assert fixes.count() == ledger.count() == rv_.count()
     assert fixes.filter("VALIDATION_STATE = 1").count() == fixes.count()
-    assert "FUNDBAL_adjusted_by" in ledger.columns and "FUNDBAL_adjusted_by" not in fixes.columns
+    assert "fundbal_adjusted_by" in ledger.columns and "fundbal_adjusted_by" not in fixes.columns
     assert os.path.isdir(f"{root}/review_summary/2000")

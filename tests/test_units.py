@@ -239,7 +239,7 @@ def test_adjustments_level_then_delta(spark):
         ("a", "FUNDBAL", "delta", 5.0, "u2", "5", dt(2020, 1, 3), 3),
     ], review.ADJUSTMENTS_SCHEMA)
     out = review.apply_adjustments(rows_, adj, ["FUNDBAL"]).first()
-    assert out["FUNDBAL"] == 50.0 and out["FUNDBAL_adjusted_by"] == 10.0
+    assert out["FUNDBAL"] == 50.0 and out["fundbal_adjusted_by"] == 10.0
     assert out["MANUALLY_FIXED"] == "FUNDBAL" and out["validated_by"] == "u2"
     assert out["EXPLANATION"] == review.EXPLANATIONS["5"] and out["validate_ez_ass_eoy"] == 0.0
 
