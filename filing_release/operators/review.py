@@ -156,7 +156,8 @@ def apply_adjustments(rows: DataFrame, adjustments: DataFrame, fields: Sequence[
     prev = F.filter(F.split(F.coalesce(F.col(FIXED_COL), F.lit("")), " "), lambda x: x != "")
     fixed = F.array_join(F.array_distinct(F.concat(prev, F.coalesce(F.col("_changed"),
                                                                     F.array().cast("array<string>")))), " ")
-    out = j.withColumns({**adj, "validated_by": F.coalesce(F.col("_who.user"), F.lit("")),
+    out = j.withColumns({**adj, "_FIXED_BEFORE": F.coalesce(F.col(FIXED_COL), F.lit("")),
+                         "validated_by": F.coalesce(F.col("_who.user"), F.lit("")),
                          "EXPLANATION": F.coalesce(explanation_text(F.col("_who.explanation")),
                                                    F.lit("")),
                          FIXED_COL: fixed, "ADJUSTED": F.col("_changed").isNotNull()})
@@ -167,14 +168,19 @@ def apply_adjustments(rows: DataFrame, adjustments: DataFrame, fields: Sequence[
 
 # --- L3 ---------------------------------------------------------------------------------
 def review_state(df: DataFrame, action: str = "action", threshold: float = 1000.0,
-                 changed: str = "ADJUSTED") -> DataFrame:
+                 changed: str = "ADJUSTED", fields: Sequence[str] = (),
+                 rule_forms: Sequence[str] = ("EZ", "FULL"),
+                 kind_col: str | None = "SOURCE_KIND") -> DataFrame:
     """L3: next VALIDATION_STATE per row from the reviewer's action.
 
     fix        -> 1 if something changed, else rejected
     fix_ignore -> 2 if something changed and residuals remain, else as fix
     check      -> 3 if nothing changed and no residual over threshold
-    ignore     -> 2;  skip / reset -> 0 with original values
-    Rejected actions keep the old state and say why.
+    ignore     -> 2;  skip / reset -> 0 with the original values
+    Rejected actions keep the old state and say why.  For skip / reset the
+    round's edits of ``fields`` are undone (value minus its adjustment),
+    the adjustment, reviewer and explanation are cleared, the fixed-field
+    list is restored and the residuals are recomputed.
     """
     rcols = residual_columns(df)
     worst = F.greatest(*[F.abs(F.coalesce(F.col(c), F.lit(0.0))) for c in rcols]) \
@@ -193,8 +199,26 @@ def review_state(df: DataFrame, action: str = "action", threshold: float = 1000.
             .when((a == "check") & ch, "changes made")
             .when(a == "check", "residual over threshold")
             .otherwise("unknown action"))
-    return df.withColumns({"NEW_STATE": F.coalesce(new, old), "ACCEPTED": new.isNotNull(),
-                           "REJECT_REASON": why})
+    out = df.withColumns({"NEW_STATE": F.coalesce(new, old), "ACCEPTED": new.isNotNull(),
+                          "REJECT_REASON": why})
+    undo = F.coalesce(a.isin("skip", "reset"), F.lit(False))
+    rev = {}
+    for f in fields:
+        adj = f"{f.lower()}_adjusted_by"
+        if adj in out.columns:
+            rev[f] = F.when(undo, F.col(f) - F.col(adj)).otherwise(F.col(f))
+            rev[adj] = F.when(undo, F.lit(0.0)).otherwise(F.col(adj))
+    for c in ("validated_by", "EXPLANATION"):
+        if c in out.columns:
+            rev[c] = F.when(undo, F.lit("")).otherwise(F.col(c))
+    if "_FIXED_BEFORE" in out.columns:
+        rev[FIXED_COL] = F.when(undo, F.col("_FIXED_BEFORE")).otherwise(F.col(FIXED_COL))
+    if changed in out.columns:
+        rev[changed] = F.when(undo, F.lit(False)).otherwise(F.col(changed))
+    out = out.withColumns(rev) if rev else out
+    if fields and rcols:
+        out = add_residuals(out.drop(*rcols), rule_forms, kind_col)
+    return out
 
 
 # --- L4/L5 helpers, L6, L8, L9, L11 ---------------------------------------------------

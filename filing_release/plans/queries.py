@@ -715,6 +715,12 @@ def apply_adjustments(spark: SparkSession, d: str) -> DataFrame:
     return _adjusted_plan(spark, d).select(*_ADJ_OUT)
 
 
+_UNDO = "action IN ('skip', 'reset')"
+_UNDO_SQL = ", ".join(
+    [f"CASE WHEN {_UNDO} THEN {f} - {f.lower()}_adjusted_by ELSE {f} END AS {f}" for f in _ADJ_FIELDS]
+    + [f"CASE WHEN {_UNDO} THEN 0.0 ELSE {f.lower()}_adjusted_by END AS {f.lower()}_adjusted_by"
+       for f in _ADJ_FIELDS]
+    + [f"CASE WHEN {_UNDO} THEN '' ELSE {c} END AS {c}" for c in ("validated_by", "EXPLANATION")])
 _ACTION_SQL = "CASE ORDPRI " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in
                                           dt.ACTION_BY_PRIORITY.items()) + " END"
 _WORST_SQL = "greatest(" + ", ".join(f"abs(coalesce({c}, 0))" for c in _RES) + ")"
@@ -725,7 +731,8 @@ st1 AS (SELECT *, CASE WHEN action = 'ignore' THEN 2 WHEN action IN ('skip', 're
     WHEN action = 'fix_ignore' THEN CASE WHEN ch AND NOT clean THEN 2 WHEN ch THEN 1 END
     WHEN action = 'fix' THEN CASE WHEN ch THEN 1 END
     WHEN action = 'check' THEN CASE WHEN NOT ch AND clean THEN 3 END END AS new FROM st0),
-st AS (SELECT *, coalesce(new, VALIDATION_STATE) AS NEW_STATE, new IS NOT NULL AS ACCEPTED,
+st AS (SELECT * REPLACE ({_UNDO_SQL}), coalesce(new, VALIDATION_STATE) AS NEW_STATE,
+  new IS NOT NULL AS ACCEPTED,
   CASE WHEN new IS NOT NULL THEN '' WHEN action IN ('fix', 'fix_ignore') AND NOT ch THEN 'no change made'
        WHEN action = 'check' AND ch THEN 'changes made' WHEN action = 'check' THEN 'residual over threshold'
        ELSE 'unknown action' END AS REJECT_REASON FROM st1)"""
@@ -733,7 +740,7 @@ st AS (SELECT *, coalesce(new, VALIDATION_STATE) AS NEW_STATE, new IS NOT NULL A
 
 def _states(spark: SparkSession, d: str) -> DataFrame:
     a = _adjusted(spark, d).withColumn("action", dt.reviewer_action())
-    return rv.review_state(a, threshold=TOL)
+    return rv.review_state(a, threshold=TOL, fields=_ADJ_FIELDS)
 
 
 @register("review_state", o.with_ctes(*o.stages_until("res")) + _adj_sql() + _STATE_CTE + """

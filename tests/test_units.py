@@ -281,3 +281,21 @@ def test_unique_guards_never_fan_out(spark):
     pc = spark.createDataFrame([("a", "2015"), ("a", "2014")], "EIN string, EPOSTCARD string")
     assert enrich.enrich_postcard(cur, pc).count() == 2
     assert enrich.enrich_postcard(cur, pc, unique=False).count() == 3
+
+
+def test_skip_restores_original_row(spark):
+    from datetime import datetime as dt
+    rows_ = spark.createDataFrame([("a", "EZ", 100.0, 50.0, 40.0, "CONT", 0),
+                                   ("b", "EZ", 100.0, 50.0, 40.0, "", 0)],
+                                  "EIN string, SOURCE_KIND string, ASS_EOY double, LIAB_EOY double, "
+                                  "FUNDBAL double, MANUALLY_FIXED string, VALIDATION_STATE int")
+    adj = spark.createDataFrame([(e, "FUNDBAL", "delta", 10.0, "u1", "2", dt(2020, 1, 1), 1)
+                                 for e in ("a", "b")], review.ADJUSTMENTS_SCHEMA)
+    done = review.apply_adjustments(rows_, adj, ["FUNDBAL"])
+    acts = spark.createDataFrame([("a", "skip"), ("b", "fix")], "EIN string, action string")
+    out = {r["EIN"]: r for r in review.review_state(done.join(acts, "EIN"), fields=["FUNDBAL"]).collect()}
+    a, b = out["a"], out["b"]
+    assert (a["FUNDBAL"], a["fundbal_adjusted_by"], a["EXPLANATION"], a["validated_by"]) == (40.0, 0.0, "", "")
+    assert a["MANUALLY_FIXED"] == "CONT" and a["NEW_STATE"] == 0 and a["validate_ez_ass_eoy"] == 10.0
+    assert (b["FUNDBAL"], b["NEW_STATE"], b["MANUALLY_FIXED"]) == (50.0, 1, "FUNDBAL")
+    assert b["validate_ez_ass_eoy"] == 0.0
