@@ -85,8 +85,8 @@ def review(args, spark) -> int:
     done = rv.apply_adjustments(flagged, adj, fields)
     if args.actions:
         acts = spark.read.parquet(args.actions).select("EIN", "action")
-        done = rv.review_state(done.join(acts, "EIN", "left"), threshold=args.threshold) \
-            .withColumn("VALIDATION_STATE", F.col("NEW_STATE"))
+        done = rv.review_state(done.join(acts, "EIN", "left"), threshold=args.threshold,
+                               fields=fields).withColumn("VALIDATION_STATE", F.col("NEW_STATE"))
     done = done.persist()
     fixes, ledger = rv.export_review(done, changes_only=args.changes_only)
     sinks.write_review_outputs(fixes, ledger, args.fixes_out, args.ledger_out)

@@ -290,7 +290,7 @@ def export_review(df: DataFrame, changes_only: bool = False) -> tuple[DataFrame,
         df = df.filter((F.col(STATE_COL).cast("int") > 0)
                        | F.coalesce(F.col("EXPLANATION") != "", F.lit(False)))
     led = ledger_columns(df)
-    fixes = df.select(*[c for c in df.columns if c not in set(led)])
+    fixes = df.select(*[c for c in df.columns if c not in set(led) and not c.startswith("_")])
     ledger = df.select("EIN", *led)
     return fixes, ledger
 
