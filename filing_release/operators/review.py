@@ -124,11 +124,12 @@ def net_adjustments(adjustments: DataFrame, money_places: int = 6) -> DataFrame:
     # summed deltas are rounded past the last real money digit so the
     # result does not depend on the order partial sums were combined in
     deltas = d.filter(after).groupBy(*k).agg(F.round(F.sum("amount"), money_places).alias("_delta"))
-    # both sides are unique per (EIN, field): the full outer join yields
-    # every edited pair once
-    return (lv.select(*k, F.col("_lv.amount").alias("level"))
-            .join(deltas, k, "full_outer")
-            .select(*k, "level", F.coalesce(F.col("_delta"), F.lit(0.0)).alias("delta")))
+    # every edited pair once, with its first edit (for the fixed-field order)
+    first = adjustments.groupBy(*k).agg(F.min(F.struct("ts", "seq")).alias("_first"))
+    return (first.join(lv, k, "left").join(deltas, k, "left")
+            .select(*k, F.col("_lv.amount").alias("level"),
+                    F.coalesce(F.col("_delta"), F.lit(0.0)).alias("delta"),
+                    F.col("_first.ts").alias("first_ts"), F.col("_first.seq").alias("first_seq")))
 
 
 def apply_adjustments(rows: DataFrame, adjustments: DataFrame, fields: Sequence[str],
@@ -136,13 +137,16 @@ def apply_adjustments(rows: DataFrame, adjustments: DataFrame, fields: Sequence[
                       kind_col: str | None = "SOURCE_KIND") -> DataFrame:
     """L1 + L2: new value = (last level, else current) + later deltas; the
     change is accumulated in ``<field lower-cased>_adjusted_by``; each changed field is
-    appended once to MANUALLY_FIXED; residuals are recomputed."""
+    appended once to MANUALLY_FIXED, in the order fields were first edited;
+    residuals are recomputed."""
     net = net_adjustments(adjustments.filter(F.col("field").isin(list(fields))))
     # fixed field list -> conditional aggregation (pivot without a values pass)
     per_ein = net.groupBy("EIN").agg(
         *[F.max(F.when(F.col("field") == f, F.struct("level", "delta"))).alias(f"_a_{f}")
           for f in fields],
-        F.array_sort(F.collect_set("field")).alias("_changed"))
+        # fields in first-edit order (bounded by the field list)
+        F.transform(F.array_sort(F.collect_list(F.struct("first_ts", "first_seq", "field"))),
+                    lambda x: x["field"]).alias("_changed"))
     who = adjustments.filter(F.col("field").isin(list(fields))).groupBy("EIN").agg(
         F.max(F.struct("ts", "seq", "user", "explanation")).alias("_who"))
     j = rows.join(per_ein.join(who, "EIN"), "EIN", "left")

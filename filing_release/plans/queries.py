@@ -683,7 +683,9 @@ net AS (SELECT k.EIN, k.field, lv.level, coalesce(dl.delta, 0.0) AS delta
   LEFT JOIN dl ON k.EIN = dl.EIN AND k.field = dl.field),
 who AS (SELECT EIN, usr, expl FROM (SELECT *, row_number() OVER (PARTITION BY EIN ORDER BY ts DESC, seq DESC)
   AS rn FROM adj) WHERE rn = 1),
-chg AS (SELECT EIN, array_to_string(list_sort(list_distinct(list(field))), ' ') AS fixed FROM net GROUP BY EIN),
+fe AS (SELECT EIN, field, ts AS fts, seq AS fseq FROM (SELECT *, row_number() OVER (
+  PARTITION BY EIN, field ORDER BY ts, seq) AS rn FROM adj) WHERE rn = 1),
+chg AS (SELECT EIN, array_to_string(list(field ORDER BY fts, fseq), ' ') AS fixed FROM fe GROUP BY EIN),
 adjd AS (SELECT r.* EXCLUDE ({_RES_SQL}) REPLACE ({", ".join(rep)},
     coalesce(chg.fixed, '') AS MANUALLY_FIXED), {", ".join(extra)},
   coalesce(who.usr, '') AS validated_by, coalesce({_EXPL_SQL.replace('expl', 'who.expl')}, '') AS EXPLANATION,
