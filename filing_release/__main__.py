@@ -72,7 +72,7 @@ def build(args, spark) -> int:
         res.summary.write.mode("overwrite").parquet(f"{args.review_out}_summary/{args.year}")
     written = sinks.write_release(res.tables, args.out, args.year, gate_open=res.publish)
     print({"published": written, "flagged": res.failed, "audit": res.audit_counts()})
-    if not res.publish and not args.partial:
+    if res.failed and not args.partial:
         return 2                       # K5: hard stop, review extract written
     return 0
 

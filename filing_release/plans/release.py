@@ -191,7 +191,7 @@ class ReleaseResult:
     flagged: dict[str, DataFrame]
     summary: DataFrame | None
     failed: bool            # any flagged row (F, L or C)
-    publish: bool           # K6: nothing flagged, or fixes were integrated
+    publish: bool           # K6: nothing flagged, or a partial build with integrated fixes
     audit: dict = field(default_factory=dict)   # E8: step -> observed counts
 
     def audit_counts(self) -> dict[str, dict]:
@@ -279,7 +279,9 @@ def build_release(spark: SparkSession, inp: ReleaseInputs, opt: ReleaseOptions,
             tables[t] = schema.final_projection(
                 tables[t], cols, source_names=full_names if t.endswith("_full") else None)[0]
     summary = schema.union_by_name(summaries) if summaries else None
-    publish = (not any_flag) or bool(inp.fixes)
+    # K5/K6: flagged rows stop a full build (fixes or not); a partial build
+    # publishes when fixes were integrated
+    publish = (not any_flag) or (opt.partial_validation and bool(inp.fixes))
     return ReleaseResult(tables, flagged_tables, summary, any_flag, publish, audit)
 
 
@@ -288,5 +290,5 @@ class ReleaseHalted(RuntimeError):
 
 
 def check_hard_stop(result: ReleaseResult, opt: ReleaseOptions) -> None:
-    if result.failed and not opt.partial_validation and not result.publish:
+    if result.failed and not opt.partial_validation:
         raise ReleaseHalted("validation flagged rows; review extract written, release not published")
