@@ -171,6 +171,8 @@ def prepare_form(df: DataFrame, form: str, inp: ReleaseInputs,
     k1, k2 = codes.filing_keys()
     df = df.withColumn("FISYR", codes.fiscal_year())
     df = df.withColumns({"ACCPER": codes.accounting_period(), "NCCSKEY": k1, "NCCSKEY2": k2,
+                         "RANDNUM": unit_random([c for c in ("EIN", "TAXPER", "SOURCE")
+                                                 if c in df.columns]),
                          **(codes.classification_columns() if "NTEEFINAL" in df.columns else {})})
     df = MONEY_BY_FORM[form](df)
     extra = {"FILENAME": codes.file_name(form)}
@@ -239,8 +241,6 @@ def build_release(spark: SparkSession, inp: ReleaseInputs, opt: ReleaseOptions,
         score = pf_size_score() if t == "PF" else size_score()
         out[t] = deduplicate(out[t], y, score=score, year_shift=(t != "PF"))
         out[t] = _observe(out[t], audit, f"{t}_deduplicated")
-        out[t] = out[t].withColumn("RANDNUM", unit_random(
-            [c for c in ("EIN", "TAXPER", "SOURCE") if c in out[t].columns]))
         if t in inp.fixes:
             fixes_applied[t] = corr.fix_count(inp.fixes[t]).first()[0]
             out[t] = corr.integrate_fixes(out[t], inp.fixes[t], inp.numeric_columns)
