@@ -21,16 +21,17 @@ PRIOR_NUMERIC = ["TOTREVP", "EXPSP", "ASS_BOY"]
 
 def prior_year_join(df: DataFrame, prior: DataFrame, fields: Sequence[str] = PRIOR_FIELDS,
                     fisyr: str = "FISYR", key: str | Sequence[str] = "EIN",
-                    unique_prior: bool = True) -> DataFrame:
+                    unique_prior: bool = False) -> DataFrame:
     """Attach release Y-1 fields, renamed by B7.
 
     When FISYR <> FISYRP + 1, or either is null, every joined column is
     nulled and INPRIOR is '0'; otherwise INPRIOR is '1'.
 
-    A published release is unique per key; ``unique_prior`` guards that
-    with one deterministic row per key (a no-op on valid input, and the
-    aggregate's key partitioning is reused by the join), so a damaged prior
-    release can never multiply current rows.
+    A published release is unique per key; the build asserts that (D9)
+    before joining.  ``unique_prior=True`` instead reduces the prior to one
+    deterministic row per key - no fan-out even on damaged input, but the
+    aggregate then sits between the shuffle and the join, which stops AQE
+    from splitting a hot current key, so it is off by default.
     """
     keys = [key] if isinstance(key, str) else list(key)
     ren = {k: v for k, v in prior_renames(fields).items() if k in prior.columns}

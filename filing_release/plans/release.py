@@ -144,7 +144,7 @@ def _observe(df: DataFrame, audit: dict | None, name: str, *extra) -> DataFrame:
 
 
 def prepare_form(df: DataFrame, form: str, inp: ReleaseInputs,
-                 audit: dict | None = None) -> DataFrame:
+                 audit: dict | None = None, classification: DataFrame | None = None) -> DataFrame:
     """Steps 2-7 of the build for one source form."""
     cw = inp.crosswalks.get(form, [])
     df, _missing = schema.apply_crosswalk(df, cw)
@@ -158,7 +158,9 @@ def prepare_form(df: DataFrame, form: str, inp: ReleaseInputs,
         df = filters.drop_value(df, "SUBSECCD", "92")
     df = _observe(df, audit, f"{form}_after_drops")
     df = schema.add_review_columns(df)
-    if inp.classification is not None:
+    if classification is not None:          # prepared lookup (see build_release)
+        df = enrich.left_enrich(df, classification, "EIN", on_collision="left")
+    elif inp.classification is not None:
         df = enrich.enrich_classification(df, inp.classification, on_collision="left",
                                           unique=inp.unique_classification)
     if inp.place is not None and "FIPS" in df.columns:
@@ -215,8 +217,26 @@ def build_release(spark: SparkSession, inp: ReleaseInputs, opt: ReleaseOptions,
     apply_defaults(spark)
     y = opt.year
     validate = dict(validate or {})
+    # Lookups that must be unique per EIN are checked up front (one
+    # partially aggregated pass each; at most five offending keys collected)
+    if inp.postcard is not None:
+        enrich.assert_unique(inp.postcard, "EIN", "postcard list")
+    if inp.registry is not None:
+        enrich.assert_unique(inp.registry, "EIN", "registry")
+    for t, years in inp.priors.items():
+        for yy, pdf in years.items():
+            if 0 < y - yy <= max(opt.backfill_depth, 1):
+                enrich.assert_unique(pdf, "EIN", f"prior release {t} {yy}")
+    # the classification master (large, not unique by contract) is reduced
+    # to one row per EIN once and staged: every form's join then reads a
+    # plain scan, so AQE can still split a hot extract key in that join
+    cls = None
+    if inp.classification is not None:
+        lk = enrich.classification_lookup(inp.classification)
+        cls = stage(enrich.one_row_per_key(lk) if inp.unique_classification else lk,
+                    "classification")
     audit: dict = {}
-    forms = {f: prepare_form(df, f, inp, audit) for f, df in inp.extracts.items()}
+    forms = {f: prepare_form(df, f, inp, audit, cls) for f, df in inp.extracts.items()}
     out: dict[str, DataFrame] = {}
     if "EZ" in forms and "FULL" not in forms:
         raise ValueError("EZ without Full cannot form the CO or PC tables")

@@ -276,11 +276,14 @@ def test_unique_guards_never_fan_out(spark):
     from filing_release.operators import enrich
     cur = spark.createDataFrame([("a", 2015), ("b", 2015)], "EIN string, FISYR int")
     pri = spark.createDataFrame([("a", 2014, 1.0), ("a", 2014, 2.0)], "EIN string, FISYR int, TOTREV double")
-    out = prior_year_join(cur, pri)
+    out = prior_year_join(cur, pri, unique_prior=True)
     assert out.count() == 2 and out.filter("EIN = 'a'").first()["TOTREVP"] == 2.0
     pc = spark.createDataFrame([("a", "2015"), ("a", "2014")], "EIN string, EPOSTCARD string")
-    assert enrich.enrich_postcard(cur, pc).count() == 2
-    assert enrich.enrich_postcard(cur, pc, unique=False).count() == 3
+    assert enrich.enrich_postcard(cur, pc, unique=True).count() == 2
+    assert enrich.enrich_postcard(cur, pc).count() == 3
+    import pytest as _pytest
+    with _pytest.raises(AssertionError):
+        enrich.assert_unique(pc, "EIN", "postcard")
 
 
 def test_skip_restores_original_row(spark):
