@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.amounts import parse_amount
@@ -77,12 +77,17 @@ def backfill(current: DataFrame, priors: Mapping[int, DataFrame], form: str | Co
                for c in PRIOR_NUMERIC if c in d.columns}
         parts.append(d.withColumns(num) if num else d)
     cand = union_by_name(parts)
-    # partial aggregation collapses a hot key before the shuffle
     keys = [key] if isinstance(key, str) else list(key)
+    # partial aggregation collapses a hot current key before the shuffle
     have = current.select(*keys).distinct()
     cand = cand.join(have, keys, "left_anti")
-    newest = cand.groupBy(*keys).agg(F.max("_yr").alias("_yr"))
-    back = cand.join(newest, [*keys, "_yr"], "left_semi").drop("_yr")
+    # newest release per key: a key has at most one row per prior release
+    # (releases are unique per key; the build asserts it), so this window's
+    # groups hold at most ``len(priors)`` rows, and it reuses the anti join's
+    # key partitioning - no further shuffle
+    w = Window.partitionBy(*keys)
+    back = cand.withColumn("_newest", F.max("_yr").over(w)) \
+        .filter(F.col("_yr") == F.col("_newest")).drop("_yr", "_newest")
     out = union_by_name([current, back])
     fills = {}
     if STATE_COL in out.columns:
