@@ -24,7 +24,9 @@ def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> Da
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    out = spark.read.parquet(path)
+    # read back with the written schema: column and partition types do not
+    # depend on the session's inference settings
+    out = spark.read.schema(df.schema).parquet(path)
     return out.select(*df.columns) if partition_by else out
 
 
