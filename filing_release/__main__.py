@@ -65,8 +65,10 @@ def build(args, spark) -> int:
     if args.pf_drop_list:
         inp.drop_lists = {**inp.drop_lists, "PF": config.read_names(args.pf_drop_list, skip_header=True)}
     opt = rel.ReleaseOptions(year=args.year, backfill_depth=args.backfill_depth,
-                             tolerance=args.tolerance, partial_validation=args.partial)
-    res = rel.build_release(spark, inp, opt)
+                             tolerance=args.tolerance, partial_validation=args.partial,
+                             output_full=not args.no_full_tables)
+    res = rel.build_release(spark, inp, opt,
+                            validate={t.upper(): False for t in args.skip_validation or []})
     sinks.write_review_extract(res.flagged, args.review_out, args.year)
     if res.summary is not None:
         res.summary.write.mode("overwrite").parquet(f"{args.review_out}_summary/{args.year}")
@@ -79,6 +81,11 @@ def build(args, spark) -> int:
 
 def review(args, spark) -> int:
     flagged = spark.read.parquet(args.flagged)
+    if args.saved:
+        # Resume - saved rows replace the extract's rows; report keys
+        # that are no longer flagged
+        flagged, gone = rv.restore_saved(flagged, spark.read.parquet(args.saved))
+        print({"saved_rows_no_longer_flagged": gone.count()})
     adj = spark.read.schema(rv.ADJUSTMENTS_SCHEMA).parquet(args.adjustments)
     fields = config.read_names(args.fields) if args.fields else rv.FULL_FORM_LINES.keys()
     fields = [f for f in fields if f in flagged.columns]
@@ -109,10 +116,12 @@ def main(argv=None) -> int:
     b.add_argument("--backfill-depth", type=int, default=2)
     b.add_argument("--tolerance", type=float, default=1000.0)
     b.add_argument("--partial", action="store_true")
+    b.add_argument("--skip-validation", action="append", help="table whose rule checks are off")
+    b.add_argument("--no-full-tables", action="store_true")
     b.add_argument("--out", required=True), b.add_argument("--review-out", required=True)
     r = sub.add_parser("review")
     r.add_argument("--flagged", required=True), r.add_argument("--adjustments", required=True)
-    r.add_argument("--actions"), r.add_argument("--fields")
+    r.add_argument("--actions"), r.add_argument("--fields"), r.add_argument("--saved")
     r.add_argument("--threshold", type=float, default=1000.0)
     r.add_argument("--changes-only", action="store_true")
     r.add_argument("--fixes-out", required=True), r.add_argument("--ledger-out", required=True)

@@ -66,3 +66,8 @@ def test_build_then_review(spark):
     assert fixes.filter("VALIDATION_STATE = 1").count() == fixes.count()
     assert "fundbal_adjusted_by" in ledger.columns and "fundbal_adjusted_by" not in fixes.columns
     assert os.path.isdir(f"{root}/review_summary/2000")
+    # resume: a second round starts from the saved fixes
+    assert main(["review", "--flagged", flagged, "--saved", f"{root}/fixes",
+                 "--adjustments", f"{root}/adj", "--fields", f"{root}/fields.txt",
+                 "--fixes-out", f"{root}/fixes2", "--ledger-out", f"{root}/ledger2"]) == 0
+    assert spark.read.parquet(f"{root}/fixes2").count() == rv_.count()
