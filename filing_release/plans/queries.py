@@ -283,7 +283,6 @@ def money_pf(spark: SparkSession, d: str) -> DataFrame:
 # =============================================================================
 from ..operators import corrections as corr  # noqa: E402
 from ..operators import enrich  # noqa: E402
-from ..operators.history import backfill, prior_year_join  # noqa: E402
 from . import release as rel  # noqa: E402
 
 _REGISTRY_SQL = """reg_raw AS (
