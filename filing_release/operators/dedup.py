@@ -59,7 +59,7 @@ def best_per_key(df: DataFrame, key: str, criteria: Sequence[Column]) -> DataFra
 def deduplicate(df: DataFrame, release_year: int, score: Column | None = None,
                 tiebreak: Column | None = None, key: str | Sequence[str] = "EIN", fisyr: str = "FISYR",
                 fisyr_prior: str | None = "FISYRP", year_shift: bool = True,
-                depth: int = 2, styear: Column | None = None) -> DataFrame:
+                depth: int = 2, styear: Column | None = None, literal: bool = False) -> DataFrame:
     """F1 with C6, F2/F3, F4, F5, F6.
 
     * C6: rows with FISYR < Y - depth are dropped first (null too);
@@ -80,6 +80,8 @@ def deduplicate(df: DataFrame, release_year: int, score: Column | None = None,
     best_all = F.max(F.struct(crit.alias("k"), row.alias("r")))
     if not (year_shift and fisyr_prior and fisyr_prior in cols):
         return df.groupBy(*keys).agg(best_all.alias("_b")).select("_b.r.*")
+    if literal:
+        return _literal_year_shift(df, keys, release_year, fisyr, fisyr_prior, crit, row)
 
     y = F.col(fisyr)
     has_prior_y = F.max(((y == release_year) & (F.col(fisyr_prior) == release_year - 1))
@@ -94,6 +96,22 @@ def deduplicate(df: DataFrame, release_year: int, score: Column | None = None,
               .select("_w.r.*")
 
 
+def _literal_year_shift(df: DataFrame, keys: list[str], y: int, fisyr: str, fisyr_prior: str,
+                        crit: Column, row: Column) -> DataFrame:
+    """M1 literal mode (for comparing with releases built by the published
+    tool): the year target is max(FISYR) - 1 when *exactly two* rows of the
+    EIN match either shift pattern, and rows not at the target are dropped
+    - which can drop an EIN entirely.  Two aggregations and a join."""
+    q = ((F.col(fisyr) == y) & (F.col(fisyr_prior) == y - 1)) | \
+        ((F.col(fisyr) == y + 1) & F.col(fisyr_prior).isNull())
+    stats = df.groupBy(*keys).agg(F.count_if(F.coalesce(q, F.lit(False))).alias("_q"),
+                                  F.max(fisyr).alias("_m"))
+    target = F.col("_m") - F.when(F.col("_q") == 2, 1).otherwise(0)
+    kept = df.join(stats, keys).filter(F.col(fisyr) == target)
+    best = F.max(F.struct(crit.alias("k"), row.alias("r")))
+    return kept.groupBy(*keys).agg(best.alias("_b")).select("_b.r.*")
+
+
 def duplicated_rows(df: DataFrame, key: str = "EIN") -> DataFrame:
     """rows whose key occurs more than once (count per key by partial
     aggregation, then a semi join)."""

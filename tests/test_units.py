@@ -302,3 +302,16 @@ def test_skip_restores_original_row(spark):
     assert a["MANUALLY_FIXED"] == "CONT" and a["NEW_STATE"] == 0 and a["validate_ez_ass_eoy"] == 10.0
     assert (b["FUNDBAL"], b["NEW_STATE"], b["MANUALLY_FIXED"]) == (50.0, 1, "FUNDBAL")
     assert b["validate_ez_ass_eoy"] == 0.0
+
+
+def test_dedup_literal_year_shift(spark):
+    df = spark.createDataFrame([
+        ("both", 2015, 2014, "201512", 1.0, 1), ("both", 2015, 2014, "201512", 2.0, 2),   # M1: vanishes
+        ("ok", 2015, 2014, "201512", 1.0, 3), ("ok", 2016, None, "201612", 9.0, 4),       # shift to Y
+        ("one", 2016, None, "201612", 1.0, 5)],
+        "EIN string, FISYR int, FISYRP int, TAXPER string, TOTREV double, id int") \
+        .withColumns({"ASS_EOY": F.lit(0.0), "EXPS": F.lit(0.0)})
+    lit_ = dict(rows(deduplicate(df, 2015, tiebreak=F.col("id"), literal=True), "EIN", "id"))
+    assert lit_ == {"ok": 3, "one": 5}
+    intended = dict(rows(deduplicate(df, 2015, tiebreak=F.col("id")), "EIN", "id"))
+    assert intended == {"both": 2, "ok": 3, "one": 5}
