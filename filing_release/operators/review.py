@@ -62,6 +62,18 @@ FULL_FORM_LINES = {
     "LIAB_EOY": "Part X Line 26 (B)", "RETEARN": "Part X Line 32 (B)",
     "FUNDBAL": "Part X Line 33 (B)",
 }
+# Display groups of full-form fields for reviewers: revenue, expenses, assets.
+FIELD_GROUPS = {
+    "revenue": ["CONT", "PROGREV", "INVINC", "TXEXMPTBNDSPROCEEDS", "ROYALTSINC", "GRSRNTSREAL",
+                "GRSRNTSPRSNL", "RENTINC", "RNTLEXPNSREAL", "RNTLEXPNSPRSNL", "RENTEXP",
+                "RNTLINCREAL", "RNTLINCPRSNL", "NETRENT", "SECUR", "SALESEXP", "SALESECN",
+                "SALEOTHG", "SALEOTHE", "SALEOTHN", "NETGNLS", "GRSINCFNDRSNG", "LESSDIRFNDRSNG",
+                "NETINCFNDRSNG", "GRSINCGAMING", "LESSDIRGAMING", "NETINCGAMING", "SPEVTG",
+                "DIREXP", "FUNDINC", "INVENTG", "GOODS", "GRPROF", "OTHINC", "TOTREV2"],
+    "expenses": ["COMPENS", "OTHSAL", "PAYTAX", "FUNDFEES", "EXPS"],
+    "assets": ["ASS_BOY", "ASS_EOY", "BOND_EOY", "MRTG_EOY", "UNSECUREDNOTESEND", "LIAB_BOY",
+               "LIAB_EOY", "RETEARN", "FUNDBAL"],
+}
 # ---------------------------------------------------------------------------
 
 ACTIONS = ("fix", "fix_ignore", "check", "ignore", "skip", "reset")
@@ -250,7 +262,10 @@ def rule_fields_frame(spark: SparkSession) -> DataFrame:
 
 
 def form_lines_frame(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(FULL_FORM_LINES.items()), "field string, form_line string")
+    """Field -> form line and display group (constant size: 49 rows)."""
+    group = {f: g for g, fs in FIELD_GROUPS.items() for f in fs}
+    return spark.createDataFrame([(f, line, group.get(f)) for f, line in FULL_FORM_LINES.items()],
+                                 "field string, form_line string, display_group string")
 
 
 def explanation_text(code: Column) -> Column:

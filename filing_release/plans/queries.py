@@ -783,8 +783,9 @@ def _rule_fields_sql() -> str:
 
 
 def _lines_sql() -> str:
-    rows = ", ".join(f"('{k}', '{v}')" for k, v in rv.FULL_FORM_LINES.items())
-    return f"lines(field, form_line) AS (VALUES {rows})"
+    group = {f: g for g, fs in rv.FIELD_GROUPS.items() for f in fs}
+    rows = ", ".join(f"('{k}', '{v}', '{group[k]}')" for k, v in rv.FULL_FORM_LINES.items())
+    return f"lines(field, form_line, display_group) AS (VALUES {rows})"
 
 
 _FULL_FIELDS = sorted({f for r in rules.rules_for("FULL") for f in r.fields} & set(o.BASE_NAMES))
@@ -794,7 +795,7 @@ _FULL_FIELDS = sorted({f for r in rules.rules_for("FULL") for f in r.fields} & s
           + _rule_fields_sql() + ",\n" + _lines_sql() + f""",
 vals AS (SELECT RELEASE, EIN, field, value FROM (SELECT RELEASE, EIN, {", ".join(_FULL_FIELDS)} FROM res)
   UNPIVOT (value FOR field IN ({", ".join(_FULL_FIELDS)})))
-SELECT f.RELEASE, f.EIN, f.rule, rf.field, v.value, l.form_line,
+SELECT f.RELEASE, f.EIN, f.rule, rf.field, v.value, l.form_line, l.display_group,
   rf.formula || ' = ' || cast(cast(round(f.residual) AS bigint) AS varchar) AS explanation
 FROM fails f JOIN rf ON f.form = rf.form AND f.rule = rf.rule
 LEFT JOIN vals v ON v.RELEASE = f.RELEASE AND v.EIN = f.EIN AND v.field = rf.field
@@ -810,7 +811,8 @@ def field_line_lookup(spark: SparkSession, d: str) -> DataFrame:
         .join(lines, "field", "left")
     text = F.concat(F.col("formula"), F.lit(" = "),
                     F.round(F.col("residual")).cast("bigint").cast("string"))
-    return j.select("RELEASE", "EIN", "rule", "field", "value", "form_line", text.alias("explanation"))
+    return j.select("RELEASE", "EIN", "rule", "field", "value", "form_line", "display_group",
+                    text.alias("explanation"))
 
 
 # --- I29 ----------------------------------------------------------------------------------------
