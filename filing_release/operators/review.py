@@ -249,16 +249,52 @@ def failures_long(df: DataFrame, threshold: float = 1000.0,
     return long.filter(F.abs(F.col("residual")) > threshold).withColumn("form", form)
 
 
+def shared_fields(form: str) -> set[str]:
+    """Fields used by more than one active rule of a form (marked '*')."""
+    from collections import Counter
+    c = Counter(f for r in CATALOGUE if r.active and r.form == form for f in set(r.fields))
+    return {f for f, n in c.items() if n > 1}
+
+
 def rule_fields_frame(spark: SparkSession) -> DataFrame:
-    """(form, rule, field, pos, sign, formula) for the active rules."""
+    """(form, rule, field, pos, sign, formula, shared) for the active rules
+    (constant size, built from the fixed catalogue)."""
     rows = []
     for r in CATALOGUE:
         if r.active:
-            rows.append((r.form, r.name.upper(), r.total, 0, 1, r.formula))
-            rows += [(r.form, r.name.upper(), f, i + 1, s, r.formula)
+            sh = shared_fields(r.form)
+            rows.append((r.form, r.name.upper(), r.total, 0, 1, r.formula, r.total in sh))
+            rows += [(r.form, r.name.upper(), f, i + 1, s, r.formula, f in sh)
                      for i, (s, f) in enumerate(r.parts)]
     return spark.createDataFrame(rows, "form string, rule string, field string, pos int, "
-                                       "sign int, formula string")
+                                       "sign int, formula string, shared boolean")
+
+
+def failure_text(fails: DataFrame, values: DataFrame, rule_fields: DataFrame,
+                 id_cols: Sequence[str] = ("EIN",)) -> DataFrame:
+    """One line per failing (id, rule): ``$<residual> = TOTAL [v] -
+    (PART [v] + PART* [v] ...)`` with values formatted like ``1,234`` and
+    fields shared with other rules starred; an absent field shows 0.
+
+    ``fails`` has id columns, form, rule, residual; ``values`` has id
+    columns, field, value.  The per-rule parts are aggregated per (id,
+    rule), bounded by the rule's field count."""
+    ids = list(id_cols)
+    j = fails.join(F.broadcast(rule_fields), ["form", "rule"]) \
+        .join(values, [*ids, "field"], "left")
+    token = F.concat(F.col("field"), F.when(F.col("shared"), "*").otherwise(""), F.lit(" ["),
+                     F.format_number(F.coalesce(F.col("value"), F.lit(0.0)), 0), F.lit("]"))
+    piece = F.when(F.col("pos") <= 1, token) \
+        .otherwise(F.concat(F.when(F.col("sign") > 0, " + ").otherwise(" - "), token))
+    g = j.groupBy(*ids, "rule", "residual").agg(
+        F.array_sort(F.collect_list(F.struct("pos", piece.alias("piece")))).alias("_p"))
+    parts = F.col("_p")
+    # the residual is truncated to whole units, field values are rounded
+    text = F.concat(F.lit("$"), F.format_number(F.col("residual").cast("bigint"), 0), F.lit(" = "),
+                    parts[0]["piece"], F.lit(" - ("),
+                    F.array_join(F.transform(F.slice(parts, 2, F.size(parts) - 1), lambda x: x["piece"]), ""),
+                    F.lit(")"))
+    return g.select(*ids, "rule", text.alias("text"))
 
 
 def form_lines_frame(spark: SparkSession) -> DataFrame:

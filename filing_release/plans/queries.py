@@ -804,7 +804,7 @@ def field_line_lookup(spark: SparkSession, d: str) -> DataFrame:
     v = rel.validated_staged(spark, d)
     fails = rv.failures_long(v, TOL, id_cols=["RELEASE", "EIN"]).filter(F.col("form") == "FULL")
     rf = F.broadcast(rv.rule_fields_frame(spark).filter(F.col("form") == "FULL")
-                     .select("form", "rule", "field", "formula"))
+                     .select("form", "rule", "field", "formula"))  # constant size
     vals = rv.field_values_long(v, _FULL_FIELDS, id_cols=["RELEASE", "EIN"])
     lines = F.broadcast(rv.form_lines_frame(spark))
     j = fails.join(rf, ["form", "rule"]).join(vals, ["RELEASE", "EIN", "field"], "left") \
@@ -910,3 +910,39 @@ def residuals_pf(spark: SparkSession, d: str) -> DataFrame:
     pf = _spark_inputs(dt.filings(spark, d).select("FILING_ID", "EIN", "TOTREV2"), _PF_RULE_IN,
                        "TOTREV2").drop("TOTREV2")
     return rules.add_residuals(pf, ("PF",), kind_col=None).select("FILING_ID", "EIN", *_PF_RES)
+
+
+# --- L6 ------------------------------------------------------------------------------------
+_ALL_RULE_FIELDS = sorted({f for form in ("EZ", "FULL") for r in rules.rules_for(form)
+                           for f in r.fields} & set(o.BASE_NAMES))
+
+
+def _rule_parts_sql() -> str:
+    rows = []
+    for form in ("EZ", "FULL"):
+        sh = rv.shared_fields(form)
+        for r in rules.rules_for(form):
+            rows.append(f"('{form}', '{r.name.upper()}', '{r.total}', 0, 1, {str(r.total in sh).lower()})")
+            rows += [f"('{form}', '{r.name.upper()}', '{f}', {i + 1}, {sg}, {str(f in sh).lower()})"
+                     for i, (sg, f) in enumerate(r.parts)]
+    return "rp(form, rule, field, pos, sign, shared) AS (VALUES " + ", ".join(rows) + ")"
+
+
+@register("failure_text", o.with_ctes(*o.stages_until("res")) + _FAILS_SQL + ",\n" + _rule_parts_sql() + f""",
+vals AS (SELECT RELEASE, EIN, field, value FROM (SELECT RELEASE, EIN, {", ".join(_ALL_RULE_FIELDS)} FROM res)
+  UNPIVOT (value FOR field IN ({", ".join(_ALL_RULE_FIELDS)}))),
+pieces AS (SELECT f.RELEASE, f.EIN, f.rule, f.residual, rp.pos,
+  CASE WHEN rp.pos <= 1 THEN '' WHEN rp.sign > 0 THEN ' + ' ELSE ' - ' END || rp.field
+    || CASE WHEN rp.shared THEN '*' ELSE '' END || ' [' || format('{{:,.0f}}', coalesce(v.value, 0.0)) || ']' AS piece
+  FROM fails f JOIN rp ON f.form = rp.form AND f.rule = rp.rule
+  LEFT JOIN vals v ON v.RELEASE = f.RELEASE AND v.EIN = f.EIN AND v.field = rp.field)
+SELECT RELEASE, EIN, rule,
+  '$' || format('{{:,}}', cast(trunc(residual) AS bigint)) || ' = ' || max(CASE WHEN pos = 0 THEN piece END) || ' - ('
+    || coalesce(string_agg(CASE WHEN pos > 0 THEN piece END, '' ORDER BY pos), '') || ')' AS text
+FROM pieces GROUP BY RELEASE, EIN, rule, residual""")
+def failure_text(spark: SparkSession, d: str) -> DataFrame:
+    v = rel.validated_staged(spark, d)
+    fails = rv.failures_long(v, TOL, id_cols=["RELEASE", "EIN"])
+    vals = rv.field_values_long(v, _ALL_RULE_FIELDS, id_cols=["RELEASE", "EIN"])
+    return rv.failure_text(fails.select("RELEASE", "EIN", "form", "rule", "residual"), vals,
+                           rv.rule_fields_frame(spark), id_cols=["RELEASE", "EIN"])
