@@ -946,3 +946,12 @@ def failure_text(spark: SparkSession, d: str) -> DataFrame:
     vals = rv.field_values_long(v, _ALL_RULE_FIELDS, id_cols=["RELEASE", "EIN"])
     return rv.failure_text(fails.select("RELEASE", "EIN", "form", "rule", "residual"), vals,
                            rv.rule_fields_frame(spark), id_cols=["RELEASE", "EIN"])
+
+
+# --- L11 -------------------------------------------------------------------------------------
+@register("review_header", o.with_ctes(*o.stages_until("res")) + _FLAGS_CTE + """
+SELECT EIN, TOTREV2 AS revenue_now, TOTREVP AS revenue_prior, EXPS AS expenses_now,
+  EXPSP AS expenses_prior, ASS_EOY AS assets_now, ASS_BOY AS assets_prior FROM flagged""")
+def review_header(spark: SparkSession, d: str) -> DataFrame:
+    """Now-vs-prior header of every flagged organisation (CO/PC tables)."""
+    return rv.current_vs_prior(_flagged(spark, d), "CO")
