@@ -210,13 +210,14 @@ def flag_rows(df: DataFrame, flags: dict[str, Column], reason: str = "VALIDATION
 
 
 def flag_rows_grouped(df: DataFrame, flags: dict[str, Column], order: Sequence[str],
-                      key: str = "EIN", reason: str = "VALIDATION_REASON") -> DataFrame:
+                      key: str | Sequence[str] = "EIN", reason: str = "VALIDATION_REASON") -> DataFrame:
     """K4/E4/E7 when a key can repeat: letters are OR-ed per key and one
     representative row (smallest ``order`` tuple) is kept - one aggregation
     with map-side combine, so a hot key is never gathered in one task."""
     letters = {k: F.max(v.cast("int")).alias(f"_f{k}") for k, v in flags.items()}
     rep = F.min(F.struct(F.struct(*[F.col(o) for o in order]).alias("k"),
                          F.struct(*df.columns).alias("r")))
-    g = df.groupBy(key).agg(*letters.values(), rep.alias("_rep"))
+    keys = [key] if isinstance(key, str) else list(key)
+    g = df.groupBy(*keys).agg(*letters.values(), rep.alias("_rep"))
     reason_col = reason_letters({k: F.col(f"_f{k}") == 1 for k in flags})
     return g.select("_rep.r.*", reason_col.alias(reason)).filter(F.col(reason) != "")

@@ -271,11 +271,13 @@ def money_ez(spark: SparkSession, d: str) -> DataFrame:
 @register("money_pf", o.with_ctes(o.FILINGS) + f"""
 SELECT FILING_ID,
   greatest(P6ESTTX + P6TXWTH + P6TXINV + P6TXWERR - P6TEXCTX + P6TXPNLT, 0.0) AS P6TXRFD,
-  TOTEXCAPLS + TOTEXCAPGN AS P1NGASTS, TAXDUE - OVERPAY AS TFLD
+  TOTEXCAPLS + TOTEXCAPGN AS P1NGASTS, TAXDUE - OVERPAY AS TFLD,
+  CASE WHEN OVERPAY > TAXDUE THEN OVERPAY ELSE -TAXDUE END AS BALDUOPT
 FROM (SELECT *, {_sql_inputs(_PF_IN, 'ASS_EOY')} FROM filings)""")
 def money_pf(spark: SparkSession, d: str) -> DataFrame:
+    from ..functions.money import pf_balance_due
     f = _spark_inputs(dt.filings(spark, d), _PF_IN, "ASS_EOY")
-    return pf_money(f).select("FILING_ID", "P6TXRFD", "P1NGASTS", "TFLD")
+    return pf_balance_due(pf_money(f)).select("FILING_ID", "P6TXRFD", "P1NGASTS", "TFLD", "BALDUOPT")
 
 
 # =============================================================================
@@ -955,3 +957,31 @@ SELECT EIN, TOTREV2 AS revenue_now, TOTREVP AS revenue_prior, EXPS AS expenses_n
 def review_header(spark: SparkSession, d: str) -> DataFrame:
     """Now-vs-prior header of every flagged organisation (CO/PC tables)."""
     return rv.current_vs_prior(_flagged(spark, d), "CO")
+
+
+# --- E7 (+ E4 on a table where keys repeat) ------------------------------------------------------
+@register("reasons_grouped", o.with_ctes(*o.stages_until("bf")) + f""",
+fl AS (SELECT RELEASE, EIN, FILING_ID,
+  {_changed_sql('TOTREV2', 'TOTREVP')} AND VALIDATION_STATE NOT IN (2, 3) AS c,
+  coalesce(TOTREV2 >= {CHANGE_CUTOFF}, false) AND VALIDATION_STATE NOT IN (2, 3) AS l FROM bf),
+g AS (SELECT RELEASE, EIN, max(c::int) AS fc, max(l::int) AS fl_, min(FILING_ID) AS FILING_ID
+  FROM fl GROUP BY RELEASE, EIN)
+SELECT RELEASE, EIN, FILING_ID,
+  CASE WHEN fc = 1 THEN 'C' ELSE '' END || CASE WHEN fl_ = 1 THEN 'L' ELSE '' END AS VALIDATION_REASON
+FROM g WHERE fc = 1 OR fl_ = 1""")
+def reasons_grouped(spark: SparkSession, d: str) -> DataFrame:
+    """Reason letters OR-ed per key, one representative row (lowest filing
+    id) per key, on the backfilled table where an EIN still repeats."""
+    bf = rel.backfilled(spark, d)
+    big = F.coalesce(F.col("TOTREV2") >= CHANGE_CUTOFF, F.lit(False)) & fl.reviewable()
+    out = fl.flag_rows_grouped(bf.select("RELEASE", "EIN", "FILING_ID", "TOTREV2", "TOTREVP",
+                                         "VALIDATION_STATE"),
+                               {"C": _revenue_change(), "L": big}, order=["FILING_ID"],
+                               key=["RELEASE", "EIN"])
+    return out.select("RELEASE", "EIN", "FILING_ID", "VALIDATION_REASON")
+
+
+def _revenue_change():
+    p, c = F.col("TOTREVP"), F.col("TOTREV2")
+    e = ((p > 0) & (F.abs(c - p) >= p * 0.5)) | ((p == 0) & (c != 0))
+    return F.coalesce(e, F.lit(False)) & fl.reviewable()
