@@ -716,7 +716,9 @@ def _adjusted(spark: SparkSession, d: str) -> DataFrame:
 @register("apply_adjustments", o.with_ctes(*o.stages_until("res")) + _adj_sql() + f"""
 SELECT {", ".join(_ADJ_OUT)} FROM res2""")
 def apply_adjustments(spark: SparkSession, d: str) -> DataFrame:
-    return _adjusted_plan(spark, d).select(*_ADJ_OUT)
+    # the reviewed table is written once per session (the first caller pays
+    # for the adjustment plan); state transitions and exports read it too
+    return _adjusted(spark, d).select(*_ADJ_OUT)
 
 
 _UNDO = "action IN ('skip', 'reset')"
