@@ -38,7 +38,17 @@ def main() -> None:
     only = set(sys.argv[2:])
     spark = local_session(8)
     rows = []
-    for name, (fn, _sql) in QUERIES.items():
+    from filing_release.plans import queries as q
+    from filing_release.plans import release as rel
+    from filing_release.sources import driver_tables as dt
+    stages = {
+        "(stage) base filings": lambda sp, d: dt.base(sp, d, min_year=dt.RELEASE_YEAR - 2),
+        "(stage) prior release": lambda sp, d: dt.base_years(sp, d).filter("FISYR = 1999"),
+        "(stage) validated release": rel.validated,
+        "(stage) reviewed table": q._adjusted_plan,
+    }
+    items = [(n, fn) for n, (fn, _s) in QUERIES.items()] + list(stages.items())
+    for name, fn in items:
         if only and name not in only:
             continue
         df = fn(spark, sf)        # stats passes run here, with the session's normal settings
@@ -60,7 +70,8 @@ def main() -> None:
            "- `python` counts Python evaluation nodes, which must be 0.",
            "",
            "Several queries start from staged parquet (base filings, prior releases, the validated",
-           "release), so their plans begin at that stage.", "",
+           "release, the reviewed table), so their plans begin at that stage. The `(stage)` rows at the",
+           "end show the plans that build those stages.", "",
            "| query | " + " | ".join(cols) + " |", "| --- |" + " --- |" * len(cols)]
     for name, s in rows:
         out.append(f"| `{name}` | " + " | ".join(str(s[c]) for c in cols) + " |")
