@@ -122,26 +122,31 @@ def queue_progress(queue: DataFrame) -> DataFrame:
 
 # --- L1 + L2 ------------------------------------------------------------------------
 def net_adjustments(adjustments: DataFrame, money_places: int = 6) -> DataFrame:
-    """Per (EIN, field): the last ``level`` set (by ts, seq) and the sum of
-    ``delta`` edits after it (all deltas when no level was set).
+    """Per (EIN, field): the last ``level`` set (by ts, seq), the sum of
+    ``delta`` edits after it (all deltas when no level was set), the first
+    edit and the last edit (with its user and explanation).
 
-    Two aggregations with map-side combine plus one N:1 join - no window, so
-    an EIN with very many edits never lands in one task.
+    One aggregation per (EIN, field) plus the delta sum, joined on the same
+    key partitioning; no window, so a key with very many edits never lands
+    in one task unaggregated.
     """
     k = ["EIN", "field"]
-    lv = adjustments.filter(F.col("action") == "level").groupBy(*k).agg(
-        F.max(F.struct("ts", "seq", "amount")).alias("_lv"))
-    d = adjustments.filter(F.col("action") == "delta").join(lv, k, "left")
+    per = adjustments.groupBy(*k).agg(
+        F.max(F.when(F.col("action") == "level", F.struct("ts", "seq", "amount"))).alias("_lv"),
+        F.min(F.struct("ts", "seq")).alias("_first"),
+        F.max(F.struct("ts", "seq", "user", "explanation")).alias("_last"))
+    d = adjustments.filter(F.col("action") == "delta").join(per.select(*k, "_lv"), k)
     after = F.col("_lv").isNull() | (F.struct("ts", "seq") > F.struct("_lv.ts", "_lv.seq"))
     # summed deltas are rounded past the last real money digit so the
     # result does not depend on the order partial sums were combined in
     deltas = d.filter(after).groupBy(*k).agg(F.round(F.sum("amount"), money_places).alias("_delta"))
-    # every edited pair once, with its first edit (for the fixed-field order)
-    first = adjustments.groupBy(*k).agg(F.min(F.struct("ts", "seq")).alias("_first"))
-    return (first.join(lv, k, "left").join(deltas, k, "left")
+    return (per.join(deltas, k, "left")
             .select(*k, F.col("_lv.amount").alias("level"),
                     F.coalesce(F.col("_delta"), F.lit(0.0)).alias("delta"),
-                    F.col("_first.ts").alias("first_ts"), F.col("_first.seq").alias("first_seq")))
+                    F.col("_first.ts").alias("first_ts"), F.col("_first.seq").alias("first_seq"),
+                    F.struct(F.col("_last.ts").alias("ts"), F.col("_last.seq").alias("seq"),
+                             F.col("_last.user").alias("user"),
+                             F.col("_last.explanation").alias("explanation")).alias("last")))
 
 
 def apply_adjustments(rows: DataFrame, adjustments: DataFrame, fields: Sequence[str],
@@ -158,10 +163,10 @@ def apply_adjustments(rows: DataFrame, adjustments: DataFrame, fields: Sequence[
           for f in fields],
         # fields in first-edit order (bounded by the field list)
         F.transform(F.array_sort(F.collect_list(F.struct("first_ts", "first_seq", "field"))),
-                    lambda x: x["field"]).alias("_changed"))
-    who = adjustments.filter(F.col("field").isin(list(fields))).groupBy("EIN").agg(
-        F.max(F.struct("ts", "seq", "user", "explanation")).alias("_who"))
-    j = rows.join(per_ein.join(who, "EIN"), "EIN", "left")
+                    lambda x: x["field"]).alias("_changed"),
+        # the last edit over all fields names the reviewer
+        F.max("last").alias("_who"))
+    j = rows.join(per_ein, "EIN", "left")
     new_vals, adj = {}, {}
     for f in fields:
         a = F.col(f"_a_{f}")
