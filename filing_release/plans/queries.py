@@ -987,3 +987,22 @@ def _revenue_change():
     p, c = F.col("TOTREVP"), F.col("TOTREV2")
     e = ((p > 0) & (F.abs(c - p) >= p * 0.5)) | ((p == 0) & (c != 0))
     return F.coalesce(e, F.lit(False)) & fl.reviewable()
+
+
+# --- D11 -------------------------------------------------------------------------------------
+@register("restore_saved_rows", o.with_ctes(*o.stages_until("res")) + _FLAGS_CTE + _adj_sql()
+          + _STATE_CTE + """,
+sv AS (SELECT * FROM st WHERE NEW_STATE IN (1, 3))
+SELECT f.RELEASE, f.EIN,
+  CASE WHEN sv.EIN IS NOT NULL THEN sv.FUNDBAL ELSE f.FUNDBAL END AS FUNDBAL,
+  CASE WHEN sv.EIN IS NOT NULL THEN sv.EXPS ELSE f.EXPS END AS EXPS,
+  CASE WHEN sv.EIN IS NOT NULL THEN sv.CONT ELSE f.CONT END AS CONT,
+  CASE WHEN sv.EIN IS NOT NULL THEN sv.NEW_STATE ELSE f.VALIDATION_STATE END AS VALIDATION_STATE
+FROM flagged f LEFT JOIN sv ON f.EIN = sv.EIN""")
+def restore_saved_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Resume a review: saved rows (fixed or checked in an earlier session)
+    replace the freshly flagged rows by EIN."""
+    s = _states(spark, d).withColumn("VALIDATION_STATE", F.col("NEW_STATE"))
+    saved, _ledger = rv.export_review(s.filter(F.col("NEW_STATE").isin(1, 3)))
+    restored, _gone = rv.restore_saved(_flagged(spark, d), saved)
+    return restored.select("RELEASE", "EIN", "FUNDBAL", "EXPS", "CONT", "VALIDATION_STATE")
