@@ -208,10 +208,10 @@ def build_release(spark: SparkSession, inp: ReleaseInputs, opt: ReleaseOptions,
     their residuals, the flagged rows per table and the publication gate.
 
     ``validate`` is the per-table switch (J32); L/C extraction runs even
-    for tables whose rule checks are switched off.  With flagged rows and
-    ``partial_validation`` off this raises (K5 hard stop) after the caller
-    has had the chance to write the review extract - call with
-    ``raise_on_flags=False`` semantics by catching ``ReleaseHalted``.
+    for tables whose rule checks are switched off.  The result carries the
+    flagged rows and the gate; the caller writes the review extract, then
+    calls ``check_hard_stop`` (K5), and writes the release only when
+    ``result.publish`` (K6).
     """
     from ..session import apply_defaults
     apply_defaults(spark)
