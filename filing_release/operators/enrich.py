@@ -101,13 +101,14 @@ def enrich_place(df: DataFrame, place: DataFrame, max_rows: int = BROADCAST_MAX_
     return left_enrich(df, lk, "FIPS", broadcast_max_rows=max_rows)
 
 
-def enrich_postcard(df: DataFrame, postcard: DataFrame, unique: bool = False) -> DataFrame:
+def enrich_postcard(df: DataFrame, postcard: DataFrame, unique: bool = False,
+                    on_collision: str = "error") -> DataFrame:
     """D3: left join of the short-form filing year (Full and EZ only).  The
     postcard list is unique per EIN (asserted by the build, D9); ``unique``
     reduces it to one deterministic row per key instead (see
     ``history.prior_year_join`` for why that is not the default)."""
     pc = postcard.select("EIN", "EPOSTCARD")
-    return left_enrich(df, one_row_per_key(pc) if unique else pc, "EIN")
+    return left_enrich(df, one_row_per_key(pc) if unique else pc, "EIN", on_collision)
 
 
 def postcard_flag(fisyr: str = "FISYR", epostcard: str = "EPOSTCARD", literal: bool = False):
@@ -134,13 +135,14 @@ def registry_shape(registry: DataFrame) -> DataFrame:
     return r.select("EIN", *REGISTRY_SHARED, *REGISTRY_COPC_ONLY, *REGISTRY_PF_ONLY)
 
 
-def enrich_registry(df: DataFrame, shaped: DataFrame, form: str, unique: bool = False) -> DataFrame:
+def enrich_registry(df: DataFrame, shaped: DataFrame, form: str, unique: bool = False,
+                    on_collision: str = "error") -> DataFrame:
     """Full/EZ take shared + EOSTATUS; PF takes shared + asset/income
     codes.  The registry is unique per EIN (asserted by the build, D9);
     ``unique`` reduces it to one row per key instead."""
     extra = REGISTRY_PF_ONLY if form.upper() == "PF" else REGISTRY_COPC_ONLY
     reg = shaped.select("EIN", *REGISTRY_SHARED, *extra)
-    return left_enrich(df, one_row_per_key(reg) if unique else reg, "EIN")
+    return left_enrich(df, one_row_per_key(reg) if unique else reg, "EIN", on_collision)
 
 
 def duplicate_keys(df: DataFrame, key: str = "EIN") -> DataFrame:

@@ -165,10 +165,12 @@ def prepare_form(df: DataFrame, form: str, inp: ReleaseInputs,
                                           unique=inp.unique_classification)
     if inp.place is not None and "FIPS" in df.columns:
         df = enrich.enrich_place(df, inp.place)
+    # An extract column of the same name as a lookup column wins
     if inp.postcard is not None and form in ("EZ", "FULL"):
-        df = enrich.enrich_postcard(df, inp.postcard)
+        df = enrich.enrich_postcard(df, inp.postcard, on_collision="left")
     if inp.registry is not None:
-        df = enrich.enrich_registry(df, enrich.registry_shape(inp.registry), form)
+        df = enrich.enrich_registry(df, enrich.registry_shape(inp.registry), form,
+                                    on_collision="left")
     df = make_numeric(df, inp.numeric_columns)
     k1, k2 = codes.filing_keys()
     df = df.withColumn("FISYR", codes.fiscal_year())
@@ -179,8 +181,9 @@ def prepare_form(df: DataFrame, form: str, inp: ReleaseInputs,
     df = MONEY_BY_FORM[form](df)
     extra = {"FILENAME": codes.file_name(form)}
     if form in ("EZ", "FULL"):
-        extra.update({"STYEAR": codes.start_year(), "SOIYR": codes.soi_year(),
-                      "SUBCD": F.col("SUBSECCD")})
+        extra.update({"STYEAR": codes.start_year(), "SOIYR": codes.soi_year()})
+        if "SUBSECCD" in df.columns:
+            extra["SUBCD"] = F.col("SUBSECCD")
         if "EPOSTCARD" in df.columns:
             extra["EPOSTCARD"] = enrich.postcard_flag()
     df = df.withColumns(extra)
