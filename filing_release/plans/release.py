@@ -144,7 +144,8 @@ def _observe(df: DataFrame, audit: dict | None, name: str, *extra) -> DataFrame:
 
 
 def prepare_form(df: DataFrame, form: str, inp: ReleaseInputs,
-                 audit: dict | None = None, classification: DataFrame | None = None) -> DataFrame:
+                 audit: dict | None = None, classification: DataFrame | None = None,
+                 registry: DataFrame | None = None) -> DataFrame:
     """Steps 2-7 of the build for one source form."""
     cw = inp.crosswalks.get(form, [])
     df, _missing = schema.apply_crosswalk(df, cw)
@@ -168,9 +169,9 @@ def prepare_form(df: DataFrame, form: str, inp: ReleaseInputs,
     # An extract column of the same name as a lookup column wins
     if inp.postcard is not None and form in ("EZ", "FULL"):
         df = enrich.enrich_postcard(df, inp.postcard, on_collision="left")
-    if inp.registry is not None:
-        df = enrich.enrich_registry(df, enrich.registry_shape(inp.registry), form,
-                                    on_collision="left")
+    if registry is not None or inp.registry is not None:
+        shaped = registry if registry is not None else enrich.registry_shape(inp.registry)
+        df = enrich.enrich_registry(df, shaped, form, on_collision="left")
     df = make_numeric(df, inp.numeric_columns)
     k1, k2 = codes.filing_keys()
     df = df.withColumn("FISYR", codes.fiscal_year())
@@ -238,8 +239,10 @@ def build_release(spark: SparkSession, inp: ReleaseInputs, opt: ReleaseOptions,
         lk = enrich.classification_lookup(inp.classification)
         cls = stage(enrich.one_row_per_key(lk) if inp.unique_classification else lk,
                     "classification")
+    # the shaped registry is written once and read by every form's join
+    reg = stage(enrich.registry_shape(inp.registry), "registry") if inp.registry is not None else None
     audit: dict = {}
-    forms = {f: prepare_form(df, f, inp, audit, cls) for f, df in inp.extracts.items()}
+    forms = {f: prepare_form(df, f, inp, audit, cls, reg) for f, df in inp.extracts.items()}
     out: dict[str, DataFrame] = {}
     if "EZ" in forms and "FULL" not in forms:
         raise ValueError("EZ without Full cannot form the CO or PC tables")
