@@ -315,3 +315,12 @@ def test_dedup_literal_year_shift(spark):
     assert lit_ == {"ok": 3, "one": 5}
     intended = dict(rows(deduplicate(df, 2015, tiebreak=F.col("id")), "EIN", "id"))
     assert intended == {"both": 2, "ok": 3, "one": 5}
+
+
+def test_collision_policy(spark):
+    from filing_release.operators import enrich
+    df = spark.createDataFrame([("1", "X")], "EIN string, ZIP string")
+    reg = spark.createDataFrame([("1", "Y")], "EIN string, ZIP string")
+    with pytest.raises(ValueError):
+        enrich.left_enrich(df, reg, "EIN")
+    assert enrich.left_enrich(df, reg, "EIN", on_collision="left").first()["ZIP"] == "X"
