@@ -2,9 +2,10 @@
 
 Bounded parts (documented parameters): ``EXAMPLES`` labelled rows per class
 and ``FEATURES`` terms.  A term is a lower-cased letter run or one of its
-prefixes of 4 to 6 characters (stems of inflected insults).  Terms are chosen
-by chi-square on the examples; their document frequencies come from *all*
-documents.  A document is the vector of its chosen terms,
+prefixes of 4 to 6 characters (stems of inflected insults).  Near copies among
+the examples are left out, and terms are chosen by chi-square; their document
+frequencies come from *all* documents.  A document is the vector of its chosen
+terms,
 ``(1 + ln tf) * ln(1 + N / df)``, scaled to length 1.
 
 The index is a block-max inverted index: examples lie in blocks, every term
@@ -32,12 +33,12 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_CACHE, fold_bucket, letter_runs, map_rows, stage
+from .common import WORD_CACHE, fold_bucket, letter_runs, map_rows, mix, stage
 
 EXAMPLES = 2000   # labelled rows kept per class
 FEATURES = 1024   # terms
 CHI = 30.0        # least chi-square of a term
-EFFECT = 0.02     # least chi-square per example (phi squared): no chance words of near copies
+EFFECT = 0.005    # least chi-square per example (phi squared)
 NEIGHBOURS = 15
 BLOCK = 64
 
@@ -56,11 +57,28 @@ def stems(run: bytes) -> set[str]:
     return {w, w[:4], w[:5], w[:6]}
 
 
-def min_wise(text: str | None) -> int:
-    """Smallest hash of a text's long runs: near copies mostly share it."""
-    runs = set(letter_runs(text))
-    return min((xxhash.xxh3_64_intdigest(r) >> 1 for r in runs if len(r) >= 7),
-               default=xxhash.xxh3_64_intdigest(b" ".join(sorted(runs))) >> 1)
+def signature(text: str | None, seeds: int = 16) -> list[int]:
+    """Smallest hashes of a text's runs, one per seed: near copies share most."""
+    h = np.array([xxhash.xxh3_64_intdigest(r) for r in set(letter_runs(text))] or [0], np.uint64)
+    with np.errstate(over="ignore"):
+        return [int(mix(h + np.uint64(1 + k) * np.uint64(0x9E3779B97F4A7C15)).min() >> 1)
+                for k in range(seeds)]
+
+
+def groups_of_copies(signatures: list[list[int]]) -> list[int]:
+    """For each example the first one that it (nearly) copies: half of the
+    smallest hashes agree.  Each is compared with the first holder of each of
+    its hashes only, so a large group costs no more than its size."""
+    first: dict[tuple[int, int], int] = {}
+    group: list[int] = []
+    for i, sig in enumerate(signatures):
+        found = {group[first[k]] for k in enumerate(sig) if k in first}
+        near = [j for j in found if sum(x == y for x, y in zip(
+            sig, signatures[j], strict=True)) * 2 >= len(sig)]
+        group.append(min(near, default=i))
+        for k in enumerate(sig):
+            first.setdefault(k, i)
+    return group
 
 
 class Counts:
@@ -189,28 +207,36 @@ def choose(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES,
              .agg(F.max("toxic").cast("int").alias("toxic")))
     share = known.agg(F.avg("toxic")).first()[0] or 0.0
     order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    sample = stage(known.withColumn("rn", F.row_number().over(order)).where(
-        F.col("rn") <= examples).select("doc_id", "toxic"), "toxic-sample")
+    drawn = stage(known.withColumn("rn", F.row_number().over(order)).where(
+        F.col("rn") <= examples).select("doc_id", "toxic"), "toxic-drawn")
     # at most 2 * examples rows of two integers: a proven bound for the broadcast
-    texts = docs.join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"])
-    held = stage(map_rows(texts.select("toxic", "text"), lambda y, t: [
-        (y, near, x) for near in [min_wise(t)] for x in ("", *terms(t))], "toxic int, near long, term string"),
-        "toxic-terms")
-    # copies and near copies share ``near``: counted once, so that the chance
-    # words of a text that was copied often don't look like evidence
-    n = dict(held.where("term = ''").groupBy("toxic").agg(F.countDistinct("near")).collect())
-    n1, n0 = float(n.get(1, 0)), float(n.get(0, 0))
+    texts = docs.join(F.broadcast(drawn), "doc_id").dropDuplicates(["doc_id"])
+    held = stage(map_rows(texts.select("doc_id", "toxic", "text"), lambda i, y, t: [
+        (i, y, signature(t), list(terms(t)))],
+        "doc_id long, toxic int, signature array<long>, terms array<string>"), "toxic-terms")
+    # of copies and near copies one stays, or their chance words look like evidence
+    rows = held.select("doc_id", "toxic", "signature").orderBy("toxic", "doc_id").collect()
+    group = groups_of_copies([r["signature"] for r in rows])
+    alone = [r for k, r in enumerate(rows) if group[k] == k]
+    sample = docs.sparkSession.createDataFrame([(r["doc_id"], r["toxic"]) for r in alone],
+                                               "doc_id long, toxic int")
+    n1 = float(sum(r["toxic"] for r in alone))
+    n0 = len(alone) - n1
     p, q = F.col("p"), F.col("q")
-    chi = (p * (n0 - q) - q * (n1 - p)) ** 2 / F.greatest(
+    chi = F.lit((n1 + n0) / max(n1 * n0, 1.0)) * (p * (n0 - q) - q * (n1 - p)) ** 2 / F.greatest(
         (p + q) * (n1 + n0 - p - q), F.lit(1.0))
-    chosen = (held.where("term <> ''").groupBy("term")
-              .agg(F.countDistinct(F.when(F.col("toxic") == 1, F.col("near")))
-                   .cast("double").alias("p"),
-                   F.countDistinct(F.when(F.col("toxic") == 0, F.col("near")))
-                   .cast("double").alias("q"))
-              .where((chi >= max(least, EFFECT * (n1 + n0))) & (p * n0 > q * n1))
-              .orderBy(F.desc(chi), "term").limit(features).select("term"))
-    return sample, [r[0] for r in chosen.collect()], float(share)
+    found = (held.drop("toxic").join(F.broadcast(sample), "doc_id")
+             .select("toxic", F.explode("terms").alias("term")).groupBy("term")
+             .agg(F.sum(F.col("toxic").cast("double")).alias("p"),
+                  F.sum((1 - F.col("toxic")).cast("double")).alias("q"))
+             .where((chi >= max(least, EFFECT * (n1 + n0))) & (p * n0 > q * n1))
+             .orderBy(F.desc(chi), F.length("term"), "term").limit(features).collect())
+    # a longer form adds nothing to a stem that is chosen already
+    chosen: list[str] = []
+    for r in found:
+        if not any(r["term"].startswith(t) for t in chosen):
+            chosen.append(r["term"])
+    return sample, chosen, float(share)
 
 
 def vectorise(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
