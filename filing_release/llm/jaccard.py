@@ -49,6 +49,7 @@ CHUNK = 2_000_000    # shingles counted together when looking for frequent ones
 HOT_IN_CHUNK = 8
 SALTS = 128          # a frequent shingle's block is dealt to so many tasks
 FANOUT = 16
+POINT = np.dtype("<u4")
 
 
 def shingles(text: str | None, k: int = SHINGLE) -> np.ndarray:
@@ -67,6 +68,12 @@ def set_key(s: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(s.tobytes()) - 2 ** 63
 
 
+def point_of(s: np.ndarray) -> bytes:
+    """Group counts of a set, the group being a hash's highest bits."""
+    v = np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=GROUPS)
+    return v.astype(POINT).tobytes()
+
+
 def need(n, percent: int = PERCENT):
     """Smallest overlap that a set of size n must have with a linked one."""
     return -(-n * percent // 100)
@@ -80,7 +87,7 @@ def overlap_needed(n, m, percent: int = PERCENT):
 # -- pass 1: sets, and the shingles that are frequent --------------------------
 
 def _sets(batches):
-    names = ["doc_id", "h", "n", "token", "times"]
+    names = ["doc_id", "h", "n", "point", "token", "times"]
     held: list[np.ndarray] = []
     seen: set[int] = set()
     size = 0
@@ -91,14 +98,15 @@ def _sets(batches):
         t, c = signed(tokens[keep]), times[keep]
         none = pa.nulls(len(t), pa.int64())
         return pa.RecordBatch.from_arrays(
-            [none, none, pa.nulls(len(t), pa.int32()), pa.array(t), pa.array(c, pa.int64())], names)
+            [none, none, pa.nulls(len(t), pa.int32()), pa.nulls(len(t), pa.binary()), pa.array(t),
+             pa.array(c, pa.int64())], names)
 
     for b in batches:
         rows = []
         for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
             s = shingles(text)
             key = set_key(s) if len(s) else 0
-            rows.append((i, key, len(s)))
+            rows.append((i, key, len(s), point_of(s)))
             if len(s) and key not in seen:
                 seen.add(key)
                 held.append(s)
@@ -109,8 +117,8 @@ def _sets(batches):
         n = len(rows)
         yield pa.RecordBatch.from_arrays(
             [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
-             pa.array([r[2] for r in rows], pa.int32()), pa.nulls(n, pa.int64()),
-             pa.nulls(n, pa.int64())], names)
+             pa.array([r[2] for r in rows], pa.int32()), pa.array([r[3] for r in rows], pa.binary()),
+             pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], names)
     if held:
         yield frequent()
 
@@ -255,7 +263,7 @@ def _tree_pairs(percent: int):
                 if t != token:
                     out.extend(block(rows) if len(rows) > 1 else ())
                     token, rows = t, []
-                rows.append((r, p, n, np.frombuffer(v, np.uint16)))
+                rows.append((r, p, n, np.frombuffer(v, POINT)))
             if out:
                 yield _pairs_batch(out)
                 out = []
@@ -271,25 +279,40 @@ def _pairs_batch(out):
         ["a", "b"])
 
 
-def verify(pairs: DataFrame, members: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs (``a``, ``b``) whose sets link: bound first, then the sets."""
-    def row(a, b, va, sa, vb, sb):
-        wanted = overlap_needed(len(sa), len(sb), percent)
-        if 100 * min(len(sa), len(sb)) < percent * max(len(sa), len(sb)):
-            return []
-        bound = np.minimum(np.frombuffer(va, np.uint16), np.frombuffer(vb, np.uint16))
-        if int(bound.sum(dtype=np.int64)) < wanted:
+def bounded(pairs: DataFrame, points: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The pairs whose sizes and summed coordinate minima allow a link."""
+    def row(a, b, na, pa_, nb, pb):
+        if 100 * min(na, nb) < percent * max(na, nb):
             return []
+        bound = np.minimum(np.frombuffer(pa_, POINT), np.frombuffer(pb, POINT)).sum()
+        return [(a, b)] if int(bound) >= overlap_needed(na, nb, percent) else []
+
+    def side(x):
+        return points.select(F.col("rep").alias(x), F.col("n").alias(f"n{x}"),
+                             F.col("point").alias(f"p{x}"))
+    # the hub side (a) is joined last, as a plain join that can be split
+    rows = pairs.join(side("b"), "b").join(side("a"), "a")
+    return map_rows(rows.select("a", "b", "na", "pa", "nb", "pb"), row, "a long, b long")
+
+
+def verify(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The pairs (``a``, ``b``) of ``pairs`` (a stage) whose sets link.  Sets are
+    made for the documents in ``pairs`` only."""
+    ids = stage(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "members")
+    sets = stage(map_rows(docs.join(if_small(ids), "doc_id").select("doc_id", "text"),
+                          lambda i, text: [(i, signed(shingles(text)))],
+                          "rep long, shingles array<long>", chunk=256), "sets")
+
+    def row(a, b, sa, sb):
         both = np.concatenate([sa, sb])
         both.sort()
-        return [(a, b)] if int((both[1:] == both[:-1]).sum()) >= wanted else []
+        same = int((both[1:] == both[:-1]).sum())
+        return [(a, b)] if same >= overlap_needed(len(sa), len(sb), percent) else []
 
     def side(x):
-        return members.select(F.col("rep").alias(x), F.col("point").alias(f"v{x}"),
-                              F.col("shingles").alias(f"s{x}"))
-    # the hub side (a) is joined last, as a plain join that can be split
+        return sets.select(F.col("rep").alias(x), F.col("shingles").alias(f"s{x}"))
     rows = pairs.join(side("b"), "b").join(side("a"), "a")
-    return map_rows(rows.select("a", "b", "va", "sa", "vb", "sb"), row, "a long, b long")
+    return map_rows(rows.select("a", "b", "sa", "sb"), row, "a long, b long")
 
 
 def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -297,7 +320,7 @@ def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     spark = docs.sparkSession
     ship(spark)
     d = with_id(docs)
-    first = stage(d.mapInArrow(_sets, "doc_id long, h long, n int, token long, times long"),
+    first = stage(d.mapInArrow(_sets, "doc_id long, h long, n int, point binary, token long, times long"),
                   "shingle-sets")
     sets = first.where("doc_id is not null").select("doc_id", "h", "n")
     hot = (first.where("token is not null").groupBy("token").agg(F.sum("times").alias("times"))
@@ -312,21 +335,16 @@ def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
                   .mapInArrow(_shared, "token long, h long, n int"), "blocks-by-class")
     blocks = stage(found.distinct().join(reps, ["h", "n"]).select("token", "rep", "n"), "blocks")
 
-    def point(doc_id, text):
-        s = shingles(text)
-        v = np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=GROUPS)
-        return [(doc_id, len(s), np.minimum(v, 65535).astype(np.uint16).tobytes(), signed(s))]
-
     wanted = stage(blocks.select(F.col("rep").alias("doc_id")).distinct(), "members")
-    members = stage(map_rows(
-        d.join(if_small(wanted), "doc_id").select("doc_id", "text"), point,
-        "rep long, n int, point binary, shingles array<long>", chunk=256), "sets")
+    points = stage(first.where("doc_id is not null").join(if_small(wanted), "doc_id").select(
+        F.col("doc_id").alias("rep"), "n", "point"), "points")
 
     # every block's smallest member against the others
     smallest = blocks.groupBy("token").agg(F.min("rep").alias("a"))
     pairs = stage(blocks.join(smallest, "token").where("rep <> a")
                   .select("a", F.col("rep").alias("b")).distinct(), "pairs")
-    parts = components(stage(verify(pairs, members, percent), "links"))
+    near = stage(bounded(pairs, points, percent).distinct(), "near-pairs")
+    parts = components(stage(verify(near, d, percent), "links"))
 
     # blocks that still hold several components
     named = blocks.join(parts.withColumnRenamed("node", "rep"), "rep", "left").select(
@@ -334,13 +352,12 @@ def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     open_blocks = named.groupBy("token").agg(
         F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select("token")
     rest = named.join(open_blocks, "token").join(
-        members.select("rep", "n", "point"), "rep").select("token", "rep", "part", "n", "point")
+        points, "rep").select("token", "rep", "part", "n", "point")
     more = stage(rest.repartition("token").sortWithinPartitions("token")
                  .mapInArrow(_tree_pairs(percent), "a long, b long").distinct(), "tree-pairs")
-    late = verify(more.join(pairs, ["a", "b"], "left_anti"), members, percent)
-    found_late = stage(late, "late-links")
-    label = parts.select(F.col("node"), F.col("component"))
-    whole = components(found_late.unionByName(label.select(
+    untried = stage(more.join(near, ["a", "b"], "left_anti"), "late-pairs")
+    late = stage(verify(untried, d, percent), "late-links")
+    whole = components(late.unionByName(parts.select(
         F.col("node").alias("a"), F.col("component").alias("b"))))
     named_class = reps.join(whole.select(F.col("node").alias("rep"), "component"), "rep", "left") \
         .select("h", "n", F.coalesce("component", "rep").alias("component"))

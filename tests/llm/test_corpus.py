@@ -72,7 +72,7 @@ def test_r_tree_bound_loses_no_pair():
     rng = np.random.default_rng(5)
     base = rng.poisson(4, (40, 16))
     points = np.concatenate([base, np.maximum(base + rng.integers(-1, 2, base.shape), 0)])
-    points = points.astype(np.uint16)
+    points = points.astype(jaccard.POINT)
     sizes = points.sum(axis=1).astype(np.int64)
     tree = jaccard.RTree(points, sizes, fanout=4)
     for j in range(len(points)):
