@@ -17,6 +17,8 @@ the block of that shingle.  The order puts frequent shingles last (the
 ``HOT`` most frequent of those in over about 0.2 % of the sets), which keeps
 blocks of boilerplate away; the order changes cost, never results.
 
+Blocks with the same members (the shingles of one shared passage) are one.
+
 *No pairs within a group.*  First each block's smallest member is tried with
 every other member: a linear number of pairs, which already joins groups of
 near copies into components.  Only blocks that still hold several components
@@ -43,13 +45,13 @@ from .graph import components
 
 SHINGLE = 5
 PERCENT = 80
-GROUPS = 64
+GROUPS = 512         # of a point; the tree adds them up to COARSE
+COARSE = 64
 HOT = 100_000        # shingles ordered last, at most
 CHUNK = 2_000_000    # shingles counted together when looking for frequent ones
 HOT_IN_CHUNK = 8
 SALTS = 128          # a frequent shingle's block is dealt to so many tasks
 FANOUT = 16
-POINT = np.dtype("<u4")
 
 
 def shingles(text: str | None, k: int = SHINGLE) -> np.ndarray:
@@ -69,9 +71,17 @@ def set_key(s: np.ndarray) -> int:
 
 
 def point_of(s: np.ndarray) -> bytes:
-    """Group counts of a set, the group being a hash's highest bits."""
-    v = np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=GROUPS)
-    return v.astype(POINT).tobytes()
+    """Group counts of a set, the group being a hash's highest bits.  255 means
+    "so many or more" and switches the bound off for the set."""
+    v = np.bincount((s >> np.uint64(55)).astype(np.int64), minlength=GROUPS)
+    return np.minimum(v, 255).astype(np.uint8).tobytes()
+
+
+def overlap_bound(points: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Summed coordinate minima: no fewer than the overlap of the sets."""
+    bound = np.minimum(points, q).sum(axis=-1, dtype=np.int64)
+    full = (points == 255).any(axis=-1) | (q == 255).any(axis=-1)
+    return np.where(full, 2 ** 40, bound)
 
 
 def need(n, percent: int = PERCENT):
@@ -203,42 +213,68 @@ def _shared(batches):
 class RTree:
     """Points (rows of group counts) with set sizes, packed bottom-up.
 
+    Boxes have ``COARSE`` coordinates, each the sum of neighbouring groups.
     Points are sorted by size and then by their largest coordinates, so leaves
     hold like points; each level keeps the coordinate maxima and the size range
-    of ``FANOUT`` entries below.
+    of ``fanout`` entries below.
     """
 
     def __init__(self, points: np.ndarray, sizes: np.ndarray, fanout: int = FANOUT):
-        first = np.argsort(-points.astype(np.int32), axis=1, kind="stable")[:, :2]
+        self.coarse = min(COARSE, points.shape[1])
+        hi = self._sums(points)
+        first = np.argsort(-hi, axis=1, kind="stable")[:, :2]
         self.order = np.lexsort((first[:, 1], first[:, 0], sizes))
         self.points, self.sizes, self.fanout = points[self.order], sizes[self.order], fanout
         self.levels = []
-        hi, lo_n, hi_n = self.points, self.sizes, self.sizes
+        hi, lo_n, hi_n = hi[self.order].astype(np.int32), self.sizes, self.sizes
+        self.base = hi
         while len(hi) > 1:
             starts = np.arange(0, len(hi), fanout)
             hi = np.maximum.reduceat(hi, starts, axis=0)
             lo_n, hi_n = np.minimum.reduceat(lo_n, starts), np.maximum.reduceat(hi_n, starts)
             self.levels.append((hi, lo_n, hi_n))
 
-    def search(self, q: np.ndarray, n: int, percent: int = PERCENT) -> np.ndarray:
-        """Positions (in the given order) whose bound allows a link with q."""
-        nodes = np.arange(len(self.levels[-1][0])) if self.levels else None
-        for depth in range(len(self.levels) - 1, -1, -1):
-            hi, lo_n, hi_n = (x[nodes] for x in self.levels[depth])
-            low = np.maximum(lo_n, need(n, percent))
-            ok = ((100 * hi_n >= percent * n) & (percent * lo_n <= 100 * n)
-                  & (np.minimum(hi, q).sum(axis=1, dtype=np.int64)
-                     >= overlap_needed(n, low, percent)))
-            nodes = (nodes[ok][:, None] * self.fanout + np.arange(self.fanout)).ravel()
-            below = len(self.levels[depth - 1][0]) if depth else len(self.points)
-            nodes = nodes[nodes < below]
-        if nodes is None:
-            nodes = np.arange(len(self.points))
-        m = self.sizes[nodes].astype(np.int64)
-        ok = ((100 * np.minimum(m, n) >= percent * np.maximum(m, n))
-              & (np.minimum(self.points[nodes], q).sum(axis=1, dtype=np.int64)
-                 >= overlap_needed(n, m, percent)))
-        return self.order[nodes[ok]]
+    def _sums(self, points: np.ndarray) -> np.ndarray:
+        """Coarse counts; a full group counts as unbounded."""
+        wide = np.where(points == 255, 2 ** 20, points).astype(np.int32)
+        return wide.reshape(len(points), self.coarse, -1).sum(axis=2)
+
+    def join(self, percent: int = PERCENT, chunk: int = 512):
+        """All pairs of positions (in the given order) whose bound allows a
+        link, as arrays, a chunk at a time.
+
+        Pairs of nodes go down the tree together, from the root with itself; a
+        pair is left where the sizes below can't match, or the summed minima of
+        the two boxes stay under the least overlap they would need.
+        """
+        stack = [(len(self.levels) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))]
+        if not self.levels:
+            return
+        while stack:
+            depth, i, j = stack.pop()
+            # children of the nodes i and j, each pair of them once
+            f = self.fanout
+            below = self.levels[depth - 1] if depth else (self.base, self.sizes, self.sizes)
+            hi, lo_n, hi_n = below
+            x = (i[:, None] * f + np.repeat(np.arange(f), f)).ravel()
+            y = (j[:, None] * f + np.tile(np.arange(f), f)).ravel()
+            ok = (x < len(hi)) & (y < len(hi)) & ((x <= y) if depth else (x < y))
+            x, y = x[ok], y[ok]
+            ok = (100 * hi_n[x] >= percent * lo_n[y]) & (100 * hi_n[y] >= percent * lo_n[x])
+            x, y = x[ok], y[ok]
+            low_x = np.maximum(lo_n[x], need(lo_n[y], percent))
+            low_y = np.maximum(lo_n[y], need(lo_n[x], percent))
+            ok = (np.minimum(hi[x], hi[y]).sum(axis=1, dtype=np.int64)
+                  >= overlap_needed(low_x, low_y, percent))
+            x, y = x[ok], y[ok]
+            if depth:
+                stack += [(depth - 1, x[k:k + chunk], y[k:k + chunk])
+                          for k in range(0, len(x), chunk)]
+            elif len(x):
+                ok = (overlap_bound(self.points[x], self.points[y])
+                      >= overlap_needed(self.sizes[x], self.sizes[y], percent))
+                if ok.any():
+                    yield self.order[x[ok]], self.order[y[ok]]
 
 
 def _tree_pairs(percent: int):
@@ -250,11 +286,10 @@ def _tree_pairs(percent: int):
         sizes = np.array([r[2] for r in rows], np.int64)
         points = np.stack([r[3] for r in rows])
         tree = RTree(points, sizes)
-        for j in range(len(rows)):
-            hit = tree.search(points[j], int(sizes[j]), percent)
-            hit = hit[(rep[hit] > rep[j]) & (part[hit] != part[j])]
-            for i in hit:
-                yield (int(rep[j]), int(rep[i]))
+        for i, j in tree.join(percent):
+            apart = part[i] != part[j]
+            yield from zip(np.minimum(rep[i], rep[j])[apart].tolist(),
+                           np.maximum(rep[i], rep[j])[apart].tolist(), strict=True)
 
     def run(batches):
         token, rows, out = None, [], []
@@ -263,7 +298,7 @@ def _tree_pairs(percent: int):
                 if t != token:
                     out.extend(block(rows) if len(rows) > 1 else ())
                     token, rows = t, []
-                rows.append((r, p, n, np.frombuffer(v, POINT)))
+                rows.append((r, p, n, np.frombuffer(v, np.uint8)))
             if out:
                 yield _pairs_batch(out)
                 out = []
@@ -280,16 +315,14 @@ def _pairs_batch(out):
 
 
 def bounded(pairs: DataFrame, points: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs whose sizes and summed coordinate minima allow a link."""
+    """The pairs (``a``, ``b``, sizes ``na``, ``nb``) whose summed coordinate minima
+    allow a link."""
     def row(a, b, na, pa_, nb, pb):
-        if 100 * min(na, nb) < percent * max(na, nb):
-            return []
-        bound = np.minimum(np.frombuffer(pa_, POINT), np.frombuffer(pb, POINT)).sum()
+        bound = overlap_bound(np.frombuffer(pa_, np.uint8), np.frombuffer(pb, np.uint8))
         return [(a, b)] if int(bound) >= overlap_needed(na, nb, percent) else []
 
     def side(x):
-        return points.select(F.col("rep").alias(x), F.col("n").alias(f"n{x}"),
-                             F.col("point").alias(f"p{x}"))
+        return points.select(F.col("rep").alias(x), F.col("point").alias(f"p{x}"))
     # the hub side (a) is joined last, as a plain join that can be split
     rows = pairs.join(side("b"), "b").join(side("a"), "a")
     return map_rows(rows.select("a", "b", "na", "pa", "nb", "pb"), row, "a long, b long")
@@ -333,26 +366,34 @@ def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     found = stage(prefixes.repartition("token", "salt")
                   .sortWithinPartitions("token", "salt", "h", "n")
                   .mapInArrow(_shared, "token long, h long, n int"), "blocks-by-class")
-    blocks = stage(found.distinct().join(reps, ["h", "n"]).select("token", "rep", "n"), "blocks")
-
-    wanted = stage(blocks.select(F.col("rep").alias("doc_id")).distinct(), "members")
+    every = stage(found.distinct().join(reps, ["h", "n"]).select("token", "rep", "n"),
+                  "blocks-by-shingle")
+    # shingles with the same members (those of one shared passage) make one block
+    unique = stage(every.groupBy("token").agg(
+        F.count("*").alias("size"), F.min("rep").alias("a"), F.min_by("n", "rep").alias("na"),
+        F.bit_xor(F.xxhash64("rep")).alias("x"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("y"))
+        .where("size > 1").groupBy("size", "a", "na", "x", "y").agg(
+            F.min("token").alias("token")).select("token", "a", "na"), "block-names")
+    blocks = stage(every.join(unique, "token").where("rep <> a"), "blocks")
+    pairs = stage(blocks.where("100 * least(n, na) >= %d * greatest(n, na)" % percent).select(
+        "a", "na", F.col("rep").alias("b"), F.col("n").alias("nb")).distinct(), "pairs")
+
+    # blocks' other members, and those tried against the smallest
+    wanted = stage(pairs.select(F.col("a").alias("doc_id")).unionByName(
+        blocks.select(F.col("rep").alias("doc_id"))).distinct(), "members")
     points = stage(first.where("doc_id is not null").join(if_small(wanted), "doc_id").select(
-        F.col("doc_id").alias("rep"), "n", "point"), "points")
+        F.col("doc_id").alias("rep"), "point"), "points")
 
-    # every block's smallest member against the others
-    smallest = blocks.groupBy("token").agg(F.min("rep").alias("a"))
-    pairs = stage(blocks.join(smallest, "token").where("rep <> a")
-                  .select("a", F.col("rep").alias("b")).distinct(), "pairs")
     near = stage(bounded(pairs, points, percent).distinct(), "near-pairs")
     parts = components(stage(verify(near, d, percent), "links"))
 
-    # blocks that still hold several components
+    # blocks whose other members still are of several components
     named = blocks.join(parts.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "token", "rep", F.coalesce("component", "rep").alias("part"))
+        "token", "rep", "n", F.coalesce("component", "rep").alias("part"))
     open_blocks = named.groupBy("token").agg(
         F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select("token")
-    rest = named.join(open_blocks, "token").join(
-        points, "rep").select("token", "rep", "part", "n", "point")
+    rest = named.join(open_blocks, "token").join(points, "rep").select(
+        "token", "rep", "part", "n", "point")
     more = stage(rest.repartition("token").sortWithinPartitions("token")
                  .mapInArrow(_tree_pairs(percent), "a long, b long").distinct(), "tree-pairs")
     untried = stage(more.join(near, ["a", "b"], "left_anti"), "late-pairs")
