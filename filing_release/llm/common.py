@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
-WORD_CACHE = 300_000  # words a Python worker remembers before it starts over
+WORD_CACHE = 120_000  # words a Python worker remembers before it starts over
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +39,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 
 _SHIPPED: set[str] = set()
+BATCH_ROWS = 1000  # whole texts to a Python worker at once; Spark's 10,000 are for short rows
 
 
 def ship(spark: SparkSession) -> None:
@@ -47,6 +48,8 @@ def ship(spark: SparkSession) -> None:
     Functions that tasks run are imported there, not pickled, so that what a
     Python worker remembers (memos, vocabularies) lasts from task to task.
     """
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return
@@ -88,6 +91,7 @@ def map_rows(df: DataFrame, fn: Callable[..., Iterable[tuple]], schema: str,
                     out = []
         if out:
             yield _batch(out, names, types)
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 

@@ -14,7 +14,7 @@ for it), so copies cost nothing further.  Points are dealt to blocks: classes
 whose sets agree to ``percent`` share one of the first
 ``n - ceil(percent * n / 100) + 1`` shingles in any fixed order, so they meet in
 the block of that shingle.  The order puts frequent shingles last (the
-``HOT`` most frequent of those in over about 0.2 % of the sets), which keeps
+``HOT`` most frequent of those in over about 0.3 % of the sets), which keeps
 blocks of boilerplate away; the order changes cost, never results.
 
 Blocks with the same members (the shingles of one shared passage) are one.
@@ -48,8 +48,8 @@ PERCENT = 80
 GROUPS = 512         # of a point; the tree adds them up to COARSE
 COARSE = 64
 HOT = 100_000        # shingles ordered last, at most
-CHUNK = 2_000_000    # shingles counted together when looking for frequent ones
-HOT_IN_CHUNK = 8
+CHUNK = 1_000_000    # shingles counted together when looking for frequent ones
+HOT_IN_CHUNK = 6
 SALTS = 128          # a frequent shingle's block is dealt to so many tasks
 FANOUT = 16
 
@@ -147,7 +147,7 @@ def _prefixes(hot: np.ndarray, percent: int):
                 key = set_key(s)
                 if key in seen:
                     continue
-                if len(seen) > 200_000:
+                if len(seen) > 100_000:
                     seen.clear()
                 seen.add(key)
                 n = len(s)
