@@ -8,7 +8,6 @@ Spark SQL expressions, joins, windows and aggregates.  Package layout:
 * ``operators``  - table operators (schema, filters, joins, de-dup, rules,
                    flags, corrections, review jobs)
 * ``plans``      - end-to-end release build and the registered queries
-* ``streaming``  - nothing: the release is a yearly batch (see README)
 """
 
 __all__ = ["session"]

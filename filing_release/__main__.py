@@ -26,12 +26,14 @@ def _prior_tables(spark, root: str | None, year: int, depth: int) -> dict:
     and table)."""
     if not root:
         return {}
-    df = spark.read.parquet(root)
     out: dict = {}
     for t in ("CO", "PC", "PF"):
-        for y in range(year - depth, year):
-            out.setdefault(t, {})[y] = df.filter((F.col("release_year") == y) & (F.col("table") == t)) \
-                .drop("release_year", "table")
+        df = extracts.read_optional(spark, sinks.table_path(root, t), fmt="parquet")
+        if df is None:
+            continue
+        # the prior-year join always needs the last year, whatever the backfill
+        for y in range(year - max(depth, 1), year):
+            out.setdefault(t, {})[y] = df.filter(F.col("release_year") == y).drop("release_year")
     return out
 
 
@@ -54,7 +56,8 @@ def build(args, spark) -> int:
         registry=extracts.read_registry(spark, args.registry) if args.registry else None,
         corrections=spark.read.parquet(args.corrections) if args.corrections else None,
         priors=_prior_tables(spark, args.prior_root, args.year, args.backfill_depth),
-        fixes={t: extracts.read_optional(spark, f"{args.fixes_root}/{t.lower()}_{args.year}_validate")
+        fixes={t: extracts.read_optional(spark, f"{args.fixes_root}/{t.lower()}_{args.year}_validate",
+                                           fmt="parquet")
                for t in ("CO", "PC", "PF")} if args.fixes_root else {},
         numeric_columns=config.read_names(args.numeric_columns) if args.numeric_columns
         else list(config.AMOUNT_COLUMNS),
@@ -87,8 +90,12 @@ def review(args, spark) -> int:
         flagged, gone = rv.restore_saved(flagged, spark.read.parquet(args.saved))
         print({"saved_rows_no_longer_flagged": gone.count()})
     adj = spark.read.schema(rv.ADJUSTMENTS_SCHEMA).parquet(args.adjustments)
-    fields = config.read_names(args.fields) if args.fields else rv.FULL_FORM_LINES.keys()
+    # any amount of the table can be edited unless a list is given
+    fields = config.read_names(args.fields) if args.fields else [
+        c for c, t in flagged.dtypes if t == "double"]
     fields = [f for f in fields if f in flagged.columns]
+    rejected = adj.filter(~F.upper("field").isin([f.upper() for f in fields]))
+    rejected.write.mode("overwrite").parquet(f"{args.ledger_out}_rejected_edits")
     done = rv.apply_adjustments(flagged, adj, fields)
     if args.actions:
         acts = spark.read.parquet(args.actions).select("EIN", "action")

@@ -14,15 +14,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.amounts import parse_amount
-from .enrich import maybe_broadcast
 from .rules import residual_columns
 from .schema import STATE_COL
 
 CORRECTIONS_SCHEMA = ("EIN string, action string, match_source string, "
                       "match_name string, new_ein string")
-# A corrections table is hand-curated; beyond this many rows it is joined
-# without a broadcast.
-CORRECTIONS_BROADCAST_ROWS = 100_000
 
 
 def _match(df: DataFrame, c: DataFrame):
@@ -39,7 +35,6 @@ def drop_recorded(df: DataFrame, corrections: DataFrame) -> DataFrame:
     SOURCE / NAME match; a null match column matches anything)."""
     c = corrections.filter(F.col("action") == "drop").select(
         F.col("EIN").alias("c_ein"), "match_source", "match_name")
-    c = maybe_broadcast(c, CORRECTIONS_BROADCAST_ROWS)
     return df.join(c, _match(df, c), "left_anti")
 
 
@@ -47,7 +42,6 @@ def rekey_recorded(df: DataFrame, corrections: DataFrame) -> DataFrame:
     """Replace the EIN of rows named by ``rekey`` corrections."""
     c = corrections.filter(F.col("action") == "rekey").select(
         F.col("EIN").alias("c_ein"), "match_source", "match_name", "new_ein")
-    c = maybe_broadcast(c, CORRECTIONS_BROADCAST_ROWS)
     j = df.join(c, _match(df, c), "left")
     return j.select(*[F.coalesce(F.col("new_ein"), df["EIN"]).alias("EIN") if x == "EIN"
                       else df[x] for x in df.columns])

@@ -1,9 +1,8 @@
-"""Lookup joins (D1-D5, D9) and the size-checked broadcast.
+"""Lookup joins.
 
-All joins are equi-joins on one key.  A lookup is broadcast only after a
-bounded count proves it small (``limit(n + 1).count()`` never scans more
-than n + 1 rows); otherwise the join is left to AQE (sort-merge or
-shuffled hash, with skew splitting of a hot key on the big side).
+All joins are equi-joins on one key and carry no broadcast hint: Spark's own
+byte limit (``spark.sql.autoBroadcastJoinThreshold``) decides, and AQE splits a
+hot key on the big side of the others.
 """
 
 from __future__ import annotations
@@ -15,10 +14,6 @@ from pyspark.sql import functions as F
 
 from ..functions.codes import activity_parts, clean_key, contact_name
 
-# Rows a lookup may have and still be broadcast.  1M narrow rows is a few
-# tens of MB per executor.
-BROADCAST_MAX_ROWS = 1_000_000
-
 # Registry column renames (I23) and column groups.
 REGISTRY_RENAMES = {"ORGANIZATION": "ORGCD", "AFFILIATION": "AFCD",
                     "DEDUCTIBILITY": "DEDUCTCD", "ICO": "CONTACT", "SORT_NAME": "SEC_NAME",
@@ -37,17 +32,8 @@ CLASSIFICATION_COLUMNS = ["EIN", "OutNccs", "OutReas", "NteeFinal", "Fips", "Nte
 PLACE_COLUMNS = ["FIPS", "PMSA", "MSA_NECH"]
 
 
-def small_enough(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """Bounded size check: reads at most ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    return F.broadcast(df) if small_enough(df, max_rows) else df
-
-
 def left_enrich(df: DataFrame, lookup: DataFrame, key: str | Sequence[str],
-                on_collision: str = "error", broadcast_max_rows: int | None = None) -> DataFrame:
+                on_collision: str = "error") -> DataFrame:
     """D5-safe left join.
 
     ``on_collision``: ``error`` (fail fast on same-named non-key columns) or
@@ -59,8 +45,6 @@ def left_enrich(df: DataFrame, lookup: DataFrame, key: str | Sequence[str],
         if on_collision == "error":
             raise ValueError(f"lookup columns collide with table columns: {clash}")
         lookup = lookup.drop(*clash)
-    if broadcast_max_rows is not None:
-        lookup = maybe_broadcast(lookup, broadcast_max_rows)
     return df.join(lookup, keys, "left")
 
 
@@ -95,10 +79,10 @@ def enrich_classification(df: DataFrame, master: DataFrame, on_collision: str =
     return left_enrich(df, lk, "EIN", on_collision)
 
 
-def enrich_place(df: DataFrame, place: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def enrich_place(df: DataFrame, place: DataFrame) -> DataFrame:
     """Left join on FIPS (needs D1's FIPS).  Null FIPS never matches."""
     lk = place.select(*PLACE_COLUMNS)
-    return left_enrich(df, lk, "FIPS", broadcast_max_rows=max_rows)
+    return left_enrich(df, lk, "FIPS")
 
 
 def enrich_postcard(df: DataFrame, postcard: DataFrame, unique: bool = False,

@@ -102,12 +102,39 @@ def add_review_columns(df: DataFrame) -> DataFrame:
     return df.withColumns(add) if add else df
 
 
+# Current column -> its name in the prior-year columns.
+PRIOR_NAMES = {
+    "ASS_EOY": "ASS_BOY",
+    "BOND_EOY": "BOND_BOY",
+    "MRTG_EOY": "MRTG_BOY",
+    "LIAB_EOY": "LIAB_BOY",
+    "TAXPER": "TAXPERP",
+    "FISYR": "FISYRP",
+    "PROGREV": "PROGREVP",
+    "INVINC": "INVINCP",
+    "NETRENT": "NETRENTP",
+    "SALESECN": "SALESECNP",
+    "SALEOTHN": "SALEOTHNP",
+    "FUNDINC": "FUNDINCP",
+    "GRPROF": "GRPROFP",
+    "OTHINC": "OTHINCP",
+    "TOTREV": "TOTREVP",
+    "EXPS": "EXPSP",
+    "NETINC": "NETINCP",
+    "COMPENS": "COMPENSP",
+    "OTHSAL": "OTHSALP",
+    "PAYTAX": "PAYTAXP",
+    "FUNDFEES": "FUNDFEESP",
+    "CONT": "CONTP",
+    "RETEARN": "RETE_BOY",
+    "FUNDBAL": "NETA_BOY",
+    "SOURCE": "INPRIORSRC",
+}
+
+
 def prior_name(c: str) -> str:
-    """``X`` -> ``XP`` then ``...EOYP -> ...BOY``, ``RETEARNP -> RETE_BOY``,
-    ``FUNDBALP -> NETA_BOY``, ``SOURCEP -> INPRIORSRC``."""
-    n = (c + "P").replace("EOYP", "BOY").replace("RETEARNP", "RETE_BOY") \
-        .replace("FUNDBALP", "NETA_BOY").replace("SOURCEP", "INPRIORSRC")
-    return n.upper()
+    """The fixed prior-year name."""
+    return PRIOR_NAMES[c]
 
 
 def prior_renames(fields: Sequence[str] = PRIOR_FIELDS) -> dict[str, str]:

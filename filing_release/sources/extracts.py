@@ -7,6 +7,7 @@ no inference pass over the data, and column pruning reaches the scan.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,18 +45,21 @@ def read_extract(spark: SparkSession, path: str | list[str], source_name: str |
 
     * all columns are text; pandas-style missing tokens become null;
     * headers are upper-cased (``ein``/``EIN`` both work);
-    * ``SOURCE`` is the file name (``source_name`` or the path's last part).
+    * ``SOURCE`` is ``source_name`` or the given path's last part, also when
+      the path is a folder of part files;
+    * several paths are read one by one, each with its own header and name.
     """
-    first = path if isinstance(path, str) else path[0]
-    names = header or _header(spark, first, sep)
+    if not isinstance(path, str):
+        parts = [read_extract(spark, p, source_name, columns, sep, header) for p in path]
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    names = header or _header(spark, path, sep)
     df = (spark.read.option("header", True).option("sep", sep)
           .option("mode", "PERMISSIVE").schema(string_schema(names)).csv(path))
     keep = None if columns is None else {c.upper() for c in columns} | {"EIN"}
     cols = [null_tokens_to_null(F.col(f"`{n}`")).alias(n.upper())
             for n in names if keep is None or n.upper() in keep]
-    src = F.lit(source_name) if source_name else \
-        F.element_at(F.split(F.input_file_name(), "/"), -1)
-    return df.select(*cols, src.alias("SOURCE"))
+    name = source_name or path.rstrip("/").rsplit("/", 1)[-1]
+    return df.select(*cols, F.lit(name).alias("SOURCE"))
 
 
 def read_registry(spark: SparkSession, paths: list[str],
@@ -65,9 +69,11 @@ def read_registry(spark: SparkSession, paths: list[str],
                                             "PF_FILING_REQ_CD", "ASSET_CD", "INCOME_CD",
                                             "STATUS")) -> DataFrame:
     """A3: the regional registry files as one scan (header, comma)."""
-    df = (spark.read.option("header", True).option("sep", REGISTRY_DELIMITER)
-          .schema(string_schema(_header(spark, paths[0], REGISTRY_DELIMITER))).csv(paths))
-    return df.select(*[F.col(c) for c in columns])
+    # each file by its own header: the regional files may order columns differently
+    parts = [spark.read.option("header", True).option("sep", REGISTRY_DELIMITER)
+             .schema(string_schema(_header(spark, p, REGISTRY_DELIMITER))).csv(p)
+             .select(*columns) for p in paths]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_postcard(spark: SparkSession, path: str) -> DataFrame:

@@ -19,6 +19,17 @@ def _table_name(form: str, year: int) -> str:
     return f"core{year}{f}990" if f.endswith("_full") else f"core{year}{f}"
 
 
+def table_path(root: str, form: str) -> str:
+    """Each table has a folder of its own: their columns differ."""
+    return f"{root.rstrip('/')}/table={form.upper()}"
+
+
+def _write_table(df: DataFrame, root: str, form: str, year: int, fmt: str) -> None:
+    (df.withColumn("release_year", F.lit(int(year))).write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("release_year").format(fmt).save(table_path(root, form)))
+
+
 def write_release(tables: Mapping[str, DataFrame], root: str, year: int, fmt: str = "parquet",
                   gate_open: bool = True) -> list[str]:
     """A9 + K6: write each release table only when the gate is open."""
@@ -26,9 +37,7 @@ def write_release(tables: Mapping[str, DataFrame], root: str, year: int, fmt: st
         return []
     written = []
     for form, df in tables.items():
-        out = df.withColumns({"release_year": F.lit(int(year)), "table": F.lit(form.upper())})
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("release_year", "table").format(fmt).save(root))
+        _write_table(df, root, form, year, fmt)
         written.append(_table_name(form, year))
     return written
 
@@ -37,9 +46,7 @@ def write_review_extract(flagged: Mapping[str, DataFrame], root: str, year: int,
                          fmt: str = "parquet") -> None:
     """A10: flagged rows with their reason letters, per table and year."""
     for form, df in flagged.items():
-        out = df.withColumns({"release_year": F.lit(int(year)), "table": F.lit(form.upper())})
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("release_year", "table").format(fmt).save(root))
+        _write_table(df, root, form, year, fmt)
 
 
 def write_review_outputs(fixes: DataFrame, ledger: DataFrame, fixes_path: str,

@@ -60,6 +60,9 @@ def test_build_then_review(spark):
     assert main(["review", "--flagged", flagged, "--adjustments", f"{root}/adj",
                  "--actions", f"{root}/actions", "--fields", f"{root}/fields.txt",
                  "--fixes-out", f"{root}/fixes", "--ledger-out", f"{root}/ledger"]) == 0
+    # folder extracts keep the given name, so source kinds and F flags exist
+    assert rv_.filter("SOURCE like 'part-%'").count() == 0
+    assert spark.read.parquet(f"{root}/ledger_rejected_edits").count() == 0
     fixes = spark.read.parquet(f"{root}/fixes")
     ledger = spark.read.parquet(f"{root}/ledger")
     assert fixes.count() == ledger.count() == rv_.count()
