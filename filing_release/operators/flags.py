@@ -42,25 +42,26 @@ def _interp(lo: float, hi: float, frac: float) -> float:
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], q: float,
                     accuracy: int = 10_000, max_read: int = 100_000,
-                    buckets: int = 2048, max_rounds: int = 40) -> dict[str, float | None]:
+                    buckets: int = 2048) -> dict[str, float | None]:
     """Exact linear-interpolated quantile (nulls skipped) per column."""
-    return grouped_exact_quantiles(df, columns, q, None, accuracy, max_read, buckets,
-                                   max_rounds)[None]
+    return grouped_exact_quantiles(df, columns, q, None, accuracy, max_read, buckets)[None]
 
 
 def grouped_exact_quantiles(df: DataFrame, columns: Sequence[str], q: float,
                             group: str | None = None, accuracy: int = 10_000,
-                            max_read: int = 100_000, buckets: int = 2048,
-                            max_rounds: int = 40) -> dict:
+                            max_read: int = 100_000, buckets: int = 2048) -> dict:
     """Exact quantiles per (group value, column).
 
     Pass 1 (one aggregate, grouped): count, min, max and an approximate
     bracket [q - m, q + m] per target.  Then every round is one aggregate
     over all still-open targets at once: rows below the bracket, rows in
     it, and the bracket's min/max.  A target closes when its bracket holds
-    the needed ranks and few enough values to read in order; otherwise its
-    bracket is narrowed by an equal-width histogram of the bracket (bucket
-    counts only reach the driver).
+    the needed ranks and few enough values to read in order; otherwise an
+    equal-width histogram of the bracket (count, min and max per bucket reach
+    the driver) narrows it to the bucket of both ranks.  Ranks in two buckets
+    are that bucket's max and the next one's min, so nothing is left to read.
+    A bracket's ends lie in different buckets, so every round drops values and
+    heavily repeated ones close too.  NaN has no rank and is an error.
     """
     g = F.col(group) if group else F.lit(None).cast("string")
     base = df.select(g.alias("_g"), *[F.col(c).cast("double").alias(c) for c in columns])
@@ -82,9 +83,7 @@ def grouped_exact_quantiles(df: DataFrame, columns: Sequence[str], q: float,
             lo, hi = r[f"{c}__ap"]
             open_t[(r["_g"], c)] = dict(pos=pos, k_lo=math.floor(pos), k_hi=math.ceil(pos),
                                         lo=lo, hi=hi, gmin=r[f"{c}__min"], gmax=r[f"{c}__max"])
-    for _ in range(max_rounds):
-        if not open_t:
-            break
+    while open_t:
         aggs, keys = [], list(open_t)
         for i, (gv, c) in enumerate(keys):
             t = open_t[(gv, c)]
@@ -99,6 +98,8 @@ def grouped_exact_quantiles(df: DataFrame, columns: Sequence[str], q: float,
             t = open_t[key]
             below, cnt, mn, mx = r[f"b{i}"], r[f"i{i}"], r[f"mn{i}"], r[f"mx{i}"]
             gv, c = key
+            if mx is not None and math.isnan(mx):
+                raise ValueError(f"NaN in {c}: no exact quantile")
             if below > t["k_lo"]:
                 t["lo"] = t["gmin"]
             elif below + cnt <= t["k_hi"]:
@@ -110,7 +111,10 @@ def grouped_exact_quantiles(df: DataFrame, columns: Sequence[str], q: float,
                 t["below"] = below
                 to_read.append(key)
             else:
-                _narrow(base, gv, c, t, below, mn, mx, buckets)
+                ends = _narrow(base, gv, c, t, below, mn, mx, buckets)
+                if ends:
+                    out[gv][c] = _interp(*ends, t["pos"] - t["k_lo"])
+                    del open_t[key]
         if to_read:
             # one job reads the (small) brackets of every closing target
             picks = []
@@ -129,35 +133,34 @@ def grouped_exact_quantiles(df: DataFrame, columns: Sequence[str], q: float,
                 v = sorted(got.get(j, []))
                 lo_v, hi_v = v[t["k_lo"] - t["below"]], v[t["k_hi"] - t["below"]]
                 out[key[0]][key[1]] = _interp(lo_v, hi_v, t["pos"] - t["k_lo"])
-    for (gv, c), t in open_t.items():     # bounded fallback: distributed sort of the bracket
-        x = F.col(c)
-        in_g = F.col("_g").eqNullSafe(F.lit(gv))
-        below = base.filter(in_g & (x < t["lo"])).count()
-        ranked = base.filter(in_g & (x >= t["lo"]) & (x <= t["hi"])).select(x).orderBy(x)
-        v = [row[0] for row in ranked.offset(t["k_lo"] - below).limit(t["k_hi"] - t["k_lo"] + 1).collect()]
-        out[gv][c] = _interp(v[0], v[-1], t["pos"] - t["k_lo"])
     return out
 
 
 def _narrow(base: DataFrame, gv, c: str, t: dict, below: int, mn: float, mx: float,
-            buckets: int) -> None:
+            buckets: int) -> tuple[float, float] | None:
+    """Set the bracket of ``t`` to the bucket holding both ranks, or return the
+    two values when the ranks lie in different buckets."""
     x = F.col(c)
     width = (mx - mn) / buckets
-    b = F.least(F.floor((x - F.lit(mn)) / F.lit(width)).cast("int"), F.lit(buckets - 1))
+    if 0 < width < math.inf:
+        b = F.least(F.floor((x - F.lit(mn)) / F.lit(width)).cast("int"), F.lit(buckets - 1))
+    else:   # too narrow or too wide for steps: the smallest value, and the rest
+        b = F.when(x > mn, 1).otherwise(0)
     sel = base.filter(F.col("_g").eqNullSafe(F.lit(gv)) & (x >= mn) & (x <= mx))
-    hist = sorted((row[0], row[1]) for row in sel.groupBy(b.alias("b")).count().collect())
-    seen, b_lo, b_hi = below, None, None
-    for bi, n in hist:
-        if b_lo is None and seen + n > t["k_lo"]:
-            b_lo = bi
-        if seen + n > t["k_hi"]:
-            b_hi = bi
+    hist = sel.groupBy(b.alias("b")).agg(F.count("*").alias("n"), F.min(x).alias("lo"),
+                                         F.max(x).alias("hi")).collect()
+    seen, first = below, None
+    for r in sorted(hist, key=lambda r: r["b"]):
+        seen += r["n"]
+        if first is None and seen > t["k_lo"]:
+            first = r
+        if seen > t["k_hi"]:
+            if r["b"] != first["b"]:
+                return first["hi"], r["lo"]
             break
-        seen += n
-    b_hi = hist[-1][0] if b_hi is None else b_hi
-    # one-ulp margins keep edge values inside; the next round re-counts
-    t["lo"] = math.nextafter(mn + width * b_lo, -math.inf)
-    t["hi"] = math.nextafter(mn + width * (b_hi + 1), math.inf) if b_hi + 1 < buckets else mx
+    t["lo"], t["hi"] = first["lo"], first["hi"]
+    return None
+
 
 
 # --- K1 / K2 / K3 ---------------------------------------------------------------

@@ -73,8 +73,11 @@ BASE_NAMES = ["FILING_ID", "EIN", "TAXPER", "FISYR", "SOURCE", "SUBSECCD", "FNDN
 
 
 def _prior_cols():
-    from ..operators.schema import PRIOR_FIELDS, prior_name
-    return [(c, prior_name(c)) for c in PRIOR_FIELDS if c in BASE_NAMES]
+    # spelled out: the oracle shares no naming rule with the operators
+    return [("ASS_EOY", "ASS_BOY"), ("LIAB_EOY", "LIAB_BOY"), ("TAXPER", "TAXPERP"),
+            ("FISYR", "FISYRP"), ("TOTREV", "TOTREVP"), ("EXPS", "EXPSP"),
+            ("NETINC", "NETINCP"), ("CONT", "CONTP"), ("FUNDBAL", "NETA_BOY"),
+            ("SOURCE", "INPRIORSRC")]
 
 
 def cur_reviewed(year: int = Y) -> str:

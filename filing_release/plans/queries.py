@@ -667,13 +667,13 @@ def _adj_sql() -> str:
                      for f in _ADJ_FIELDS)
     res2 = ", ".join(f"{e} AS {n}" for n, e in o.residual_sql())
     return f""",
-adj AS (SELECT d.EIN, CASE WHEN l_returnflag = 'R' THEN 'FUNDBAL' ELSE 'EXPS' END AS field,
+adj AS (SELECT d.EIN, CASE l_returnflag WHEN 'R' THEN 'FUNDBAL' WHEN 'A' THEN 'EXPS' ELSE 'CONT' END AS field,
   CASE WHEN l_linenumber = 1 AND l_linestatus = 'F' THEN 'level' ELSE 'delta' END AS action,
   CASE WHEN l_linenumber = 1 AND l_linestatus = 'F' THEN l_extendedprice
        ELSE l_extendedprice * l_discount - l_tax * 100 END AS amount,
   'reviewer' || cast(l_suppkey % 10 AS varchar) AS usr, cast(l_linenumber % 6 AS varchar) AS expl,
   l_shipdate AS ts, l_orderkey * 10 + l_linenumber AS seq
-  FROM lineitem JOIN res d ON l_orderkey = d.FILING_ID WHERE l_returnflag IN ('R', 'A')),
+  FROM lineitem JOIN res d ON l_orderkey = d.FILING_ID),
 lv AS (SELECT EIN, field, amount AS level, ts AS lts, seq AS lseq FROM (SELECT *, row_number() OVER (
   PARTITION BY EIN, field ORDER BY ts DESC, seq DESC) AS rn FROM adj WHERE action = 'level') WHERE rn = 1),
 dl AS (SELECT a.EIN, a.field, round(sum(a.amount), 6) AS delta FROM adj a

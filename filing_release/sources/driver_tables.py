@@ -206,16 +206,17 @@ def corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def adjustments(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
-    """Reviewers' edits: every returned (R) or accepted (A) line item of a
-    release row's order is one edit - FUNDBAL for R, EXPS for A; the first
-    line of a finished order sets a level, the others add a delta."""
-    li = table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag").isin("R", "A"))
+    """Reviewers' edits: every line item of a release row's order is one edit -
+    FUNDBAL for returned (R), EXPS for accepted (A), CONT for the others (N);
+    the first line of a finished order sets a level, the others add a delta."""
+    li = table(spark, sf_dir, "lineitem")
     r = rows.select("FILING_ID", "EIN")
     j = li.join(r, li["l_orderkey"] == r["FILING_ID"])
     level = (F.col("l_linenumber") == 1) & (F.col("l_linestatus") == "F")
     return j.select(
         "EIN",
-        F.when(F.col("l_returnflag") == "R", "FUNDBAL").otherwise("EXPS").alias("field"),
+        F.when(F.col("l_returnflag") == "R", "FUNDBAL").when(F.col("l_returnflag") == "A", "EXPS")
+         .otherwise("CONT").alias("field"),
         F.when(level, "level").otherwise("delta").alias("action"),
         F.when(level, F.col("l_extendedprice"))
          .otherwise(F.col("l_extendedprice") * F.col("l_discount") - F.col("l_tax") * 100)
