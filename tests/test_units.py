@@ -1,5 +1,6 @@
 """Operator unit tests on hand-written rows (edge cases of FIXTURES §2)."""
 
+import math
 import random
 
 import numpy as np
@@ -228,6 +229,26 @@ def test_exact_quantiles_match_numpy(spark):
             assert got[g]["v"] == pytest.approx(np.quantile(xs, 0.999), rel=1e-12)
 
 
+def test_exact_quantiles_of_repeated_values(spark):
+    """The ranks lie on two values that both repeat more often than a read allows,
+    with close neighbours that no equal-width step can part."""
+    heavy = [0.0] * 300 + [1e-9] * 300 + [1e9] * 300 + [1e9 + 1] * 300
+    tiny = [5e-324] * 400 + [1e-323] * 400
+    for vals in (heavy, tiny, [7.0] * 500, [0.0] * 300 + [1.0] * 300):
+        df = spark.createDataFrame([(v,) for v in vals], "v double")
+        for q in (0.0, 0.25, 0.4, 0.5, 0.75, 0.999, 1.0):
+            got = flags.exact_quantiles(df, ["v"], q, max_read=50)["v"]
+            pos = (len(vals) - 1) * q
+            lo, hi = vals[math.floor(pos)], vals[math.ceil(pos)]
+            assert got == pytest.approx(lo + (hi - lo) * (pos - math.floor(pos)), rel=1e-12, abs=0)
+
+
+def test_quantile_of_nan_is_an_error(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),)], "v double")
+    with pytest.raises(ValueError, match="NaN"):
+        flags.exact_quantiles(df, ["v"], 0.999)
+
+
 def test_adjustments_level_then_delta(spark):
     from datetime import datetime as dt
     rows_ = spark.createDataFrame([("a", "EZ", 100.0, 50.0, 40.0, "")],
