@@ -9,9 +9,9 @@ these hashes; the likeness of two fingerprints is the share of equal ones.
 
 The band bounds the lexicon: a term in at least ``LOW`` of all documents is
 one of at most (distinct terms per document) / ``LOW``, whatever the corpus
-size.  It is kept as a table of ``SLOTS`` hash slots (of the terms of a slot
-the smallest is in the lexicon) that every task reads as one array, so a term
-is looked up in constant time without a join.
+size.  All of them are kept, as a hash table that every task reads: an array
+of slots, each with all its terms.  There are at least twice as many slots as
+terms, so a term is looked up in constant time without a join.
 
 Defined cases: null text counts as empty; a text without lexicon terms uses
 all its terms, one without terms the hash of the text; a subset that keeps
@@ -26,7 +26,6 @@ from pyspark.sql import functions as F
 from .common import stage
 
 LOW, HIGH = 0.0005, 0.2   # share of documents that hold a lexicon term
-SLOTS = 2 ** 15
 #: (seed, keep one term in ...) of every randomised lexicon subset
 SUBSETS = [(seed, keep) for seed, keep in enumerate(
     [4, 8, 16, 32, 48, 64, 64, 96, 96, 128, 128, 160, 192, 256, 256, 384], start=1)]
@@ -39,41 +38,51 @@ def terms(text: Column) -> Column:
 
 
 def lexicon(docs: DataFrame, low: float = LOW, high: float = HIGH) -> DataFrame:
-    """One row, ``slots``: the lexicon as an array of ``SLOTS`` term hashes (0: none).
+    """One row: ``slots`` holds every band term, in the order of its hash slot,
+    ``table`` the array of terms of each slot.
 
     Document frequencies are counted over all documents.
     """
     spark = docs.sparkSession
     n = docs.count()
     df = docs.select(F.explode(terms(F.col("text"))).alias("term")).groupBy("term").count()
-    band = df.where(F.col("count").between(max(2, low * n), max(2, high * n)))
-    slots = band.groupBy(F.pmod("term", F.lit(SLOTS)).alias("slot")).agg(
-        F.min("term").alias("term"))
-    every = spark.range(SLOTS).withColumnRenamed("id", "slot").join(slots, "slot", "left")
-    # SLOTS rows of two integers, whatever the corpus size
-    return stage(every.agg(F.transform(F.array_sort(F.collect_list(F.struct(
-        "slot", F.coalesce("term", F.lit(0)).alias("term")))), lambda x: x["term"])
-        .alias("slots")), "lexicon")
+    band = stage(df.where(F.col("count").between(max(2, low * n), max(2, high * n)))
+                 .select("term"), "band")
+    n_slots = 2 ** (2 * band.count()).bit_length()
+    # from here on all is bounded by the band
+    held = band.groupBy(F.pmod("term", F.lit(n_slots)).alias("slot")).agg(
+        F.sort_array(F.collect_list("term")).alias("terms"))
+    every = spark.range(n_slots).withColumnRenamed("id", "slot").join(held, "slot", "left")
+    table = every.agg(F.transform(F.array_sort(F.collect_list(F.struct("slot", F.coalesce(
+        "terms", F.array().cast("array<bigint>")).alias("terms")))), lambda x: x["terms"])
+        .alias("table"))
+    return stage(table.select(F.flatten("table").alias("slots"), "table"), "lexicon")
 
 
-def fingerprint(text: Column, slots: Column) -> Column:
+def once(value: Column, use) -> Column:
+    """``use(value)``, with the value computed a single time."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def fingerprint(text: Column, table: Column) -> Column:
     """Hex hashes of the subsets, joined by ``-``."""
-    all_terms = terms(text)
-    known = F.filter(all_terms, lambda t: F.element_at(
-        slots, (F.pmod(t, F.lit(SLOTS)) + 1).cast("int")) == t)
-    used = F.when(F.size(known) > 0, known).when(F.size(all_terms) > 0, all_terms).otherwise(
-        F.array(F.xxhash64(text)))
+    def known(ts: Column) -> Column:
+        return F.filter(ts, lambda t: F.array_contains(F.element_at(
+            table, (F.pmod(t, F.size(table)) + 1).cast("int")), t))
+
+    def used(ts: Column) -> Column:
+        return once(known(ts), lambda k: F.when(F.size(k) > 0, k).when(
+            F.size(ts) > 0, ts).otherwise(F.array(F.xxhash64(text))))
 
     def subset(ts: Column, s: Column) -> Column:
         kept = F.filter(ts, lambda t: F.pmod(F.xxhash64(t, s["seed"]), s["keep"]) == 0)
         one = F.array_min(F.transform(ts, lambda t: F.xxhash64(t, s["seed"])))
-        return F.hex(F.when(F.size(kept) > 0, F.xxhash64(kept)).otherwise(one))
+        return F.hex(once(kept, lambda k: F.when(F.size(k) > 0, F.xxhash64(k)).otherwise(one)))
 
     plan = F.array(*[F.struct(F.lit(a).alias("seed"), F.lit(b).alias("keep"))
                      for a, b in SUBSETS])
-    # a one-element array holds the sorted terms, so that they are computed once
-    return F.element_at(F.transform(F.array(F.array_sort(used)), lambda ts: F.array_join(
-        F.transform(plan, lambda s: subset(ts, s)), "-")), 1)
+    return once(F.array_sort(once(terms(text), used)), lambda ts: F.array_join(
+        F.transform(plan, lambda s: subset(ts, s)), "-"))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -117,12 +126,12 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     replaced by the start of the next document."""
     d = docs.where("doc_id is not null").select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    table = lexicon(d)
+    table = lexicon(d).select("table")
 
     def printed(df: DataFrame, name: str, text: str) -> DataFrame:
         # the one-row lexicon enters as a scalar subquery: a constant to every task
-        return df.withColumn("slots", table.scalar()).withColumn(
-            name, fingerprint(F.col(text), F.col("slots"))).drop("slots")
+        return df.withColumn("lexicon", table.scalar()).withColumn(
+            name, fingerprint(F.col(text), F.col("lexicon"))).drop("lexicon")
 
     own = with_next(printed(d, "fingerprint", "text"), ["text", "fingerprint"])
     n = F.length("text")

@@ -268,6 +268,25 @@ def test_fingerprint_lexicon_is_the_band(spark):
     assert slots <= band and len(slots) >= 0.9 * len(band)
 
 
+def test_fingerprint_lexicon_keeps_every_band_term(spark):
+    # 40,000 terms, each in two documents of 200
+    texts = [" ".join(f"t{k}" for k in range(i % 100 * 400, i % 100 * 400 + 400))
+             for i in range(200)]
+    d = docs_of(spark, texts).where("doc_id is not null")
+    table = imatch.lexicon(d).first()
+    want = {r.term for r in d.select(F.explode(imatch.terms(F.col("text"))).alias("term")).collect()}
+    assert len(want) == len(table.slots) == 40_000 and set(table.slots) == want
+    n = len(table.table)
+    assert n >= 2 * len(want) and all(t % n == k for k, ts in enumerate(table.table) for t in ts)
+    # lookups find the terms of the table, and no other
+    table = imatch.lexicon(d)
+    printed = (d.where("doc_id = 0").select(F.explode(F.array(
+        "text", F.concat("text", F.lit(" rare unseen")), F.concat_ws(" ", "text", F.lit(texts[3])))).alias("x"))
+        .crossJoin(table).select(imatch.fingerprint(F.col("x"), F.col("table"))))
+    same, rare, more = [r[0] for r in printed.collect()]
+    assert same == rare != more
+
+
 def test_next_row_over_gaps(spark):
     ids = [5, 6, 9, 700, 701, 5000, 5001, 99999]
     d = spark.createDataFrame([(i, str(i)) for i in ids], "doc_id long, text string")
