@@ -10,13 +10,15 @@ elements with ``hidden``, ``display:none`` or ``visibility:hidden``; closed
 ``<details>`` but for its summary; hidden inputs.
 
 Defined cases: null or empty pages give empty text; unclosed and stray tags
-are repaired; elements nested deeper than ``DEPTH`` are attached at that depth
-(their text stays); repeated pages each give a row.
+are repaired, at any depth of nesting; a column that a cell of an earlier row
+spans (``rowspan``) stays empty; repeated pages each give a row.
 """
 
 from __future__ import annotations
 
 import re
+import sys
+from collections import Counter
 from html.parser import HTMLParser
 
 from pyspark.sql import DataFrame
@@ -24,7 +26,6 @@ from pyspark.sql import functions as F
 
 from .common import map_rows
 
-DEPTH = 150
 # Fixed values of the HTML standard.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param",
         "source", "track", "wbr"}
@@ -64,12 +65,23 @@ class Builder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("html", {})
         self.open = [self.root]
+        self.tags: Counter = Counter()  # of the open elements but the root
+        self.depth = 1
+
+    def cut(self, k: int) -> None:
+        for node in self.open[k:]:
+            self.tags[node.tag] -= 1
+        del self.open[k:]
 
     def close_to(self, tags: set[str], fence: set[str]) -> None:
+        left = sum(self.tags[t] for t in tags)
         for k in range(len(self.open) - 1, 0, -1):
+            if not left:
+                return
             if self.open[k].tag in tags:
                 # close this one, then look for further ones (a cell and its row)
-                del self.open[k:]
+                self.cut(k)
+                left -= 1
             elif self.open[k].tag in fence:
                 return
 
@@ -80,22 +92,26 @@ class Builder(HTMLParser):
             self.close_to({"p"}, {"table", "td", "th", "button", "caption"})
         if tag in IMPLIED:
             self.close_to(IMPLIED[tag], FENCE.get(tag, {"table"}) | {"table"})
-        if tag not in HIDDEN and any(n.tag == "head" for n in self.open) and tag in BLOCK:
+        if tag not in HIDDEN and self.tags["head"] and tag in BLOCK:
             self.close_to({"head"}, set())
         node = Node(tag, {k: v or "" for k, v in attrs})
         self.open[-1].items.append(node)
-        if tag not in VOID and len(self.open) < DEPTH:
+        if tag not in VOID:
             self.open.append(node)
+            self.tags[tag] += 1
+            self.depth = max(self.depth, len(self.open))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag):
+        if not self.tags[tag]:
+            return
         fence = {"table"} if tag in TABLE_PARTS else {"td", "th"} if tag not in (
             "table", "body", "html") else set()
         for k in range(len(self.open) - 1, 0, -1):
             if self.open[k].tag == tag:
-                del self.open[k:]
+                self.cut(k)
                 return
             if self.open[k].tag in fence:
                 return
@@ -216,15 +232,24 @@ def _start(node: Node) -> int:
 
 
 def _raw(node: Node) -> str:
-    return "".join(x if isinstance(x, str) else "\n" if x.tag == "br" else
-                   _raw(x) if visible(x) else "" for x in node.items)
+    out, todo = [], [node]
+    while todo:
+        x = todo.pop()
+        if isinstance(x, str):
+            out.append(x)
+        elif x is not node and x.tag == "br":
+            out.append("\n")
+        elif x is node or visible(x):
+            todo.extend(reversed(x.items))
+    return "".join(out)
 
 
 def table(node: Node) -> list[str]:
     """Rows with columns padded to their widest cell.  A cell over several
-    columns takes no part in the widths."""
+    columns takes no part in the widths.  Below a cell over several rows its
+    columns are left empty, up to the end of the row group."""
     caption: list[str] = []
-    rows: list[list[tuple[list[str], int]]] = []
+    rows: list[tuple[Node, list[tuple[list[str], int, int]]]] = []
 
     def walk(n: Node) -> None:
         for x in n.items:
@@ -234,39 +259,67 @@ def table(node: Node) -> list[str]:
             elif not visible(x) or x.tag in ("col", "colgroup"):
                 continue
             elif x.tag == "tr":
-                cells = [(render(c), _span(c)) for c in x.items
+                cells = [(render(c), _span(c), _rowspan(c)) for c in x.items
                          if not isinstance(c, str) and c.tag in ("td", "th") and visible(c)]
                 stray = Node("div", {})
                 stray.items = [c for c in x.items
                                if isinstance(c, str) or c.tag not in ("td", "th")]
                 caption.extend(render(stray))
-                rows.append(cells)
+                rows.append((n, cells))
             elif x.tag in ("thead", "tbody", "tfoot"):
                 walk(x)
             elif x.tag in ("td", "th"):
-                rows.append([(render(x), _span(x))])
+                rows.append((n, [(render(x), _span(x), _rowspan(x))]))
             else:
                 caption.extend(render(x))  # the caption, and what lies astray
     walk(node)
     widths: dict[int, int] = {}
-    for cells in rows:
-        col = 0
-        for lines, span in cells:
+    placed = _place(rows)
+    for cells in placed:
+        for col, lines, span in cells:
             if span == 1:
                 widths[col] = max(widths.get(col, 0), *(len(s) for s in lines or [""]))
-            col += span
     out = caption
-    for cells in rows:
-        for k in range(max((len(lines) for lines, _ in cells), default=0)):
-            parts, col = [], 0
-            for lines, span in cells:
+    for cells in placed:
+        for k in range(max((len(lines) for _, lines, _ in cells), default=0)):
+            parts = []
+            for col, lines, span in cells:
                 width = sum(widths.get(c, 0) for c in range(col, col + span)) + 3 * (span - 1)
                 parts.append((lines[k] if k < len(lines) else "").ljust(width))
-                col += span
             out.append(" | ".join(parts).rstrip())
     return out
 
 
+def _place(rows: list[tuple[Node, list[tuple[list[str], int, int]]]]
+           ) -> list[list[tuple[int, list[str], int]]]:
+    """``(column, lines, span)`` of each row's cells, and of the empty places
+    that cells of earlier rows of the group take."""
+    out, group = [], None
+    hanging: list[tuple[int, int, int]] = []  # column, span, rows still to come
+    for owner, cells in rows:
+        if owner is not group:
+            group, hanging = owner, []
+        waiting, placed, below, col = sorted(hanging), [], [], 0
+        for lines, span, down in cells:
+            while waiting and waiting[0][0] <= col:
+                c, w, _ = waiting.pop(0)
+                if c + w > col:
+                    placed.append((col, [], c + w - col))
+                    col = c + w
+            placed.append((col, lines, span))
+            if down > 1:
+                below.append((col, span, down - 1))
+            col += span
+        for c, w, _ in waiting:
+            if c + w > col:
+                col = max(c, col)
+                placed.append((col, [], c + w - col))
+                col = c + w
+        hanging = [(c, w, n - 1) for c, w, n in hanging if n > 1] + below
+        out.append(placed)
+    return out
+
+
 def _span(cell: Node) -> int:
     try:
         return min(max(int(cell.attrs.get("colspan", "1")), 1), 1000)
@@ -274,6 +327,14 @@ def _span(cell: Node) -> int:
         return 1
 
 
+def _rowspan(cell: Node) -> int:
+    try:
+        n = int(cell.attrs.get("rowspan", "1"))
+    except ValueError:
+        return 1
+    return min(n, 65534) if n > 0 else 65534 if n == 0 else 1  # 0: to the group's end
+
+
 def page_text(html: str | None) -> str:
     """The visible text of one page."""
     if not html:
@@ -281,7 +342,13 @@ def page_text(html: str | None) -> str:
     b = Builder()
     b.feed(html)
     b.close()
-    return "\n".join(line.rstrip() for line in render(b.root))
+    # at most four calls a level; Python's calls take heap, not C stack
+    limit = sys.getrecursionlimit()
+    sys.setrecursionlimit(max(limit, 4 * b.depth + 1000))
+    try:
+        return "\n".join(line.rstrip() for line in render(b.root))
+    finally:
+        sys.setrecursionlimit(limit)
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -392,6 +392,26 @@ def test_html_rendering():
     assert html_text.page_text("a < b & c </i> <b>x") == "a < b & c x"
 
 
+def test_html_at_any_depth():
+    deep = "<font>" * 3000
+    assert html_text.page_text(f"<p>a{deep}<script>x()</script><b hidden>no</b> z") == "a z"
+    assert html_text.page_text(
+        f"<div hidden>{deep}<div>no</div>still not</div>seen") == "seen"
+    assert html_text.page_text(
+        f"{deep}<ul><li>a<ul><li>b</ul><li>c</ul>") == "- a\n  - b\n- c"
+    assert html_text.page_text(f"{deep}<pre>{deep}a\n b</pre>") == "a\n b"
+
+
+def test_html_rowspan():
+    assert html_text.page_text(
+        "<table><tr><td rowspan=2>a<td>b<tr><td>c<tr><td>d<td>e</table>") == "a | b\n  | c\nd | e"
+    assert html_text.page_text(
+        "<table><tr><td>a<td rowspan=0 colspan=2>b<td>c<tr><td>d<td>e"
+        "<tbody><tr><td>f<td>g<td>h<td>i</table>") == "a | b     | c\nd |       | e\nf | g | h | i"
+    assert html_text.page_text(
+        "<table><tr><td>a<td rowspan=2>b<tr><td>c</table>") == "a | b\nc |"
+
+
 def test_empty_tables(spark):
     d = docs_of(spark, []).limit(0)
     assert jaccard.join(d).count() == substring.dedup(d).count() == lines.dedup(d).count() == 0
