@@ -1,8 +1,9 @@
 """Language ID by compression.
 
 Every language gets a zstandard raw-content dictionary made of its learning
-texts.  A text is compressed with each of them, and the language whose
-dictionary gives the smallest frame wins.  A narrow margin between the best
+texts.  Short ones are repeated up to the size of the longest, so no language
+loses learning data to a rare one.  A text is compressed with each of them, and
+the language whose dictionary gives the smallest frame wins.  A narrow margin between the best
 and the second is reported as ``rejected``.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0;
@@ -46,16 +47,21 @@ def dictionaries(docs: DataFrame, sample_rows: int = SAMPLE_ROWS,
               .withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= sample_rows)
               .select("lang", "doc_id", "rn"))
     # at most sample_rows short rows per language: a proven bound for the broadcast
-    texts = (learn.join(F.broadcast(picked), ["lang", "doc_id"])
-             .select("lang", "rn", F.substring("text", 1, dict_bytes).alias("text")))
+    texts = map_rows(
+        learn.join(F.broadcast(picked), ["lang", "doc_id"])
+        .select("lang", "rn", F.substring("text", 1, dict_bytes).alias("text")),
+        lambda lang, rn, text: [(lang, rn, (plain(text) + b" ")[:dict_bytes])],
+        "lang string, rn int, content binary")
+    # only what a dictionary takes is collected
+    before = F.sum(F.octet_length("content")).over(
+        Window.partitionBy("lang").orderBy("rn", "content").rowsBetween(
+            Window.unboundedPreceding, -1))
+    taken = texts.withColumn("before", F.coalesce(before, F.lit(0))).where(
+        F.col("before") < dict_bytes)
     content: dict[str, bytes] = {}
-    for r in texts.orderBy("lang", "rn").collect():
-        have = content.get(r["lang"], b"")
-        if len(have) < dict_bytes:
-            content[r["lang"]] = have + plain(r["text"]) + b" "
-    # equal sizes: a longer dictionary would win by its size alone
-    size = min([dict_bytes, *(len(c) for c in content.values() if len(c) > 1024)])
-    return [(lang, content[lang][:size])
+    for r in taken.orderBy("lang", "before").collect():
+        content[r["lang"]] = content.get(r["lang"], b"") + bytes(r["content"])
+    return [(lang, content[lang][:dict_bytes])
             for lang in sorted(content, key=lambda x: (-counts[x], x))]
 
 
@@ -64,10 +70,18 @@ def plain(text: str) -> bytes:
     return b" ".join(letter_runs(text))
 
 
+def filled(content: bytes, size: int) -> bytes:
+    """``content`` repeated up to ``size`` bytes."""
+    return (content * (size // len(content) + 1))[:size] if content.strip() else content
+
+
 @lru_cache(maxsize=2)
 def _compressors(dicts: tuple[tuple[str, bytes], ...], level: int):
     out = []
+    # equal sizes: offsets into a shorter dictionary would be cheaper
+    size = max((len(c) for _, c in dicts), default=0)
     for lang, content in dicts:
+        content = filled(content, size)
         d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         d.precompute_compress(level=level)
         out.append((lang, zstandard.ZstdCompressor(

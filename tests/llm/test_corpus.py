@@ -363,6 +363,38 @@ def test_language_held_out(spark):
     assert right > 0.95
 
 
+def test_rare_language_costs_the_others_nothing(spark):
+    rng = random.Random(5)
+    words = {x: ["".join(rng.choice(letters) for _ in range(rng.randint(3, 8))) for _ in range(900)]
+             for x, letters in (("aa", "abcdefgh"), ("bb", "abcdefgi"), ("rare", "abcdefgk"))}
+
+    def text(lang, n):
+        return " ".join(rng.choice(words[lang]) for _ in range(n))
+    rows = [(i, text(lang, 300), lang) for i, lang in enumerate(["aa", "bb"] * 40)]
+    d = spark.createDataFrame([*rows, (900, text("rare", 200), "rare")],
+                              "doc_id long, text string, lang string")
+    want = {lang: b"".join(language.plain(t) + b" " for i, t, x in rows if x == lang)
+            for lang in ("aa", "bb")}
+    got = dict(language.dictionaries(d))
+    assert 1024 < len(got["rare"]) < 2000
+    assert all(sorted(got[x].split()) == sorted(want[x].split()) for x in want)
+    cut = dict(language.dictionaries(d, dict_bytes=20_000))
+    assert [len(cut[x]) for x in want] == [20_000] * 2 and cut["rare"] == got["rare"]
+
+
+def test_languages_beside_a_rare_one(spark):
+    d = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("doc_id is not null")
+    learn = d.where((language.fold_bucket("doc_id") != 0) & (F.col("lang") != "de"))
+    rare = (d.where("lang = 'de' and length(text) > 1300").orderBy("doc_id").limit(1)
+            .withColumn("text", F.substring("text", 1, 1300)))
+    dicts = language.dictionaries(learn.unionByName(rare))
+    assert len(dict(dicts)["de"]) > 1024 and len(dict(dicts)["en"]) == language.DICT_BYTES
+    others = d.where((language.fold_bucket("doc_id") == 0) & (F.col("lang") != "de"))
+    right = language.identify(others, dicts).join(others.select("doc_id", "lang"), "doc_id").agg(
+        F.avg((F.col("lang_pred") == F.col("lang")).cast("int"))).first()[0]
+    assert right > 0.95
+
+
 def test_classifiers_on_odd_and_empty_tables(spark):
     texts = odd_texts()
     d = docs_of(spark, texts)
