@@ -16,8 +16,9 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from ..session import ensure_checkpoint_dir
 
@@ -87,10 +88,10 @@ def map_rows(df: DataFrame, fn: Callable[..., Iterable[tuple]], schema: str,
             for row in zip(*cols, strict=True):
                 out.extend(fn(*state, *row))
                 if len(out) >= chunk:
-                    yield _batch(out, names, types)
+                    yield arrow_batch(out, names, types)
                     out = []
         if out:
-            yield _batch(out, names, types)
+            yield arrow_batch(out, names, types)
         pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
@@ -105,7 +106,7 @@ def _values(col: pa.Array) -> list:
     return col.to_pylist()
 
 
-def _batch(rows: list[tuple], names: list[str], types: list[pa.DataType]) -> pa.RecordBatch:
+def arrow_batch(rows: list[tuple], names: list[str], types: list[pa.DataType]) -> pa.RecordBatch:
     arrays = []
     for values, t in zip(zip(*rows, strict=True), types, strict=True):
         if pa.types.is_list(t) and all(isinstance(v, np.ndarray) for v in values):
@@ -224,3 +225,41 @@ def if_small(ids: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
     """Mark a staged table of ids for broadcast when its counted size allows;
     otherwise the join stays a plain shuffle join.  Results are the same."""
     return F.broadcast(ids) if ids.count() <= rows else ids
+
+
+def running(df: DataFrame, order: list[str], weight: str, name: str) -> DataFrame:
+    """``df`` with ``before``: the sum of ``weight`` (a long, not null) over all
+    rows that precede a row in ascending ``order``.
+
+    Rows are dealt by range and sorted, every task keeps a running sum over its
+    range, and the sums of the ranges (one row per task) place the ranges.  No
+    group or window holds more than that.  Rows equal in ``order`` precede one
+    another in any order, so ``order`` should name every row or tie only rows
+    that are alike.  ``df`` is read twice (range bounds, then the rows): pass a
+    staged table.  The result is staged.
+    """
+    spark = df.sparkSession
+    ship(spark)
+    at = df.columns.index(weight)
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+        part, total = TaskContext.get().partitionId(), 0
+        for b in batches:
+            w = b.column(at).to_numpy(zero_copy_only=False).astype(np.int64)
+            ends = total + np.cumsum(w)
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns, pa.array(np.full(len(w), part, np.int32)), pa.array(ends - w)],
+                [*b.schema.names, "part", "within"])
+            total = int(ends[-1]) if len(w) else total
+
+    schema = StructType([*df.schema.fields, StructField("part", IntegerType()),
+                         StructField("within", LongType())])
+    placed = stage(df.repartitionByRange(*order).sortWithinPartitions(*order)
+                   .mapInArrow(sums, schema), name)
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = (placed.groupBy("part").agg(F.sum(weight).alias("t"))
+             .select("part", F.coalesce(F.sum("t").over(earlier), F.lit(0)).alias("shift")))
+    return (placed.join(F.broadcast(parts), "part")  # one row per task of the stage
+            .withColumn("before", F.col("within") + F.col("shift"))
+            .drop("part", "within", "shift"))

@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_text, imatch, jaccard, language, lines, mixing, quality, substring, toxicity
+from . import (bpe, html_text, imatch, jaccard, language, lines, mixing, packing, quality,
+               substring, toxicity)
 from .common import read_table
 from .oracles import ORACLES
 
@@ -18,6 +19,10 @@ def vocabulary() -> str:
     return os.environ.get("BPE_VOCABULARY") or public_tokenizers.path("word_bpe_49k.json")
 
 
+def byte_vocabulary() -> str:
+    return os.environ.get("BYTE_BPE_VOCABULARY") or public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(read_table(spark, sf_dir, "documents"))
 
@@ -67,8 +72,14 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"), byte_vocabulary()).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+        "sequence_id", "offset")
+
+
 _ALL: list[Callable[[SparkSession, str], DataFrame]] = [
     op1_ngram_jaccard_join, op2_html_extraction, op3_line_dedup, op4_quality_rules,
     op5_document_fingerprints, op6_bpe, op7_substring_dedup, op8_source_mixing, op9_toxicity,
-    op10_language_id]
+    op10_language_id, op11_packing]
 QUERIES = {f.__name__: (f, ORACLES.get(f.__name__)) for f in _ALL}
