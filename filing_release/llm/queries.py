@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, html_text, imatch, jaccard, language, lines, mixing, packing, quality,
-               substring, toxicity)
+from . import (bpe, centroids, html_text, imatch, jaccard, language, lines, merkle, mixing, packing,
+               quality, substring, toxicity)
 from .common import read_table
 from .oracles import ORACLES
 
@@ -78,8 +78,16 @@ def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "sequence_id", "offset")
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify(merkle.manifest(read_table(spark, sf_dir, "documents")))
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(read_table(spark, sf_dir, "embeddings")).drop("n_checked")
+
+
 _ALL: list[Callable[[SparkSession, str], DataFrame]] = [
     op1_ngram_jaccard_join, op2_html_extraction, op3_line_dedup, op4_quality_rules,
     op5_document_fingerprints, op6_bpe, op7_substring_dedup, op8_source_mixing, op9_toxicity,
-    op10_language_id, op11_packing]
+    op10_language_id, op11_packing, op12_merkle_manifest, op13_centroid_clustering]
 QUERIES = {f.__name__: (f, ORACLES.get(f.__name__)) for f in _ALL}
