@@ -1006,3 +1006,6 @@ def restore_saved_rows(spark: SparkSession, d: str) -> DataFrame:
     saved, _ledger = rv.export_review(s.filter(F.col("NEW_STATE").isin(1, 3)))
     restored, _gone = rv.restore_saved(_flagged(spark, d), saved)
     return restored.select("RELEASE", "EIN", "FUNDBAL", "EXPS", "CONT", "VALIDATION_STATE")
+
+
+from . import job_queries  # noqa: E402,F401  (registers the queries of the jobs)

@@ -1,7 +1,8 @@
 """Scans of the raw inputs.
 
-Every text source is read with an explicit all-string schema, so there is
-no inference pass over the data, and column pruning reaches the scan.
+Every text source is read by ``scan.checked_scan``: all-string schemas from the
+files' own headers, so there is no inference pass over the data, and rows that
+don't fit their header are never cut or filled in silence.
 """
 
 from __future__ import annotations
@@ -11,7 +12,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructType
+
+from .scan import checked_scan
 
 # Text a tabular reader treats as missing by default.
 NULL_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
@@ -24,42 +27,34 @@ REGISTRY_DELIMITER = ","
 POSTCARD_DELIMITER = "|"
 
 
-def string_schema(names: Sequence[str]) -> StructType:
-    return StructType([StructField(n, StringType(), True) for n in names])
-
-
-def _header(spark: SparkSession, path: str, sep: str) -> list[str]:
-    """First line of the first file only (bounded driver read)."""
-    line = spark.read.text(path).limit(1).collect()
-    return line[0][0].split(sep) if line else []
-
-
 def null_tokens_to_null(c: Column) -> Column:
     return F.when(c.isin(NULL_TOKENS[1:]) | (c == ""), F.lit(None).cast("string")).otherwise(c)
 
 
 def read_extract(spark: SparkSession, path: str | list[str], source_name: str | None = None,
                  columns: Iterable[str] | None = None, sep: str = EXTRACT_DELIMITER,
-                 header: list[str] | None = None) -> DataFrame:
+                 on_bad: str = "raise", rejects: list[DataFrame] | None = None) -> DataFrame:
     """A1 + A2 + B2: one filing extract.
 
     * all columns are text; pandas-style missing tokens become null;
-    * headers are upper-cased (``ein``/``EIN`` both work);
+    * headers are upper-cased (``ein``/``EIN`` both work), and every part file
+      of a folder is read by its own header;
     * ``SOURCE`` is ``source_name`` or the given path's last part, also when
       the path is a folder of part files;
-    * several paths are read one by one, each with its own header and name.
+    * several paths are read one by one, each with its own header and name;
+    * a row whose token count differs from its header stops the job, or with
+      ``on_bad="quarantine"`` goes to the table appended to ``rejects``.
     """
     if not isinstance(path, str):
-        parts = [read_extract(spark, p, source_name, columns, sep, header) for p in path]
+        parts = [read_extract(spark, p, source_name, columns, sep, on_bad, rejects) for p in path]
         return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    names = header or _header(spark, path, sep)
-    df = (spark.read.option("header", True).option("sep", sep)
-          .option("mode", "PERMISSIVE").schema(string_schema(names)).csv(path))
     keep = None if columns is None else {c.upper() for c in columns} | {"EIN"}
-    cols = [null_tokens_to_null(F.col(f"`{n}`")).alias(n.upper())
-            for n in names if keep is None or n.upper() in keep]
+    scan = checked_scan(spark, path, sep, on_bad=on_bad, columns=keep, required=["EIN"])
     name = source_name or path.rstrip("/").rsplit("/", 1)[-1]
-    return df.select(*cols, F.lit(name).alias("SOURCE"))
+    if rejects is not None:
+        rejects.append(scan.rejects.withColumn("source", F.lit(name)))
+    cols = [null_tokens_to_null(F.col(c)).alias(c) for c in scan.rows.columns if c != "FILE_NAME"]
+    return scan.rows.select(*cols, F.lit(name).alias("SOURCE"))
 
 
 def read_registry(spark: SparkSession, paths: list[str],
@@ -67,21 +62,26 @@ def read_registry(spark: SparkSession, paths: list[str],
                                             "AFFILIATION", "DEDUCTIBILITY", "ICO",
                                             "SORT_NAME", "FILING_REQ_CD",
                                             "PF_FILING_REQ_CD", "ASSET_CD", "INCOME_CD",
-                                            "STATUS")) -> DataFrame:
-    """A3: the regional registry files as one scan (header, comma)."""
-    # each file by its own header: the regional files may order columns differently
-    parts = [spark.read.option("header", True).option("sep", REGISTRY_DELIMITER)
-             .schema(string_schema(_header(spark, p, REGISTRY_DELIMITER))).csv(p)
-             .select(*columns) for p in paths]
-    return reduce(DataFrame.unionByName, parts)
-
-
-def read_postcard(spark: SparkSession, path: str) -> DataFrame:
+                                            "STATUS"), on_bad: str = "raise",
+                  rejects: list[DataFrame] | None = None) -> DataFrame:
+    """A3: the regional registry files as one table (header, comma); the files
+    may order their columns differently and have others besides ``columns``."""
+    scan = checked_scan(spark, list(paths), REGISTRY_DELIMITER, on_bad=on_bad, columns=columns,
+                        required=columns, same_columns=False)
+    if rejects is not None:
+        rejects.append(scan.rejects.withColumn("source", F.lit("registry")))
+    return scan.rows.select(*columns)
+
+
+def read_postcard(spark: SparkSession, path: str, on_bad: str = "raise",
+                  rejects: list[DataFrame] | None = None) -> DataFrame:
     """A4 + C3: headerless pipe file, first two columns -> EIN, EPOSTCARD;
     rows with an empty year are dropped (a null year is kept)."""
-    df = spark.read.option("header", False).option("sep", POSTCARD_DELIMITER).csv(path)
-    df = df.select(F.col("_c0").alias("EIN"), F.col("_c1").alias("EPOSTCARD"))
-    return postcard_clean(df)
+    scan = checked_scan(spark, path, POSTCARD_DELIMITER, header=False, on_bad=on_bad,
+                        required=["C0", "C1"])
+    if rejects is not None:
+        rejects.append(scan.rejects.withColumn("source", F.lit("postcard")))
+    return postcard_clean(scan.rows.select(F.col("C0").alias("EIN"), F.col("C1").alias("EPOSTCARD")))
 
 
 def postcard_clean(df: DataFrame) -> DataFrame:
