@@ -38,7 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import ship, stage
@@ -246,11 +246,12 @@ def cluster(vectors: DataFrame, k: int = CLUSTERS, rounds: int = ROUNDS, dims: i
 
     out = stage(table.mapInArrow(final, "vec_id long, cluster int, distance long, "
                                  "centroid_sha256 string, n_checked double"), "clusters")
-    total = out.groupBy("cluster").agg(F.sum(F.col("distance").cast("decimal(38,0)")).alias("s"))
+    total = out.groupBy("cluster").agg(
+        F.sum(F.col("distance").cast("decimal(28,0)")).cast("decimal(28,0)").alias("s"))
     most = F.lit(LONG_MAX).cast("decimal(38,0)")
-    inertia = total.select("cluster", F.least("s", most).cast("long").alias("cluster_inertia")) \
-        .crossJoin(total.agg(F.least(F.sum(F.col("s").cast("decimal(38,0)")), most).cast("long")
-                             .alias("inertia")))  # k rows by one
+    whole = F.sum("s").over(Window.partitionBy())  # of k rows
+    inertia = total.select("cluster", F.least("s", most).cast("long").alias("cluster_inertia"),
+                           F.least(whole, most).cast("long").alias("inertia"))
     return out.join(F.broadcast(inertia), "cluster").select(  # k rows
         "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256",
         "n_checked")
