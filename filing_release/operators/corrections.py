@@ -39,12 +39,30 @@ def drop_recorded(df: DataFrame, corrections: DataFrame) -> DataFrame:
 
 
 def rekey_recorded(df: DataFrame, corrections: DataFrame) -> DataFrame:
-    """Replace the EIN of rows named by ``rekey`` corrections."""
-    c = corrections.filter(F.col("action") == "rekey").select(
-        F.col("EIN").alias("c_ein"), "match_source", "match_name", "new_ein")
-    j = df.join(c, _match(df, c), "left")
-    return j.select(*[F.coalesce(F.col("new_ein"), df["EIN"]).alias("EIN") if x == "EIN"
-                      else df[x] for x in df.columns])
+    """Replace the EIN of rows named by ``rekey`` corrections.
+
+    One join row per filing: the corrections of an EIN come as one array, and
+    those that match a filing are picked from it, so no filing is doubled.  Two
+    different new EINs for one filing stop the job; the same one twice is one.
+    (The array holds the corrections recorded for one EIN, a handful by hand.)
+    """
+    c = corrections.filter(F.col("action") == "rekey").groupBy(F.col("EIN").alias("c_ein")).agg(
+        F.collect_set(F.struct("match_source", "match_name", "new_ein")).alias("_rekeys"))
+    j = df.join(c, df["EIN"] == c["c_ein"], "left")
+
+    def applies(r):
+        ok = F.lit(True)
+        for column, given in (("SOURCE", r["match_source"]), ("NAME", r["match_name"])):
+            if column in df.columns:
+                ok = ok & (given.isNull() | F.coalesce(df[column] == given, F.lit(False)))
+        return ok
+
+    new = F.array_distinct(F.transform(F.filter(F.col("_rekeys"), applies), lambda r: r["new_ein"]))
+    several = F.concat(F.lit("several new EINs for EIN "), df["EIN"], F.lit(": "),
+                       F.array_join(new, ", ", "null"))
+    ein = (F.when(F.coalesce(F.size(new), F.lit(0)) > 1, F.raise_error(several).cast("string"))
+           .otherwise(F.coalesce(F.get(new, F.lit(0)), df["EIN"])))
+    return j.select(*[ein.alias("EIN") if x == "EIN" else df[x] for x in df.columns])
 
 
 def apply_corrections(df: DataFrame, corrections: DataFrame) -> DataFrame:

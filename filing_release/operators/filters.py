@@ -6,13 +6,14 @@ every listed value is literally ``N`` or ``0``; a null keeps the row.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.codes import source_kind
+from .absent import check_present
 
 # Values that mark a field as "not filled in" (C1).
 EMPTY_MARKERS = ["N", "0"]
@@ -32,9 +33,12 @@ def empty_filer(columns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, parts)
 
 
-def drop_empty_filers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """An empty list drops nothing."""
-    cols = [c for c in columns if c in df.columns]
+def drop_empty_filers(df: DataFrame, columns: Sequence[str],
+                      optional: Collection[str] = ()) -> DataFrame:
+    """An empty list drops nothing.  A listed column that the table lacks
+    would shorten the test and drop filings that are not empty, so it raises
+    unless it is ``optional``."""
+    cols = check_present(df, columns, "empty-filer test", optional)
     if not cols:
         return df
     return df.filter(~empty_filer(cols))

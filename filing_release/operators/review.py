@@ -9,7 +9,7 @@ aggregate over whole tables.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -91,6 +91,14 @@ def review_revenue(form: str) -> str:
     return "P1TOTREV" if form.upper() == "PF" else "TOTREV2"
 
 
+def rules_of_table(df: DataFrame) -> tuple[tuple[str, ...], str | None]:
+    """Rule forms and kind column of a reviewed table: a PF table has the PF
+    rules on every row, CO and PC tables those of each row's source kind."""
+    if any(c.startswith("validate_pf_") for c in df.columns) or review_revenue("PF") in df.columns:
+        return ("PF",), None
+    return ("EZ", "FULL"), "SOURCE_KIND"
+
+
 # --- L7 + G1 ----------------------------------------------------------------------
 def work_queue(flagged: DataFrame, form: str, threshold: float = 1000.0,
                fields: Sequence[str] = ()) -> DataFrame:
@@ -150,8 +158,9 @@ def net_adjustments(adjustments: DataFrame, money_places: int = 6) -> DataFrame:
 
 
 def apply_adjustments(rows: DataFrame, adjustments: DataFrame, fields: Sequence[str],
-                      rule_forms: Sequence[str] = ("EZ", "FULL"),
-                      kind_col: str | None = "SOURCE_KIND") -> DataFrame:
+                      rule_forms: Sequence[str] | None = None,
+                      kind_col: str | None = "SOURCE_KIND",
+                      optional: Collection[str] = ()) -> DataFrame:
     """L1 + L2: new value = (last level, else current) + later deltas; the
     change is accumulated in ``<field lower-cased>_adjusted_by``; each changed field is
     appended once to MANUALLY_FIXED, in the order fields were first edited;
@@ -183,15 +192,16 @@ def apply_adjustments(rows: DataFrame, adjustments: DataFrame, fields: Sequence[
                                                    F.lit("")),
                          FIXED_COL: fixed, "ADJUSTED": F.col("_changed").isNotNull()})
     out = out.withColumns(new_vals).drop(*[f"_a_{f}" for f in fields], "_who", "_changed")
-    out = out.drop(*residual_columns(out))
-    return add_residuals(out, rule_forms, kind_col)
+    forms, kind = (rule_forms, kind_col) if rule_forms else rules_of_table(out)
+    return add_residuals(out.drop(*residual_columns(out)), forms, kind, optional)
 
 
 # --- L3 ---------------------------------------------------------------------------------
 def review_state(df: DataFrame, action: str = "action", threshold: float = 1000.0,
                  changed: str = "ADJUSTED", fields: Sequence[str] = (),
-                 rule_forms: Sequence[str] = ("EZ", "FULL"),
-                 kind_col: str | None = "SOURCE_KIND") -> DataFrame:
+                 rule_forms: Sequence[str] | None = None,
+                 kind_col: str | None = "SOURCE_KIND",
+                 optional: Collection[str] = ()) -> DataFrame:
     """L3: next VALIDATION_STATE per row from the reviewer's action.
 
     fix        -> 1 if something changed, else rejected
@@ -238,7 +248,8 @@ def review_state(df: DataFrame, action: str = "action", threshold: float = 1000.
         rev[changed] = F.when(undo, F.lit(False)).otherwise(F.col(changed))
     out = out.withColumns(rev) if rev else out
     if fields and rcols:
-        out = add_residuals(out.drop(*rcols), rule_forms, kind_col)
+        forms, kind = (rule_forms, kind_col) if rule_forms else rules_of_table(out)
+        out = add_residuals(out.drop(*rcols), forms, kind, optional)
     return out
 
 

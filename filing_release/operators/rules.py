@@ -9,12 +9,13 @@ is null on rows of another source kind (C4); PF rules apply to every PF row.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Collection, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .absent import amount, check_present
 from .filters import IGNORED
 
 
@@ -101,11 +102,20 @@ def rules_for(form: str, include_inactive: bool = False) -> list[Rule]:
     return [r for r in CATALOGUE if r.form == form.upper() and (r.active or include_inactive)]
 
 
+def rule_fields(forms: Sequence[str], include_inactive: bool = False) -> list[str]:
+    """All fields that the rules of ``forms`` read."""
+    return sorted({f for form in forms for r in rules_for(form, include_inactive)
+                   for f in r.fields})
+
+
 def residual_expr(rule: Rule, columns: Sequence[str]) -> Column:
-    """``total - (p1 +/- p2 ...)``, evaluated left to right; an absent field
-    counts as 0."""
-    def amt(n):
-        return F.col(n) if n in columns else F.lit(0.0)
+    """``total - (p1 +/- p2 ...)``, evaluated left to right; a field that is
+    not among ``columns`` counts as 0 (see ``add_residuals``)."""
+    return residual_of(rule, lambda n: amount(columns, n))
+
+
+def residual_of(rule: Rule, amt: Callable[[str], Column]) -> Column:
+    """The rule's residual over amounts that ``amt`` names."""
     body = None
     for s, f in rule.parts:
         term = amt(f)
@@ -114,16 +124,19 @@ def residual_expr(rule: Rule, columns: Sequence[str]) -> Column:
 
 
 def add_residuals(df: DataFrame, forms: Sequence[str] = ("EZ", "FULL"),
-                  kind_col: str | None = "SOURCE_KIND") -> DataFrame:
-    """J + C4: one residual column per active rule of ``forms``.
+                  kind_col: str | None = "SOURCE_KIND", optional: Collection[str] = (),
+                  include_inactive: bool = False) -> DataFrame:
+    """J + C4: one residual column per active rule of ``forms``.  A field that
+    the table lacks raises unless it is ``optional`` (then it counts as 0).
 
     With ``kind_col`` a rule applies only to rows of its form (others get
     null); ``kind_col=None`` applies every rule to every row (PF tables).
     """
     cols = df.columns
+    check_present(df, rule_fields(forms, include_inactive), "rules", optional)
     out = {}
     for form in forms:
-        for r in rules_for(form):
+        for r in rules_for(form, include_inactive):
             e = residual_expr(r, cols)
             out[r.column] = F.when(F.col(kind_col) == r.form, e) if kind_col else e
     return df.withColumns(out)

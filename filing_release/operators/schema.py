@@ -33,8 +33,9 @@ def upper_headers(df: DataFrame) -> DataFrame:
 
 
 def check_one_tax_period(columns: Iterable[str]) -> str:
-    """B1: exactly one tax-period spelling must be present; returns it."""
-    present = [c for c in columns if c.upper() in TAX_PERIOD_NAMES]
+    """B1: exactly one tax-period spelling (or the release name itself) must be
+    present; returns it."""
+    present = [c for c in columns if c.upper() in (*TAX_PERIOD_NAMES, "TAXPER")]
     if len(present) != 1:
         raise ValueError(f"expected exactly one tax-period column, found {present}")
     return present[0]

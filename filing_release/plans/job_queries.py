@@ -8,10 +8,13 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import review_log
 from ..session import ensure_checkpoint_dir
 from ..sources import driver_tables as dt
 from ..sources.extracts import EXTRACT_DELIMITER
 from ..sources.scan import Scan, checked_scan, reject_counts
+from . import oracle as o
+from . import release as rel
 from .queries import register
 
 FILES = 8
@@ -73,3 +76,151 @@ def extract_rejects(spark: SparkSession, d: str) -> DataFrame:
     counts = reject_counts(_scan(spark, d).rejects)
     return counts.select(F.regexp_extract("file", "file=([0-9]+)", 1).cast("int").alias("file_no"),
                          "n_short", "n_long")
+
+
+# --- L1-L3, L10, D10, D11: a review log replayed ---------------------------------------------
+REPLAY_FIELDS = ["FUNDBAL", "CONT"]
+
+
+def _review_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The validated release with the amounts that make most rows add up; every
+    fourth row is left with residuals."""
+    v = rel.validated_staged(spark, d)
+    tidy = F.col("FILING_ID") % 4 != 0
+    ez = F.col("SOURCE_KIND") == "EZ"
+    v = v.withColumns({
+        "GRSINCFNDRSNG": F.when(tidy & ez, F.col("NETINCFNDRSNG") + F.col("DIREXP"))
+                          .when(tidy, F.col("NETINCFNDRSNG")).otherwise(0.0),
+        "PROGREV": F.when(tidy, F.col("TOTREV2") - F.col("CONT") - F.col("NETINCFNDRSNG"))
+                    .otherwise(0.0),
+        "PRGMSERVREV": F.when(tidy, F.col("TOTREV") - F.col("CONT") - F.col("NETINCFNDRSNG"))
+                        .otherwise(0.0)})
+    return v.drop(*[c for c in v.columns if c.startswith("validate_")])
+
+
+def _review_events(spark: SparkSession, d: str, rows: DataFrame) -> DataFrame:
+    """Two rounds: line items are edits and resets, every row may close a round."""
+    li = dt.table(spark, d, "lineitem")
+    r = rows.select("FILING_ID", "EIN", "ASS_EOY", "LIAB_EOY")
+    n, back = F.col("l_linenumber"), F.col("l_returnflag") == "R"
+    rnd = F.when(n <= 3, 1).otherwise(2)
+    edits = li.join(r, li["l_orderkey"] == r["FILING_ID"]) \
+        .where((rnd == 1) & (F.col("FILING_ID") % 3 != 1) | (rnd == 2) & (F.col("FILING_ID") % 3 != 2))
+    edits = edits.select(
+        "EIN", rnd.alias("round"), F.expr("timestamp'2000-01-01 00:00:00'").alias("ts"),
+        n.cast("long").alias("seq"),
+        F.when(n.isin(2, 5) & back, "reset").when(n == 7, "mend")
+         .when((n == 6) | ((n == 1) & (F.col("l_returnflag") == "A")), "level").otherwise("delta").alias("kind"),
+        F.when(n.isin(2, 5, 6), " cont ").otherwise("FundBal").alias("field"),
+        F.when(n == 1, F.when(F.col("l_returnflag") == "A", F.col("ASS_EOY") - F.col("LIAB_EOY"))
+               .otherwise(F.col("l_tax") * 10000))
+         .when(n == 3, F.round(F.col("l_discount") * 1000)).when(n == 4, -F.col("l_quantity"))
+         .when(n == 6, F.col("l_extendedprice")).otherwise(F.col("l_quantity") * 10)
+         .cast("double").alias("amount"),
+        F.lit("reviewer").alias("user"), F.lit("5").alias("explanation"))
+    k = F.pmod(F.col("FILING_ID") + 2 * F.col("round"), F.lit(6))
+    kinds = F.array(*[F.lit(a) for a in ("fix", "fix_ignore", "check", "ignore", "skip")])
+    closing = rows.select("EIN", "FILING_ID", F.explode(F.array(F.lit(1), F.lit(2))).alias("round")) \
+        .where(k < 5).select(
+            "EIN", "round", F.expr("timestamp'2000-01-02 00:00:00'").alias("ts"),
+            F.lit(0).cast("long").alias("seq"), F.get(kinds, k.cast("int")).alias("kind"),
+            F.lit(None).cast("string").alias("field"), F.lit(None).cast("double").alias("amount"),
+            F.lit(None).cast("string").alias("user"), F.lit(None).cast("string").alias("explanation"))
+    return edits.unionByName(closing)
+
+
+def _replayed(spark: SparkSession, d: str) -> review_log.Review:
+    rows = _review_rows(spark, d)
+    return review_log.replay(rows, _review_events(spark, d, rows), REPLAY_FIELDS,
+                             optional=rel.absent_amounts(rows))
+
+
+def _replay_sql() -> str:
+    """The two rounds one after the other, spelled out."""
+    sql = [*o.stages_until("dd"), """
+r0 AS (SELECT *, CASE WHEN FILING_ID % 4 = 0 THEN 0.0 WHEN SOURCE_KIND = 'EZ' THEN NETINCFNDRSNG + DIREXP
+         ELSE NETINCFNDRSNG END AS GRSINCFNDRSNG,
+    CASE WHEN FILING_ID % 4 = 0 THEN 0.0 ELSE TOTREV2 - CONT - NETINCFNDRSNG END AS PROGREV,
+    CASE WHEN FILING_ID % 4 = 0 THEN 0.0 ELSE TOTREV - CONT - NETINCFNDRSNG END AS PRGMSERVREV,
+    FUNDBAL AS FUNDBAL_0, CONT AS CONT_0, VALIDATION_STATE AS state_0, '' AS fixed_0, 0 AS n_acc_0
+  FROM dd)""", """
+ev AS (SELECT EIN, CASE WHEN l_linenumber <= 3 THEN 1 ELSE 2 END AS rnd, l_linenumber AS seq,
+    CASE WHEN l_linenumber IN (2, 5) AND l_returnflag = 'R' THEN 'reset' WHEN l_linenumber = 7 THEN 'mend'
+         WHEN l_linenumber = 6 OR (l_linenumber = 1 AND l_returnflag = 'A') THEN 'level' ELSE 'delta' END AS kind,
+    CASE WHEN l_linenumber IN (2, 5, 6) THEN 'CONT' ELSE 'FUNDBAL' END AS field,
+    CASE l_linenumber
+      WHEN 1 THEN CASE WHEN l_returnflag = 'A' THEN ASS_EOY - LIAB_EOY ELSE l_tax * 10000 END
+      WHEN 3 THEN round(l_discount * 1000) WHEN 4 THEN -l_quantity WHEN 6 THEN l_extendedprice
+      ELSE l_quantity * 10 END AS amount
+  FROM lineitem JOIN r0 ON l_orderkey = FILING_ID
+  WHERE (l_linenumber <= 3 AND FILING_ID % 3 <> 1) OR (l_linenumber > 3 AND FILING_ID % 3 <> 2))"""]
+    for n in (1, 2):
+        p = n - 1
+        sql.append(f"""
+rs{n} AS (SELECT EIN, max(CASE WHEN kind = 'reset' THEN seq END) AS cut FROM ev WHERE rnd = {n} GROUP BY EIN),
+ed{n} AS (SELECT ev.* FROM ev LEFT JOIN rs{n} USING (EIN) WHERE rnd = {n} AND kind IN ('level', 'delta')
+  AND seq > coalesce(cut, -1)),
+lv{n} AS (SELECT EIN, field, min(seq) AS first, max(CASE WHEN kind = 'level' THEN seq END) AS lseq,
+  arg_max(amount, seq) FILTER (kind = 'level') AS level FROM ed{n} GROUP BY EIN, field),
+nt{n} AS (SELECT l.EIN, l.field, l.first, l.level,
+  coalesce(round(sum(CASE WHEN e.kind = 'delta' AND e.seq > coalesce(lseq, -1) THEN e.amount END), 6), 0) AS delta
+  FROM lv{n} l JOIN ed{n} e ON e.EIN = l.EIN AND e.field = l.field GROUP BY l.EIN, l.field, l.first, l.level),
+pv{n} AS (SELECT EIN, {", ".join(f"max(CASE WHEN field = '{f}' THEN 1 END) AS has_{f}, max(CASE WHEN field = '{f}' THEN level END) AS lv_{f}, max(CASE WHEN field = '{f}' THEN delta END) AS d_{f}" for f in REPLAY_FIELDS)},
+  list(field ORDER BY first) AS changed FROM nt{n} GROUP BY EIN),
+t{n} AS (SELECT r.*, changed IS NOT NULL AS edited, changed,
+    CASE (FILING_ID + {2 * n}) % 6 WHEN 0 THEN 'fix' WHEN 1 THEN 'fix_ignore' WHEN 2 THEN 'check'
+      WHEN 3 THEN 'ignore' WHEN 4 THEN 'skip' END AS act,
+    {", ".join(f"CASE WHEN has_{f} = 1 THEN coalesce(lv_{f}, {f}_{p}) + d_{f} ELSE {f}_{p} END AS new_{f}" for f in REPLAY_FIELDS)}
+  FROM r{p} r LEFT JOIN pv{n} USING (EIN)),
+u{n} AS (SELECT *, CASE WHEN SOURCE_KIND = 'FULL' THEN greatest(abs(NETINCFNDRSNG - GRSINCFNDRSNG),
+      abs(TOTREV2 - (new_CONT + PROGREV + NETINCFNDRSNG)), abs(new_FUNDBAL - (ASS_EOY - LIAB_EOY)))
+    WHEN SOURCE_KIND = 'EZ' THEN greatest(abs(NETINCFNDRSNG - (GRSINCFNDRSNG - DIREXP)),
+      abs(TOTREV - (new_CONT + PRGMSERVREV + NETINCFNDRSNG)), abs(NETINC - (TOTREV - EXPS)),
+      abs(ASS_EOY - (LIAB_EOY + new_FUNDBAL))) ELSE 0 END <= 1000 AS clean FROM t{n}),
+w{n} AS (SELECT *, CASE act WHEN 'ignore' THEN 2 WHEN 'skip' THEN 0 WHEN 'fix' THEN CASE WHEN edited THEN 1 END
+    WHEN 'fix_ignore' THEN CASE WHEN edited AND clean THEN 1 WHEN edited THEN 2 END
+    WHEN 'check' THEN CASE WHEN clean AND NOT edited THEN 3 END END AS st{n} FROM u{n}),
+r{n} AS (SELECT * EXCLUDE (edited, changed, act, clean, new_FUNDBAL, new_CONT),
+    act AS act_{n}, edited AS edited_{n}, clean AS clean_{n}, coalesce(st{n}, state_{p}) AS state_{n},
+    n_acc_{p} + CASE WHEN st{n} IS NOT NULL THEN 1 ELSE 0 END AS n_acc_{n},
+    {", ".join(f"CASE WHEN st{n} IS NOT NULL AND act <> 'skip' THEN new_{f} ELSE {f}_{p} END AS {f}_{n}" for f in REPLAY_FIELDS)},
+    CASE WHEN st{n} IS NOT NULL AND act <> 'skip' AND edited
+      THEN trim(fixed_{p} || ' ' || array_to_string(list_filter(changed,
+           lambda x: NOT list_contains(string_split(fixed_{p}, ' '), x)), ' ')) ELSE fixed_{p} END AS fixed_{n}
+  FROM w{n})""")
+    return o.with_ctes(*sql)
+
+
+@register("review_replay", _replay_sql() + """
+SELECT RELEASE, EIN, FUNDBAL_2 AS FUNDBAL, CONT_2 AS CONT, FUNDBAL_2 - FUNDBAL AS fundbal_adjusted_by,
+  CONT_2 - CONT AS cont_adjusted_by, state_2 AS VALIDATION_STATE, fixed_2 AS MANUALLY_FIXED,
+  n_acc_2 AS n_accepted FROM r2""")
+def review_replay(spark: SparkSession, d: str) -> DataFrame:
+    return _replayed(spark, d).rows.select(
+        "RELEASE", "EIN", "FUNDBAL", "CONT", "fundbal_adjusted_by", "cont_adjusted_by",
+        "VALIDATION_STATE", "MANUALLY_FIXED",
+        F.size(F.filter("ROUNDS", lambda r: r["accepted"])).alias("n_accepted"))
+
+
+_OUTCOME_SQL = "CASE " + " ".join(f"""
+  WHEN rnd = {n} AND act_{n} = 'skip' THEN 'skipped'
+  WHEN rnd = {n} AND st{n} IS NULL AND act_{n} IN ('fix', 'fix_ignore') THEN 'rejected: no change made'
+  WHEN rnd = {n} AND st{n} IS NULL AND edited_{n} THEN 'rejected: changes made'
+  WHEN rnd = {n} AND st{n} IS NULL THEN 'rejected: residual over threshold'""" for n in (1, 2)) + " END"
+
+
+@register("review_unapplied", _replay_sql() + f""",
+e AS (SELECT ev.EIN, ev.rnd, ev.kind, CASE WHEN kind = 'mend' THEN 'unknown kind'
+    WHEN (CASE WHEN rnd = 1 THEN act_1 ELSE act_2 END) IS NULL AND kind <> 'reset' THEN 'round not closed'
+    WHEN kind <> 'reset' AND seq < (SELECT max(seq) FROM ev x WHERE x.EIN = ev.EIN AND x.rnd = ev.rnd
+                                    AND x.kind = 'reset') THEN 'reset'
+    WHEN kind <> 'reset' THEN {_OUTCOME_SQL} END AS outcome FROM ev JOIN r2 USING (EIN)),
+c AS (SELECT EIN, rnd, CASE rnd WHEN 1 THEN act_1 ELSE act_2 END AS kind,
+    CASE WHEN (CASE rnd WHEN 1 THEN act_1 ELSE act_2 END) <> 'skip' THEN {_OUTCOME_SQL} END AS outcome
+  FROM r2, (VALUES (1), (2)) v(rnd))
+SELECT cast(rnd AS int) AS round, kind, outcome, count(*) AS n FROM (SELECT EIN, rnd, kind, outcome FROM e
+  UNION ALL SELECT EIN, rnd, kind, outcome FROM c WHERE kind IS NOT NULL)
+WHERE outcome IS NOT NULL GROUP BY ALL""")
+def review_unapplied(spark: SparkSession, d: str) -> DataFrame:
+    return _replayed(spark, d).unapplied.groupBy("round", "kind", "outcome").agg(
+        F.count(F.lit(1)).alias("n"))

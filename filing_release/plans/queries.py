@@ -703,7 +703,8 @@ _ADJ_OUT = ["RELEASE", "EIN", *_ADJ_FIELDS, *[f"{f.lower()}_adjusted_by" for f i
 
 def _adjusted_plan(spark: SparkSession, d: str) -> DataFrame:
     v = rel.validated_staged(spark, d)
-    return rv.apply_adjustments(v, dt.adjustments(spark, d, v), _ADJ_FIELDS)
+    return rv.apply_adjustments(v, dt.adjustments(spark, d, v), _ADJ_FIELDS,
+                                optional=rel.absent_amounts(v))
 
 
 def _adjusted(spark: SparkSession, d: str) -> DataFrame:
@@ -746,7 +747,8 @@ st AS (SELECT * REPLACE ({_UNDO_SQL}), coalesce(new, VALIDATION_STATE) AS NEW_ST
 
 def _states(spark: SparkSession, d: str) -> DataFrame:
     a = _adjusted(spark, d).withColumn("action", dt.reviewer_action())
-    return rv.review_state(a, threshold=TOL, fields=_ADJ_FIELDS)
+    return rv.review_state(a, threshold=TOL, fields=_ADJ_FIELDS,
+                           optional=rel.absent_amounts(a))
 
 
 @register("review_state", o.with_ctes(*o.stages_until("res")) + _adj_sql() + _STATE_CTE + """

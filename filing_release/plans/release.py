@@ -12,7 +12,7 @@ of forms.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,7 +57,13 @@ def deduped(spark: SparkSession, d: str, y: int = dt.RELEASE_YEAR) -> DataFrame:
 
 def validated(spark: SparkSession, d: str, y: int = dt.RELEASE_YEAR) -> DataFrame:
     """J: residuals of the EZ and Full rules, by source kind."""
-    return rules.add_residuals(deduped(spark, d, y), ("EZ", "FULL"))
+    dd = deduped(spark, d, y)
+    return rules.add_residuals(dd, ("EZ", "FULL"), optional=absent_amounts(dd))
+
+
+def absent_amounts(df: DataFrame, forms: Sequence[str] = ("EZ", "FULL")) -> list[str]:
+    """Rule fields that the benchmark's filings don't have; they count as 0."""
+    return [f for f in rules.rule_fields(forms) if f not in df.columns]
 
 
 def validated_staged(spark: SparkSession, d: str, y: int = dt.RELEASE_YEAR) -> DataFrame:
@@ -118,6 +124,8 @@ class ReleaseInputs:
     numeric_columns: Sequence[str] = field(default_factory=lambda: list(config.AMOUNT_COLUMNS))
     final_lists: Mapping[str, Sequence[str]] = field(default_factory=dict)
     unique_classification: bool = True
+    # configured columns the extracts may lack; any other absent one stops the build
+    optional_columns: Collection[str] = ()
 
 
 @dataclass
@@ -145,16 +153,20 @@ def _observe(df: DataFrame, audit: dict | None, name: str, *extra) -> DataFrame:
 
 def prepare_form(df: DataFrame, form: str, inp: ReleaseInputs,
                  audit: dict | None = None, classification: DataFrame | None = None,
-                 registry: DataFrame | None = None) -> DataFrame:
+                 registry: DataFrame | None = None,
+                 reports: list[tuple[str, str, list[str]]] | None = None) -> DataFrame:
     """Steps 2-7 of the build for one source form."""
     cw = inp.crosswalks.get(form, [])
-    df, _missing = schema.apply_crosswalk(df, cw)
+    # B1: checked on the raw names, also where the crosswalk makes a TAXPER of one of them
+    spelling = schema.check_one_tax_period(df.columns).upper()
+    df, missing = schema.apply_crosswalk(df, cw)
+    if reports is not None:
+        reports.append((form, "not in extract", missing))
     if "TAXPER" not in df.columns:
-        # B1: exactly one tax-period spelling must exist; it becomes TAXPER
-        df = df.withColumnRenamed(schema.check_one_tax_period(df.columns), "TAXPER")
+        df = df.withColumnRenamed(spelling, "TAXPER")
     drop = filters.drop_list_names(inp.drop_lists.get(form, []), schema.crosswalk_map(cw))
     df = _observe(df, audit, f"{form}_read")
-    df = filters.drop_empty_filers(df, drop)
+    df = filters.drop_empty_filers(df, drop, inp.optional_columns)
     if form == "PF":
         df = filters.drop_value(df, "SUBSECCD", "92")
     df = _observe(df, audit, f"{form}_after_drops")
@@ -179,7 +191,7 @@ def prepare_form(df: DataFrame, form: str, inp: ReleaseInputs,
                          "RANDNUM": unit_random([c for c in ("EIN", "TAXPER", "SOURCE")
                                                  if c in df.columns]),
                          **(codes.classification_columns() if "NTEEFINAL" in df.columns else {})})
-    df = MONEY_BY_FORM[form](df)
+    df = MONEY_BY_FORM[form](df, inp.optional_columns)
     extra = {"FILENAME": codes.file_name(form)}
     if form in ("EZ", "FULL"):
         extra.update({"STYEAR": codes.start_year(), "SOIYR": codes.soi_year()})
@@ -201,6 +213,14 @@ class ReleaseResult:
     failed: bool            # any flagged row (F, L or C)
     publish: bool           # K6: nothing flagged, or a partial build with integrated fixes
     audit: dict = field(default_factory=dict)   # E8: step -> observed counts
+    reports: list = field(default_factory=list)  # B4, B5: (table, kind, column names)
+
+    def schema_report(self, spark: SparkSession) -> DataFrame:
+        """One row per name: crosswalk targets an extract lacks, columns a final
+        list drops, names on a final list that the table lacks."""
+        return spark.createDataFrame(
+            [(t, kind, name) for t, kind, names in self.reports for name in names],
+            "table_name string, kind string, column_name string")
 
     def audit_counts(self) -> dict[str, dict]:
         return {k: o.get for k, o in self.audit.items()}
@@ -242,7 +262,9 @@ def build_release(spark: SparkSession, inp: ReleaseInputs, opt: ReleaseOptions,
     # the shaped registry is written once and read by every form's join
     reg = stage(enrich.registry_shape(inp.registry), "registry") if inp.registry is not None else None
     audit: dict = {}
-    forms = {f: prepare_form(df, f, inp, audit, cls, reg) for f, df in inp.extracts.items()}
+    reports: list[tuple[str, str, list[str]]] = []  # B4, B5: table, kind, column names
+    forms = {f: prepare_form(df, f, inp, audit, cls, reg, reports)
+             for f, df in inp.extracts.items()}
     out: dict[str, DataFrame] = {}
     if "EZ" in forms and "FULL" not in forms:
         raise ValueError("EZ without Full cannot form the CO or PC tables")
@@ -272,8 +294,9 @@ def build_release(spark: SparkSession, inp: ReleaseInputs, opt: ReleaseOptions,
             out[t] = corr.integrate_fixes(out[t], inp.fixes[t], inp.numeric_columns)
         out[t] = filters.with_source_kind(out[t])
         if validate.get(t, True):
-            out[t] = rules.add_residuals(out[t], ("PF",), None) if t == "PF" \
-                else rules.add_residuals(out[t], ("EZ", "FULL"))
+            out[t] = rules.add_residuals(out[t], ("PF",), None, inp.optional_columns) \
+                if t == "PF" else rules.add_residuals(out[t], ("EZ", "FULL"),
+                                                      optional=inp.optional_columns)
         out[t] = stage(out[t], f"release_{t.lower()}")
     flagged_tables: dict[str, DataFrame] = {}
     summaries = []
@@ -302,13 +325,14 @@ def build_release(spark: SparkSession, inp: ReleaseInputs, opt: ReleaseOptions,
     full_names = schema.crosswalk_map(inp.crosswalks.get("FULL", []))
     for t, cols in inp.final_lists.items():
         if t in tables:
-            tables[t] = schema.final_projection(
-                tables[t], cols, source_names=full_names if t.endswith("_full") else None)[0]
+            tables[t], dropped, missing = schema.final_projection(
+                tables[t], cols, source_names=full_names if t.endswith("_full") else None)
+            reports += [(t, "dropped", dropped), (t, "missing", missing)]
     summary = schema.union_by_name(summaries) if summaries else None
     # K5/K6: flagged rows stop a full build (fixes or not); a partial build
     # publishes when fixes were integrated
     publish = (not any_flag) or (opt.partial_validation and bool(inp.fixes))
-    return ReleaseResult(tables, flagged_tables, summary, any_flag, publish, audit)
+    return ReleaseResult(tables, flagged_tables, summary, any_flag, publish, audit, reports)
 
 
 class ReleaseHalted(RuntimeError):
