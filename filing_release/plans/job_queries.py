@@ -160,13 +160,13 @@ ev AS (SELECT EIN, CASE WHEN l_linenumber <= 3 THEN 1 ELSE 2 END AS rnd, l_linen
 rs{n} AS (SELECT EIN, max(CASE WHEN kind = 'reset' THEN seq END) AS cut FROM ev WHERE rnd = {n} GROUP BY EIN),
 ed{n} AS (SELECT ev.* FROM ev LEFT JOIN rs{n} USING (EIN) WHERE rnd = {n} AND kind IN ('level', 'delta')
   AND seq > coalesce(cut, -1)),
-lv{n} AS (SELECT EIN, field, min(seq) AS first, max(CASE WHEN kind = 'level' THEN seq END) AS lseq,
-  arg_max(amount, seq) FILTER (kind = 'level') AS level FROM ed{n} GROUP BY EIN, field),
-nt{n} AS (SELECT l.EIN, l.field, l.first, l.level,
+lv{n} AS (SELECT EIN, field, min(seq) AS first, max(CASE WHEN kind = 'level' THEN seq END) AS lseq FROM ed{n}
+  GROUP BY EIN, field),
+nt{n} AS (SELECT l.EIN, l.field, l.first, max(CASE WHEN e.kind = 'level' AND e.seq = lseq THEN e.amount END) AS level,
   coalesce(round(sum(CASE WHEN e.kind = 'delta' AND e.seq > coalesce(lseq, -1) THEN e.amount END), 6), 0) AS delta
-  FROM lv{n} l JOIN ed{n} e ON e.EIN = l.EIN AND e.field = l.field GROUP BY l.EIN, l.field, l.first, l.level),
+  FROM lv{n} l JOIN ed{n} e ON e.EIN = l.EIN AND e.field = l.field GROUP BY l.EIN, l.field, l.first),
 pv{n} AS (SELECT EIN, {", ".join(f"max(CASE WHEN field = '{f}' THEN 1 END) AS has_{f}, max(CASE WHEN field = '{f}' THEN level END) AS lv_{f}, max(CASE WHEN field = '{f}' THEN delta END) AS d_{f}" for f in REPLAY_FIELDS)},
-  list(field ORDER BY first) AS changed FROM nt{n} GROUP BY EIN),
+  list(field ORDER BY first, field) AS changed FROM nt{n} GROUP BY EIN),
 t{n} AS (SELECT r.*, changed IS NOT NULL AS edited, changed,
     CASE (FILING_ID + {2 * n}) % 6 WHEN 0 THEN 'fix' WHEN 1 THEN 'fix_ignore' WHEN 2 THEN 'check'
       WHEN 3 THEN 'ignore' WHEN 4 THEN 'skip' END AS act,
@@ -212,9 +212,10 @@ _OUTCOME_SQL = "CASE " + " ".join(f"""
 @register("review_unapplied", _replay_sql() + f""",
 e AS (SELECT ev.EIN, ev.rnd, ev.kind, CASE WHEN kind = 'mend' THEN 'unknown kind'
     WHEN (CASE WHEN rnd = 1 THEN act_1 ELSE act_2 END) IS NULL AND kind <> 'reset' THEN 'round not closed'
-    WHEN kind <> 'reset' AND seq < (SELECT max(seq) FROM ev x WHERE x.EIN = ev.EIN AND x.rnd = ev.rnd
-                                    AND x.kind = 'reset') THEN 'reset'
-    WHEN kind <> 'reset' THEN {_OUTCOME_SQL} END AS outcome FROM ev JOIN r2 USING (EIN)),
+    WHEN kind <> 'reset' AND seq <= cut THEN 'reset'
+    WHEN kind <> 'reset' THEN {_OUTCOME_SQL} END AS outcome
+  FROM (SELECT *, max(CASE WHEN kind = 'reset' THEN seq END) OVER (PARTITION BY EIN, rnd) AS cut
+        FROM ev) ev JOIN r2 USING (EIN)),
 c AS (SELECT EIN, rnd, CASE rnd WHEN 1 THEN act_1 ELSE act_2 END AS kind,
     CASE WHEN (CASE rnd WHEN 1 THEN act_1 ELSE act_2 END) <> 'skip' THEN {_OUTCOME_SQL} END AS outcome
   FROM r2, (VALUES (1), (2)) v(rnd))
