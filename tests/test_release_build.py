@@ -5,11 +5,15 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
+from filing_release import config
+from filing_release.functions import money
+from filing_release.operators import filters, rules, schema
+from filing_release.operators.absent import AbsentColumns
 from filing_release.operators.enrich import assert_unique
 from filing_release.plans import release as rel
 from filing_release.sources import driver_tables as dt
 from filing_release.sources.extracts import read_extract
-from filing_release.sources.sinks import write_release
+from filing_release.sources.sinks import published, read_table, write_release
 
 SF = "/root/testdata/sf0.001"
 AMOUNTS = ["TOTREV2", "CONT", "EXPS", "ASS_EOY", "LIAB_EOY", "FUNDBAL", "DIREXP", "NETINC"]
@@ -57,7 +61,7 @@ def test_build_release(spark, raw_paths):
                      .drop("RELEASE", "SOURCE_KIND") for y in (1999, 1998)}
     inp = rel.ReleaseInputs(extracts=extracts, classification=dt.classification_master(spark, SF),
                             place=dt.place_lookup(spark, SF), postcard=dt.postcard(spark, SF),
-                            priors=priors,
+                            priors=priors, optional_columns=every_known_column(),
                             numeric_columns=AMOUNTS + ["P1TOTREV", "P1TOTEXP", "P2TASFMV", "P2TOTAST"],
                             final_lists={"CO": ["EIN", "TAXPER", "TOTREV2", "NTEEFINAL", "LEVEL1"],
                                          "CO_full": ["EIN", "TOTCNTRBGFTS", "VALIDATION_REASON"]})
@@ -93,7 +97,34 @@ def test_build_release(spark, raw_paths):
     with pytest.raises(rel.ReleaseHalted):
         rel.check_hard_stop(res, opt)
     out = tempfile.mkdtemp(prefix="release-", dir="/tmp")
-    assert write_release(res.tables, out, 2000, gate_open=res.publish) == []
-    assert write_release({"CO": res.tables["CO"]}, out, 2000) == ["core2000co"]
-    back = spark.read.parquet(out)
-    assert back.filter("table = 'CO' and release_year = 2000").count() == res.tables["CO"].count()
+    assert write_release(spark, res.tables, out, 2000, gate_open=res.publish) == []
+    assert write_release(spark, {"CO": res.tables["CO"]}, out, 2000) == ["core2000co"]
+    back = read_table(spark, published(spark, out, 2000), "CO")
+    assert back.count() == res.tables["CO"].count() and back.columns == res.tables["CO"].columns
+    # What the extracts lack and the final lists drop is reported
+    report = {tuple(r) for r in res.schema_report(spark).collect()}
+    assert ("CO", "dropped", "LIAB_EOY") in report
+    assert any(t == "EZ" and kind == "not in extract" for t, kind, _ in report)
+
+
+def test_absent_columns_stop_the_build(spark, raw_paths):
+    full = {"FULL": read_extract(spark, raw_paths["FULL"], source_name="16extract990.dat")}
+    inp = rel.ReleaseInputs(extracts=full, numeric_columns=AMOUNTS, drop_lists={})
+    with pytest.raises(AbsentColumns, match="Full money columns: no column .*GRSRNTSREAL"):
+        rel.build_release(spark, inp, rel.ReleaseOptions(year=2000))
+    inp.drop_lists = {"FULL": ["TOTREV2", "NOSUCH"]}
+    with pytest.raises(AbsentColumns, match="empty-filer test: no column NOSUCH"):
+        rel.build_release(spark, inp, rel.ReleaseOptions(year=2000))
+    two = full["FULL"].withColumn("TAX_PD", F.lit("201512"))
+    with pytest.raises(ValueError, match="exactly one tax-period"):
+        rel.build_release(spark, rel.ReleaseInputs(extracts={"FULL": two}),
+                          rel.ReleaseOptions(year=2000))
+
+
+def every_known_column():
+    """Configured columns that the extracts of these tests lack."""
+    names = {c for form, v in config.DROP_LISTS.items() for c in filters.drop_list_names(
+        v, schema.crosswalk_map(config.CROSSWALKS.get(form, [])))}
+    names |= {t for pairs in config.CROSSWALKS.values() for t, _ in pairs}
+    names |= {c for v in money.INPUTS.values() for c in v}
+    return sorted(names | set(rules.rule_fields(("EZ", "FULL", "PF"))))
