@@ -11,11 +11,13 @@ from __future__ import annotations
 
 from collections.abc import Collection, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .absent import amount
 from .filters import CHECKED, FIXED, IGNORED, UNREVIEWED
-from .rules import CATALOGUE, add_residuals, residual_columns
+from .rules import (CATALOGUE, MASK, active_in, add_residuals, failing_mask, fails,
+                    residual_columns)
 from .schema import FIXED_COL, REASON_COL, STATE_COL
 
 ADJUSTMENTS_SCHEMA = ("EIN string, field string, action string, amount double, "
@@ -254,17 +256,6 @@ def review_state(df: DataFrame, action: str = "action", threshold: float = 1000.
 
 
 # --- L4/L5 helpers, L6, L8, L9, L11 ---------------------------------------------------
-def failures_long(df: DataFrame, threshold: float = 1000.0,
-                  id_cols: Sequence[str] = ("EIN",)) -> DataFrame:
-    """Unpivot residuals to (id..., form, rule, residual) for failing rules."""
-    rcols = residual_columns(df)
-    st = ", ".join(f"'{c[len('validate_'):].upper()}', `{c}`" for c in rcols)
-    long = df.select(*id_cols, F.expr(f"stack({len(rcols)}, {st}) as (rule, residual)"))
-    form = F.when(F.col("rule").startswith("EZ_"), "EZ").when(F.col("rule").startswith("FU_"), "FULL") \
-        .otherwise("PF")
-    return long.filter(F.abs(F.col("residual")) > threshold).withColumn("form", form)
-
-
 def shared_fields(form: str) -> set[str]:
     """Fields used by more than one active rule of a form (marked '*')."""
     from collections import Counter
@@ -272,52 +263,56 @@ def shared_fields(form: str) -> set[str]:
     return {f for f, n in c.items() if n > 1}
 
 
-def rule_fields_frame(spark: SparkSession) -> DataFrame:
-    """(form, rule, field, pos, sign, formula, shared) for the active rules
-    (constant size, built from the fixed catalogue)."""
-    rows = []
-    for r in CATALOGUE:
-        if r.active:
-            sh = shared_fields(r.form)
-            rows.append((r.form, r.name.upper(), r.total, 0, 1, r.formula, r.total in sh))
-            rows += [(r.form, r.name.upper(), f, i + 1, s, r.formula, f in sh)
-                     for i, (s, f) in enumerate(r.parts)]
-    return spark.createDataFrame(rows, "form string, rule string, field string, pos int, "
-                                       "sign int, formula string, shared boolean")
+def _on_failing_rows(df: DataFrame, threshold: float, form: str | None) -> DataFrame:
+    return df.withColumn(MASK, failing_mask(df, threshold, form)).filter(F.col(MASK) != 0)
 
 
-def failure_text(fails: DataFrame, values: DataFrame, rule_fields: DataFrame,
+def failure_text(df: DataFrame, threshold: float = 1000.0,
                  id_cols: Sequence[str] = ("EIN",)) -> DataFrame:
     """One line per failing (id, rule): ``$<residual> = TOTAL [v] -
     (PART [v] + PART* [v] ...)`` with values formatted like ``1,234`` and
     fields shared with other rules starred; an absent field shows 0.
 
-    ``fails`` has id columns, form, rule, residual; ``values`` has id
-    columns, field, value.  The per-rule parts are aggregated per (id,
-    rule), bounded by the rule's field count."""
-    ids = list(id_cols)
-    j = fails.join(F.broadcast(rule_fields), ["form", "rule"]) \
-        .join(values, [*ids, "field"], "left")
-    token = F.concat(F.col("field"), F.when(F.col("shared"), "*").otherwise(""), F.lit(" ["),
-                     F.format_number(F.coalesce(F.col("value"), F.lit(0.0)), 0), F.lit("]"))
-    piece = F.when(F.col("pos") <= 1, token) \
-        .otherwise(F.concat(F.when(F.col("sign") > 0, " + ").otherwise(" - "), token))
-    g = j.groupBy(*ids, "rule", "residual").agg(
-        F.array_sort(F.collect_list(F.struct("pos", piece.alias("piece")))).alias("_p"))
-    parts = F.col("_p")
-    # the residual is truncated to whole units, field values are rounded
-    text = F.concat(F.lit("$"), F.format_number(F.col("residual").cast("bigint"), 0), F.lit(" = "),
-                    parts[0]["piece"], F.lit(" - ("),
-                    F.array_join(F.transform(F.slice(parts, 2, F.size(parts) - 1), lambda x: x["piece"]), ""),
-                    F.lit(")"))
-    return g.select(*ids, "rule", text.alias("text"))
-
-
-def form_lines_frame(spark: SparkSession) -> DataFrame:
-    """Field -> form line and display group (constant size: 49 rows)."""
+    Every rule's text is an expression over its own row and only computed where
+    the rule fails; nothing is joined or shuffled."""
+    def token(f, starred):
+        value = F.coalesce(amount(df.columns, f).cast("double"), F.lit(0.0))
+        return F.concat(F.lit(f + ("*" if starred else "") + " ["), F.format_number(value, 0),
+                        F.lit("]"))
+
+    lines = []
+    for r in active_in(df):
+        shared = shared_fields(r.form)
+        parts = []
+        for i, (sign, f) in enumerate(r.parts):
+            parts += [F.lit("" if i == 0 else " + " if sign > 0 else " - "), token(f, f in shared)]
+        # the residual is truncated to whole units, field values are rounded
+        text = F.concat(F.lit("$"), F.format_number(F.col(r.column).cast("bigint"), 0), F.lit(" = "),
+                        token(r.total, r.total in shared), F.lit(" - ("), *parts, F.lit(")"))
+        lines.append(F.when(fails(r), F.struct(F.lit(r.name.upper()).alias("rule"),
+                                               text.alias("text"))))
+    return _on_failing_rows(df, threshold, None).select(
+        *id_cols, F.inline(F.filter(F.array(*lines), lambda x: x.isNotNull())))
+
+
+def field_lines(df: DataFrame, form: str = "FULL", threshold: float = 1000.0,
+                id_cols: Sequence[str] = ("EIN",)) -> DataFrame:
+    """For every field of a failing rule its value, form line, display group
+    and the rule's formula with its residual; from the row alone."""
     group = {f: g for g, fs in FIELD_GROUPS.items() for f in fs}
-    return spark.createDataFrame([(f, line, group.get(f)) for f, line in FULL_FORM_LINES.items()],
-                                 "field string, form_line string, display_group string")
+    out = []
+    for r in active_in(df, form):
+        text = F.concat(F.lit(f"{r.formula} = "),
+                        F.round(F.col(r.column)).cast("bigint").cast("string"))
+        fields = [F.struct(
+            F.lit(r.name.upper()).alias("rule"), F.lit(f).alias("field"),
+            (F.col(f) if f in df.columns else F.lit(None)).cast("double").alias("value"),
+            F.lit(FULL_FORM_LINES.get(f)).cast("string").alias("form_line"),
+            F.lit(group.get(f)).cast("string").alias("display_group"),
+            text.alias("explanation")) for f in r.fields]
+        out.append(F.when(fails(r), F.array(*fields)))
+    return _on_failing_rows(df, threshold, form).select(
+        *id_cols, F.inline(F.flatten(F.filter(F.array(*out), lambda x: x.isNotNull()))))
 
 
 def explanation_text(code: Column) -> Column:
@@ -328,12 +323,6 @@ def explanation_text(code: Column) -> Column:
     return e.otherwise(code)
 
 
-def field_values_long(df: DataFrame, fields: Sequence[str], id_cols: Sequence[str] = ("EIN",)) -> DataFrame:
-    present = [f for f in fields if f in df.columns]
-    st = ", ".join(f"'{f}', cast(`{f}` as double)" for f in present)
-    return df.select(*id_cols, F.expr(f"stack({len(present)}, {st}) as (field, value)"))
-
-
 def current_vs_prior(df: DataFrame, form: str) -> DataFrame:
     """Revenue / expenses / assets now and in the prior year."""
     if form.upper() == "PF":

@@ -177,11 +177,6 @@ def failure_summary(df: DataFrame, tolerance: float = 1000.0,
     return out.withColumn("table_failed", F.max(F.col("n_failed") > 0).over(w))
 
 
-def any_failed(summary: DataFrame) -> Column:
-    """E10 over a summary: use as ``summary.agg(any_failed(summary))``."""
-    return F.max(F.col("n_failed") > 0)
-
-
 # --- L4 / L5 ------------------------------------------------------------------
 def catalogue_frame(spark: SparkSession, include_inactive: bool = False) -> DataFrame:
     """The catalogue as a tiny table (rule, form, field, role)."""
@@ -200,16 +195,51 @@ def cross_reference(catalogue: DataFrame) -> DataFrame:
     return per_field.filter(F.size("rules") > 1)
 
 
-def related_rules(failures: DataFrame, catalogue: DataFrame,
+# --- failing rules as a bit mask ------------------------------------------------
+#: Every active rule has a bit; a row's failing rules are one long.
+BITS = {r.column: 1 << i for i, r in enumerate(r for r in CATALOGUE if r.active)}
+MASK = "_failing"
+
+
+def active_in(df: DataFrame, form: str | None = None) -> list[Rule]:
+    """Active rules whose residual the table has, in catalogue order."""
+    return [r for r in CATALOGUE if r.column in BITS and r.column in df.columns
+            and form in (None, r.form)]
+
+
+def failing_mask(df: DataFrame, threshold: float = 1000.0, form: str | None = None) -> Column:
+    """The bits of the rules whose |residual| exceeds ``threshold`` (null: not)."""
+    out = F.lit(0).cast("long")
+    for r in active_in(df, form):
+        out = out + F.when(F.abs(F.col(r.column)) > threshold, F.lit(BITS[r.column])) \
+            .otherwise(0).cast("long")
+    return out
+
+
+def fails(rule: Rule) -> Column:
+    return F.col(MASK).bitwiseAND(F.lit(BITS[rule.column]).cast("long")) != 0
+
+
+def related_rules(df: DataFrame, threshold: float = 1000.0,
                   id_cols: Sequence[str] = ("EIN",)) -> DataFrame:
-    """For every failing (id, rule), the other rules of its form that
-    share a field with it and are not failing themselves.  ``failures``
-    has id columns, form, rule.  The rule-pair table is built from the
-    fixed catalogue, so its size is bounded and it is broadcast."""
-    a = catalogue.select("form", "rule", "field").distinct()
-    b = catalogue.select("form", F.col("rule").alias("related_rule"), "field").distinct()
-    pairs = a.join(b, ["form", "field"]).filter(F.col("rule") != F.col("related_rule")) \
-        .select("form", "rule", "related_rule").distinct()
-    rel = failures.join(F.broadcast(pairs), ["form", "rule"])
-    failing = failures.select(*id_cols, F.col("rule").alias("related_rule"))
-    return rel.join(failing, [*id_cols, "related_rule"], "left_anti")
+    """For every failing (id, rule), the other rules of its form that share
+    a field with it and are not failing themselves.
+
+    All of it stands on the row: its failing rules are a mask, and the rules
+    that share a field are constant pairs of bits, so nothing is joined or
+    shuffled."""
+    rules = active_in(df)
+    pairs = [F.struct(F.lit(a.form).alias("form"), F.lit(a.name.upper()).alias("rule"),
+                      F.lit(b.name.upper()).alias("related_rule"),
+                      F.lit(BITS[a.column]).cast("long").alias("own"),
+                      F.lit(BITS[b.column]).cast("long").alias("other"))
+             for a in rules for b in rules
+             if a is not b and a.form == b.form and set(a.fields) & set(b.fields)]
+    if not pairs:
+        return df.select(*id_cols, *[F.lit("").alias(c) for c in ("form", "rule", "related_rule")]) \
+            .limit(0)
+    mask = F.col(MASK)
+    hit = F.filter(F.array(*pairs), lambda p: (mask.bitwiseAND(p["own"]) != 0)
+                   & (mask.bitwiseAND(p["other"]) == 0))
+    return (df.select(*id_cols, failing_mask(df, threshold).alias(MASK)).filter(mask != 0)
+            .select(*id_cols, F.inline(hit)).drop("own", "other"))

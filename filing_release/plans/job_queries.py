@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import review_log
+from ..operators import review_log, rules
 from ..session import ensure_checkpoint_dir
 from ..sources import driver_tables as dt
 from ..sources.extracts import EXTRACT_DELIMITER
@@ -225,3 +225,79 @@ WHERE outcome IS NOT NULL GROUP BY ALL""")
 def review_unapplied(spark: SparkSession, d: str) -> DataFrame:
     return _replayed(spark, d).unapplied.groupBy("round", "kind", "outcome").agg(
         F.count(F.lit(1)).alias("n"))
+
+
+# --- J1-J13, J26-J31 on amounts that vary -----------------------------------------------------
+# Fixed values of the view: the amounts EZ and Full rules read, in alphabetical order; amount k is
+# line item k % 7 + 1 of the order, as price, discount, tax or quantity by k % 4, plus k.
+RULE_AMOUNTS = rules.rule_fields(("EZ", "FULL"), include_inactive=True)
+
+
+def _varied(spark: SparkSession, d: str) -> DataFrame:
+    li = dt.table(spark, d, "lineitem")
+    price, n = F.col("l_extendedprice"), F.col("l_linenumber")
+    kinds = [price, price * F.col("l_discount"), price * F.col("l_tax"), F.col("l_quantity") * 100]
+    per = li.groupBy("l_orderkey").agg(*[
+        F.coalesce(F.max(F.when(n == i + 1, kinds[j].cast("double"))), F.lit(0.0)).alias(f"v{i}{j}")
+        for i in range(7) for j in range(4)])
+    kind = F.when(F.col("l_orderkey") % 2 == 0, "EZ").otherwise("FULL")
+    return per.select("l_orderkey", kind.alias("SOURCE_KIND"), *[
+        (F.col(f"v{k % 7}{k % 4}") + k).alias(f) for k, f in enumerate(RULE_AMOUNTS)])
+
+
+def _varied_sql() -> str:
+    kinds = ["l_extendedprice", "l_extendedprice * l_discount", "l_extendedprice * l_tax",
+             "l_quantity * 100"]
+    inner = ", ".join(f"coalesce(max(CASE WHEN l_linenumber = {i + 1} THEN CAST({kinds[j]} AS DOUBLE) END), 0)"
+                      f" AS v{i}{j}" for i in range(7) for j in range(4))
+    outer = ", ".join(f"v{k % 7}{k % 4} + {k} AS {f}" for k, f in enumerate(RULE_AMOUNTS))
+    return (f"per AS (SELECT l_orderkey, {inner} FROM lineitem GROUP BY l_orderkey),\n"
+            f"varied AS (SELECT l_orderkey, l_orderkey % 2 = 0 AS ez, {outer} FROM per)")
+
+
+# The rules once more, as a form reads: written out, so that a wrong rule on one side shows.
+_RULES_SQL = {
+    "ez_saleothn": "SALEOTHN - (SALEOTHG - SALEOTHE)",
+    "ez_netincfndrsng": "NETINCFNDRSNG - (GRSINCGAMING + GRSINCFNDRSNG - DIREXP)",
+    "ez_grprof": "GRPROF - (INVENTG - GOODS)",
+    "ez_totrev": "TOTREV - (CONT + PRGMSERVREV + DUESASSESMNTS + INVINC + SALEOTHN + NETINCFNDRSNG"
+                 " + GRPROF + OTHINC)",
+    "ez_netinc": "NETINC - (TOTREV - EXPS)",
+    "ez_ass_eoy": "ASS_EOY - (LIAB_EOY + FUNDBAL)",
+    "fu_netrent": "NETRENT - (RNTLINCREAL + RNTLINCPRSNL)",
+    "fu_netgnls": "NETGNLS - (SALESECN + SALEOTHN)",
+    "fu_netincfndrsng": "NETINCFNDRSNG - (GRSINCFNDRSNG - LESSDIRFNDRSNG)",
+    "fu_netincgaming": "NETINCGAMING - (GRSINCGAMING - LESSDIRGAMING)",
+    "fu_grprof": "GRPROF - (INVENTG - GOODS)",
+    "fu_othinc": "OTHINC - (MISCREVTOTA + MISCREVTOT11B + MISCREVTOT11C + MISCREVTOT11D)",
+    "fu_totrev2": "TOTREV2 - (CONT + PROGREV + INVINC + TXEXMPTBNDSPROCEEDS + ROYALTSINC + NETRENT"
+                  " + NETGNLS + NETINCFNDRSNG + NETINCGAMING + GRPROF + OTHINC)",
+    "fu_progrev": "PROGREV - (TOTREV2ACOLA + TOTREV2BCOLA + TOTREV2CCOLA + TOTREV2DCOLA"
+                  " + TOTREV2ECOLA + TOTREV2FCOLA)",
+    "fu_fundbal": "FUNDBAL - (ASS_EOY - LIAB_EOY)",
+    "fu_exps": "EXPS - (GRNTSTOGOVT + GRNSTTOINDIV + GRNTSTOFRGNGOVT + BENIFITSMEMBRS + COMPENS"
+               " + COMPNSATNANDOTHR + OTHSAL + PENSIONPLANCONTRB + OTHREMPLYEEBENEF + PAYTAX"
+               " + FEESFORSRVCMGMT + LEGALFEES + ACCNTINGFEES + FEESFORSRVCLOBBY + FUNDFEES"
+               " + FEESFORSRVCINVSTMGMT + FEESFORSRVCOTHR + ADVRTPROMO + OFFICEXPNS + INFOTECH"
+               " + ROYALTSEXPNS + OCCUPANCY + TRAVEL + TRAVELOFPUBLICOFFCL + CONVERCONVENTMTNG"
+               " + INTERESTAMT + PYMTOAFFILIATES + DEPRCATNDEPLETN + INSURANCE + OTHREXPNSA"
+               " + OTHREXPNSB + OTHREXPNSC + OTHREXPNSD + OTHREXPNSE + OTHREXPNSF)",
+    "fu_ass_eoy": "ASS_EOY - (NONINTCASHEND + SVNGSTEMPINVEND + PLDGEGRNTRCVBLEND + ACCNTSRCVBLEND"
+                  " + CURRFRMRCVBLEND + RCVBLDISQUALEND + NOTESLOANSRCVBLEND + INVNTRIESALESEND"
+                  " + PREPAIDEXPNSEND + LNDBLDGSEQUIPEND + INVSTMNTSEND + INVSTMNTSOTHREND"
+                  " + INVSTMNTSPRGMEND + INTANGIBLEASSETSEND + OTHRASSETSEND)",
+    "fu_liab_eoy": "LIAB_EOY - (ACCNTSPAYABLEEND + GRNTSPAYABLEEND + DEFEREDREVNUEND + BOND_EOY"
+                   " + ESCRWACCNTLIABEND + PAYBLETOFFCRSEND + MRTG_EOY + UNSECUREDNOTESEND"
+                   " + OTHRLIABEND)",
+    "fu_totnetliabastend": "TOTNETLIABASTEND - (LIAB_EOY + FUNDBAL)",
+}
+
+
+@register("residuals_varied", "WITH " + _varied_sql() + "\nSELECT l_orderkey, " + ", ".join(
+    f"CASE WHEN {'ez' if name.startswith('ez') else 'NOT ez'} THEN {e} END AS validate_{name}"
+    for name, e in _RULES_SQL.items()) + " FROM varied")
+def residuals_varied(spark: SparkSession, d: str) -> DataFrame:
+    """Every EZ and Full rule, the ones that are switched off too, over amounts
+    that all differ: no residual is constant."""
+    out = rules.add_residuals(_varied(spark, d), ("EZ", "FULL"), include_inactive=True)
+    return out.select("l_orderkey", *rules.residual_columns(out))

@@ -271,10 +271,11 @@ def build_release(spark: SparkSession, inp: ReleaseInputs, opt: ReleaseOptions,
     if "PF" in forms:
         out["PF"] = forms["PF"]
     if "EZ" in forms:
-        pc_ez, co_ez = filters.split_release(forms["EZ"])
-        pc_fu, co_fu = filters.split_release(forms["FULL"])
-        out["PC"] = fill_by_type(schema.union_by_name([pc_ez, pc_fu]))
-        out["CO"] = fill_by_type(schema.union_by_name([co_ez, co_fu]))
+        # K8: every extract and its lookup joins run once; CO and PC read the staged union
+        both = stage(fill_by_type(schema.union_by_name([forms["EZ"], forms["FULL"]]))
+                     .withColumn("_TABLE", filters.release_name()), "forms")
+        for t in ("PC", "CO"):
+            out[t] = both.filter(F.col("_TABLE") == t).drop("_TABLE")
         for t in ("CO", "PC"):
             if y - 1 in inp.priors.get(t, {}):
                 out[t] = prior_year_join(out[t], inp.priors[t][y - 1])

@@ -57,8 +57,9 @@ def compare(spark, con, name: str, fn, sql: str, sf_dir: str) -> dict:
     a, b = rows_of(s_cols, s_rows), rows_of(d_cols, d_rows)
     out["values_match"] = a == b
     if not out["values_match"]:
-        diff_a = [r for r in a if r not in set(b)][:3]
-        diff_b = [r for r in b if r not in set(a)][:3]
+        set_a, set_b = set(a), set(b)
+        diff_a = [r for r in a if r not in set_b][:3]
+        diff_b = [r for r in b if r not in set_a][:3]
         out["spark_only"], out["oracle_only"] = diff_a, diff_b
     out["ok"] = out["values_match"] and len(s_rows) == len(d_rows)
     return out
