@@ -56,25 +56,31 @@ class Codec:
         n = self.tok.get_vocab_size(with_added_tokens=True)
         self.tokens = np.array([self.tok.id_to_token(i) or "" for i in range(n)], object)
         self.memo: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     # -- encoding -----------------------------------------------------------
     def encode(self, text: str, leaf: int = LEAF) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        memo = self.memo
-        if len(memo) > WORD_CACHE:
-            memo.clear()
         ws = text.encode().split()
-        out = list(map(memo.get, ws))
+        out = list(map(self.memo.get, ws))
         if None in out:
-            miss = list(dict.fromkeys(w for w, v in zip(ws, out, strict=True) if v is None))
-            short = [w for w in miss if len(w) <= leaf]
-            done = {w: ids_bytes(e.ids) for w, e in zip(short, self.tok.encode_batch(
-                [w.decode() for w in short], add_special_tokens=False), strict=True)}
-            memo.update((w, v) for w, v in done.items() if len(w) <= 64)
+            miss = dict.fromkeys(w for w, v in zip(ws, out, strict=True) if v is None)
+            old = self.older
+            short = []
             for w in miss:
-                if len(w) > leaf:
-                    done[w] = self.encode_unsplit(w.decode(), leaf)
-            out = [done[w] if v is None else v for w, v in zip(ws, out, strict=True)]
+                if (v := old.get(w)) is not None:
+                    miss[w] = v
+                elif len(w) <= leaf:
+                    short.append(w)
+                else:
+                    miss[w] = self.encode_unsplit(w.decode(), leaf)
+            miss.update((w, ids_bytes(e.ids)) for w, e in zip(short, self.tok.encode_batch_fast(
+                [w.decode() for w in short], add_special_tokens=False), strict=True))
+            if len(self.memo) + len(miss) > WORD_CACHE:
+                # words in use come back from the older half, the others go with it
+                self.older, self.memo = self.memo, {}
+            self.memo.update((w, v) for w, v in miss.items() if len(w) <= 64)
+            out = [miss[w] if v is None else v for w, v in zip(ws, out, strict=True)]
         return b"".join(out)
 
     def encode_unsplit(self, word: str, leaf: int = LEAF) -> bytes:
