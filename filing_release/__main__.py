@@ -21,7 +21,7 @@ from . import config
 from .operators import corrections, review_log
 from .operators import review as rv
 from .plans import release as rel
-from .plans.materialize import stage
+from .plans.materialize import remove_stages, stage
 from .session import apply_defaults, ensure_checkpoint_dir
 from .sources import extracts, sinks
 from .sources.scan import reject_counts
@@ -181,7 +181,10 @@ def main(argv=None) -> int:
     spark = SparkSession.builder.appName(f"filing_release_{args.cmd}").getOrCreate()
     apply_defaults(spark)
     ensure_checkpoint_dir(spark)
-    return build(args, spark) if args.cmd == "build" else review(args, spark)
+    try:
+        return build(args, spark) if args.cmd == "build" else review(args, spark)
+    finally:
+        remove_stages(spark)
 
 
 if __name__ == "__main__":

@@ -9,17 +9,23 @@ the whole pipeline.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
 
 
+_WRITTEN: dict[str, list[str]] = {}  # application -> its stages
+
+
 def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/stages/{name}-{uuid.uuid4().hex[:12]}"
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -30,15 +36,44 @@ def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> Da
     return out.select(*df.columns) if partition_by else out
 
 
-_MEMO: dict[tuple, DataFrame] = {}
+_MEMO: dict[tuple, tuple[str, DataFrame]] = {}
+
 
+def fingerprint(spark: SparkSession, path: str) -> str:
+    """A hash of the names, sizes and times of all files under ``path``, as the
+    file system lists them; the files themselves are not read."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(root, True)
+    found = []
+    while files.hasNext():
+        f = files.next()
+        found.append(f"{f.getPath().toString()} {f.getLen()} {f.getModificationTime()}")
+    return hashlib.sha256("\n".join(sorted(found)).encode()).hexdigest()
 
-def stage_once(df_builder, spark, key: tuple, name: str,
+
+def stage_once(df_builder: Callable[[], DataFrame], spark: SparkSession, key: tuple, name: str,
                partition_by: list[str] | None = None) -> DataFrame:
-    """``stage`` memoised per Spark application and key (the source tool's
-    table cache: a prior release read once, used by the prior-year join
-    and the backfill)."""
+    """``stage`` memoised per Spark application, key and input content (the source
+    tool's table cache: a prior release read once, used by the prior-year join and
+    the backfill).  ``key[0]`` is the input folder: when its files change, the
+    stage is built anew."""
     k = (spark.sparkContext.applicationId, spark._jsparkSession.hashCode(), name, *key)
-    if k not in _MEMO:
-        _MEMO[k] = stage(df_builder(), name, partition_by)
-    return _MEMO[k]
+    content = fingerprint(spark, key[0])
+    if k not in _MEMO or _MEMO[k][0] != content:
+        _MEMO[k] = content, stage(df_builder(), name, partition_by)
+    return _MEMO[k][1]
+
+
+def remove_stages(spark: SparkSession) -> list[str]:
+    """Remove everything this application has staged; for the end of a job, when
+    nothing reads the stages any more."""
+    app = spark.sparkContext.applicationId
+    for k in [k for k in _MEMO if k[0] == app]:
+        del _MEMO[k]
+    paths = _WRITTEN.pop(app, [])
+    jvm = spark.sparkContext._jvm
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    return paths
