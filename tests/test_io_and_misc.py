@@ -129,13 +129,12 @@ def test_cross_reference_and_header(spark):
 
 def test_duplicated_rows_and_review_extract(spark):
     from filing_release.operators.dedup import duplicated_rows
-    from filing_release.sources.sinks import write_review_extract
+    from filing_release.sources.sinks import published, read_table, write_review_extract
     df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "EIN string, id int")
     assert sorted(r["id"] for r in duplicated_rows(df).collect()) == [1, 2]
     root = tempfile.mkdtemp(prefix="review-", dir="/tmp")
-    write_review_extract({"CO": df.withColumn("VALIDATION_REASON", F.lit("L"))}, root, 2015)
-    back = spark.read.parquet(root)
-    assert back.filter("table = 'CO' and release_year = 2015").count() == 3
+    write_review_extract(spark, {"CO": df.withColumn("VALIDATION_REASON", F.lit("L"))}, root, 2015)
+    assert read_table(spark, published(spark, root, 2015), "CO").count() == 3
 
 
 def test_inactive_rules_compile(spark):

@@ -11,9 +11,14 @@ from filing_release.functions import codes
 from filing_release.functions.amounts import fill_by_type, parse_amount
 from filing_release.operators import corrections as corr
 from filing_release.operators import filters, flags, review, rules, schema
+from filing_release.operators.absent import AbsentColumns
 from filing_release.operators.dedup import deduplicate, size_score
 from filing_release.operators.history import backfill, prior_year_join
 
+# rule fields that the hand-written tables here lack
+OTHER_AMOUNTS = [f for f in rules.rule_fields(("EZ", "FULL"))
+                 if f not in ("ASS_EOY", "LIAB_EOY", "FUNDBAL")]
+
 
 def rows(df, *cols):
     return [tuple(r) for r in df.select(*cols).collect()]
@@ -185,6 +190,48 @@ def test_corrections(spark):
         [("1", "full.dat"), ("3", "x"), ("9", "ez.dat")]
 
 
+def test_two_rekeys_never_double_a_filing(spark):
+    df = spark.createDataFrame([("1", "ez.dat", "A"), ("2", "ez.dat", "B")],
+                               "EIN string, SOURCE string, NAME string")
+    same = spark.createDataFrame([("1", "rekey", None, "A", "9"), ("1", "rekey", "ez.dat", None, "9"),
+                                  ("1", "rekey", None, "other", "8")], corr.CORRECTIONS_SCHEMA)
+    assert sorted(rows(corr.rekey_recorded(df, same), "EIN", "NAME")) == [("2", "B"), ("9", "A")]
+    two = spark.createDataFrame([("1", "rekey", None, "A", "9"), ("1", "rekey", "ez.dat", None, "8")],
+                                corr.CORRECTIONS_SCHEMA)
+    with pytest.raises(Exception, match="several new EINs for EIN 1"):
+        corr.rekey_recorded(df, two).collect()
+
+
+def test_absent_configured_columns_raise(spark):
+    from filing_release.functions import money
+    df = spark.createDataFrame([("0", 1.0)], "A string, EXPS double")
+    with pytest.raises(AbsentColumns, match="empty-filer test: no column C"):
+        filters.drop_empty_filers(df, ["A", "C"])
+    assert filters.drop_empty_filers(df, ["A", "C"], optional=["C"]).count() == 0
+    for form, fn in money.MONEY_BY_FORM.items():
+        with pytest.raises(AbsentColumns, match="money columns: no column"):
+            fn(df)
+        assert fn(df, optional=money.INPUTS[form]).count() == 1
+
+
+def test_failing_rules_stay_on_the_row(spark):
+    df = spark.createDataFrame(
+        [("a", "EZ", 5000.0, 0.0, 0.0), ("b", "FULL", 0.0, 0.0, -2500.5), ("c", "EZ", 1.0, 1.0, 0.0)],
+        "EIN string, SOURCE_KIND string, ASS_EOY double, LIAB_EOY double, FUNDBAL double")
+    df = rules.add_residuals(df, optional=OTHER_AMOUNTS)
+    text = review.failure_text(df)
+    assert sorted(rows(text, "EIN", "rule", "text")) == [
+        ("a", "EZ_ASS_EOY", "$5,000 = ASS_EOY [5,000] - (LIAB_EOY [0] + FUNDBAL [0])"),
+        ("b", "FU_FUNDBAL", "$-2,500 = FUNDBAL [-2,500] - (ASS_EOY [0] - LIAB_EOY [0])")]
+    lines = review.field_lines(df)
+    assert sorted(rows(lines, "field", "value", "display_group")) == [
+        ("ASS_EOY", 0.0, "assets"), ("FUNDBAL", -2500.5, "assets"), ("LIAB_EOY", 0.0, "assets")]
+    related = rules.related_rules(df)
+    for out in (text, lines, related):
+        assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    assert len(rules.BITS) <= 62 and len(set(rules.BITS.values())) == len(rules.BITS)
+
+
 def test_crosswalk_last_wins(spark):
     from filing_release import config
     df = spark.createDataFrame([("1", "201512", 5.0)], "ein string, Tax_Prd string, grsincmembers double")
@@ -209,7 +256,9 @@ def test_residuals_and_summary(spark):
     df = spark.createDataFrame(
         [("EZ", 100.0, 40.0, 50.0, 0), ("EZ", 100.0, 40.0, 60.0, 2), ("FULL", 100.0, 40.0, 50.0, 0)],
         "SOURCE_KIND string, ASS_EOY double, LIAB_EOY double, FUNDBAL double, VALIDATION_STATE int")
-    out = rules.add_residuals(df, ("EZ", "FULL"))
+    with pytest.raises(AbsentColumns, match="rules: no column CONT"):
+        rules.add_residuals(df, ("EZ", "FULL"))
+    out = rules.add_residuals(df, ("EZ", "FULL"), optional=OTHER_AMOUNTS)
     r = [x for x in out.select("validate_ez_ass_eoy", "validate_fu_fundbal").collect()]
     assert r[0] == (10.0, None) and r[2] == (None, -10.0)
     summ = rules.failure_summary(out, tolerance=5.0)
@@ -259,7 +308,7 @@ def test_adjustments_level_then_delta(spark):
         ("a", "FUNDBAL", "level", 45.0, "u1", "1", dt(2020, 1, 2), 2),
         ("a", "FUNDBAL", "delta", 5.0, "u2", "5", dt(2020, 1, 3), 3),
     ], review.ADJUSTMENTS_SCHEMA)
-    out = review.apply_adjustments(rows_, adj, ["FUNDBAL"]).first()
+    out = review.apply_adjustments(rows_, adj, ["FUNDBAL"], optional=OTHER_AMOUNTS).first()
     assert out["FUNDBAL"] == 50.0 and out["fundbal_adjusted_by"] == 10.0
     assert out["MANUALLY_FIXED"] == "FUNDBAL" and out["validated_by"] == "u2"
     assert out["EXPLANATION"] == review.EXPLANATIONS["5"] and out["validate_ez_ass_eoy"] == 0.0
@@ -315,9 +364,10 @@ def test_skip_restores_original_row(spark):
                                   "FUNDBAL double, MANUALLY_FIXED string, VALIDATION_STATE int")
     adj = spark.createDataFrame([(e, "FUNDBAL", "delta", 10.0, "u1", "2", dt(2020, 1, 1), 1)
                                  for e in ("a", "b")], review.ADJUSTMENTS_SCHEMA)
-    done = review.apply_adjustments(rows_, adj, ["FUNDBAL"])
+    done = review.apply_adjustments(rows_, adj, ["FUNDBAL"], optional=OTHER_AMOUNTS)
     acts = spark.createDataFrame([("a", "skip"), ("b", "fix")], "EIN string, action string")
-    out = {r["EIN"]: r for r in review.review_state(done.join(acts, "EIN"), fields=["FUNDBAL"]).collect()}
+    out = {r["EIN"]: r for r in review.review_state(
+        done.join(acts, "EIN"), fields=["FUNDBAL"], optional=OTHER_AMOUNTS).collect()}
     a, b = out["a"], out["b"]
     assert (a["FUNDBAL"], a["fundbal_adjusted_by"], a["EXPLANATION"], a["validated_by"]) == (40.0, 0.0, "", "")
     assert a["MANUALLY_FIXED"] == "CONT" and a["NEW_STATE"] == 0 and a["validate_ez_ass_eoy"] == 10.0
