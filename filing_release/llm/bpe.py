@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_CACHE, map_rows, with_id
+from .common import WORD_CACHE, forget, map_rows, with_id
 
 LEAF = 2048          # symbols encoded at once in an unsplit run
 SPLIT_CHARS = 65536  # longer texts are dealt out to tasks in pieces
@@ -238,6 +238,7 @@ def encode(docs: DataFrame, vocabulary: str, split_chars: int = SPLIT_CHARS,
         return [(doc_id, b"".join(out))] * copies
 
     def setup():
+        forget()
         return codec_of(vocabulary)
 
     short = map_rows(d.where(~long), whole, "doc_id long, ids binary", setup=setup)

@@ -147,6 +147,12 @@ def letter_runs(text: str | None) -> list[bytes]:
 _HASHES: dict[bytes, int] = {}
 
 
+def forget() -> None:
+    """Drop the hashes that a Python worker remembers; for operators that need its
+    memory for a memo of their own."""
+    _HASHES.clear()
+
+
 def word_hashes(ws: list[bytes]) -> np.ndarray:
     """64-bit hash of every word; a bounded memo saves hashing common words again."""
     memo = _HASHES
