@@ -79,7 +79,7 @@ def first_line(spark: SparkSession, file: str) -> str:
         line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(source, "UTF-8")).readLine()
     finally:
         stream.close()
-    return (line or "").removeprefix("﻿")
+    return (line or "").removeprefix("\ufeff")
 
 
 def _tokens(line: str, sep: str) -> list[str]:

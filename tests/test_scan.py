@@ -64,6 +64,8 @@ def test_headers_that_cant_be_read(spark):
         checked_scan(spark, folder(a=""), " ")
     with pytest.raises(ScanError, match="no such file"):
         checked_scan(spark, "/tmp/no-such-folder-of-extracts", " ")
+    marked = checked_scan(spark, folder(a="\ufeffEIN A\n1 2\n"), " ")     # a byte order mark
+    assert [tuple(r)[:2] for r in marked.rows.collect()] == [("1", "2")]
     header_only = checked_scan(spark, folder(a="EIN A\n"), " ")
     assert header_only.rows.columns == ["EIN", "A", "FILE_NAME"] and not header_only.rows.collect()
 
