@@ -3,7 +3,10 @@
 A tree builder closes implied tags (``<p>``, ``<li>``, ``<dt>``, table parts,
 ``<option>``) and a renderer emits all visible text: blocks on lines of their
 own, paragraphs apart by a blank line, list markers with indentation, table
-cells in aligned columns, ``<pre>`` untouched.
+cells in aligned columns, ``<pre>`` untouched.  Every line is written once,
+with the indentation of all the lists and quotes around it; indentation grows
+with their depth up to ``INDENT`` columns and stays there, so that the text of
+a page is linear in its size however deep its lists are.
 
 Not visible: head, script, style, template, noscript and embedded content;
 elements with ``hidden``, ``display:none`` or ``visibility:hidden``; closed
@@ -126,11 +129,19 @@ def visible(node: Node) -> bool:
                 or node.tag == "input" and a.get("type", "").lower() == "hidden")
 
 
-class Lines:
-    """Output lines under construction."""
+INDENT = 64  # columns
 
-    def __init__(self):
-        self.lines: list[str] = []
+
+class Lines:
+    """Output lines under construction: of a page or cell, or, with ``above``,
+    of a list item or quote inside one, whose lines go to the same list."""
+
+    def __init__(self, above: Lines | None = None, mark: str = "", trim: bool = False):
+        self.above, self.mark = above, mark
+        self.lines: list[str] = above.lines if above else []
+        self.indent = (above.indent + " " * len(mark))[:INDENT] if above else ""
+        self.trim = trim or bool(above and above.trim)  # no white space at the ends of lines
+        self.begun = False    # has a line
         self.now: list[str] = []
         self.gap = False      # a blank line is due before the next text
         self.space = False    # a space is due before the next word
@@ -152,10 +163,28 @@ class Lines:
         self.gap = self.gap or gap
 
     def add(self, line: str) -> None:
-        if self.gap and self.lines:
+        indent = self.indent if self.begun else self.begin()
+        if self.gap:
             self.lines.append("")
         self.gap = False
-        self.lines.append(line)
+        if line or indent != self.indent:
+            line = indent + line
+        self.lines.append(line.rstrip() if self.trim else line)
+
+    def begin(self) -> str:
+        """What precedes a first line: the marks of all items that it opens,
+        after the indentation of the innermost that has a line."""
+        marks, at = [], self
+        while not at.begun:
+            at.begun, at.gap = True, False
+            if not at.above:
+                return "".join(reversed(marks))
+            marks.append(at.mark)
+            at = at.above
+        if at.gap:
+            at.lines.append("")
+            at.gap = False
+        return at.indent + "".join(reversed(marks))
 
 
 def render(node: Node) -> list[str]:
@@ -178,7 +207,7 @@ def _into(node: Node, out: Lines) -> None:
         if not visible(item) or shut and tag != "summary":
             continue
         if tag == "br":
-            if not out.now and out.lines and not out.gap:
+            if not out.now and out.begun and not out.gap:
                 out.add("")
             out.newline()
         elif tag == "hr":
@@ -202,14 +231,16 @@ def _into(node: Node, out: Lines) -> None:
             if node.tag == "ol":
                 mark = f"{number}. "
                 number += 1
-            inner = render(item)
-            for k, line in enumerate(inner or [""]):
-                out.add((mark + line if k == 0 else " " * len(mark) + line).rstrip()
-                        if line or k == 0 else "")
+            inner = Lines(out, mark, trim=True)
+            _into(item, inner)
+            inner.newline()
+            if not inner.begun:
+                inner.add("")
         elif tag in ("dd", "blockquote"):
             out.newline(tag == "blockquote")
-            for line in render(item):
-                out.add("    " + line if line else "")
+            inner = Lines(out, "    ")
+            _into(item, inner)
+            inner.newline()
             out.gap = out.gap or tag == "blockquote"
         elif tag == "input":
             if item.attrs.get("type", "").lower() in ("submit", "button", "reset"):
