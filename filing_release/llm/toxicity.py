@@ -1,60 +1,64 @@
 """Toxicity by nearest labelled examples.
 
-Bounded parts (documented parameters): ``EXAMPLES`` labelled rows per class
-and ``FEATURES`` terms.  A term is a lower-cased letter run or one of its
-prefixes of 4 to 6 characters (stems of inflected insults).  Near copies among
-the examples are left out, and terms are chosen by chi-square; their document
-frequencies come from *all* documents.  A document is the vector of its chosen
-terms,
-``(1 + ln tf) * ln(1 + N / df)``, scaled to length 1.
-
-The index is a block-max inverted index: examples lie in blocks, every term
-keeps its largest weight in each block, and a query visits blocks by falling
-bound ``sum q_t * max_t,block`` until the bound can't beat the k-th best
-cosine.  So the neighbours are exact.  Votes are weighted by distance and
-turned into probabilities by a logistic curve fitted on the examples' own
+Bounded part (documented parameter): ``EXAMPLES`` labelled rows per class, from
+which near copies are left out.  The terms are *all* letter runs of the
+examples, lower-cased, clean examples included, and those prefixes of 4 to 6
+characters (stems of inflected words) that tell the classes apart by
+chi-square; nothing limits their number.  Document frequencies come from *all*
+documents.  A document is the vector of all these terms in its whole text,
+``(1 + ln tf) * ln(1 + N / df) * (FLOOR + effect)``, scaled to length 1, where a
+term's effect is how far its chi-square goes beyond chance.  So a term that
+tells the classes apart weighs more, and every other one still counts.
+
+The index is a block-max inverted index: examples lie in blocks, every term has
+a list of postings, cut at the blocks, with its largest weight in each block.
+A query reads its terms' lists of maxima, visits the blocks of the highest
+bounds ``sum q_t * max_t,block``, and then every block whose bound reaches the
+k-th best cosine.  So the neighbours are exact.  Votes are weighted by distance
+and turned into probabilities by a logistic curve fitted on the examples' own
 leave-one-out votes, with the class shares of all labelled rows.
 
-Defined cases: a null or empty text, and a text without chosen terms, has no
-neighbour and gets the share of toxic rows among labelled rows without chosen
-terms (smoothed); repeated rows each get a row; without any labelled row every
-score is 0; ties in cosine go to the example with the smaller doc_id.
+Defined cases: a null or empty text, and a text that shares no term with any
+example, has no neighbour and gets the share of toxic rows among examples
+without terms (weighted to the shares of all labelled rows; without such
+examples the share of all); repeated rows each get a row, and of the texts
+under one labelled id the smallest is the example; an id with several labels is
+toxic if one says so; without any labelled row every score is 0; ties in cosine
+go to the example with the smaller doc_id; an empty table gives no rows; extra
+columns are not read; a text of any length is one row of term counts.
 """
 
 from __future__ import annotations
 
 import math
 from collections import Counter
-from functools import lru_cache
 from itertools import compress
+from uuid import uuid4
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import WORD_CACHE, fold_bucket, letter_runs, map_rows, mix, stage
 
 EXAMPLES = 2000   # labelled rows kept per class
-FEATURES = 1024   # terms
-CHI = 30.0        # least chi-square of a term
-EFFECT = 0.005    # least chi-square per example (phi squared)
+CHI = 30.0        # chi-square that chance may reach
+EFFECT = 0.005    # the same per example (phi squared)
+FLOOR = 0.005     # weight of a term without effect
 NEIGHBOURS = 15
-BLOCK = 64
+BLOCK = 64        # examples
+FIRST = 4         # blocks a query visits before it has a k-th best
 
 
-def terms(text: str | None) -> Counter:
-    """Term counts of one text."""
-    out: Counter = Counter()
-    for w, n in Counter(letter_runs(text)).items():
-        for t in stems(w):
-            out[t] += n
-    return out
+def terms(text: str | None) -> set[str]:
+    """Letter runs of one text, and their stems (marked with ``*``)."""
+    runs = {r.decode() for r in set(letter_runs(text))}
+    return runs | {t for w in runs for t in stems(w)}
 
 
-def stems(run: bytes) -> set[str]:
-    w = run.decode()
-    return {w, w[:4], w[:5], w[:6]}
+def stems(run: str) -> set[str]:
+    return {run[:n] + "*" for n in (4, 5, 6) if len(run) >= n}
 
 
 def signature(text: str | None, seeds: int = 16) -> list[int]:
@@ -82,7 +86,7 @@ def groups_of_copies(signatures: list[list[int]]) -> list[int]:
 
 
 class Counts:
-    """Counts of the chosen terms in a text, as ``{column: tf}``."""
+    """Counts of the known terms in a text, as ``{column: tf}``."""
 
     def __init__(self, vocabulary: list[str]):
         self.column = {t: i for i, t in enumerate(vocabulary)}
@@ -90,29 +94,41 @@ class Counts:
 
     def __call__(self, text: str | None) -> dict[int, int]:
         out: dict[int, int] = {}
-        memo, column = self.memo, self.column
+        memo = self.memo
         if len(memo) > WORD_CACHE:
             memo.clear()
         seen = Counter(letter_runs(text))
         found = list(map(memo.get, seen))
         if None in found:
-            for w in seen:
-                if w not in memo:
-                    memo[w] = tuple(column[t] for t in stems(w) if t in column)
+            for r in seen:
+                if r not in memo:
+                    memo[r] = self.columns(r.decode())
             found = list(map(memo.get, seen))
         for cols, n in compress(zip(found, seen.values(), strict=True), found):
             for c in cols:
                 out[c] = out.get(c, 0) + n
         return out
 
+    def columns(self, run: str) -> tuple[int, ...]:
+        return tuple(self.column[t] for t in (run, *stems(run)) if t in self.column)
+
+
+def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges ``start .. start + length - 1``, one after another."""
+    ends = np.cumsum(lengths)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + lengths, lengths)
+
 
 class Index:
-    """The examples as a block-max inverted index with calibrated votes."""
+    """The examples as a block-max inverted index with calibrated votes.
+
+    ``scale`` is each term's weight but for its frequency in the text.
+    """
 
-    def __init__(self, vocabulary: list[str], idf: np.ndarray, ids: list[int],
-                 labels: list[int], counts: list[dict[int, int]], toxic_share: float,
+    def __init__(self, scale: np.ndarray, ids: list[int], labels: list[int],
+                 counts: list[dict[int, int]], toxic_share: float,
                  k: int = NEIGHBOURS, block: int = BLOCK):
-        self.idf, self.k, self.block = idf, k, block
+        self.scale, self.k, self.block = scale, k, block
         kept = [i for i, c in enumerate(counts) if c]
         vectors = [self.vector(counts[i]) for i in kept]
         # like rows share a block when sorted by their heaviest terms
@@ -120,41 +136,71 @@ class Index:
             tuple(vectors[j][0][np.argsort(-vectors[j][1], kind="stable")][:3]), ids[kept[j]]))
         self.ids = np.array([ids[kept[j]] for j in rank], np.int64)
         self.labels = np.array([labels[kept[j]] for j in rank], np.float64)
-        self.rows = np.zeros((len(vocabulary), len(rank)), np.float32)
-        for col, j in enumerate(rank):
-            self.rows[vectors[j][0], col] = vectors[j][1]
-        self.starts = np.arange(0, max(len(rank), 1), block)
-        self.maxima = (np.maximum.reduceat(self.rows, self.starts, axis=1)
-                       if len(rank) else np.zeros((len(vocabulary), 1), np.float32))
+        self.post(len(scale), [vectors[j] for j in rank])
         n1 = sum(labels)
         weight = {1: toxic_share / max(n1, 1), 0: (1 - toxic_share) / max(len(labels) - n1, 1)}
         self.class_weight = np.array([weight[int(y)] for y in self.labels])
         bare = [labels[i] for i, c in enumerate(counts) if not c]
         w1, w0 = weight[1] * sum(bare), weight[0] * (len(bare) - sum(bare))
         self.bare_score = w1 / (w1 + w0) if w1 + w0 else toxic_share
-        self.slope, self.offset = self.calibrate()
+        self.slope, self.offset = self.calibrate(vectors, rank)
+
+    def post(self, n_terms: int, vectors: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        """Postings by term, then example; each stretch of a term in one block
+        is an entry with its block, largest weight and first posting."""
+        empty = [(np.zeros(0, np.int64), np.zeros(0))]
+        col = np.concatenate([c for c, _ in vectors or empty])
+        pos = np.repeat(np.arange(len(vectors)), [len(c) for c, _ in vectors])
+        order = np.argsort(col, kind="stable")
+        col, self.pos = col[order], pos[order].astype(np.int32)
+        self.weight = np.concatenate([w for _, w in vectors or empty])[order].astype(np.float32)
+        blocks = self.pos // self.block
+        new = np.ones(len(col), bool)
+        new[1:] = (col[1:] != col[:-1]) | (blocks[1:] != blocks[:-1])
+        self.first = np.flatnonzero(new)
+        self.length = np.diff(self.first, append=len(col))
+        self.entry_block = blocks[self.first]
+        self.maximum = (np.maximum.reduceat(self.weight, self.first) if len(col)
+                        else np.zeros(0, np.float32))
+        self.entries = np.searchsorted(col[self.first], np.arange(n_terms + 1))
 
     def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
         cols = np.array(sorted(counts), np.int64)
-        w = (1 + np.log([counts[c] for c in cols])) * self.idf[cols]
-        return cols, (w / np.sqrt((w * w).sum())).astype(np.float32)
+        w = (1 + np.log([counts[c] for c in cols])) * self.scale[cols]
+        return cols, w / np.sqrt((w * w).sum())
 
     def neighbours(self, cols: np.ndarray, w: np.ndarray, skip: int = -1):
         """Exact k best ``(cosine, position)``; ``skip`` leaves one example out."""
-        bound = w @ self.maxima[cols]
-        best_c, best_p = np.zeros(0, np.float32), np.zeros(0, np.int64)
-        for b in np.argsort(-bound, kind="stable"):
-            # a small slack covers single-precision sums
-            if len(best_c) >= self.k and bound[b] < best_c[-1] - 1e-6 or bound[b] <= 0:
+        n = self.entries[cols + 1] - self.entries[cols]
+        entry, q = ranges(self.entries[cols], n), np.repeat(w, n)
+        of = self.entry_block[entry]
+        bound = np.bincount(of, q * self.maximum[entry], -(-len(self.ids) // self.block))
+        best_c, best_p = np.zeros(0), np.zeros(0, np.int64)
+        order = np.argsort(-bound, kind="stable")
+        order = order[bound[order] > 0]
+        for least in (0, 1):
+            if least:
+                # a small slack covers rounded sums
+                kth = best_c[-1] if len(best_c) >= self.k else 0.0
+                visit = order[FIRST:][bound[order[FIRST:]] >= kth - 2e-6]
+            else:
+                visit = order[:FIRST]
+            if not len(visit):
                 break
-            s = self.starts[b]
-            cos = w @ self.rows[cols, s:s + self.block]
-            pos = np.arange(s, s + len(cos))
-            take = (cos > 0) & (pos != skip)
-            best_c = np.concatenate([best_c, np.round(cos[take], 6)])
-            best_p = np.concatenate([best_p, pos[take]])
-            order = np.lexsort((self.ids[best_p], -best_c))[:self.k]
-            best_c, best_p = best_c[order], best_p[order]
+            here = np.zeros(len(bound), bool)
+            here[visit] = True
+            take = here[of]
+            e = entry[take]
+            at = ranges(self.first[e], self.length[e])
+            cos = np.bincount(self.pos[at], np.repeat(q[take], self.length[e]) * self.weight[at],
+                              len(self.ids))
+            if skip >= 0:
+                cos[skip] = 0.0
+            pos = np.flatnonzero(cos)
+            best_c = np.concatenate([best_c, np.round(cos[pos], 6)])
+            best_p = np.concatenate([best_p, pos])
+            top = np.lexsort((self.ids[best_p], -best_c))[:self.k]
+            best_c, best_p = best_c[top], best_p[top]
         return best_c, best_p
 
     def vote(self, cos: np.ndarray, pos: np.ndarray) -> float:
@@ -164,13 +210,11 @@ class Index:
         prior = 0.5 * self.class_weight.mean() if len(pos) else 1.0
         return math.log((yes + prior) / (no + prior))
 
-    def calibrate(self) -> tuple[float, float]:
+    def calibrate(self, vectors, rank) -> tuple[float, float]:
         """Logistic curve on leave-one-out votes, by Newton steps."""
         if not len(self.ids) or len(set(self.labels.tolist())) < 2:
             return 1.0, 0.0
-        x = np.array([self.vote(*self.neighbours(c, self.rows[c, j], j))
-                      for j in range(len(self.ids))
-                      for c in [np.flatnonzero(self.rows[:, j])]])
+        x = np.array([self.vote(*self.neighbours(*vectors[j], at)) for at, j in enumerate(rank)])
         y = self.labels * 0.998 + 0.001
         a, b = 1.0, 0.0
         sw = self.class_weight / self.class_weight.sum() * len(x)
@@ -195,74 +239,89 @@ class Index:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z)))), self.ids[pos].tolist()
 
 
-def choose(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES,
-           features: int = FEATURES, least: float = CHI) -> tuple[DataFrame, list[str], float]:
-    """The labelled sample (``doc_id``, ``toxic``), the chosen terms, and the
-    toxic share of all labelled rows.
+def effect(p: np.ndarray, q: np.ndarray, n1: float, n0: float) -> np.ndarray:
+    """How far the chi-square of terms held by ``p`` toxic and ``q`` clean
+    examples goes beyond chance, as a share of the examples, square-rooted."""
+    n = n1 + n0
+    chi = n / max(n1 * n0, 1.0) * (p * (n0 - q) - q * (n1 - p)) ** 2 / np.maximum(
+        (p + q) * (n - p - q), 1.0)
+    return np.sqrt(np.maximum(chi - max(CHI, EFFECT * n), 0) / max(n, 1.0))
 
-    At most ``examples`` rows per class, in hash order of their ids.
+
+def choose(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES
+           ) -> tuple[DataFrame, list[str], np.ndarray, float]:
+    """The examples (``doc_id``, ``toxic``, ``text``), their terms, the terms'
+    effects, and the toxic share of all labelled rows.
+
+    At most ``examples`` rows per class, in hash order of their ids; everything
+    that reaches the driver or a broadcast is of these rows.
     """
-    known = (labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1))
-             .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
-             .agg(F.max("toxic").cast("int").alias("toxic")))
+    spark = docs.sparkSession
+    known = stage(labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1))
+                  .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
+                  .agg(F.max("toxic").cast("int").alias("toxic")), "toxic-labels")
     share = known.agg(F.avg("toxic")).first()[0] or 0.0
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    drawn = stage(known.withColumn("rn", F.row_number().over(order)).where(
-        F.col("rn") <= examples).select("doc_id", "toxic"), "toxic-drawn")
+    one, other = (known.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id")
+                  .limit(examples) for y in (0, 1))
     # at most 2 * examples rows of two integers: a proven bound for the broadcast
-    texts = docs.join(F.broadcast(drawn), "doc_id").dropDuplicates(["doc_id"])
-    held = stage(map_rows(texts.select("doc_id", "toxic", "text"), lambda i, y, t: [
-        (i, y, signature(t), list(terms(t)))],
-        "doc_id long, toxic int, signature array<long>, terms array<string>"), "toxic-terms")
+    held = stage(docs.join(F.broadcast(one.unionByName(other)), "doc_id").groupBy(
+        "doc_id", "toxic").agg(F.min("text").alias("text")), "toxic-examples")
     # of copies and near copies one stays, or their chance words look like evidence
-    rows = held.select("doc_id", "toxic", "signature").orderBy("toxic", "doc_id").collect()
+    rows = map_rows(held, lambda i, y, t: [(i, y, signature(t))],
+                    "doc_id long, toxic int, signature array<long>").orderBy(
+        "toxic", "doc_id").collect()
     group = groups_of_copies([r["signature"] for r in rows])
     alone = [r for k, r in enumerate(rows) if group[k] == k]
-    sample = docs.sparkSession.createDataFrame([(r["doc_id"], r["toxic"]) for r in alone],
-                                               "doc_id long, toxic int")
+    sample = held.join(F.broadcast(spark.createDataFrame(
+        [(r["doc_id"],) for r in alone], "doc_id long")), "doc_id", "left_semi")
     n1 = float(sum(r["toxic"] for r in alone))
-    n0 = len(alone) - n1
-    p, q = F.col("p"), F.col("q")
-    chi = F.lit((n1 + n0) / max(n1 * n0, 1.0)) * (p * (n0 - q) - q * (n1 - p)) ** 2 / F.greatest(
-        (p + q) * (n1 + n0 - p - q), F.lit(1.0))
-    found = (held.drop("toxic").join(F.broadcast(sample), "doc_id")
-             .select("toxic", F.explode("terms").alias("term")).groupBy("term")
+    found = (map_rows(sample, lambda i, y, t: [(y, w) for w in terms(t)],
+                      "toxic int, term string").groupBy("term")
              .agg(F.sum(F.col("toxic").cast("double")).alias("p"),
                   F.sum((1 - F.col("toxic")).cast("double")).alias("q"))
-             .where((chi >= max(least, EFFECT * (n1 + n0))) & (p * n0 > q * n1))
-             .orderBy(F.desc(chi), F.length("term"), "term").limit(features).collect())
-    # a longer form adds nothing to a stem that is chosen already
-    chosen: list[str] = []
-    for r in found:
-        if not any(r["term"].startswith(t) for t in chosen):
-            chosen.append(r["term"])
-    return sample, chosen, float(share)
+             .orderBy("term").collect())
+    size = effect(np.array([r["p"] for r in found]), np.array([r["q"] for r in found]),
+                  n1, len(alone) - n1)
+    # a stem that doesn't tell the classes apart says no more than its runs
+    kept = [k for k, r in enumerate(found) if r["term"][-1] != "*" or size[k] > 0]
+    return sample, [found[k]["term"] for k in kept], size[kept], float(share)
+
+
+def vectorise(docs: DataFrame, vocabulary: list[str], *keep: str) -> DataFrame:
+    """``doc_id``, the ``keep`` columns, ``cols``, ``tf``: the terms of every whole text."""
+    # the terms of a bounded number of examples
+    held, key = docs.sparkSession.sparkContext.broadcast(vocabulary), uuid4().hex
+    kept = docs.select("doc_id", *keep, "text")
+
+    def row(counts, *values):
+        found = sorted(counts(values[-1]).items())
+        return [(*values[:-1], [c for c, _ in found], [n for _, n in found])]
+    fields = ", ".join(f"{c} {t}" for c, t in kept.dtypes[:-1])
+    return map_rows(kept, row, f"{fields}, cols array<int>, tf array<int>",
+                    setup=lambda: _counts(key, held))
 
 
-def vectorise(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
-    """``doc_id``, ``cols``, ``tf``: the chosen terms of every whole text."""
-    def row(counts, doc_id, text):
-        found = sorted(counts(text).items())
-        return [(doc_id, [c for c, _ in found], [n for _, n in found])]
-    return map_rows(docs.select("doc_id", "text"), row,
-                    "doc_id long, cols array<int>, tf array<int>",
-                    setup=lambda: _counts(tuple(vocabulary)))
+_COUNTS: dict[str, Counts] = {}
 
 
-@lru_cache(maxsize=2)
-def _counts(vocabulary: tuple[str, ...]) -> Counts:
-    return Counts(list(vocabulary))
+def _counts(key: str, held) -> Counts:
+    """A worker's counts of the latest vocabulary, kept from task to task."""
+    if key not in _COUNTS:
+        _COUNTS.clear()
+        _COUNTS[key] = Counts(held.value)
+    return _COUNTS[key]
 
 
-def index(vectors: DataFrame, sample: DataFrame, vocabulary: list[str],
+def index(vectors: DataFrame, sample: DataFrame, vocabulary: list[str], size: np.ndarray,
           share: float) -> Index:
     """Document frequencies over all vectors, and the sample's own vectors."""
     total = vectors.count()
-    df = dict(vectors.select(F.explode("cols").alias("col")).groupBy("col").count().collect())
-    idf = np.array([math.log(1 + total / max(df.get(c, 0), 1)) for c in range(len(vocabulary))])
-    rows = (vectors.join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"])
-            .orderBy("doc_id").collect())  # at most 2 * EXAMPLES rows
-    return Index(vocabulary, idf, [r["doc_id"] for r in rows], [r["toxic"] for r in rows],
+    df = np.ones(len(vocabulary))
+    for r in vectors.select(F.explode("cols").alias("col")).groupBy("col").count().collect():
+        df[r["col"]] = r["count"]
+    rows = vectorise(sample, vocabulary, "toxic").orderBy("doc_id").collect()
+    return Index(np.log(1 + total / df) * (FLOOR + size), [r["doc_id"] for r in rows],
+                 [r["toxic"] for r in rows],
                  [dict(zip(r["cols"], r["tf"], strict=True)) for r in rows], share)
 
 
@@ -282,8 +341,8 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     vector, and scoring works on the vectors."""
     d = docs.where(F.col("doc_id").isNotNull()).select(
         F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sample, vocabulary, share = choose(d, labels.where(fold_bucket("doc_id") != 0))
+    sample, vocabulary, size, share = choose(d, labels.where(fold_bucket("doc_id") != 0))
     vectors = stage(vectorise(d, vocabulary), "toxic-vectors")
-    return score(vectors, index(vectors, sample, vocabulary, share)).select(
+    return score(vectors, index(vectors, sample, vocabulary, size, share)).select(
         "doc_id", (fold_bucket("doc_id") == 0).alias("held_out"), "score", "predicted",
         "evidence")

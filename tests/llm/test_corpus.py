@@ -332,9 +332,12 @@ def test_toxicity_neighbours_are_exact():
     rng = np.random.default_rng(3)
     counts = [{int(c): int(rng.integers(1, 4)) for c in rng.choice(30, rng.integers(0, 6), False)}
               for _ in range(200)]
-    ix = toxicity.Index([f"t{i}" for i in range(30)], rng.uniform(0.5, 4, 30), list(range(200)),
+    ix = toxicity.Index(rng.uniform(0.5, 4, 30), list(range(200)),
                         [int(x) for x in rng.integers(0, 2, 200)], counts, 0.3, k=7, block=8)
-    dense = ix.rows
+    dense = np.zeros((30, len(ix.ids)))
+    for j, i in enumerate(ix.ids):
+        cols, w = ix.vector(counts[i])
+        dense[cols, j] = w.astype(np.float32)
     for c in counts:
         if c:
             cols, w = ix.vector(c)
@@ -344,6 +347,69 @@ def test_toxicity_neighbours_are_exact():
             assert list(pos) == order and np.allclose(cos, full[order])
 
 
+def test_toxicity_scores_against_dense_vectors(spark):
+    """Every score and neighbour from plain dictionaries and all examples, with
+    the curve that the operator fitted."""
+    import math
+    import re
+    import zlib
+    from collections import Counter
+    rng = random.Random(6)
+    parts = ["ba", "do", "lu", "mi", "ne", "rit", "sto", "ker", "vu", "zam"]
+    vocab = [a + b + c for a in parts for b in parts for c in ("", "sa", "rumi")]
+    texts = [" ".join(rng.choice(vocab) for _ in range(rng.randint(3, 30))) for _ in range(260)]
+    toxic = {i for i in range(260) if rng.random() < 0.3}
+    texts = [t + " GRUBber, grub!" if i in toxic and i % 7 else t for i, t in enumerate(texts)]
+    texts += [None, "", "??? 1234", "unheardof words"]
+    d = docs_of(spark, texts).unionByName(docs_of(spark, texts).where("doc_id < 3"))
+    labels = spark.createDataFrame([(i, int(i in toxic)) for i in range(220)] + [(None, 1), (5, 0)],
+                                   "doc_id long, toxic int")
+    got = toxicity.score_documents(d, labels).collect()
+    assert len(got) == len(texts) + 3
+
+    def counts(text):
+        c = Counter()
+        for w, n in Counter(re.findall("[a-z]+", (text or "").lower())).items():
+            for t in {w} | {w[:k] + "*" for k in (4, 5, 6) if len(w) >= k}:
+                c[t] += n
+        return c
+    rows = [(i, counts(t)) for i, t in enumerate(texts)]
+    rows += rows[:3]
+    learn = sorted((i for i in range(220) if zlib.crc32(str(i).encode()) % 5),
+                   key=lambda i: (i in toxic, i))
+    first = toxicity.groups_of_copies([toxicity.signature(texts[i]) for i in learn])
+    ex = sorted(i for k, i in enumerate(learn) if first[k] == k)
+    n1 = sum(i in toxic for i in ex)
+    n0, n = len(ex) - n1, len(ex)
+    weight = {}
+    for t in {t for i in ex for t in rows[i][1]}:
+        p = sum(t in rows[i][1] for i in ex if i in toxic)
+        q = sum(t in rows[i][1] for i in ex if i not in toxic)
+        chi = n * (p * (n0 - q) - q * (n1 - p)) ** 2 / (n1 * n0 * max((p + q) * (n - p - q), 1))
+        size = math.sqrt(max(chi - toxicity.CHI, 0) / n)
+        if t[-1] != "*" or size:
+            df = sum(t in c for _, c in rows)
+            weight[t] = math.log(1 + len(rows) / df) * (toxicity.FLOOR + size)
+    assert weight["grub*"] > 10 * weight["bane"]
+
+    def vector(c):
+        v = {t: (1 + math.log(n)) * weight[t] for t, n in c.items() if t in weight}
+        size = math.sqrt(sum(x * x for x in v.values()))
+        return {t: x / size for t, x in v.items()}
+    examples = {i: vector(rows[i][1]) for i in ex}
+    hit = 0
+    for r in got:
+        v = vector(rows[r.doc_id][1])
+        cos = {i: sum(x * e.get(t, 0) for t, x in v.items()) for i, e in examples.items()}
+        near = sorted((i for i in cos if cos[i] > 0), key=lambda i: -cos[i])
+        assert bool(r.evidence) == bool(near)
+        # ties and last digits aside, the evidence holds the five largest cosines
+        assert all(abs(cos[i] - cos[j]) < 1e-5 for i, j in zip(r.evidence, near, strict=False))
+        hit += r.predicted == int(r.doc_id in toxic)
+    assert hit > 0.9 * len(got)
+    assert len({r.score for r in got if not r.evidence}) == 1  # no term: one share
+
+
 def test_toxicity_held_out(spark):
     sf = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{sf}/labels.parquet")
