@@ -97,6 +97,26 @@ def map_rows(df: DataFrame, fn: Callable[..., Iterable[tuple]], schema: str,
     return df.mapInArrow(run, schema)
 
 
+def map_chunks(df: DataFrame, fn: Callable[..., Iterable[tuple]], schema: str, chunk: int,
+               setup: Callable[[], object]) -> DataFrame:
+    """``map_rows`` for functions that work on ``chunk`` rows at a time: ``fn`` gets
+    ``setup()``'s result and a list per input column."""
+    ship(df.sparkSession)
+    spark_schema = df.sparkSession.createDataFrame([], schema).schema
+    names = spark_schema.fieldNames()
+    types = [_arrow_type(f.dataType) for f in spark_schema.fields]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state = setup()
+        for b in batches:
+            for at in range(0, b.num_rows, chunk):
+                out = fn(state, *map(_values, b.slice(at, chunk).columns))
+                yield arrow_batch(list(out), names, types)
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(run, schema)
+
+
 def _values(col: pa.Array) -> list:
     t = col.type
     if pa.types.is_list(t) and pa.types.is_integer(t.value_type) and not col.null_count:

@@ -14,7 +14,10 @@ The index is a block-max inverted index: examples lie in blocks, every term has
 a list of postings, cut at the blocks, with its largest weight in each block.
 A query reads its terms' lists of maxima, visits the blocks of the highest
 bounds ``sum q_t * max_t,block``, and then every block whose bound reaches the
-k-th best cosine.  So the neighbours are exact.  Votes are weighted by distance
+k-th best cosine.  So the neighbours are exact.  A term that at least one in
+``LONG`` examples holds has a list with a place for every example; these rows are
+multiplied with many documents at once, and the bound of a block is its best sum
+so far plus the maxima of the other terms.  Votes are weighted by distance
 and turned into probabilities by a logistic curve fitted on the examples' own
 leave-one-out votes, with the class shares of all labelled rows.
 
@@ -31,8 +34,8 @@ columns are not read; a text of any length is one row of term counts.
 from __future__ import annotations
 
 import math
-from collections import Counter
-from itertools import compress
+from array import array
+from collections.abc import Sequence
 from uuid import uuid4
 
 import numpy as np
@@ -40,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_CACHE, fold_bucket, letter_runs, map_rows, mix, stage
+from .common import WORD_CACHE, fold_bucket, letter_runs, map_chunks, map_rows, mix, stage
 
 EXAMPLES = 2000   # labelled rows kept per class
 CHI = 30.0        # chi-square that chance may reach
@@ -49,6 +52,8 @@ FLOOR = 0.005     # weight of a term without effect
 NEIGHBOURS = 15
 BLOCK = 64        # examples
 FIRST = 4         # blocks a query visits before it has a k-th best
+LONG = 8          # a list of at least one in so many examples is a full row
+TOGETHER = 64     # documents whose terms with full rows are multiplied at once
 
 
 def terms(text: str | None) -> set[str]:
@@ -86,31 +91,51 @@ def groups_of_copies(signatures: list[list[int]]) -> list[int]:
 
 
 class Counts:
-    """Counts of the known terms in a text, as ``{column: tf}``."""
+    """Counts of the known terms in texts, as ``(columns, tf)`` in ascending order."""
 
     def __init__(self, vocabulary: list[str]):
         self.column = {t: i for i, t in enumerate(vocabulary)}
-        self.memo: dict[bytes, tuple[int, ...]] = {}
+        self.forget()
 
-    def __call__(self, text: str | None) -> dict[int, int]:
-        out: dict[int, int] = {}
+    def forget(self) -> None:
+        """A run's number leads to its columns; 0 is every run without any."""
+        self.memo: dict[bytes, int] = {}
+        self.flat, self.start = array("i"), array("i", [0, 0])
+
+    def __call__(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
         memo = self.memo
         if len(memo) > WORD_CACHE:
-            memo.clear()
-        seen = Counter(letter_runs(text))
-        found = list(map(memo.get, seen))
-        if None in found:
-            for r in seen:
-                if r not in memo:
-                    memo[r] = self.columns(r.decode())
-            found = list(map(memo.get, seen))
-        for cols, n in compress(zip(found, seen.values(), strict=True), found):
-            for c in cols:
-                out[c] = out.get(c, 0) + n
-        return out
-
-    def columns(self, run: str) -> tuple[int, ...]:
-        return tuple(self.column[t] for t in (run, *stems(run)) if t in self.column)
+            self.forget()
+            memo = self.memo
+        found: list[int] = []
+        sizes = []
+        for text in texts:
+            runs = letter_runs(text)
+            numbers = list(map(memo.get, runs))
+            if None in numbers:
+                for r in runs:
+                    if r not in memo:
+                        memo[r] = self.learn(r.decode())
+                numbers = list(map(memo.get, runs))
+            found += numbers
+            sizes.append(len(runs))
+        run, flat, start = (np.array(x, np.int64) for x in (found, self.flat, self.start))
+        n = start[run + 1] - start[run]
+        text_of = np.repeat(np.arange(len(texts)), sizes)
+        width = len(self.column)
+        key, tf = np.unique(np.repeat(text_of * width, n) + flat[ranges(start[run], n)],
+                            return_counts=True)
+        ends = np.searchsorted(key, np.arange(len(texts) + 1) * width)
+        return [((key[i:j] - k * width).astype(np.int32), tf[i:j].astype(np.int32))
+                for k, (i, j) in enumerate(zip(ends[:-1], ends[1:], strict=True))]
+
+    def learn(self, run: str) -> int:
+        cols = [self.column[t] for t in (run, *stems(run)) if t in self.column]
+        if not cols:
+            return 0
+        self.flat.extend(cols)
+        self.start.append(len(self.flat))
+        return len(self.start) - 2
 
 
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -140,6 +165,7 @@ class Index:
         n1 = sum(labels)
         weight = {1: toxic_share / max(n1, 1), 0: (1 - toxic_share) / max(len(labels) - n1, 1)}
         self.class_weight = np.array([weight[int(y)] for y in self.labels])
+        self.mean_weight = self.class_weight.mean() if len(self.labels) else 0.0
         bare = [labels[i] for i, c in enumerate(counts) if not c]
         w1, w0 = weight[1] * sum(bare), weight[0] * (len(bare) - sum(bare))
         self.bare_score = w1 / (w1 + w0) if w1 + w0 else toxic_share
@@ -147,34 +173,66 @@ class Index:
 
     def post(self, n_terms: int, vectors: list[tuple[np.ndarray, np.ndarray]]) -> None:
         """Postings by term, then example; each stretch of a term in one block
-        is an entry with its block, largest weight and first posting."""
+        is an entry with its block, largest weight and first posting.  A long
+        list is a row with a place for every example instead."""
         empty = [(np.zeros(0, np.int64), np.zeros(0))]
         col = np.concatenate([c for c, _ in vectors or empty])
         pos = np.repeat(np.arange(len(vectors)), [len(c) for c, _ in vectors])
         order = np.argsort(col, kind="stable")
         col, self.pos = col[order], pos[order].astype(np.int32)
         self.weight = np.concatenate([w for _, w in vectors or empty])[order].astype(np.float32)
+        long = np.bincount(col, minlength=n_terms) * LONG >= max(len(vectors), 1)
+        self.row = np.where(long, np.cumsum(long) - 1, -1).astype(np.int32)
+        self.blocks = -(-len(vectors) // self.block)
+        self.rows = np.zeros((long.sum(), self.blocks * self.block))
+        full = long[col]
+        self.rows[self.row[col[full]], self.pos[full]] = self.weight[full]
+        col, self.pos, self.weight = col[~full], self.pos[~full], self.weight[~full]
         blocks = self.pos // self.block
         new = np.ones(len(col), bool)
         new[1:] = (col[1:] != col[:-1]) | (blocks[1:] != blocks[:-1])
         self.first = np.flatnonzero(new)
-        self.length = np.diff(self.first, append=len(col))
+        self.length = np.diff(self.first, append=len(col)).astype(np.int32)
         self.entry_block = blocks[self.first]
         self.maximum = (np.maximum.reduceat(self.weight, self.first) if len(col)
                         else np.zeros(0, np.float32))
         self.entries = np.searchsorted(col[self.first], np.arange(n_terms + 1))
+        self.first = self.first.astype(np.int32)
 
     def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
         cols = np.array(sorted(counts), np.int64)
-        w = (1 + np.log([counts[c] for c in cols])) * self.scale[cols]
+        return self.weigh(cols, np.array([counts[c] for c in cols], np.int64))
+
+    def weigh(self, cols: np.ndarray, tf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        w = (1 + np.log(tf)) * self.scale[cols]
         return cols, w / np.sqrt((w * w).sum())
 
     def neighbours(self, cols: np.ndarray, w: np.ndarray, skip: int = -1):
         """Exact k best ``(cosine, position)``; ``skip`` leaves one example out."""
+        return next(self.all_neighbours([(cols, w)], [skip]))
+
+    def all_neighbours(self, vectors: list[tuple[np.ndarray, np.ndarray]],
+                       skips: Sequence[int] | None = None):
+        """The same for many vectors: their terms with full rows are multiplied
+        together, the others follow one vector at a time."""
+        for at in range(0, len(vectors), TOGETHER):
+            part = vectors[at:at + TOGETHER]
+            rows = [self.row[cols] for cols, _ in part]
+            q = np.zeros((len(part), len(self.rows)))
+            for i, ((_, w), r) in enumerate(zip(part, rows, strict=True)):
+                q[i, r[r >= 0]] = w[r >= 0]
+            for i, ((cols, w), r, cos) in enumerate(zip(part, rows, q @ self.rows, strict=True)):
+                yield self.best(cols[r < 0], w[r < 0], cos, skips[at + i] if skips else -1)
+
+    def best(self, cols: np.ndarray, w: np.ndarray, cos: np.ndarray, skip: int):
+        """The k best when ``cos`` holds what the terms with full rows add."""
         n = self.entries[cols + 1] - self.entries[cols]
         entry, q = ranges(self.entries[cols], n), np.repeat(w, n)
         of = self.entry_block[entry]
-        bound = np.bincount(of, q * self.maximum[entry], -(-len(self.ids) // self.block))
+        by_block = cos.reshape(self.blocks, self.block)
+        if skip >= 0:
+            cos[skip] = 0.0
+        bound = by_block.max(axis=1) + np.bincount(of, q * self.maximum[entry], self.blocks)
         best_c, best_p = np.zeros(0), np.zeros(0, np.int64)
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
@@ -192,13 +250,18 @@ class Index:
             take = here[of]
             e = entry[take]
             at = ranges(self.first[e], self.length[e])
-            cos = np.bincount(self.pos[at], np.repeat(q[take], self.length[e]) * self.weight[at],
-                              len(self.ids))
+            cos += np.bincount(self.pos[at], np.repeat(q[take], self.length[e]) * self.weight[at],
+                               len(cos))
             if skip >= 0:
                 cos[skip] = 0.0
-            pos = np.flatnonzero(cos)
-            best_c = np.concatenate([best_c, np.round(cos[pos], 6)])
-            best_p = np.concatenate([best_p, pos])
+            c = np.round(by_block[visit].ravel(), 6)
+            # the k best of these blocks, with all ties
+            near = np.flatnonzero(c >= np.partition(c, -self.k)[-self.k]) if len(c) > self.k \
+                else np.arange(len(c))
+            pos = visit[near // self.block] * self.block + near % self.block
+            some = cos[pos] > 0
+            best_c = np.concatenate([best_c, c[near[some]]])
+            best_p = np.concatenate([best_p, pos[some]])
             top = np.lexsort((self.ids[best_p], -best_c))[:self.k]
             best_c, best_p = best_c[top], best_p[top]
         return best_c, best_p
@@ -207,14 +270,15 @@ class Index:
         """Log odds of the neighbours' votes, each weighing 1 / distance."""
         w = self.class_weight[pos] / (1.05 - cos)
         yes, no = (w * self.labels[pos]).sum(), (w * (1 - self.labels[pos])).sum()
-        prior = 0.5 * self.class_weight.mean() if len(pos) else 1.0
+        prior = 0.5 * self.mean_weight if len(pos) else 1.0
         return math.log((yes + prior) / (no + prior))
 
     def calibrate(self, vectors, rank) -> tuple[float, float]:
         """Logistic curve on leave-one-out votes, by Newton steps."""
         if not len(self.ids) or len(set(self.labels.tolist())) < 2:
             return 1.0, 0.0
-        x = np.array([self.vote(*self.neighbours(*vectors[j], at)) for at, j in enumerate(rank)])
+        x = np.array([self.vote(*near) for near in self.all_neighbours(
+            [vectors[j] for j in rank], range(len(rank)))])
         y = self.labels * 0.998 + 0.001
         a, b = 1.0, 0.0
         sw = self.class_weight / self.class_weight.sum() * len(x)
@@ -230,13 +294,19 @@ class Index:
 
     def score(self, counts: dict[int, int]) -> tuple[float, list[int]]:
         """Score and the neighbours' doc_ids (evidence)."""
-        if not counts or not len(self.ids):
-            return self.bare_score, []
-        cos, pos = self.neighbours(*self.vector(counts))
-        if not len(pos):
-            return self.bare_score, []
-        z = self.slope * self.vote(cos, pos) + self.offset
-        return 1 / (1 + math.exp(-max(-30.0, min(30.0, z)))), self.ids[pos].tolist()
+        cols = np.array(sorted(counts), np.int64)
+        return self.scores([(cols, np.array([counts[c] for c in cols], np.int64))])[0]
+
+    def scores(self, counts: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[float, list[int]]]:
+        """The same for many documents' ``(columns, tf)``."""
+        out: list[tuple[float, list[int]]] = [(self.bare_score, [])] * len(counts)
+        some = [i for i, (cols, _) in enumerate(counts) if len(cols) and len(self.ids)]
+        vectors = [self.weigh(*counts[i]) for i in some]
+        for i, (cos, pos) in zip(some, self.all_neighbours(vectors), strict=True):
+            if len(pos):
+                z = self.slope * self.vote(cos, pos) + self.offset
+                out[i] = 1 / (1 + math.exp(-max(-30.0, min(30.0, z)))), self.ids[pos].tolist()
+        return out
 
 
 def effect(p: np.ndarray, q: np.ndarray, n1: float, n0: float) -> np.ndarray:
@@ -293,12 +363,11 @@ def vectorise(docs: DataFrame, vocabulary: list[str], *keep: str) -> DataFrame:
     held, key = docs.sparkSession.sparkContext.broadcast(vocabulary), uuid4().hex
     kept = docs.select("doc_id", *keep, "text")
 
-    def row(counts, *values):
-        found = sorted(counts(values[-1]).items())
-        return [(*values[:-1], [c for c, _ in found], [n for _, n in found])]
+    def rows(counts, *columns):
+        return [(*r[:-1], *r[-1]) for r in zip(*columns[:-1], counts(columns[-1]), strict=True)]
     fields = ", ".join(f"{c} {t}" for c, t in kept.dtypes[:-1])
-    return map_rows(kept, row, f"{fields}, cols array<int>, tf array<int>",
-                    setup=lambda: _counts(key, held))
+    return map_chunks(kept, rows, f"{fields}, cols array<int>, tf array<int>",
+                      setup=lambda: _counts(key, held), chunk=TOGETHER)
 
 
 _COUNTS: dict[str, Counts] = {}
@@ -329,11 +398,12 @@ def score(vectors: DataFrame, ix: Index) -> DataFrame:
     """``doc_id``, ``score``, ``predicted``, ``evidence`` (nearest examples' ids)."""
     held = vectors.sparkSession.sparkContext.broadcast(ix)  # bounded by the parameters
 
-    def row(ix, doc_id, cols, tf):
-        s, near = ix.score(dict(zip(list(cols), list(tf), strict=True)))
-        return [(doc_id, s, int(s >= 0.5), near[:5])]
-    return map_rows(vectors.select("doc_id", "cols", "tf"), row, "doc_id long, score double, "
-                    "predicted int, evidence array<long>", setup=lambda: held.value)
+    def rows(ix, ids, cols, tf):
+        found = ix.scores(list(zip(cols, tf, strict=True)))
+        return [(i, s, int(s >= 0.5), near[:5]) for i, (s, near) in zip(ids, found, strict=True)]
+    return map_chunks(vectors.select("doc_id", "cols", "tf"), rows, "doc_id long, score double, "
+                      "predicted int, evidence array<long>", setup=lambda: held.value,
+                      chunk=TOGETHER)
 
 
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:

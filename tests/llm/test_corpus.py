@@ -347,6 +347,51 @@ def test_toxicity_neighbours_are_exact():
             assert list(pos) == order and np.allclose(cos, full[order])
 
 
+def test_toxicity_frequent_terms_are_rows():
+    """Terms of many examples cost no postings; neighbours of many documents at
+    once, ties included, are those of the dense vectors."""
+    import numpy as np
+    rng = np.random.default_rng(4)
+    share = np.concatenate([np.full(4, 0.6), np.full(40, 0.04)])
+    counts = [{int(c): int(rng.integers(1, 4)) for c in np.flatnonzero(rng.random(44) < share)}
+              for _ in range(300)]
+    counts += counts[:20]
+    ix = toxicity.Index(rng.uniform(0.5, 4, 44), list(range(320)),
+                        [int(x) for x in rng.integers(0, 2, 320)], counts, 0.3, k=7, block=8)
+    held = [c for c in counts if c]
+    assert len(ix.rows) == 4 and len(ix.pos) == sum(c > 3 for row in held for c in row)
+    dense = np.zeros((44, len(ix.ids)))
+    for j, i in enumerate(ix.ids):
+        cols, w = ix.vector(counts[i])
+        dense[cols, j] = w.astype(np.float32)
+    vectors = [ix.vector(c) for c in held]
+    for skips in (None, list(range(len(held)))):
+        found = list(ix.all_neighbours(vectors, skips))
+        assert len(found) == len(held)
+        for k, ((cols, w), (cos, pos)) in enumerate(zip(vectors, found, strict=True)):
+            full = np.round(w @ dense[cols], 6)
+            if skips:
+                full[k] = 0
+            order = [j for j in np.lexsort((ix.ids, -full)) if full[j] > 0][:7]
+            assert list(pos) == order and np.allclose(cos, full[order])
+    arrays = [(np.array(sorted(c), np.int32), np.array([c[k] for k in sorted(c)], np.int32))
+              for c in counts]
+    assert [s for s, _ in ix.scores(arrays)] == pytest.approx([ix.score(c)[0] for c in counts])
+
+
+def test_toxicity_counts_of_many_texts(monkeypatch):
+    vocabulary = ["ab", "grub", "grub*", "grubs", "grubb*", "x", "xyzzy*"]
+    texts = ["Grub grubs, GRUBBER x", None, "", "nothing known", "x X xyzzyx ab", "grub grub"]
+    want = [{1: 1, 2: 3, 3: 1, 4: 1, 5: 1}, {}, {}, {}, {0: 1, 5: 2, 6: 1}, {1: 2, 2: 2}]
+    for cache in (toxicity.WORD_CACHE, 2):  # words that are dropped are learnt again
+        monkeypatch.setattr(toxicity, "WORD_CACHE", cache)
+        counts = toxicity.Counts(vocabulary)
+        for _ in range(3):
+            assert [dict(zip(c.tolist(), n.tolist(), strict=True)) for c, n in counts(texts)] == want
+            assert all((c[1:] > c[:-1]).all() for c, _ in counts(texts))
+    assert counts([]) == [] and toxicity.Counts([])(["a"])[0][0].size == 0
+
+
 def test_toxicity_scores_against_dense_vectors(spark):
     """Every score and neighbour from plain dictionaries and all examples, with
     the curve that the operator fitted."""
