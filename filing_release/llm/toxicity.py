@@ -35,6 +35,7 @@ from __future__ import annotations
 
 import math
 from array import array
+from collections import Counter
 from collections.abc import Sequence
 from uuid import uuid4
 
@@ -108,25 +109,31 @@ class Counts:
             self.forget()
             memo = self.memo
         found: list[int] = []
+        times: list[int] = []
         sizes = []
         for text in texts:
-            runs = letter_runs(text)
-            numbers = list(map(memo.get, runs))
+            seen = Counter(letter_runs(text))
+            numbers = list(map(memo.get, seen))
             if None in numbers:
-                for r in runs:
+                for r in seen:
                     if r not in memo:
                         memo[r] = self.learn(r.decode())
-                numbers = list(map(memo.get, runs))
+                numbers = list(map(memo.get, seen))
             found += numbers
-            sizes.append(len(runs))
+            times += seen.values()
+            sizes.append(len(seen))
         run, flat, start = (np.array(x, np.int64) for x in (found, self.flat, self.start))
         n = start[run + 1] - start[run]
         text_of = np.repeat(np.arange(len(texts)), sizes)
         width = len(self.column)
-        key, tf = np.unique(np.repeat(text_of * width, n) + flat[ranges(start[run], n)],
-                            return_counts=True)
+        key = np.repeat(text_of * width, n) + flat[ranges(start[run], n)]
+        # several runs of a text may have a stem in common
+        order = np.argsort(key)
+        key, tf = key[order], np.repeat(np.array(times, np.int32), n)[order]
+        new = np.flatnonzero(np.diff(key, prepend=-1))
+        key, tf = key[new], np.add.reduceat(tf, new) if len(new) else tf
         ends = np.searchsorted(key, np.arange(len(texts) + 1) * width)
-        return [((key[i:j] - k * width).astype(np.int32), tf[i:j].astype(np.int32))
+        return [((key[i:j] - k * width).astype(np.int32), tf[i:j])
                 for k, (i, j) in enumerate(zip(ends[:-1], ends[1:], strict=True))]
 
     def learn(self, run: str) -> int:
