@@ -84,7 +84,7 @@ def map_rows(df: DataFrame, fn: Callable[..., Iterable[tuple]], schema: str,
         state = (setup(),) if setup else ()
         out: list[tuple] = []
         for b in batches:
-            cols = [_values(c) for c in b.columns]
+            cols = [values(c) for c in b.columns]
             for row in zip(*cols, strict=True):
                 out.extend(fn(*state, *row))
                 if len(out) >= chunk:
@@ -110,14 +110,14 @@ def map_chunks(df: DataFrame, fn: Callable[..., Iterable[tuple]], schema: str, c
         state = setup()
         for b in batches:
             for at in range(0, b.num_rows, chunk):
-                out = fn(state, *map(_values, b.slice(at, chunk).columns))
+                out = fn(state, *map(values, b.slice(at, chunk).columns))
                 yield arrow_batch(list(out), names, types)
         pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 
 
-def _values(col: pa.Array) -> list:
+def values(col: pa.Array) -> list:
     t = col.type
     if pa.types.is_list(t) and pa.types.is_integer(t.value_type) and not col.null_count:
         flat, offs = col.flatten().to_numpy(zero_copy_only=False), col.offsets.to_numpy()

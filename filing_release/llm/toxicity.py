@@ -29,6 +29,10 @@ under one labelled id the smallest is the example; an id with several labels is
 toxic if one says so; without any labelled row every score is 0; ties in cosine
 go to the example with the smaller doc_id; an empty table gives no rows; extra
 columns are not read; a text of any length is one row of term counts.
+
+What reaches the driver (the examples' terms, their document frequencies and the
+examples' own vectors) stays in Arrow and NumPy arrays, some ten bytes a term or
+posting, never one Python object for each.
 """
 
 from __future__ import annotations
@@ -40,11 +44,14 @@ from collections.abc import Sequence
 from uuid import uuid4
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_CACHE, fold_bucket, letter_runs, map_chunks, map_rows, mix, stage
+from .common import (WORD_CACHE, fold_bucket, letter_runs, map_chunks, map_rows, mix, stage,
+                     values)
 
 EXAMPLES = 2000   # labelled rows kept per class
 CHI = 30.0        # chi-square that chance may reach
@@ -151,6 +158,11 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + lengths, lengths)
 
 
+def arrays_of(counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    cols = np.array(sorted(counts), np.int64)
+    return cols, np.array([counts[c] for c in cols], np.int64)
+
+
 class Index:
     """The examples as a block-max inverted index with calibrated votes.
 
@@ -158,11 +170,12 @@ class Index:
     """
 
     def __init__(self, scale: np.ndarray, ids: list[int], labels: list[int],
-                 counts: list[dict[int, int]], toxic_share: float,
-                 k: int = NEIGHBOURS, block: int = BLOCK):
+                 counts: Sequence[dict[int, int] | tuple[np.ndarray, np.ndarray]],
+                 toxic_share: float, k: int = NEIGHBOURS, block: int = BLOCK):
         self.scale, self.k, self.block = scale, k, block
-        kept = [i for i, c in enumerate(counts) if c]
-        vectors = [self.vector(counts[i]) for i in kept]
+        arrays = [arrays_of(c) if isinstance(c, dict) else c for c in counts]
+        kept = [i for i, (cols, _) in enumerate(arrays) if len(cols)]
+        vectors = [self.weigh(*arrays[i]) for i in kept]
         # like rows share a block when sorted by their heaviest terms
         rank = sorted(range(len(kept)), key=lambda j: (
             tuple(vectors[j][0][np.argsort(-vectors[j][1], kind="stable")][:3]), ids[kept[j]]))
@@ -173,7 +186,7 @@ class Index:
         weight = {1: toxic_share / max(n1, 1), 0: (1 - toxic_share) / max(len(labels) - n1, 1)}
         self.class_weight = np.array([weight[int(y)] for y in self.labels])
         self.mean_weight = self.class_weight.mean() if len(self.labels) else 0.0
-        bare = [labels[i] for i, c in enumerate(counts) if not c]
+        bare = [labels[i] for i, (cols, _) in enumerate(arrays) if not len(cols)]
         w1, w0 = weight[1] * sum(bare), weight[0] * (len(bare) - sum(bare))
         self.bare_score = w1 / (w1 + w0) if w1 + w0 else toxic_share
         self.slope, self.offset = self.calibrate(vectors, rank)
@@ -184,10 +197,10 @@ class Index:
         list is a row with a place for every example instead."""
         empty = [(np.zeros(0, np.int64), np.zeros(0))]
         col = np.concatenate([c for c, _ in vectors or empty])
-        pos = np.repeat(np.arange(len(vectors)), [len(c) for c, _ in vectors])
+        pos = np.repeat(np.arange(len(vectors), dtype=np.int32), [len(c) for c, _ in vectors])
         order = np.argsort(col, kind="stable")
-        col, self.pos = col[order], pos[order].astype(np.int32)
-        self.weight = np.concatenate([w for _, w in vectors or empty])[order].astype(np.float32)
+        col, self.pos = col[order], pos[order]
+        self.weight = np.concatenate([w.astype(np.float32) for _, w in vectors or empty])[order]
         long = np.bincount(col, minlength=n_terms) * LONG >= max(len(vectors), 1)
         self.row = np.where(long, np.cumsum(long) - 1, -1).astype(np.int32)
         self.blocks = -(-len(vectors) // self.block)
@@ -207,8 +220,7 @@ class Index:
         self.first = self.first.astype(np.int32)
 
     def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-        cols = np.array(sorted(counts), np.int64)
-        return self.weigh(cols, np.array([counts[c] for c in cols], np.int64))
+        return self.weigh(*arrays_of(counts))
 
     def weigh(self, cols: np.ndarray, tf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         w = (1 + np.log(tf)) * self.scale[cols]
@@ -301,8 +313,7 @@ class Index:
 
     def score(self, counts: dict[int, int]) -> tuple[float, list[int]]:
         """Score and the neighbours' doc_ids (evidence)."""
-        cols = np.array(sorted(counts), np.int64)
-        return self.scores([(cols, np.array([counts[c] for c in cols], np.int64))])[0]
+        return self.scores([arrays_of(counts)])[0]
 
     def scores(self, counts: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[float, list[int]]]:
         """The same for many documents' ``(columns, tf)``."""
@@ -326,7 +337,7 @@ def effect(p: np.ndarray, q: np.ndarray, n1: float, n0: float) -> np.ndarray:
 
 
 def choose(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES
-           ) -> tuple[DataFrame, list[str], np.ndarray, float]:
+           ) -> tuple[DataFrame, pa.Array, np.ndarray, float]:
     """The examples (``doc_id``, ``toxic``, ``text``), their terms, the terms'
     effects, and the toxic share of all labelled rows.
 
@@ -356,15 +367,15 @@ def choose(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES
                       "toxic int, term string").groupBy("term")
              .agg(F.sum(F.col("toxic").cast("double")).alias("p"),
                   F.sum((1 - F.col("toxic")).cast("double")).alias("q"))
-             .orderBy("term").collect())
-    size = effect(np.array([r["p"] for r in found]), np.array([r["q"] for r in found]),
-                  n1, len(alone) - n1)
+             .orderBy("term").toArrow().combine_chunks())
+    size = effect(found["p"].to_numpy(), found["q"].to_numpy(), n1, len(alone) - n1)
     # a stem that doesn't tell the classes apart says no more than its runs
-    kept = [k for k, r in enumerate(found) if r["term"][-1] != "*" or size[k] > 0]
-    return sample, [found[k]["term"] for k in kept], size[kept], float(share)
+    kept = ~pc.ends_with(found["term"], "*").to_numpy() | (size > 0)
+    vocabulary = pa.array(found["term"].filter(pa.array(kept)).combine_chunks())
+    return sample, vocabulary, size[kept], float(share)
 
 
-def vectorise(docs: DataFrame, vocabulary: list[str], *keep: str) -> DataFrame:
+def vectorise(docs: DataFrame, vocabulary: pa.Array, *keep: str) -> DataFrame:
     """``doc_id``, the ``keep`` columns, ``cols``, ``tf``: the terms of every whole text."""
     # the terms of a bounded number of examples
     held, key = docs.sparkSession.sparkContext.broadcast(vocabulary), uuid4().hex
@@ -384,21 +395,21 @@ def _counts(key: str, held) -> Counts:
     """A worker's counts of the latest vocabulary, kept from task to task."""
     if key not in _COUNTS:
         _COUNTS.clear()
-        _COUNTS[key] = Counts(held.value)
+        _COUNTS[key] = Counts(held.value.to_pylist())
     return _COUNTS[key]
 
 
-def index(vectors: DataFrame, sample: DataFrame, vocabulary: list[str], size: np.ndarray,
+def index(vectors: DataFrame, sample: DataFrame, vocabulary: pa.Array, size: np.ndarray,
           share: float) -> Index:
     """Document frequencies over all vectors, and the sample's own vectors."""
     total = vectors.count()
     df = np.ones(len(vocabulary))
-    for r in vectors.select(F.explode("cols").alias("col")).groupBy("col").count().collect():
-        df[r["col"]] = r["count"]
-    rows = vectorise(sample, vocabulary, "toxic").orderBy("doc_id").collect()
-    return Index(np.log(1 + total / df) * (FLOOR + size), [r["doc_id"] for r in rows],
-                 [r["toxic"] for r in rows],
-                 [dict(zip(r["cols"], r["tf"], strict=True)) for r in rows], share)
+    held = vectors.select(F.explode("cols").alias("col")).groupBy("col").count().toArrow()
+    df[held["col"].to_numpy()] = held["count"].to_numpy()
+    rows = vectorise(sample, vocabulary, "toxic").orderBy("doc_id").toArrow().combine_chunks()
+    cols, tf = (values(rows[c].combine_chunks()) for c in ("cols", "tf"))
+    return Index(np.log(1 + total / df) * (FLOOR + size), rows["doc_id"].to_pylist(),
+                 rows["toxic"].to_pylist(), list(zip(cols, tf, strict=True)), share)
 
 
 def score(vectors: DataFrame, ix: Index) -> DataFrame:

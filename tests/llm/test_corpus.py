@@ -455,6 +455,30 @@ def test_toxicity_scores_against_dense_vectors(spark):
     assert len({r.score for r in got if not r.evidence}) == 1  # no term: one share
 
 
+def test_toxicity_driver_holds_arrays(spark):
+    """Terms, frequencies and postings of the examples reach the driver's Python as
+    arrays, not as rows, lists and dictionaries of Python numbers."""
+    import tracemalloc
+    rng = random.Random(8)
+    syllables = [a + b for a in "bcdfghjklmnpqrstvwxz" for b in "aeiou"]
+    texts = [" ".join("".join(rng.choices(syllables, k=2)) for _ in range(400))
+             for _ in range(500)]
+    d = docs_of(spark, texts).select("doc_id", "text").cache()
+    labels = spark.createDataFrame([(i, i % 2) for i in range(500)], "doc_id long, toxic int")
+    chosen = toxicity.choose(d, labels)
+    vectors = toxicity.vectorise(d, chosen[1]).cache()
+    postings = sum(len(set(t.split())) for t in texts)
+    assert vectors.selectExpr("sum(size(cols))").first()[0] == postings
+    tracemalloc.start()
+    try:
+        ix = toxicity.index(vectors, *chosen)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(ix.ids) == 500 and len(ix.pos) + (ix.rows > 0).sum() == postings
+    assert peak < 100 * postings
+
+
 def test_toxicity_held_out(spark):
     sf = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{sf}/labels.parquet")
